@@ -96,12 +96,21 @@ def fit_forest(train: DataFrame) -> RandomForestClassificationModel:
     return RandomForestClassifier(labelCol="label", featuresCol="features", **FOREST_PARAMS).fit(train)
 
 
+def fixed_layout(df: DataFrame, partitions: int | None = None) -> DataFrame:
+    """Rows in a layout that does not depend on shuffle fetch order: hash partitions by the point key, sorted
+    inside. Forest bootstrap draws are per partition and per row position, so with this layout the same seed
+    gives the same forest, and a partition recomputed after an executor loss gets the same draws."""
+    n = partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(n, *POINT_KEYS).sortWithinPartitions(*POINT_KEYS)
+
+
 def train_models(points: DataFrame, how: str = "hash", fraction: float = TRAIN_FRACTION, seed: int = 12345,
-                 tree_path: str | None = None, forest_path: str | None = None) -> Trained:
+                 tree_path: str | None = None, forest_path: str | None = None,
+                 partitions: int | None = None) -> Trained:
     """C1 after the points: split, cache the training side (M5), fit both models, optionally save (IO5, IO6)."""
     pts = _with_label_metadata(assemble(points))
     train, test = split(pts, how=how, fraction=fraction, seed=seed)
-    train = train.select("label", "features").persist()
+    train = fixed_layout(train, partitions).select("label", "features").persist()
     try:
         tree = fit_tree(train)
         forest = fit_forest(train)

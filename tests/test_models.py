@@ -1,0 +1,100 @@
+"""Model tests on M1: accuracy, user cap, save/load, majority vote, repeatability, report."""
+import math
+
+import pytest
+from pyspark.sql import functions as F
+
+from fixtures import m1
+from stridex.operators.labels import assemble
+from stridex.plans import prediction as pred
+from stridex.plans import training as tr
+from stridex.plans.voting import majority_vote
+from stridex.sources.models import load_forest, load_tree
+
+
+@pytest.fixture(scope="module")
+def samples(spark):
+    return m1(spark).cache()
+
+
+@pytest.fixture(scope="module")
+def trained(spark, samples, tmp_shared):
+    pts = tr.labeled_points(samples, user_cap=None)
+    return tr.train_models(pts, tree_path=tmp_shared("tree"), forest_path=tmp_shared("forest"))
+
+
+def test_points_and_accuracy(trained):
+    rep = trained.report().collect()[0]
+    assert rep.n_points > 100
+    assert rep.dt_accuracy > 0.9
+    assert rep.rf_accuracy > 0.9
+
+
+def test_user_cap(samples):
+    pts = tr.labeled_points(samples, user_cap=10)
+    users = sorted(r.user_id for r in pts.select("user_id").distinct().collect())
+    assert users == [f"u{k:02d}" for k in range(10)]
+    # the out-of-domain user never becomes a point
+    assert tr.labeled_points(samples, user_cap=None).where(F.col("user_id") == "uzz").count() == 0
+
+
+
+def test_model_roundtrip(spark, samples, tmp_shared):
+    pts = tr.labeled_points(samples, user_cap=4)
+    tp, fp = tmp_shared("tree"), tmp_shared("forest")
+    t = tr.train_models(pts, tree_path=tp, forest_path=fp)
+    tree2, forest2 = load_tree(tp), load_forest(fp)
+    test = t.test.cache()
+    keys = tr.POINT_KEYS
+    a = sorted(tuple(r) for r in t.tree.transform(test).select(*keys, "prediction").collect())
+    b = sorted(tuple(r) for r in tree2.transform(test).select(*keys, "prediction").collect())
+    assert a == b
+    c = sorted(tuple(r) for r in majority_vote(t.forest, test).select(*keys, "prediction").collect())
+    d = sorted(tuple(r) for r in majority_vote(forest2, test).select(*keys, "prediction").collect())
+    assert c == d
+
+
+def test_majority_vote_is_explicit_count(trained):
+    test = trained.test
+    voted = majority_vote(trained.forest, test).select("features", "prediction").collect()
+    trees = trained.forest.trees
+    for row in voted[:50]:
+        counts = [0] * 4
+        for t in trees:
+            counts[int(t.predict(row.features))] += 1
+        assert row.prediction == float(counts.index(max(counts)))
+
+
+def test_same_seed_same_forest(samples):
+    pts = tr.labeled_points(samples, user_cap=4)
+    a = tr.train_models(pts)
+    b = tr.train_models(pts)
+    keys = tr.POINT_KEYS
+    pa = sorted(tuple(r) for r in majority_vote(a.forest, a.test).select(*keys, "prediction").collect())
+    pb = sorted(tuple(r) for r in majority_vote(b.forest, b.test).select(*keys, "prediction").collect())
+    assert pa == pb
+    assert a.forest.totalNumNodes == b.forest.totalNumNodes
+
+
+def test_accuracy_of_empty_test_is_nan(samples):
+    pts = tr.labeled_points(samples, user_cap=4)
+    t = tr.train_models(pts)
+    t.test = t.test.limit(0)
+    rep = t.report().collect()[0]
+    assert math.isnan(rep.dt_accuracy) and math.isnan(rep.rf_accuracy)
+
+
+def test_predict_every_user_and_named_users(spark, samples, trained):
+    live = samples.drop("activity")
+    out = pred.predict(live, trained.forest, n=100, as_of=123).collect()
+    assert len(out) == 13 and all(r.timestamp == 123 for r in out)
+    assert {r.prediction for r in out} <= {"Walking", "Jogging", "Standing", "Sitting"}
+    named = pred.predict(live, trained.tree, n=100, users=["u01", "ghost"], as_of=1).collect()
+    assert sorted(r.user_id for r in named) == ["ghost", "u01"]
+
+
+def test_label_decode_rejects_unknown(spark):
+    from stridex.operators.labels import decode_labels
+    df = spark.createDataFrame([(7.0,)], "prediction double")
+    with pytest.raises(Exception):
+        decode_labels(df).collect()
