@@ -53,10 +53,12 @@ def _deviation_aggs(truncate_y: bool, bounded: bool):
 
 def _finish(df: DataFrame, keys: list[str]) -> DataFrame:
     pn = F.col("_pn")
-    peak_time = F.when(pn > 1, (F.col("_pmax") - F.col("_pmin")) / (pn - 1)).otherwise(F.lit(0.0))
-    return (df.withColumn("peak_time", peak_time.cast("double"))
-              .withColumn("diff_xy", F.col("mean_x") - F.col("mean_y"))
-              .select(*keys, "n", *FEATURES))
+    computed = {
+        "peak_time": F.when(pn > 1, (F.col("_pmax") - F.col("_pmin")) / (pn - 1)).otherwise(F.lit(0.0))
+                      .cast("double"),
+        "diff_xy": F.col("mean_x") - F.col("mean_y"),
+    }
+    return df.select(*keys, "n", *[computed[c].alias(c) if c in computed else F.col(c) for c in FEATURES])
 
 
 def features(df: DataFrame, keys: list[str], bounded: bool = False, truncate_y: bool = True) -> DataFrame:

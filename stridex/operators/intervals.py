@@ -51,27 +51,28 @@ def assign_stop_anchored(samples: DataFrame, sessions: DataFrame, width: int = D
     """
     w = int(width)
     b = int(bucket or w)
-    s = (sessions.select(*keys, "session_id", "session_stop", "intervals")
-         .withColumn("_slo", F.col("session_stop") - F.lit(w))
-         .withColumn("_shi", F.col("session_stop") + F.col("intervals") * F.lit(w)))
-    s = s.withColumn("_b", F.explode(F.sequence(floor_div("_slo + 1", b), floor_div("_shi - 1", b))))
-    r = samples.withColumn("_b", floor_div("timestamp", b))
-    j = r.join(s, [*keys, "_b"]).where((F.col("timestamp") > F.col("_slo")) & (F.col("timestamp") < F.col("_shi")))
+    span_lo = F.col("session_stop") - F.lit(w)                          # exclusive
+    span_hi = F.col("session_stop") + F.col("intervals") * F.lit(w)     # exclusive
+    s = sessions.select(*keys, "session_id", "session_stop", span_lo.alias("_slo"), span_hi.alias("_shi"),
+                        F.explode(F.sequence(floor_div(f"session_stop - {w} + 1", b),
+                                             floor_div(f"session_stop + intervals * {w} - 1", b))).alias("_b"))
+    r = samples.select("*", floor_div("timestamp", b).alias("_b"))
     d = F.col("timestamp") - F.col("session_stop")
-    j = (j.where(F.pmod(d, F.lit(w)) != 0)
-          .withColumn("i", floor_div("timestamp - session_stop", w) + 1))
-    return (j.withColumn("lo", F.col("session_stop") + (F.col("i") - 1) * F.lit(w))
-             .withColumn("hi", F.col("session_stop") + F.col("i") * F.lit(w))
-             .drop("_b", "_slo", "_shi", "session_stop", "intervals"))
+    j = r.join(s, [*keys, "_b"]).where((F.col("timestamp") > F.col("_slo")) & (F.col("timestamp") < F.col("_shi"))
+                                       & (F.pmod(d, F.lit(w)) != 0))
+    i = floor_div("timestamp - session_stop", w) + 1
+    cols = [c for c in samples.columns if c not in keys]
+    return j.select(*keys, *cols, "session_id", i.alias("i"),
+                    (F.col("session_stop") + (i - 1) * F.lit(w)).alias("lo"),
+                    (F.col("session_stop") + i * F.lit(w)).alias("hi"))
 
 
 def assign_tiled(labelled: DataFrame, width: int = DEFAULT_WIDTH) -> DataFrame:
     """Tile index from the sample's own session start; no join."""
     w = int(width)
     i = F.expr(f"(timestamp - session_start) div {w}")
-    return (labelled.withColumn("i", i)
-            .withColumn("lo", F.col("session_start") + F.col("i") * F.lit(w))
-            .withColumn("hi", F.col("lo") + F.lit(w)))
+    lo = F.col("session_start") + i * F.lit(w)
+    return labelled.select("*", i.alias("i"), lo.alias("lo"), (lo + F.lit(w)).alias("hi"))
 
 
 def assign_intervals(samples: DataFrame, gap: int = DEFAULT_GAP, width: int = DEFAULT_WIDTH, anchor: str = "stop",

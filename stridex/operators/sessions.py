@@ -35,40 +35,39 @@ def label_sessions(df: DataFrame, gap: int = DEFAULT_GAP, keys: list[str] = KEYS
     """Every sample with ``prev_timestamp``, ``diff`` (W1), ``jump`` (W2), ``session_id`` and ``session_start``."""
     chunk = int(chunk or default_chunk(gap))
     gap_l = F.lit(int(gap))
-    r = df.withColumn("_chunk", floor_div("timestamp", chunk))
+    t = F.col("timestamp")
     wl = Window.partitionBy(*keys, "_chunk").orderBy("timestamp")
     upto = wl.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    r = r.withColumn("_prev_local", F.lag("timestamp").over(wl))
-    jl = F.coalesce(((F.col("timestamp") - F.col("_prev_local")) > gap_l).cast("int"), F.lit(0))
-    r = (r.withColumn("_jl", jl)
-          .withColumn("_run", F.sum("_jl").over(upto))
-          .withColumn("_start_local", F.max(F.when(F.col("_jl") == 1, F.col("timestamp"))).over(upto)))
-
+    # level 1: inside a chunk
+    r = df.select("*", floor_div("timestamp", chunk).alias("_chunk"))
+    r = r.select("*", F.lag("timestamp").over(wl).alias("_prev_local"))
+    jl = F.coalesce(((t - F.col("_prev_local")) > gap_l).cast("int"), F.lit(0))
+    r = r.select("*", jl.alias("_jl"), F.sum(jl).over(upto).alias("_run"),
+                 F.max(F.when(jl == 1, t)).over(upto).alias("_start_local"))
+    # level 2: one row per chunk
     cs = r.groupBy(*keys, "_chunk").agg(
         F.min("timestamp").alias("_cmin"), F.max("timestamp").alias("_cmax"),
-        F.sum("_jl").alias("_cj"), F.max(F.when(F.col("_jl") == 1, F.col("timestamp"))).alias("_clast"))
+        F.sum("_jl").alias("_cj"), F.max(F.when(F.col("_jl") == 1, t)).alias("_clast"))
     wc = Window.partitionBy(*keys).orderBy("_chunk")
     before = wc.rowsBetween(Window.unboundedPreceding, -1)
-    cs = cs.withColumn("_prev_cmax", F.lag("_cmax").over(wc))
+    cs = cs.select("*", F.lag("_cmax").over(wc).alias("_prev_cmax"))
     opens = F.col("_prev_cmax").isNull() | ((F.col("_cmin") - F.col("_prev_cmax")) > gap_l)
-    edge = ((F.col("_cmin") - F.col("_prev_cmax")) > gap_l).cast("int")
-    cs = (cs.withColumn("_edge", F.coalesce(edge, F.lit(0)))
-            .withColumn("_opens", opens)
-            .withColumn("_own_last", F.coalesce(F.col("_clast"), F.when(opens, F.col("_cmin")))))
+    edge = F.coalesce(((F.col("_cmin") - F.col("_prev_cmax")) > gap_l).cast("int"), F.lit(0))
+    own_last = F.coalesce(F.col("_clast"), F.when(opens, F.col("_cmin")))
     cs = cs.select(
         *keys, "_chunk", "_prev_cmax",
-        (F.coalesce(F.sum(F.col("_cj") + F.col("_edge")).over(before), F.lit(0)) + F.col("_edge")).alias("_base"),
-        F.when(F.col("_opens"), F.col("_cmin"))
-         .otherwise(F.last("_own_last", ignorenulls=True).over(before)).alias("_start0"))
-
+        (F.coalesce(F.sum(F.col("_cj") + edge).over(before), F.lit(0)) + edge).alias("_base"),
+        F.when(opens, F.col("_cmin")).otherwise(F.last(own_last, ignorenulls=True).over(before)).alias("_start0"))
+    # back to the rows: (key, chunk) is the rows' partitioning already, only the chunk table moves
     out = r.join(cs, [*keys, "_chunk"])
     prev = F.coalesce(F.col("_prev_local"), F.col("_prev_cmax"))
-    return (out.withColumn("prev_timestamp", prev)
-               .withColumn("diff", F.col("timestamp") - F.col("prev_timestamp"))
-               .withColumn("jump", F.coalesce(F.col("diff") > gap_l, F.lit(False)))
-               .withColumn("session_id", (F.col("_base") + F.col("_run")).cast("long"))
-               .withColumn("session_start", F.coalesce(F.col("_start_local"), F.col("_start0")))
-               .drop("_chunk", "_prev_local", "_jl", "_run", "_start_local", "_prev_cmax", "_base", "_start0"))
+    drop = {"_chunk", "_prev_local", "_jl", "_run", "_start_local", "_prev_cmax", "_base", "_start0"}
+    return out.select(
+        *[c for c in out.columns if c not in drop],
+        prev.alias("prev_timestamp"), (t - prev).alias("diff"),
+        F.coalesce((t - prev) > gap_l, F.lit(False)).alias("jump"),
+        (F.col("_base") + F.col("_run")).cast("long").alias("session_id"),
+        F.coalesce(F.col("_start_local"), F.col("_start0")).alias("session_start"))
 
 
 def time_diffs(df: DataFrame, keys: list[str] = KEYS, chunk: int | None = None, gap: int = DEFAULT_GAP) -> DataFrame:
@@ -88,7 +87,7 @@ def sessions_from_labelled(labelled: DataFrame, width: int = DEFAULT_WIDTH, keys
     s = labelled.groupBy(*keys, "session_id").agg(
         F.min("timestamp").alias("session_start"), F.max("timestamp").alias("session_stop"),
         F.count(F.lit(1)).alias("n_samples"))
-    return s.withColumn("intervals", F.expr(f"(session_stop - session_start) div {int(width)}"))
+    return s.select("*", F.expr(f"(session_stop - session_start) div {int(width)}").alias("intervals"))
 
 
 def gap_sessions(df: DataFrame, gap: int = DEFAULT_GAP, width: int = DEFAULT_WIDTH, keys: list[str] = KEYS,
