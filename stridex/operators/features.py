@@ -11,9 +11,11 @@ Definitions (reference semantics):
 Two plan shapes:
 
 - ``bounded=False`` (default; groups of any size): the group statistics are a plain aggregate (partial
-  aggregation before the shuffle, so a group holding a third of all rows is pre-reduced in every map task); the
-  mean-dependent and max-dependent parts join those statistics back to the rows -- a join AQE can split when one
-  group is skewed -- and aggregate again; the distinct peak count is a two-level distinct aggregate.
+  aggregation before the shuffle, so a group holding a third of all rows is pre-reduced in every map task). The
+  mean- and max-dependent parts need those statistics next to every row: ``attach_group_stats`` joins them in
+  the shape AQE's skew join can split (a hot group's rows are cut into many tasks), then everything is
+  aggregated again with a partial aggregate before the shuffle. The distinct peak count is a two-level distinct
+  aggregate whose first level is keyed by (group, peak time).
 - ``bounded=True`` (groups known to be small, e.g. a user's latest N): one shuffle; a window over the group gives
   the means and max, the same exchange serves the aggregate, and the distinct peak times of a group (at most N)
   are counted with a set.
@@ -70,11 +72,27 @@ def features(df: DataFrame, keys: list[str], bounded: bool = False, truncate_y:
         agg = rows.groupBy(*keys).agg(*_moment_aggs(), *_deviation_aggs(truncate_y, bounded=True))
         return _finish(agg, keys)
     stats = rows.groupBy(*keys).agg(*[F.avg(a).alias(f"_m{a}") for a in AXES], F.max("y").alias("_ymax"))
-    joined = rows.join(stats, keys)
+    joined = attach_group_stats(rows, stats, keys)
     agg = joined.groupBy(*keys).agg(*_moment_aggs(), *_deviation_aggs(truncate_y, bounded=False))
     return _finish(agg, keys)
 
 
+def attach_group_stats(rows: DataFrame, stats: DataFrame, keys: list[str]) -> DataFrame:
+    """``rows`` joined with their group's row of ``stats`` (one row per group), shaped so a hot group can be split.
+
+    The join runs on a derived group key (a 64-bit hash of the keys) plus the keys themselves (so collisions
+    are harmless). Neither side is then already partitioned for the join: both are plain shuffles, the shape
+    AQE's skew-join rule needs to cut a hot group's rows into many tasks (replicating its single statistics
+    row), and the aggregate that follows gets its own exchange after a partial aggregate. ``stats`` is an
+    aggregate, so it is small next to ``rows``; if it is under the broadcast threshold AQE broadcasts it
+    instead, and the rows do not move at all.
+    """
+    gk = F.xxhash64(*keys)
+    r = rows.select("*", gk.alias("_gk"))
+    s = stats.select("*", gk.alias("_gk"))
+    return r.join(s, ["_gk", *keys]).drop("_gk")
+
+
 def zero_features(users: DataFrame, feats: DataFrame, key: str = "user_id") -> DataFrame:
     """F16: every asked-for user, with 15 zeros (and n = 0) when the user has no rows."""
     out = users.select(key).distinct().join(feats, key, "left")
