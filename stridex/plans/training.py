@@ -16,8 +16,9 @@ from ..operators.features import features
 from ..operators.intervals import GROUP, assign_intervals
 from ..operators.labels import assemble, encode_labels, hash_split, random_split
 from ..operators.selection import activity_domain, capped_users, restrict_to_users
-from ..schema import (DEFAULT_GAP, DEFAULT_USER_CAP, DEFAULT_WIDTH, FEATURES, FOREST_PARAMS, KEYS, LABELS,
-                      TRAIN_FRACTION, TREE_PARAMS)
+from ..config import scratch_path
+from ..schema import (DEFAULT_GAP, DEFAULT_USER_CAP, DEFAULT_WIDTH, FEATURES, FIT_SETTINGS, FOREST_PARAMS, KEYS,
+                      LABELS, TRAIN_FRACTION, TREE_PARAMS)
 from ..sources.models import save_model
 from .voting import majority_vote
 
@@ -88,12 +89,13 @@ def split(points: DataFrame, how: str = "hash", fraction: float = TRAIN_FRACTION
 
 def fit_tree(train: DataFrame) -> DecisionTreeClassificationModel:
     """M6: gini, depth 20, 32 bins, no categorical features."""
-    return DecisionTreeClassifier(labelCol="label", featuresCol="features", **TREE_PARAMS).fit(train)
+    return DecisionTreeClassifier(labelCol="label", featuresCol="features", **TREE_PARAMS, **FIT_SETTINGS).fit(train)
 
 
 def fit_forest(train: DataFrame) -> RandomForestClassificationModel:
     """M7: 10 trees, feature subset "auto", gini, depth 20, 32 bins, seed 12345."""
-    return RandomForestClassifier(labelCol="label", featuresCol="features", **FOREST_PARAMS).fit(train)
+    return RandomForestClassifier(labelCol="label", featuresCol="features", **FOREST_PARAMS,
+                                  **FIT_SETTINGS).fit(train)
 
 
 def fixed_layout(df: DataFrame, partitions: int | None = None) -> DataFrame:
@@ -104,10 +106,23 @@ def fixed_layout(df: DataFrame, partitions: int | None = None) -> DataFrame:
     return df.repartition(n, *POINT_KEYS).sortWithinPartitions(*POINT_KEYS)
 
 
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once as a table in the cluster's shared folder and read it back: the lineage is cut (a lost
+    executor costs a re-read, not a re-run of the whole plan), and everything after it reads the table instead of
+    recomputing the plan. (An eager ``checkpoint()`` would compute the plan twice: once to count, once to write.)"""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.parquet(path)
+
+
 def train_models(points: DataFrame, how: str = "hash", fraction: float = TRAIN_FRACTION, seed: int = 12345,
                  tree_path: str | None = None, forest_path: str | None = None,
-                 partitions: int | None = None) -> Trained:
-    """C1 after the points: split, cache the training side (M5), fit both models, optionally save (IO5, IO6)."""
+                 partitions: int | None = None, write_points: bool = True) -> Trained:
+    """C1 after the points: write them once (shared folder), split, cache the training side (M5), fit both
+    models, optionally save them (IO5, IO6). The split, the fits and the report all read the written points."""
+    if write_points:
+        points = materialize(points, "labeled-points")
     pts = _with_label_metadata(assemble(points))
     train, test = split(pts, how=how, fraction=fraction, seed=seed)
     train = fixed_layout(train, partitions).select("label", "features").persist()
