@@ -1,7 +1,7 @@
 """Column expressions shared by the operators. All are built-in Spark expressions (JVM side, codegen)."""
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..schema import LABELS
@@ -51,3 +51,21 @@ def label_text(label="label") -> Column:
 def round6(c) -> Column:
     """Six-place rounding used where results are compared across engines (summation order differs)."""
     return F.round(col(c), 6)
+
+
+EXPLODE_BLOCK = 4096
+
+
+def explode_range(df: DataFrame, lo: str, hi: str, name: str, block: int = EXPLODE_BLOCK) -> DataFrame:
+    """One row per integer ``lo .. hi`` (inclusive; SQL snippets over ``df``), as column ``name`` (long).
+
+    Two levels -- blocks of ``block`` values, then the values of each block -- so no array grows with the range:
+    a month-long session has millions of intervals, and one ``sequence`` over them would be one huge array.
+    """
+    b = int(block)
+    nblk = (f"CASE WHEN ({hi}) >= ({lo}) THEN sequence(0L, (({hi}) - ({lo})) div {b}) "
+            f"ELSE cast(array() AS array<bigint>) END")
+    blocks = df.select("*", F.explode(F.expr(nblk)).alias("_blk"))
+    first = F.expr(f"({lo}) + _blk * {b}")
+    last = F.expr(f"least(({lo}) + _blk * {b} + {b - 1}, {hi})")
+    return blocks.select("*", F.explode(F.sequence(first, last)).alias(name)).drop("_blk")

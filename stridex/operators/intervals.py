@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import floor_div
+from ..functions import explode_range, floor_div
 from ..schema import DEFAULT_GAP, DEFAULT_WIDTH, KEYS
 from .sessions import default_chunk, gap_sessions, label_sessions
 
@@ -31,7 +31,7 @@ def interval_bounds(sessions: DataFrame, width: int = DEFAULT_WIDTH, anchor: str
                     keys: list[str] = KEYS) -> DataFrame:
     """Every interval of every session (``INTERVAL`` schema), empty ones included."""
     w = int(width)
-    s = sessions.withColumn("i", F.explode(F.sequence(F.lit(0).cast("long"), F.col("intervals"))))
+    s = explode_range(sessions, "0L", "intervals", "i")
     if anchor == "stop":
         lo = F.col("session_stop") + (F.col("i") - 1) * F.lit(w)
         hi = F.col("session_stop") + F.col("i") * F.lit(w)
@@ -53,9 +53,11 @@ def assign_stop_anchored(samples: DataFrame, sessions: DataFrame, width: int = D
     b = int(bucket or w)
     span_lo = F.col("session_stop") - F.lit(w)                          # exclusive
     span_hi = F.col("session_stop") + F.col("intervals") * F.lit(w)     # exclusive
-    s = sessions.select(*keys, "session_id", "session_stop", span_lo.alias("_slo"), span_hi.alias("_shi"),
-                        F.explode(F.sequence(floor_div(f"session_stop - {w} + 1", b),
-                                             floor_div(f"session_stop + intervals * {w} - 1", b))).alias("_b"))
+    s = sessions.select(*keys, "session_id", "session_stop", "intervals", span_lo.alias("_slo"),
+                        span_hi.alias("_shi"))
+    b_lo = f"((session_stop - {w} + 1) - pmod(session_stop - {w} + 1, {b})) div {b}"
+    b_hi = f"((session_stop + intervals * {w} - 1) - pmod(session_stop + intervals * {w} - 1, {b})) div {b}"
+    s = explode_range(s, b_lo, b_hi, "_b").drop("intervals")
     r = samples.select("*", floor_div("timestamp", b).alias("_b"))
     d = F.col("timestamp") - F.col("session_stop")
     j = r.join(s, [*keys, "_b"]).where((F.col("timestamp") > F.col("_slo")) & (F.col("timestamp") < F.col("_shi"))

@@ -47,7 +47,8 @@ def hash_split(df: DataFrame, key_cols: list[str], fraction: float = TRAIN_FRACT
 
 
 def random_split(df: DataFrame, fraction: float = TRAIN_FRACTION, seed: int = 12345):
-    """M4 as in the reference (random 60/40), seeded. The input is checkpointed first, so its partition contents
-    are fixed and a recomputed partition cannot move rows between the two sides."""
-    fixed = df.checkpoint(eager=True)
+    """M4 as in the reference (random 60/40), seeded. The input is written to the shared folder first, so its
+    partition contents are fixed and a recomputed partition cannot move rows between the two sides."""
+    from ..sources.tables import materialize
+    fixed = materialize(df, "split-input")
     return fixed.randomSplit([fraction, 1.0 - fraction], seed=seed)

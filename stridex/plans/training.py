@@ -16,10 +16,10 @@ from ..operators.features import features
 from ..operators.intervals import GROUP, assign_intervals
 from ..operators.labels import assemble, encode_labels, hash_split, random_split
 from ..operators.selection import activity_domain, capped_users, restrict_to_users
-from ..config import scratch_path
 from ..schema import (DEFAULT_GAP, DEFAULT_USER_CAP, DEFAULT_WIDTH, FEATURES, FIT_SETTINGS, FOREST_PARAMS, KEYS,
                       LABELS, TRAIN_FRACTION, TREE_PARAMS)
 from ..sources.models import save_model
+from ..sources.tables import materialize
 from .voting import majority_vote
 
 POINT_KEYS = [*KEYS, *GROUP]
@@ -106,16 +106,6 @@ def fixed_layout(df: DataFrame, partitions: int | None = None) -> DataFrame:
     return df.repartition(n, *POINT_KEYS).sortWithinPartitions(*POINT_KEYS)
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once as a table in the cluster's shared folder and read it back: the lineage is cut (a lost
-    executor costs a re-read, not a re-run of the whole plan), and everything after it reads the table instead of
-    recomputing the plan. (An eager ``checkpoint()`` would compute the plan twice: once to count, once to write.)"""
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.parquet(path)
-
-
 def train_models(points: DataFrame, how: str = "hash", fraction: float = TRAIN_FRACTION, seed: int = 12345,
                  tree_path: str | None = None, forest_path: str | None = None,
                  partitions: int | None = None, write_points: bool = True) -> Trained:

@@ -39,10 +39,13 @@ def _stamp(as_of) -> Column:
     return as_of if isinstance(as_of, Column) else F.lit(int(as_of))
 
 
-def _emit(feats: DataFrame, model, vote: str, as_of, sink: str, batch_id: int) -> None:
+def _emit(feats: DataFrame, model, vote: str, as_of, sink: str, batch_id: int, console: int = 0) -> None:
     res = classify(feats, model, vote)
     out = res.select("user_id", _stamp(as_of).cast("long").alias("timestamp"), F.col("activity").alias("prediction"))
     write_batch_predictions(out, sink, batch_id)
+    if console:                      # IO9: the first rows of every batch, read back from what was just written
+        print(f"-- batch {batch_id}")
+        read_predictions(out.sparkSession, f"{sink.rstrip('/')}/batch_id={int(batch_id)}").show(console, False)
 
 
 def _newest(pdf: pd.DataFrame, n: int) -> pd.DataFrame:
@@ -81,9 +84,10 @@ def buffer_update(n: int):
 def start_prediction_stream(stream: DataFrame, model, sink: str, checkpoint: str,
                             table: Callable[[], DataFrame] | None = None, n: int = DEFAULT_LATEST_N,
                             stateful: bool = False, vote: str = "majority", as_of=None,
-                            trigger: dict | None = None, console: bool = False):
+                            trigger: dict | None = None, console: int = 0):
     """Start C3 on a streaming frame of live samples. ``trigger`` defaults to ``{"availableNow": True}`` (R4);
-    ``{"processingTime": "5 seconds"}`` is the reference's cadence (R5)."""
+    ``{"processingTime": "5 seconds"}`` is the reference's cadence (R5). ``console=k`` prints the first ``k``
+    predictions of every batch (IO9)."""
     trigger = trigger or {"availableNow": True}
     if stateful:
         reduced = stream.select(*_COLS).mapInPandas(partial_top_n(n), schema=ACCEL_LIVE)
@@ -92,20 +96,17 @@ def start_prediction_stream(stream: DataFrame, model, sink: str, checkpoint: str
             outputMode="append", timeoutConf=GroupStateTimeout.NoTimeout)
 
         def per_batch(batch: DataFrame, batch_id: int):
-            _emit(features(batch, ["user_id"], bounded=True), model, vote, as_of, sink, batch_id)
+            _emit(features(batch, ["user_id"], bounded=True), model, vote, as_of, sink, batch_id, console)
         src = buffers
     else:
         def per_batch(batch: DataFrame, batch_id: int):
             users = batch.select("user_id").distinct()
             live = restrict_to_users(table(), users) if table is not None else batch
-            _emit(features(latest_n(live, n), ["user_id"], bounded=True), model, vote, as_of, sink, batch_id)
+            _emit(features(latest_n(live, n), ["user_id"], bounded=True), model, vote, as_of, sink, batch_id,
+                  console)
         src = stream
     w = src.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint).trigger(**trigger)
-    q = w.start()
-    if console:
-        from ..sources.sinks import console_sink
-        console_sink(read_predictions_stream(stream.sparkSession, sink)).start()
-    return q
+    return w.start()
 
 
 def read_predictions_stream(spark: SparkSession, sink: str) -> DataFrame:

@@ -98,3 +98,18 @@ def test_label_decode_rejects_unknown(spark):
     df = spark.createDataFrame([(7.0,)], "prediction double")
     with pytest.raises(Exception):
         decode_labels(df).collect()
+
+
+def test_random_split_partitions_points(samples):
+    pts = tr.labeled_points(samples, user_cap=3)
+    a, b = tr.split(pts, how="random", seed=7)
+    ka = {tuple(r) for r in a.select(*tr.POINT_KEYS).collect()}
+    kb = {tuple(r) for r in b.select(*tr.POINT_KEYS).collect()}
+    kall = {tuple(r) for r in pts.select(*tr.POINT_KEYS).collect()}
+    assert ka and kb and not (ka & kb) and (ka | kb) == kall
+
+
+def test_four_classes_even_when_one_is_missing(samples):
+    pts = tr.labeled_points(samples.where(F.col("activity") != "Sitting"), user_cap=3)
+    t = tr.train_models(pts)
+    assert t.tree.numClasses == 4 and t.forest.numClasses == 4

@@ -63,3 +63,17 @@ def test_stream_equals_batch(spark, tmp_shared, setup, stateful):
     assert read_predictions(spark, sink).count() == n_rows
     batch = {r.user_id: r.prediction for r in pred.predict(everything, model, n=N, as_of=0).collect()}
     assert _final(spark, sink) == batch
+
+
+def test_periodic_trigger_and_console(spark, tmp_shared, setup, capsys):
+    model, parts, _ = setup
+    src, sink, ckpt = tmp_shared("src"), tmp_shared("sink"), tmp_shared("ckpt")
+    parts[0].coalesce(1).write.parquet(src)
+    q = start_prediction_stream(stream_live(spark, src), model, sink, ckpt, n=N, stateful=True, as_of=5,
+                                trigger={"processingTime": "1 second"}, console=3)
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    assert read_predictions(spark, sink).count() > 0
+    assert "-- batch 0" in capsys.readouterr().out
