@@ -71,10 +71,13 @@ def features(df: DataFrame, keys: list[str], bounded: bool = False, truncate_y:
         rows = rows.select("*", *[F.avg(a).over(w).alias(f"_m{a}") for a in AXES], F.max("y").over(w).alias("_ymax"))
         agg = rows.groupBy(*keys).agg(*_moment_aggs(), *_deviation_aggs(truncate_y, bounded=True))
         return _finish(agg, keys)
-    stats = rows.groupBy(*keys).agg(*[F.avg(a).alias(f"_m{a}") for a in AXES], F.max("y").alias("_ymax"))
-    joined = attach_group_stats(rows, stats, keys)
-    agg = joined.groupBy(*keys).agg(*_moment_aggs(), *_deviation_aggs(truncate_y, bounded=False))
-    return _finish(agg, keys)
+    # moments straight from one aggregate; only the mean/max-dependent features go through the join-back, and
+    # they come back through a left join on a side that is unique per key -- which Catalyst removes when a
+    # caller uses none of its columns (a query asking only for means never shuffles the rows twice)
+    moments = rows.groupBy(*keys).agg(*_moment_aggs(), F.max("y").alias("_ymax"))
+    stats = moments.select(*keys, *[F.col(f"mean_{a}").alias(f"_m{a}") for a in AXES], "_ymax")
+    dev = attach_group_stats(rows, stats, keys).groupBy(*keys).agg(*_deviation_aggs(truncate_y, bounded=False))
+    return _finish(moments.drop("_ymax").join(dev, keys, "left"), keys)
 
 
 def attach_group_stats(rows: DataFrame, stats: DataFrame, keys: list[str]) -> DataFrame:

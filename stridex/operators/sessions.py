@@ -38,8 +38,13 @@ def label_sessions(df: DataFrame, gap: int = DEFAULT_GAP, keys: list[str] = KEYS
     t = F.col("timestamp")
     wl = Window.partitionBy(*keys, "_chunk").orderBy("timestamp")
     upto = wl.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    # level 1: inside a chunk
+    # level 1: inside a chunk. The null filters are the ones the join below would infer for this side only;
+    # stated here, both uses of ``r`` keep identical plans and share one exchange of the samples.
     r = df.select("*", floor_div("timestamp", chunk).alias("_chunk"))
+    not_null = F.col("_chunk").isNotNull()
+    for k in keys:
+        not_null = not_null & F.col(k).isNotNull()
+    r = r.where(not_null)
     r = r.select("*", F.lag("timestamp").over(wl).alias("_prev_local"))
     jl = F.coalesce(((t - F.col("_prev_local")) > gap_l).cast("int"), F.lit(0))
     r = r.select("*", jl.alias("_jl"), F.sum(jl).over(upto).alias("_run"),
