@@ -14,9 +14,11 @@ cluster's shared folder; a restart resumes from there.
 """
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
@@ -29,6 +31,10 @@ from ..schema import ACCEL_LIVE, DEFAULT_LATEST_N
 from ..sources.readers import live_from_events, stream_events_as_live
 from ..sources.sinks import read_predictions, write_batch_predictions
 
+# The pandas helpers below run in Python workers. Pickle this module's functions by value, so executors need
+# nothing but pandas: the package does not have to be installed or shipped there.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 BUFFER_STATE = "ts array<bigint>, x array<double>, y array<double>, z array<double>"
 _COLS = ACCEL_LIVE.fieldNames()
 

@@ -77,3 +77,27 @@ def test_periodic_trigger_and_console(spark, tmp_shared, setup, capsys):
         q.stop()
     assert read_predictions(spark, sink).count() > 0
     assert "-- batch 0" in capsys.readouterr().out
+
+
+def test_worker_helpers_need_no_package(tmp_path):
+    """The pandas helpers travel by value: a fresh interpreter without the package can run them."""
+    import subprocess
+    import sys
+
+    from pyspark import cloudpickle
+
+    from stridex.streaming import buffer_update, partial_top_n
+    blob = tmp_path / "fn.pkl"
+    blob.write_bytes(cloudpickle.dumps((partial_top_n(2), buffer_update(2))))
+    code = (
+        "import pickle, sys, pandas as pd\n"
+        "assert not any('repo' in p for p in sys.path)\n"
+        f"top, upd = pickle.load(open({str(blob)!r}, 'rb'))\n"
+        "pdf = pd.DataFrame({'user_id': ['a'] * 3, 'timestamp': [1, 3, 2], 'x': [0.0] * 3, 'y': [0.0] * 3, "
+        "'z': [0.0] * 3})\n"
+        "out = list(top(iter([pdf])))[0]\n"
+        "assert sorted(out.timestamp) == [2, 3], out\n"
+    )
+    r = subprocess.run([sys.executable, "-c", code], cwd=str(tmp_path), capture_output=True, text=True,
+                       env={"PATH": "/usr/bin:/bin"})
+    assert r.returncode == 0, r.stderr
