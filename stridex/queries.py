@@ -141,6 +141,15 @@ def q_time_jumps(spark, d):
     return ses.time_jumps(_domain(spark, d), gap=SET_A["gap"])
 
 
+def q_session_rows(spark, d):
+    lab = ses.label_sessions(_domain(spark, d), gap=SET_A["gap"])
+    return lab.select(*KEYS, "timestamp", "session_id", "session_start", "jump")
+
+
+def q_time_ordered(spark, d):
+    return sel.time_ordered(_domain(spark, d)).select(*KEYS, "timestamp")
+
+
 def q_gap_sessions(spark, d):
     return ses.gap_sessions(_domain(spark, d), **SET_A)
 
@@ -218,6 +227,11 @@ def q_peak_time_lag(spark, d):
     return feat.peak_time_by_lag(_domain(spark, d), KEYS)
 
 
+def q_features_untruncated(spark, d):
+    f = feat.features(_domain(spark, d), KEYS, truncate_y=False)
+    return f.select(*KEYS, "n", "peak_time")
+
+
 def q_features_latest(spark, d):
     return rounded(pred.latest_features(_live(spark, d), LATEST_REF))
 
@@ -329,6 +343,8 @@ QUERIES: dict[str, Query] = {
     "latest_n_user": q_latest_n_user,
     "latest_n_all_users": q_latest_n_all_users,
     "time_bounds": q_time_bounds,
+    "time_ordered": q_time_ordered,
+    "session_rows": q_session_rows,
     "time_diffs": q_time_diffs,
     "time_jumps": q_time_jumps,
     "gap_sessions": q_gap_sessions,
@@ -348,6 +364,7 @@ QUERIES: dict[str, Query] = {
     "peak_deltas": q_peak_deltas,
     "feat_peak_time": q_feat_peak_time,
     "peak_time_lag": q_peak_time_lag,
+    "features_untruncated": q_features_untruncated,
     "features_latest": q_features_latest,
     "features_latest_small": q_features_latest_small,
     "features_requested_users": q_features_requested_users,
@@ -446,7 +463,7 @@ def _assign_tiled(width: int) -> str:
         FROM sessions_l l JOIN sessions s USING (user_id, activity, session_id)) q)"""
 
 
-def _features_sql(src: str, keys: list[str], cols: list[str] | None = None, unrounded_peak: bool = True) -> str:
+def _features_sql(src: str, keys: list[str], cols: list[str] | None = None, truncate_y: bool = True) -> str:
     """Reference-form features: stats, then deviations from the mean and peaks by lag over distinct peak times."""
     k = ", ".join(keys)
     kj = " AND ".join(f"r.{c} = st.{c}" for c in keys)
@@ -454,7 +471,7 @@ def _features_sql(src: str, keys: list[str], cols: list[str] | None = None, unro
         f"""f_st AS (SELECT {k}, avg(x) AS mx, avg(y) AS my, avg(z) AS mz, max(y) AS ymax FROM {src} GROUP BY {k})""",
         f"""f_j AS (
   SELECT r.*, st.mx, st.my, st.mz, st.ymax,
-         CASE WHEN trunc(r.y) > 0.9 * st.ymax THEN r."timestamp" END AS pt
+         CASE WHEN {'trunc(r.y)' if truncate_y else 'r.y'} > 0.9 * st.ymax THEN r."timestamp" END AS pt
   FROM {src} r JOIN f_st st ON {kj})""",
         f"""f_pk AS (SELECT DISTINCT {k}, pt FROM f_j WHERE pt IS NOT NULL)""",
         f"""f_dl AS (SELECT {k}, pt - lag(pt) OVER (PARTITION BY {k} ORDER BY pt) AS delta FROM f_pk)""",
@@ -546,6 +563,13 @@ def _oracle() -> dict[str, str]:
         '"timestamp" - lag("timestamp") OVER (PARTITION BY user_id, activity ORDER BY "timestamp") AS diff FROM dom) q '
         f'WHERE diff > {A["gap"]}')
     o["gap_sessions"] = _with(*_sessions_cte(A["gap"], A["width"])) + "SELECT * FROM sessions"
+    o["session_rows"] = _with(*_sessions_cte(A["gap"], A["width"])) + (
+        'SELECT l.user_id, l.activity, l."timestamp", l.session_id, s.session_start, '
+        f'coalesce(l.diff > {A["gap"]}, false) AS jump '
+        "FROM sessions_l l JOIN sessions s USING (user_id, activity, session_id)")
+    o["time_ordered"] = _with() + 'SELECT user_id, activity, "timestamp" FROM dom ORDER BY "timestamp"'
+    o["features_untruncated"] = (_with(*_features_sql("dom", KEYS, truncate_y=False))
+                                 + "SELECT user_id, activity, n, CAST(peak_time AS DOUBLE) AS peak_time FROM f_all")
     o["gap_sessions_b"] = _with(*_sessions_cte(B["gap"], B["width"])) + "SELECT * FROM sessions"
     o["interval_bounds"] = _with(*_sessions_cte(A["gap"], A["width"]), _intervals_cte(A["width"])) + "SELECT * FROM ivals"
     o["interval_bounds_start"] = (_with(*_sessions_cte(A["gap"], A["width"]), _intervals_cte(A["width"], "start"))

@@ -89,9 +89,12 @@ def buffer_update(n: int):
 
 def start_prediction_stream(stream: DataFrame, model, sink: str, checkpoint: str,
                             table: Callable[[], DataFrame] | None = None, n: int = DEFAULT_LATEST_N,
-                            stateful: bool = False, vote: str = "majority", as_of=None,
+                            stateful: bool = True, vote: str = "majority", as_of=None,
                             trigger: dict | None = None, console: int = 0):
-    """Start C3 on a streaming frame of live samples. ``trigger`` defaults to ``{"availableNow": True}`` (R4);
+    """Start C3 on a streaming frame of live samples. ``stateful=True`` (ST2, the default) keeps each user's newest
+    N samples in state; ``stateful=False`` (ST1) re-reads ``table()`` for the touched users every batch, as the
+    reference did -- fine when the table is partitioned or clustered by user, a full scan per batch otherwise.
+    ``trigger`` defaults to ``{"availableNow": True}`` (R4);
     ``{"processingTime": "5 seconds"}`` is the reference's cadence (R5). ``console=k`` prints the first ``k``
     predictions of every batch (IO9)."""
     trigger = trigger or {"availableNow": True}
