@@ -52,7 +52,9 @@ def restrict_to_users(df: DataFrame, users: DataFrame | Iterable[str] | None, bo
     """Keep rows of the given users (left semi join; duplicates in ``users`` do not matter).
 
     The user list is broadcast only under a proven size bound: the length of a literal list, or ``bound`` given by
-    the caller (e.g. the cap of ``capped_users``). Otherwise Spark picks the join from run-time sizes (AQE).
+    the caller (e.g. the cap of ``capped_users``). Otherwise AQE picks the join from run-time sizes, and the join
+    runs on a derived key (hash of the user id, plus the id) so both inputs are plain shuffles -- the shape AQE's
+    skew join can split when one user holds a large share of the rows.
     """
     if users is None:
         return df
@@ -62,8 +64,10 @@ def restrict_to_users(df: DataFrame, users: DataFrame | Iterable[str] | None, bo
         users = df.sparkSession.createDataFrame([(u,) for u in users], "user_id string")
     side = users.select("user_id")
     if bound is not None and bound <= BROADCAST_MAX_USERS:
-        side = F.broadcast(side)
-    return df.join(side, "user_id", "left_semi")
+        return df.join(F.broadcast(side), "user_id", "left_semi")
+    uk = F.xxhash64("user_id")
+    kept = df.select("*", uk.alias("_uk")).join(side.select("*", uk.alias("_uk")), ["_uk", "user_id"], "left_semi")
+    return kept.drop("_uk")
 
 
 def latest_n_user(df: DataFrame, user: str, n: int = DEFAULT_LATEST_N) -> DataFrame:

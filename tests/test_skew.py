@@ -35,13 +35,18 @@ def conf(spark, values):
 
 
 def skewed(spark, hot_rows=200_000, cold_groups=500):
-    hot = spark.range(0, hot_rows, numPartitions=8).select(
-        F.lit("hot").alias("g"), F.col("id").alias("timestamp"), (F.col("id") % 7).cast("double").alias("x"),
-        (F.col("id") % 11).cast("double").alias("y"), F.lit(1.0).alias("z"))
-    cold = spark.range(0, cold_groups * 10, numPartitions=8).select(
-        F.concat(F.lit("c"), (F.col("id") % cold_groups).cast("string")).alias("g"), F.col("id").alias("timestamp"),
-        F.lit(1.0).alias("x"), (F.col("id") % 5).cast("double").alias("y"), F.lit(2.0).alias("z"))
-    return hot.unionByName(cold)
+    """One frame (no union Catalyst could split): the first ``hot_rows`` ids are group "hot", the next
+    ``cold_groups * 10`` ids spread over ``cold_groups`` groups."""
+    n = hot_rows + cold_groups * 10
+    r = spark.range(0, n, numPartitions=8)
+    hot = F.col("id") < F.lit(hot_rows)
+    cid = F.col("id") - F.lit(hot_rows)
+    return r.select(
+        F.when(hot, F.lit("hot")).otherwise(F.concat(F.lit("c"), (cid % cold_groups).cast("string"))).alias("g"),
+        F.when(hot, F.col("id")).otherwise(cid).alias("timestamp"),
+        F.when(hot, (F.col("id") % 7).cast("double")).otherwise(F.lit(1.0)).alias("x"),
+        F.when(hot, (F.col("id") % 11).cast("double")).otherwise((cid % 5).cast("double")).alias("y"),
+        F.when(hot, F.lit(1.0)).otherwise(F.lit(2.0)).alias("z"))
 
 
 def test_hot_group_is_split_and_exact(spark):
@@ -74,3 +79,15 @@ def test_hot_user_sessions_chunked(spark):
     assert "_chunk" in plan
     hot = s.where(F.col("user_id") == "hot").collect()
     assert len(hot) == 1 and hot[0].n_samples == 20_000 and hot[0].intervals == 19_999 // 10
+
+
+def test_hot_user_semi_join_is_split(spark):
+    with conf(spark, SKEW_CONF):
+        df = skewed(spark).withColumnRenamed("g", "user_id")
+        users = df.select("user_id").distinct()                 # an unbounded user list (no broadcast)
+        kept = sel.restrict_to_users(df, users)
+        assert kept.count() == 205_000
+        out = sel.restrict_to_users(df, users)
+        out.collect()
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "skew=true" in plan
