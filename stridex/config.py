@@ -1,7 +1,6 @@
 """Session settings the library relies on, and the shared folder for checkpoints, sinks and models."""
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -67,16 +66,4 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/stridex/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def as_local_path(p: str) -> str:
-    return p[len("file:"):] if p.startswith("file:") else p
-
-
-def exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    jpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return bool(fs.exists(jpath))
-
-
-__all__ = ["RECOMMENDED_CONF", "apply_recommended", "local_session", "shared_dir", "scratch_path", "exists",
-           "as_local_path", "os"]
+__all__ = ["RECOMMENDED_CONF", "apply_recommended", "local_session", "shared_dir", "scratch_path"]

@@ -48,11 +48,6 @@ def label_text(label="label") -> Column:
     return expr
 
 
-def round6(c) -> Column:
-    """Six-place rounding used where results are compared across engines (summation order differs)."""
-    return F.round(col(c), 6)
-
-
 EXPLODE_BLOCK = 4096
 
 

@@ -1,5 +1,5 @@
-from .live_prediction import (buffer_update, partial_top_n, read_predictions_stream, start_prediction_stream,
+from .live_prediction import (buffer_update, partial_top_n, start_prediction_stream,
                               stream_predict_events)
 
-__all__ = ["buffer_update", "partial_top_n", "read_predictions_stream", "start_prediction_stream",
+__all__ = ["buffer_update", "partial_top_n", "start_prediction_stream",
            "stream_predict_events"]

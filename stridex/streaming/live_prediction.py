@@ -118,11 +118,6 @@ def start_prediction_stream(stream: DataFrame, model, sink: str, checkpoint: str
     return w.start()
 
 
-def read_predictions_stream(spark: SparkSession, sink: str) -> DataFrame:
-    from ..schema import PREDICTION
-    return spark.readStream.schema(PREDICTION).parquet(sink)
-
-
 def stream_predict_events(spark: SparkSession, sf_dir: str, model, n: int = DEFAULT_LATEST_N,
                           stateful: bool = False, vote: str = "majority", as_of=None,
                           sink: str | None = None, checkpoint: str | None = None) -> DataFrame:

@@ -138,3 +138,18 @@ def test_bucketed_range_join_matches_theta_join(spark, bucket):
     got = sorted(tuple(r) for r in got.select("user_id", "activity", "session_id", "i", "lo", "hi", "timestamp")
                  .collect())
     assert got == _brute_stop_assign(pdf, 60, 35)
+
+
+def test_row_order_and_partitioning_change_nothing(spark):
+    from stridex.operators.features import features
+    rows = _random_samples(11, n=500, users=3)
+    base = _frame(spark, rows)
+    shuffled = _frame(spark, list(reversed(rows))).repartition(7)
+    single = _frame(spark, rows).coalesce(1)
+
+    def run(df):
+        a = iv.assign_intervals(df, gap=60, width=35, anchor="stop", chunk=300)
+        f = features(a, ["user_id", "activity", "session_id", "i"])
+        return sorted(tuple(round(v, 9) if isinstance(v, float) else v for v in r) for r in f.collect())
+    ref = run(base)
+    assert ref and run(shuffled) == ref and run(single) == ref
