@@ -23,8 +23,13 @@ def main(path: str) -> None:
         path = [p for p in glob.glob(os.path.join(path, "*")) if os.path.isfile(p)][0]
     tasks = defaultdict(list)
     names = {}
+    group = {}
     for line in open(path):
         e = json.loads(line)
+        if e["Event"] == "SparkListenerJobStart":
+            g = (e.get("Properties") or {}).get("spark.jobGroup.id", "")
+            for sid in e.get("Stage IDs", []):
+                group[sid] = g
         if e["Event"] == "SparkListenerTaskEnd" and e.get("Task Metrics"):
             tasks[e["Stage ID"]].append(records_in(e["Task Metrics"]))
         elif e["Event"] == "SparkListenerStageCompleted":
@@ -34,7 +39,8 @@ def main(path: str) -> None:
         tot = sum(recs)
         mx = max(recs)
         share = mx / tot if tot else 0.0
-        print(f"stage {sid:4d} tasks={len(recs):4d} records={tot:10d} max_task={mx:10d} share={share:5.2f} {names.get(sid, '')}")
+        print(f"stage {sid:4d} group={group.get(sid, ''):10s} tasks={len(recs):4d} records={tot:10d} max_task={mx:10d} "
+              f"share={share:5.2f} {names.get(sid, '')}")
 
 
 if __name__ == "__main__":

@@ -78,14 +78,16 @@ def assign_tiled(labelled: DataFrame, width: int = DEFAULT_WIDTH) -> DataFrame:
 
 
 def assign_intervals(samples: DataFrame, gap: int = DEFAULT_GAP, width: int = DEFAULT_WIDTH, anchor: str = "stop",
-                     keys: list[str] = KEYS, chunk: int | None = None, bucket: int | None = None) -> DataFrame:
-    """Samples -> sessions -> the intervals each sample falls into (``session_id, i, lo, hi`` added)."""
+                     keys: list[str] = KEYS, chunk: int | None = None, bucket: int | None = None,
+                     method: str = "chunk") -> DataFrame:
+    """Samples -> sessions -> the intervals each sample falls into (``session_id, i, lo, hi`` added).
+    ``method`` is the sessionization method (``"chunk"`` or ``"range"``, see ``sessions``)."""
     chunk = chunk or default_chunk(gap, width)
     if anchor == "stop":
-        sessions = gap_sessions(samples, gap=gap, width=width, keys=keys, chunk=chunk)
+        sessions = gap_sessions(samples, gap=gap, width=width, keys=keys, chunk=chunk, method=method)
         return assign_stop_anchored(samples, sessions, width=width, keys=keys, bucket=bucket)
     if anchor == "start":
-        lab = label_sessions(samples, gap=gap, keys=keys, chunk=chunk)
+        lab = label_sessions(samples, gap=gap, keys=keys, chunk=chunk, method=method)
         return assign_tiled(lab, width=width).drop("prev_timestamp", "diff", "jump", "session_start")
     raise ValueError(f"anchor must be 'stop' or 'start', not {anchor!r}")
 

@@ -14,6 +14,14 @@ scan runs in two levels:
 
 Joining the chunk summaries back on (key, chunk) needs no shuffle of the rows (they are already partitioned that
 way). Per-key work at level 2 is bounded by the time span / chunk, not by the number of rows.
+
+The two levels work with any ordered cut of a key's timeline, so ``method="range"`` swaps the time chunks for
+range partitions: exact copies of a sample collapse into one weighted row (partial aggregate), the distinct
+(key, timestamp) rows are range-partitioned on (key, timestamp) with sampled, balanced bounds, and the partition id
+is the chunk. Level 1 is then bounded by a partition's size even for a burst inside one instant's neighbourhood,
+and level 2 by the number of partitions. It costs two more shuffles and one write of the distinct instants to the
+shared folder (done eagerly when the function is called), so it is the choice for data with extreme bursts or
+duplicated samples, not the default.
 """
 from __future__ import annotations
 
@@ -30,17 +38,15 @@ def default_chunk(gap: int, width: int | None = None) -> int:
     return CHUNK_FACTOR * max(int(gap), int(width or 0), 1)
 
 
-def label_sessions(df: DataFrame, gap: int = DEFAULT_GAP, keys: list[str] = KEYS, chunk: int | None = None,
-                   ) -> DataFrame:
-    """Every sample with ``prev_timestamp``, ``diff`` (W1), ``jump`` (W2), ``session_id`` and ``session_start``."""
-    chunk = int(chunk or default_chunk(gap))
+def _scan(r: DataFrame, gap: int, keys: list[str]) -> DataFrame:
+    """The two-level scan over rows that carry an ordered ``_chunk`` (rows of one key and chunk never interleave
+    in time with another chunk of that key)."""
     gap_l = F.lit(int(gap))
     t = F.col("timestamp")
     wl = Window.partitionBy(*keys, "_chunk").orderBy("timestamp")
     upto = wl.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     # level 1: inside a chunk. The null filters are the ones the join below would infer for this side only;
     # stated here, both uses of ``r`` keep identical plans and share one exchange of the samples.
-    r = df.select("*", floor_div("timestamp", chunk).alias("_chunk"))
     not_null = F.col("_chunk").isNotNull()
     for k in keys:
         not_null = not_null & F.col(k).isNotNull()
@@ -75,6 +81,43 @@ def label_sessions(df: DataFrame, gap: int = DEFAULT_GAP, keys: list[str] = KEYS
         F.coalesce(F.col("_start_local"), F.col("_start0")).alias("session_start"))
 
 
+def _distinct_instants(df: DataFrame, keys: list[str], partitions: int | None) -> DataFrame:
+    """One row per (key, timestamp) with its multiplicity ``_c``, range-partitioned on (key, timestamp); the
+    partition id is the chunk.
+
+    The partition id depends on sampled range bounds, and the scan uses these rows twice; Spark does not share an
+    exchange under a non-deterministic expression, so each use could sample different bounds. The rows are
+    therefore written once to the shared folder (eagerly, when this is called) and read back: from then on the
+    chunk is data, identical for every use and after any executor loss.
+    """
+    from ..sources.tables import materialize
+
+    d = df.groupBy(*keys, "timestamp").agg(F.count(F.lit(1)).alias("_c"))
+    n = int(partitions or df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = d.repartitionByRange(n, *keys, "timestamp").select(
+        "*", F.spark_partition_id().cast("long").alias("_chunk"))
+    return materialize(ranged, "session-instants")
+
+
+def label_sessions(df: DataFrame, gap: int = DEFAULT_GAP, keys: list[str] = KEYS, chunk: int | None = None,
+                   method: str = "chunk", partitions: int | None = None) -> DataFrame:
+    """Every sample with ``prev_timestamp``, ``diff`` (W1), ``jump`` (W2), ``session_id`` and ``session_start``.
+
+    ``method="range"``: copies of one instant share its labels (their ``diff`` is to the previous distinct
+    instant); session ids and starts are the same as with time chunks.
+    """
+    if method == "chunk":
+        chunk = int(chunk or default_chunk(gap))
+        return _scan(df.select("*", floor_div("timestamp", chunk).alias("_chunk")), gap, keys)
+    if method != "range":
+        raise ValueError(f"method must be 'chunk' or 'range', not {method!r}")
+    lab = _scan(_distinct_instants(df.select(*keys, "timestamp"), keys, partitions), gap, keys).drop("_c")
+    # back to every sample, on a derived key so that a hot instant (many copies) can be split by AQE
+    dk = F.xxhash64(*keys, "timestamp")
+    rows = df.select("*", dk.alias("_dk"))
+    return rows.join(lab.select("*", dk.alias("_dk")), ["_dk", *keys, "timestamp"]).drop("_dk")
+
+
 def time_diffs(df: DataFrame, keys: list[str] = KEYS, chunk: int | None = None, gap: int = DEFAULT_GAP) -> DataFrame:
     """``diff = t - previous t`` of the same key (NULL for a key's first sample)."""
     s = label_sessions(df.select(*keys, "timestamp"), gap=gap, keys=keys, chunk=chunk)
@@ -87,17 +130,25 @@ def time_jumps(df: DataFrame, gap: int = DEFAULT_GAP, keys: list[str] = KEYS, ch
     return s.where("jump").select(*keys, "prev_timestamp", "timestamp", "diff")
 
 
-def sessions_from_labelled(labelled: DataFrame, width: int = DEFAULT_WIDTH, keys: list[str] = KEYS) -> DataFrame:
+def sessions_from_labelled(labelled: DataFrame, width: int = DEFAULT_WIDTH, keys: list[str] = KEYS,
+                           weight: str | None = None) -> DataFrame:
     """W3/W4 from labelled samples: bounds, sample count and ``intervals = (stop - start) div width``."""
+    n = F.sum(weight) if weight else F.count(F.lit(1))
     s = labelled.groupBy(*keys, "session_id").agg(
         F.min("timestamp").alias("session_start"), F.max("timestamp").alias("session_stop"),
-        F.count(F.lit(1)).alias("n_samples"))
+        n.cast("long").alias("n_samples"))
     return s.select("*", F.expr(f"(session_stop - session_start) div {int(width)}").alias("intervals"))
 
 
 def gap_sessions(df: DataFrame, gap: int = DEFAULT_GAP, width: int = DEFAULT_WIDTH, keys: list[str] = KEYS,
-                 chunk: int | None = None) -> DataFrame:
+                 chunk: int | None = None, method: str = "chunk", partitions: int | None = None) -> DataFrame:
     """Sessions of every key in one job, schema ``SESSION``."""
-    lab = label_sessions(df.select(*keys, "timestamp"), gap=gap, keys=keys, chunk=chunk or default_chunk(gap, width))
-    return sessions_from_labelled(lab, width=width, keys=keys).select(
+    if method == "range":   # sessions need only the distinct instants and their multiplicities
+        lab = _scan(_distinct_instants(df.select(*keys, "timestamp"), keys, partitions), gap, keys)
+        out = sessions_from_labelled(lab, width=width, keys=keys, weight="_c")
+    else:
+        lab = label_sessions(df.select(*keys, "timestamp"), gap=gap, keys=keys,
+                             chunk=chunk or default_chunk(gap, width))
+        out = sessions_from_labelled(lab, width=width, keys=keys)
+    return out.select(
         *keys, "session_id", "session_start", "session_stop", "n_samples", "intervals")

@@ -154,6 +154,10 @@ def q_gap_sessions(spark, d):
     return ses.gap_sessions(_domain(spark, d), **SET_A)
 
 
+def q_gap_sessions_range(spark, d):
+    return ses.gap_sessions(_domain(spark, d), method="range", **SET_A)
+
+
 def q_gap_sessions_b(spark, d):
     return ses.gap_sessions(_domain(spark, d), **SET_B)
 
@@ -349,6 +353,7 @@ QUERIES: dict[str, Query] = {
     "time_jumps": q_time_jumps,
     "gap_sessions": q_gap_sessions,
     "gap_sessions_b": q_gap_sessions_b,
+    "gap_sessions_range": q_gap_sessions_range,
     "interval_bounds": q_interval_bounds,
     "interval_bounds_start": q_interval_bounds_start,
     "interval_assign": q_interval_assign,
@@ -571,6 +576,7 @@ def _oracle() -> dict[str, str]:
     o["features_untruncated"] = (_with(*_features_sql("dom", KEYS, truncate_y=False))
                                  + "SELECT user_id, activity, n, CAST(peak_time AS DOUBLE) AS peak_time FROM f_all")
     o["gap_sessions_b"] = _with(*_sessions_cte(B["gap"], B["width"])) + "SELECT * FROM sessions"
+    o["gap_sessions_range"] = o["gap_sessions"]
     o["interval_bounds"] = _with(*_sessions_cte(A["gap"], A["width"]), _intervals_cte(A["width"])) + "SELECT * FROM ivals"
     o["interval_bounds_start"] = (_with(*_sessions_cte(A["gap"], A["width"]), _intervals_cte(A["width"], "start"))
                                   + "SELECT * FROM ivals")

@@ -153,3 +153,22 @@ def test_row_order_and_partitioning_change_nothing(spark):
         return sorted(tuple(round(v, 9) if isinstance(v, float) else v for v in r) for r in f.collect())
     ref = run(base)
     assert ref and run(shuffled) == ref and run(single) == ref
+
+
+@pytest.mark.parametrize("partitions", [1, 3, 16])
+def test_range_method_matches_brute_force_with_copies(spark, partitions):
+    rows = _random_samples(21, n=500, users=2)
+    rows += rows[:40]                                        # exact copies
+    pdf = pd.DataFrame(rows, columns=["user_id", "activity", "timestamp", "x", "y", "z"])
+    df = _frame(spark, rows)
+    got = sorted(tuple(r) for r in ses.gap_sessions(df, gap=60, width=100, method="range", partitions=partitions)
+                 .select("user_id", "activity", "session_id", "session_start", "session_stop", "n_samples").collect())
+    assert got == _brute_sessions(pdf, 60)
+    a = ses.label_sessions(df, gap=60, method="range", partitions=partitions)
+    b = ses.label_sessions(df, gap=60, chunk=10**9)
+    key = lambda r: (r.user_id, r.activity, r.timestamp, r.session_id, r.session_start)
+    assert sorted(map(key, a.collect())) == sorted(map(key, b.collect()))
+    t1 = iv.assign_intervals(df, gap=60, width=35, anchor="start", method="range")
+    t2 = iv.assign_intervals(df, gap=60, width=35, anchor="start")
+    cols = ["user_id", "activity", "session_id", "i", "timestamp"]
+    assert sorted(tuple(r) for r in t1.select(*cols).collect()) == sorted(tuple(r) for r in t2.select(*cols).collect())

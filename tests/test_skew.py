@@ -91,3 +91,17 @@ def test_hot_user_semi_join_is_split(spark):
         out.collect()
         plan = out._jdf.queryExecution().executedPlan().toString()
     assert "skew=true" in plan
+
+
+def test_burst_with_copies_range_method(spark):
+    base = skewed(spark, hot_rows=100_000, cold_groups=50).select(
+        F.col("g").alias("user_id"), F.lit("Walking").alias("activity"), "timestamp")
+    copies = spark.range(0, 1000, numPartitions=4).select(
+        F.lit("hot").alias("user_id"), F.lit("Walking").alias("activity"), F.lit(5).cast("long").alias("timestamp"))
+    df = base.unionByName(copies)
+    got = ses.gap_sessions(df, gap=5, width=10, method="range", partitions=16)
+    hot = got.where(F.col("user_id") == "hot").collect()
+    assert len(hot) == 1
+    assert (hot[0].session_start, hot[0].session_stop, hot[0].n_samples) == (0, 99_999, 101_000)
+    ref = ses.gap_sessions(df, gap=5, width=10)              # one time chunk holds the whole burst
+    assert sorted(tuple(r) for r in got.collect()) == sorted(tuple(r) for r in ref.collect())
