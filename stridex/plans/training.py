@@ -5,6 +5,7 @@ plan, and only ``fit`` triggers jobs. Both learners are Spark ML's distributed t
 """
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.ml.classification import (DecisionTreeClassificationModel, DecisionTreeClassifier,
@@ -117,8 +118,11 @@ def train_models(points: DataFrame, how: str = "hash", fraction: float = TRAIN_F
     train, test = split(pts, how=how, fraction=fraction, seed=seed)
     train = fixed_layout(train, partitions).select("label", "features").persist()
     try:
-        tree = fit_tree(train)
-        forest = fit_forest(train)
+        # the two fits are independent jobs over the same cached rows: submit them together so the cluster runs
+        # their stages side by side (each seeded; concurrency does not change either model)
+        with ThreadPoolExecutor(max_workers=2) as pool:
+            tree_f, forest_f = pool.submit(fit_tree, train), pool.submit(fit_forest, train)
+            tree, forest = tree_f.result(), forest_f.result()
     finally:
         train.unpersist()
     if tree_path:
