@@ -172,3 +172,19 @@ def test_range_method_matches_brute_force_with_copies(spark, partitions):
     t2 = iv.assign_intervals(df, gap=60, width=35, anchor="start")
     cols = ["user_id", "activity", "session_id", "i", "timestamp"]
     assert sorted(tuple(r) for r in t1.select(*cols).collect()) == sorted(tuple(r) for r in t2.select(*cols).collect())
+
+
+@pytest.mark.parametrize("method", ["chunk", "range"])
+def test_sessions_are_separated_by_more_than_gap(spark, method):
+    rows = _random_samples(31, n=600, users=3)
+    df = _frame(spark, rows)
+    s = ses.gap_sessions(df, gap=40, width=100, chunk=200, method=method).collect()
+    by_key = {}
+    for r in s:
+        by_key.setdefault((r.user_id, r.activity), []).append(r)
+    assert sum(r.n_samples for r in s) == len(rows)
+    for key, ss in by_key.items():
+        ss.sort(key=lambda r: r.session_id)
+        assert [r.session_id for r in ss] == list(range(len(ss)))
+        for a, b in zip(ss, ss[1:]):
+            assert b.session_start - a.session_stop > 40
