@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from ..functions import resultant, trunc_to_long
 from ..schema import FEATURES, PEAK_RATIO
+from ..sources.readers import valid_axes
 
 AXES = ["x", "y", "z"]
 
@@ -64,8 +65,9 @@ def _finish(df: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def features(df: DataFrame, keys: list[str], bounded: bool = False, truncate_y: bool = True) -> DataFrame:
-    """``keys + n + FEATURES`` for every group of ``df`` (needs columns timestamp, x, y, z)."""
-    rows = df.select(*keys, "timestamp", *AXES)
+    """``keys + n + FEATURES`` for every group of ``df`` (needs columns timestamp, x, y, z). Rows with a missing or
+    NaN axis are not used."""
+    rows = valid_axes(df.select(*keys, "timestamp", *AXES))
     if bounded:
         w = Window.partitionBy(*keys)
         rows = rows.select("*", *[F.avg(a).over(w).alias(f"_m{a}") for a in AXES], F.max("y").over(w).alias("_ymax"))
@@ -104,7 +106,7 @@ def zero_features(users: DataFrame, feats: DataFrame, key: str = "user_id") -> D
 
 def peak_rows(df: DataFrame, keys: list[str], truncate_y: bool = True) -> DataFrame:
     """The peak rows of every group with the cut y and the group max (skew safe: max by aggregate)."""
-    rows = df.select(*keys, "timestamp", "y")
+    rows = valid_axes(df.select(*keys, "timestamp", *AXES)).select(*keys, "timestamp", "y")
     mx = rows.groupBy(*keys).agg(F.max("y").alias("_ymax"))
     j = rows.join(mx, keys).where(_peak(truncate_y))
     return j.select(*keys, "timestamp", "y", trunc_to_long("y").alias("y_cut"), F.col("_ymax").alias("y_max"))

@@ -11,6 +11,7 @@ from ..operators.features import features, zero_features
 from ..operators.labels import assemble, decode_labels
 from ..operators.selection import latest_n, restrict_to_users
 from ..schema import DEFAULT_LATEST_N
+from ..sources.readers import valid_axes
 from ..sources.sinks import append_predictions
 from .voting import majority_vote
 
@@ -25,7 +26,7 @@ def latest_features(live: DataFrame, n: int = DEFAULT_LATEST_N, users: DataFrame
 
     With ``users`` given (names or a frame), those users only, and a user without rows gets 15 zeros (F16).
     """
-    rows = restrict_to_users(live, users)
+    rows = valid_axes(restrict_to_users(live, users))
     feats = features(latest_n(rows, n), ["user_id"], bounded=True)
     if users is None:
         return feats

@@ -406,15 +406,17 @@ training AS (
   FROM events
 ),
 clean AS (
-  SELECT * FROM training
-  WHERE user_id IS NOT NULL AND activity IS NOT NULL AND "timestamp" IS NOT NULL
-    AND x IS NOT NULL AND y IS NOT NULL AND z IS NOT NULL AND NOT isnan(x) AND NOT isnan(y) AND NOT isnan(z)
+  SELECT * FROM training WHERE user_id IS NOT NULL AND activity IS NOT NULL AND "timestamp" IS NOT NULL
 ),
 live AS (SELECT user_id, "timestamp", x, y, z FROM clean),
 dom AS (SELECT * FROM clean WHERE activity IN ('Walking', 'Jogging', 'Standing', 'Sitting'))
 """
 
 
+_AXES_OK = ("x IS NOT NULL AND y IS NOT NULL AND z IS NOT NULL AND NOT isnan(x) AND NOT isnan(y) "
+            "AND NOT isnan(z)")
+
+
 def _with(*ctes: str) -> str:
     return "WITH " + ",\n".join([_ADAPT.strip(), *[c.strip() for c in ctes]]) + "\n"
 
@@ -473,11 +475,12 @@ def _features_sql(src: str, keys: list[str], cols: list[str] | None = None, trun
     k = ", ".join(keys)
     kj = " AND ".join(f"r.{c} = st.{c}" for c in keys)
     ctes = [
-        f"""f_st AS (SELECT {k}, avg(x) AS mx, avg(y) AS my, avg(z) AS mz, max(y) AS ymax FROM {src} GROUP BY {k})""",
+        f"""f_src AS (SELECT * FROM {src} WHERE {_AXES_OK})""",
+        f"""f_st AS (SELECT {k}, avg(x) AS mx, avg(y) AS my, avg(z) AS mz, max(y) AS ymax FROM f_src GROUP BY {k})""",
         f"""f_j AS (
   SELECT r.*, st.mx, st.my, st.mz, st.ymax,
          CASE WHEN {'trunc(r.y)' if truncate_y else 'r.y'} > 0.9 * st.ymax THEN r."timestamp" END AS pt
-  FROM {src} r JOIN f_st st ON {kj})""",
+  FROM f_src r JOIN f_st st ON {kj})""",
         f"""f_pk AS (SELECT DISTINCT {k}, pt FROM f_j WHERE pt IS NOT NULL)""",
         f"""f_dl AS (SELECT {k}, pt - lag(pt) OVER (PARTITION BY {k} ORDER BY pt) AS delta FROM f_pk)""",
         f"""f_pt AS (SELECT {k}, avg(delta) FILTER (WHERE delta > 0) AS pt_mean FROM f_dl GROUP BY {k})""",
@@ -512,7 +515,8 @@ def _key_feature_sql(cols: list[str], with_n: bool = False) -> str:
 def _latest_cte(n: int, src: str = "live") -> str:
     return f"""latest AS (
   SELECT user_id, "timestamp", x, y, z FROM (
-    SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY "timestamp" DESC) AS rn FROM {src}) q
+    SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY "timestamp" DESC) AS rn FROM {src}
+    WHERE {_AXES_OK}) q
   WHERE rn <= {n})"""
 
 

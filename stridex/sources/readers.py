@@ -1,7 +1,8 @@
 """Sources (IO1-IO3): sample tables, the driver's ``events`` table seen through the adapter, and file streams.
 
-Every reader declares its schema (no inference) and drops rows a feature computation could not use:
-NULL keys or axes (the reference would fail unboxing them) and NaN axes (ANSI casts raise on NaN).
+Every reader declares its schema (no inference) and drops rows without keys or timestamp. Axes are checked where
+they are used (``valid_axes``: NULL or NaN axes would fail the reference's unboxing and Spark's ANSI casts), so a
+step that needs only keys and times -- user lists, sessions -- reads only those columns from the files.
 """
 from __future__ import annotations
 
@@ -22,24 +23,34 @@ EVENT_ACTIVITY = {
 _AXES = ["x", "y", "z"]
 
 
-def _usable(df: DataFrame, required: list[str]) -> Column:
+def _keys_present(required: list[str]) -> Column:
     cond = F.lit(True)
     for c in required:
         cond = cond & F.col(c).isNotNull()
-    for c in _AXES:
-        cond = cond & ~F.isnan(F.col(c))
     return cond
 
 
 def validate_samples(df: DataFrame, with_activity: bool = True) -> DataFrame:
-    req = ["user_id", "timestamp", "x", "y", "z"] + (["activity"] if with_activity else [])
-    return df.where(_usable(df, req))
+    """Rows with user, timestamp (and activity) present."""
+    return df.where(_keys_present(["user_id", "timestamp"] + (["activity"] if with_activity else [])))
+
+
+def axes_ok() -> Column:
+    cond = F.lit(True)
+    for c in _AXES:
+        cond = cond & F.col(c).isNotNull() & ~F.isnan(F.col(c))
+    return cond
+
+
+def valid_axes(df: DataFrame) -> DataFrame:
+    """Rows whose three axes are present and not NaN (the rows a feature can use)."""
+    return df.where(axes_ok())
 
 
 def rejected_samples(df: DataFrame, with_activity: bool = True) -> DataFrame:
-    """The rows ``validate_samples`` drops, for auditing."""
-    req = ["user_id", "timestamp", "x", "y", "z"] + (["activity"] if with_activity else [])
-    return df.where(~_usable(df, req))
+    """Rows no feature can use (missing keys/time or bad axes), for auditing."""
+    keys = _keys_present(["user_id", "timestamp"] + (["activity"] if with_activity else []))
+    return df.where(~(keys & axes_ok()))
 
 
 def read_training(spark: SparkSession, path: str, fmt: str = "parquet", **options) -> DataFrame:
@@ -68,23 +79,20 @@ def _activity(event_type: Column) -> Column:
 def _adapt(events: DataFrame, with_activity: bool) -> DataFrame:
     """The events adapter: timestamp in nanoseconds since epoch (zone free), axes derived from value, props, id.
 
-    Validity is checked on the raw columns (those checks reach the Parquet scan as pushed filters) and on the one
-    parsed JSON field; ``json_tuple`` is a generator, so the props text is parsed once per row -- a filter on a
-    projected ``get_json_object`` would be inlined and parse it again for every check.
+    Key and time checks are on raw columns (they reach the Parquet scan as pushed filters). The props text is
+    parsed once per row by a ``json_tuple`` generator, which Catalyst drops -- and with it the props column --
+    when no step uses ``y``.
     """
-    raw = events.where(F.col("user_id").isNotNull() & F.col("ts").isNotNull() & F.col("event_id").isNotNull()
-                       & F.col("value").isNotNull() & ~F.isnan("value")
+    raw = events.where(F.col("user_id").isNotNull() & F.col("ts").isNotNull()
                        & F.col("event_type").isin(list(EVENT_ACTIVITY)))
     parsed = raw.select("*", F.json_tuple("props", "k").alias("_k"))
-    k = F.col("_k").try_cast("double")
-    parsed = parsed.where(k.isNotNull() & ~F.isnan(k))
     cols = [F.col("user_id").cast("string").alias("user_id")]
     if with_activity:
         cols.append(_activity(F.col("event_type")).alias("activity"))
     cols += [
         (F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts)") * F.lit(1000)).alias("timestamp"),
         (F.col("value") / F.lit(10.0)).alias("x"),
-        (k / F.lit(5.0)).alias("y"),
+        (F.col("_k").try_cast("double") / F.lit(5.0)).alias("y"),
         ((F.col("event_id") % F.lit(97)) / F.lit(10.0) - F.lit(4.8)).alias("z"),
     ]
     return parsed.select(*cols)

@@ -28,7 +28,7 @@ from ..operators.features import features
 from ..operators.selection import latest_n, restrict_to_users
 from ..plans.prediction import classify, now_millis
 from ..schema import ACCEL_LIVE, DEFAULT_LATEST_N
-from ..sources.readers import live_from_events, stream_events_as_live
+from ..sources.readers import live_from_events, stream_events_as_live, valid_axes
 from ..sources.sinks import read_predictions, write_batch_predictions
 
 # The pandas helpers below run in Python workers. Pickle this module's functions by value, so executors need
@@ -99,7 +99,7 @@ def start_prediction_stream(stream: DataFrame, model, sink: str, checkpoint: str
     predictions of every batch (IO9)."""
     trigger = trigger or {"availableNow": True}
     if stateful:
-        reduced = stream.select(*_COLS).mapInPandas(partial_top_n(n), schema=ACCEL_LIVE)
+        reduced = valid_axes(stream.select(*_COLS)).mapInPandas(partial_top_n(n), schema=ACCEL_LIVE)
         buffers = reduced.groupBy("user_id").applyInPandasWithState(
             buffer_update(n), outputStructType=ACCEL_LIVE, stateStructType=BUFFER_STATE,
             outputMode="append", timeoutConf=GroupStateTimeout.NoTimeout)
@@ -110,7 +110,7 @@ def start_prediction_stream(stream: DataFrame, model, sink: str, checkpoint: str
     else:
         def per_batch(batch: DataFrame, batch_id: int):
             users = batch.select("user_id").distinct()
-            live = restrict_to_users(table(), users) if table is not None else batch
+            live = valid_axes(restrict_to_users(table(), users) if table is not None else batch)
             _emit(features(latest_n(live, n), ["user_id"], bounded=True), model, vote, as_of, sink, batch_id,
                   console)
         src = stream

@@ -101,3 +101,14 @@ def test_plan_shapes_agree_and_match_numpy(spark, seed):
 def test_peak_deltas_positive(spark):
     df = frame(spark, _random_groups(9))
     assert all(r.delta > 0 for r in feat.peak_deltas(df, ["g"], chunk=5000).collect())
+
+
+def test_bad_axes_shape_sessions_but_not_features(spark):
+    from stridex.operators import sessions as ses
+    rows = [("u", "Walking", 0, 1.0, 2.0, 3.0), ("u", "Walking", 10, None, 2.0, 3.0),
+            ("u", "Walking", 20, float("nan"), 2.0, 3.0), ("u", "Walking", 30, 3.0, 4.0, 5.0)]
+    df = spark.createDataFrame(rows, "user_id string, activity string, timestamp long, x double, y double, z double")
+    s = ses.gap_sessions(df, gap=10, width=100).collect()
+    assert [(r.session_start, r.session_stop, r.n_samples) for r in s] == [(0, 30, 4)]
+    f = feat.features(df, ["user_id"]).collect()[0]
+    assert f.n == 2 and f.mean_x == 2.0
