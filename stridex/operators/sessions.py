@@ -140,15 +140,47 @@ def sessions_from_labelled(labelled: DataFrame, width: int = DEFAULT_WIDTH, keys
     return s.select("*", F.expr(f"(session_stop - session_start) div {int(width)}").alias("intervals"))
 
 
+def _sessions_from_segments(r: DataFrame, gap: int, width: int, keys: list[str], weight: str | None) -> DataFrame:
+    """Sessions without labelling every sample: each chunk's maximal runs (segments) are aggregated in place (no
+    exchange: the samples are already partitioned by key and chunk), and the chunk table is joined to the segments
+    instead of to every sample -- a dense sensor stream has far fewer segments than samples. (Both the chunk table
+    and the join read the one shared exchange of the samples; Spark re-runs the level-1 window for each.)"""
+    gap_l = F.lit(int(gap))
+    t = F.col("timestamp")
+    wl = Window.partitionBy(*keys, "_chunk").orderBy("timestamp")
+    not_null = F.col("_chunk").isNotNull()
+    for k in keys:
+        not_null = not_null & F.col(k).isNotNull()
+    r = r.where(not_null).select("*", F.lag("timestamp").over(wl).alias("_prev_local"))
+    jl = F.coalesce(((t - F.col("_prev_local")) > gap_l).cast("int"), F.lit(0))
+    r = r.select(*keys, "_chunk", "timestamp", *([weight] if weight else []),
+                 F.sum(jl).over(wl.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("_run"))
+    seg = r.groupBy(*keys, "_chunk", "_run").agg(
+        F.min("timestamp").alias("_smin"), F.max("timestamp").alias("_smax"),
+        (F.sum(weight) if weight else F.count(F.lit(1))).cast("long").alias("_sn"))
+    cs = seg.groupBy(*keys, "_chunk").agg(F.min("_smin").alias("_cmin"), F.max("_smax").alias("_cmax"),
+                                          F.max("_run").alias("_cj"))
+    wc = Window.partitionBy(*keys).orderBy("_chunk")
+    cs = cs.select("*", F.lag("_cmax").over(wc).alias("_prev_cmax"))
+    edge = F.coalesce(((F.col("_cmin") - F.col("_prev_cmax")) > gap_l).cast("int"), F.lit(0))
+    before = wc.rowsBetween(Window.unboundedPreceding, -1)
+    cs = cs.select(*keys, "_chunk",
+                   (F.coalesce(F.sum(F.col("_cj") + edge).over(before), F.lit(0)) + edge).alias("_base"))
+    out = seg.join(cs, [*keys, "_chunk"]).groupBy(*keys, (F.col("_base") + F.col("_run")).alias("session_id")).agg(
+        F.min("_smin").alias("session_start"), F.max("_smax").alias("session_stop"),
+        F.sum("_sn").cast("long").alias("n_samples"))
+    return out.select(*keys, F.col("session_id").cast("long").alias("session_id"), "session_start", "session_stop",
+                      "n_samples", F.expr(f"(session_stop - session_start) div {int(width)}").alias("intervals"))
+
+
 def gap_sessions(df: DataFrame, gap: int = DEFAULT_GAP, width: int = DEFAULT_WIDTH, keys: list[str] = KEYS,
                  chunk: int | None = None, method: str = "chunk", partitions: int | None = None) -> DataFrame:
     """Sessions of every key in one job, schema ``SESSION``."""
     if method == "range":   # sessions need only the distinct instants and their multiplicities
-        lab = _scan(_distinct_instants(df.select(*keys, "timestamp"), keys, partitions), gap, keys)
-        out = sessions_from_labelled(lab, width=width, keys=keys, weight="_c")
-    else:
-        lab = label_sessions(df.select(*keys, "timestamp"), gap=gap, keys=keys,
-                             chunk=chunk or default_chunk(gap, width))
-        out = sessions_from_labelled(lab, width=width, keys=keys)
-    return out.select(
-        *keys, "session_id", "session_start", "session_stop", "n_samples", "intervals")
+        r = _distinct_instants(df.select(*keys, "timestamp"), keys, partitions)
+        return _sessions_from_segments(r, gap, width, keys, weight="_c")
+    if method != "chunk":
+        raise ValueError(f"method must be 'chunk' or 'range', not {method!r}")
+    chunk = int(chunk or default_chunk(gap, width))
+    r = df.select(*keys, "timestamp", floor_div("timestamp", chunk).alias("_chunk"))
+    return _sessions_from_segments(r, gap, width, keys, weight=None)
