@@ -1,0 +1,27 @@
+"""The command line jobs, run in-process on the separable set M1."""
+from fixtures import m1
+from stridex.__main__ import main
+from stridex.sources.sinks import read_predictions
+
+
+def test_train_predict_stream(spark, tmp_shared):
+    samples = m1(spark, users=4, extra_user=False)
+    training, live = tmp_shared("cli-training"), tmp_shared("cli-live")
+    samples.write.parquet(training)
+    samples.drop("activity").write.parquet(live)
+    tree, forest = tmp_shared("cli-tree"), tmp_shared("cli-forest")
+    rep = main(["train", "--training", training, "--tree-model", tree, "--forest-model", forest, "--user-cap", "0"],
+               spark=spark).collect()[0]
+    assert rep.n_points > 0 and rep.rf_accuracy > 0.8
+    out = tmp_shared("cli-out")
+    main(["predict", "--live", live, "--model", forest, "--out", out], spark=spark)
+    once = {r.user_id: r.prediction for r in read_predictions(spark, out).collect()}
+    assert len(once) == 4
+    sout = tmp_shared("cli-stream")
+    main(["stream", "--live", live, "--model", forest, "--out", sout, "--every", "once"], spark=spark)
+    streamed = {r.user_id: r.prediction for r in read_predictions(spark, sout).collect()}
+    assert streamed == once
+    tout = tmp_shared("cli-tree-out")
+    main(["predict", "--live", live, "--model", tree, "--kind", "tree", "--out", tout, "--users", "u01,ghost"],
+         spark=spark)
+    assert sorted(r.user_id for r in read_predictions(spark, tout).collect()) == ["ghost", "u01"]
