@@ -26,3 +26,29 @@ def test_sessions_and_intervals_match_brute_force(spark, ta, tb, gap, width, chu
     a = sorted(tuple(r) for r in a.select("user_id", "activity", "session_id", "i", "lo", "hi", "timestamp")
                .collect())
     assert a == _brute_stop_assign(pdf, gap, width)
+
+
+samples = st.lists(st.tuples(st.integers(0, 50), st.floats(-20, 20, allow_nan=False),
+                             st.floats(-3, 15, allow_nan=False), st.floats(-5, 5, allow_nan=False)),
+                   min_size=1, max_size=30)
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(g1=samples, g2=samples)
+def test_features_plans_agree_with_numpy(spark, g1, g2):
+    import numpy as np
+
+    from stridex.operators.features import features
+    rows = [("p", t * 1000, x, y, z) for t, x, y, z in g1] + [("q", t * 1000, x, y, z) for t, x, y, z in g2]
+    df = spark.createDataFrame(rows, "g string, timestamp long, x double, y double, z double")
+    a = {r.g: r for r in features(df, ["g"]).collect()}
+    b = {r.g: r for r in features(df, ["g"], bounded=True).collect()}
+    for g, pts in (("p", g1), ("q", g2)):
+        t = np.array([p[0] * 1000 for p in pts]); y = np.array([p[2] for p in pts]); x = np.array([p[1] for p in pts])
+        peaks = np.unique(t[np.trunc(y) > 0.9 * y.max()])
+        want_pt = float(np.mean(np.diff(peaks))) if len(peaks) > 1 else 0.0
+        for r in (a[g], b[g]):
+            assert r.n == len(pts)
+            assert abs(r.peak_time - want_pt) < 1e-6
+            assert abs(r.aad_x - np.abs(x - x.mean()).mean()) < 1e-9
+            assert abs(r.var_y - (y.var(ddof=1) if len(y) > 1 else 0.0)) < 1e-7
