@@ -26,3 +26,24 @@ def test_labels_roundtrip_and_unknown(spark):
     back = [r[0] for r in df.select(label_index("a").alias("l")).where("l is not null")
             .select(label_text("l")).collect()]
     assert back == ["Walking", "Jogging", "Standing", "Sitting"]
+
+
+def test_rejected_samples_audit(spark):
+    from stridex.sources.readers import rejected_samples, valid_axes, validate_samples
+    rows = [("u", "Walking", 1, 1.0, 1.0, 1.0), (None, "Walking", 2, 1.0, 1.0, 1.0),
+            ("u", "Walking", None, 1.0, 1.0, 1.0), ("u", "Walking", 4, float("nan"), 1.0, 1.0),
+            ("u", "Walking", 5, 1.0, None, 1.0)]
+    df = spark.createDataFrame(rows, "user_id string, activity string, timestamp long, x double, y double, z double")
+    assert validate_samples(df).count() == 3
+    assert valid_axes(validate_samples(df)).count() == 1
+    assert rejected_samples(df).count() == 4
+
+
+def test_cli_rejects_missing_arguments():
+    import pytest as _pytest
+
+    from stridex.__main__ import _parser
+    with _pytest.raises(SystemExit):
+        _parser().parse_args(["train"])
+    args = _parser().parse_args(["stream", "--live", "a", "--model", "m", "--out", "o"])
+    assert args.every == "5 seconds" and not args.stateless and args.kind == "forest"
