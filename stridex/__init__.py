@@ -1,4 +1,4 @@
-"""stridex: motion-sensor activity recognition as Spark DataFrame and Spark ML plans.
+"""stridex: classifying user activity from motion-sensor samples with Spark DataFrame and Spark ML plans.
 
 Samples -> gap sessions -> intervals -> fifteen features -> decision tree / random forest -> the current activity of
 every user, in batch or with Structured Streaming.
