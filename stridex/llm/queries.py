@@ -5,12 +5,20 @@ from .decontaminate import OP3_SQL, op3_decontamination
 from .language_id import op1_language_id
 from .mixing import op9_mixing
 from .secrets import op8_secret_scan
+from .spotsigs import op5_fingerprints
+from .substring_dedup import op4_substring_dedup
+from .suffix_dedup import op2_suffix_dedup
+from .toxicity import op10_toxicity
 
 LLM_QUERIES = {
     "op1_language_id": op1_language_id,
+    "op2_suffix_dedup": op2_suffix_dedup,
     "op3_decontamination": op3_decontamination,
+    "op4_substring_dedup": op4_substring_dedup,
+    "op5_fingerprints": op5_fingerprints,
     "op8_secret_scan": op8_secret_scan,
     "op9_mixing": op9_mixing,
+    "op10_toxicity": op10_toxicity,
 }
 
 LLM_ORACLE = {
