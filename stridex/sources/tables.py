@@ -5,15 +5,24 @@ from pyspark.sql import DataFrame
 
 from ..config import scratch_path
 
+# Shuffle files of a write are dead weight once the table exists: nothing refers to that plan again.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def materialize(df: DataFrame, name: str, fmt: str = "parquet") -> DataFrame:
     """Write ``df`` once as a table in the shared folder and read it back.
 
     The lineage is cut (a lost executor costs a re-read, not a re-run of the whole plan) and every later use reads
     the table instead of recomputing the plan. An eager ``checkpoint()`` would compute the plan twice (once to
-    count, once to write) unless it were cached first; ``localCheckpoint`` would not survive executor loss.
+    count, once to write) unless it were cached first; ``localCheckpoint`` would not survive executor loss. The
+    write's shuffle files are removed when it ends, so a job of many steps needs the disk of its largest one.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.format(fmt).save(path)
-    return spark.read.format(fmt).load(path)
+    before = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.format(fmt).save(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
+    return spark.read.schema(df.schema).format(fmt).load(path)
