@@ -102,11 +102,13 @@ def solve(counts: DataFrame, goal: DataFrame) -> DataFrame:
     return state.select("k", "lam", "mean")
 
 
-def copies(docs: DataFrame, size: str = "size", source: str = "source", key: str = "doc_id") -> DataFrame:
-    """(key, size, source_size, target, rate, copies) for rows that carry a word count and a source."""
-    d = docs.select(F.col(key).alias("id"), F.col(source).alias("source"), F.col(size).cast("long").alias("size"))
-    d = d.select("*", F.coalesce(F.concat(F.lit("s"), F.col("source")), F.lit("n")).alias("k"),
-                 F.xxhash64("id", F.lit("mix")).alias("h"))
+def copies(docs: DataFrame, size: str = "size", source: str = "source", key: str = "doc_id",
+           order: Column | None = None) -> DataFrame:
+    """(key, size, source_size, target, rate, copies) for rows that carry a word count and a source. ``order``: a hash
+    that ranks the rows of one size (by default that of the key)."""
+    d = docs.select(F.col(key).alias("id"), F.col(source).alias("source"), F.col(size).cast("long").alias("size"),
+                    (F.xxhash64(key, F.lit("mix")) if order is None else order).alias("h"))
+    d = d.select("*", F.coalesce(F.concat(F.lit("s"), F.col("source")), F.lit("n")).alias("k"))
     d = materialize(d.select("*", F.pmod("h", F.lit(SALTS)).alias("salt")), "mix-documents")
     counts = materialize(d.groupBy("k", "source", "size").agg(F.count(F.lit(1)).alias("n")), "mix-counts")
     sources = counts.groupBy("k", "source").agg(F.sum(F.col("n") * F.col("size")).alias("source_size"),

@@ -3,6 +3,7 @@ from __future__ import annotations
 
 from .decontaminate import OP3_SQL, op3_decontamination
 from .language_id import op1_language_id
+from .licenses import op6_license_scan
 from .mixing import op9_mixing
 from .ngram_join import op7_ngram_join
 from .secrets import op8_secret_scan
@@ -17,6 +18,7 @@ LLM_QUERIES = {
     "op3_decontamination": op3_decontamination,
     "op4_substring_dedup": op4_substring_dedup,
     "op5_fingerprints": op5_fingerprints,
+    "op6_license_scan": op6_license_scan,
     "op7_ngram_join": op7_ngram_join,
     "op8_secret_scan": op8_secret_scan,
     "op9_mixing": op9_mixing,
