@@ -268,3 +268,21 @@ def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = near_duplicates(read(spark, sf_dir, "documents").select("doc_id", "text"))
     return c.select("doc_id", F.col("n").cast("long").alias("n_shingles"),
                     F.when(F.col("head") < LAST, F.col("head")).alias("component_id"))
+
+
+OP7_SQL = r"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                            'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+gram AS (SELECT DISTINCT doc_id, array_to_string(list_slice(w, k, k + 2), ' ') AS s
+         FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 2, 1) + 1)) AS k FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM gram GROUP BY doc_id),
+pair AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM gram a JOIN gram b ON a.s = b.s AND a.doc_id < b.doc_id
+         GROUP BY ALL),
+link AS (SELECT a, b FROM pair JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
+         WHERE 100 * c >= 90 * (x.n + y.n - c)),
+edge AS (SELECT a, b FROM link UNION ALL SELECT b, a FROM link),
+reach AS (SELECT a, b FROM edge UNION SELECT r.a, e.b FROM reach r JOIN edge e ON r.b = e.a),
+low AS (SELECT a AS doc_id, min(b) AS m FROM reach GROUP BY a)
+SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, least(d.doc_id, coalesce(m, d.doc_id)) AS component_id
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN low USING (doc_id)
+"""

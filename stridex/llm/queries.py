@@ -5,11 +5,11 @@ from .decontaminate import OP3_SQL, op3_decontamination
 from .language_id import op1_language_id
 from .licenses import op6_license_scan
 from .mixing import op9_mixing
-from .ngram_join import op7_ngram_join
-from .secrets import op8_secret_scan
+from .ngram_join import OP7_SQL, op7_ngram_join
+from .secrets import OP8_SQL, op8_secret_scan
 from .spotsigs import op5_fingerprints
-from .substring_dedup import op4_substring_dedup
-from .suffix_dedup import op2_suffix_dedup
+from .substring_dedup import OP4_SQL, op4_substring_dedup
+from .suffix_dedup import OP2_SQL, op2_suffix_dedup
 from .toxicity import op10_toxicity
 
 LLM_QUERIES = {
@@ -26,5 +26,9 @@ LLM_QUERIES = {
 }
 
 LLM_ORACLE = {
+    "op2_suffix_dedup": OP2_SQL,
     "op3_decontamination": OP3_SQL,
+    "op4_substring_dedup": OP4_SQL,
+    "op7_ngram_join": OP7_SQL,
+    "op8_secret_scan": OP8_SQL,
 }

@@ -122,3 +122,40 @@ def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
          for k, c in ((1, "n_assign"), (2, "n_access"), (3, "n_hex"))]
     return s.select("doc_id", *n, F.sha2(digest("base"), 256).alias("base_sha256"), digest("spans").alias("spans"),
                     "n_live", "n_example")
+
+
+# One CTE per kind: pieces between the matches give the positions. Bare tokens need a digit (looked up afterwards).
+_ASSIGN_SQL, _BARE_SQL = ASSIGN.replace("'", "''"), "[A-Za-z0-9+/_.=-]{12,}"
+
+
+def _found_sql(kind: int, pattern: str, group: int, least: int) -> str:
+    return f"""SELECT doc_id, {kind} AS kind, v, n, sum(gap + n) OVER (PARTITION BY doc_id ORDER BY i) - n AS b FROM (
+    SELECT doc_id, unnest(m) AS m0, unnest(vs) AS v, len(unnest(m)) AS n, len(unnest(list_slice(gaps, 1, len(m)))) AS gap,
+           generate_subscripts(m, 1) AS i FROM (
+      SELECT doc_id, regexp_extract_all(t, '{pattern}') AS m, regexp_extract_all(t, '{pattern}', {group}) AS vs,
+             string_split_regex(t, '{pattern}') AS gaps FROM d)) QUALIFY len(v) >= {least}"""
+
+
+OP8_SQL = f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, coalesce(source, '') AS repo FROM documents),
+base AS ({_found_sql(1, _ASSIGN_SQL, 2, 12)} UNION ALL {_found_sql(2, ACCESS, 1, 18)} UNION ALL {_found_sql(3, HEX, 1, 16)}),
+bare AS ({_found_sql(4, _BARE_SQL, 0, 12)}),
+own AS (SELECT v, count(DISTINCT split_part(repo, '/', 1)) AS n_owners, regexp_matches(v, '[0-9]') AND
+        regexp_matches(v, '[A-Za-z]') AND NOT regexp_matches(v, '{PLACEHOLDER}') AND n_owners <= {MAX_OWNERS} AS live
+        FROM base JOIN d USING (doc_id) GROUP BY v),
+more AS (SELECT x.* FROM bare x JOIN own ON own.v = x.v AND own.live WHERE regexp_matches(x.v, '[0-9]') AND NOT EXISTS (
+         SELECT 1 FROM base s WHERE s.doc_id = x.doc_id AND s.b < x.b + x.n AND x.b < s.b + s.n)),
+every AS (SELECT *, true AS is_base FROM base UNION ALL SELECT *, false FROM more),
+text AS (SELECT doc_id, is_base, b, kind, ['assign', 'access', 'hex', 'reuse'][kind] || ':' || b || ':' || (b + n) AS x
+         FROM every),
+s AS (SELECT doc_id, string_agg(x, ',' ORDER BY b, kind) AS spans,
+      string_agg(x, ',' ORDER BY b, kind) FILTER (WHERE is_base) AS base,
+      count(*) FILTER (WHERE kind = 1) AS n_assign, count(*) FILTER (WHERE kind = 2) AS n_access,
+      count(*) FILTER (WHERE kind = 3) AS n_hex FROM text GROUP BY doc_id),
+o AS (SELECT doc_id, count(*) FILTER (WHERE live) AS n_live, count(*) FILTER (WHERE n_owners > {MAX_OWNERS}) AS n_example
+      FROM base JOIN own USING (v) GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_assign, 0)::BIGINT AS n_assign, coalesce(n_access, 0)::BIGINT AS n_access,
+       coalesce(n_hex, 0)::BIGINT AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans,
+       coalesce(n_live, 0)::BIGINT AS n_live, coalesce(n_example, 0)::BIGINT AS n_example
+FROM d LEFT JOIN s USING (doc_id) LEFT JOIN o USING (doc_id)
+"""

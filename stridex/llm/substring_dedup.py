@@ -53,3 +53,18 @@ def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document that belong to a 20-word passage found earlier."""
     c = cut_passages(read(spark, sf_dir, "documents"))
     return c.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+OP4_SQL = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+win AS (SELECT doc_id, k, md5(array_to_string(list_slice(w, k, k + 19), ' ')) AS s
+        FROM (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS k FROM d WHERE len(w) >= 20)),
+dup AS (SELECT doc_id, k FROM (SELECT doc_id, k, row_number() OVER (PARTITION BY s ORDER BY doc_id, k) AS r FROM win)
+        WHERE r > 1),
+hit AS (SELECT DISTINCT doc_id, unnest(range(k, k + 20)) AS p FROM dup),
+word AS (SELECT doc_id, unnest(w) AS x, generate_subscripts(w, 1) AS p FROM d),
+kept AS (SELECT doc_id, string_agg(x, ' ' ORDER BY p) AS t FROM word ANTI JOIN hit USING (doc_id, p) GROUP BY doc_id),
+n AS (SELECT doc_id, count(*) AS c FROM hit GROUP BY doc_id)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(c, 0)::BIGINT AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id) LEFT JOIN n USING (doc_id)
+"""

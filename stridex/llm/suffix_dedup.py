@@ -57,3 +57,25 @@ def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = cut_repeats(read(spark, sf_dir, "documents"))
     return c.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"),
                     F.sha2("kept", 256).alias("kept_sha256"))
+
+
+# Positions are bytes: two hex digits each.
+OP2_SQL = r"""
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+win AS (SELECT doc_id, p, md5(substr(h, 2 * p + 1, 400)) AS s
+        FROM (SELECT doc_id, h, unnest(range(0, len(h) // 2 - 199)) AS p FROM d WHERE len(h) >= 400)),
+rep AS (SELECT s FROM win GROUP BY s HAVING count(*) > 1),
+dup AS (SELECT doc_id, p, lag(p) OVER (PARTITION BY doc_id ORDER BY p) AS q FROM win JOIN rep USING (s)),
+run AS (SELECT doc_id, p, sum(CASE WHEN q IS NULL OR p > q + 200 THEN 1 ELSE 0 END)
+               OVER (PARTITION BY doc_id ORDER BY p) AS g FROM dup),
+span AS (SELECT doc_id, g, min(p) AS b, max(p) + 200 AS e FROM run GROUP BY doc_id, g),
+edge AS (SELECT doc_id, e AS b, lead(b) OVER (PARTITION BY doc_id ORDER BY b) AS e FROM span
+         UNION ALL SELECT doc_id, 0, min(b) FROM span GROUP BY doc_id
+         UNION ALL SELECT doc_id, 0, NULL FROM d WHERE doc_id NOT IN (SELECT doc_id FROM span)),
+kept AS (SELECT doc_id, string_agg(substr(h, 2 * edge.b + 1, 2 * (coalesce(edge.e, len(h) // 2) - edge.b)), ''
+                                   ORDER BY edge.b) AS k FROM edge JOIN d USING (doc_id) GROUP BY doc_id),
+n AS (SELECT doc_id, sum(e - b) AS n_removed, count(*) AS n_spans FROM span GROUP BY doc_id)
+SELECT d.doc_id, (len(h) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed,
+       coalesce(n_spans, 0)::BIGINT AS n_spans, sha256(unhex(k)) AS kept_sha256
+FROM d JOIN kept USING (doc_id) LEFT JOIN n USING (doc_id)
+"""
