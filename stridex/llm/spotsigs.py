@@ -164,3 +164,19 @@ def with_successor(docs: DataFrame, buckets: int | None = None) -> DataFrame:
 def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of every document and of its edited text, with their likeness and that to the next document."""
     return with_successor(read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+class Spots:
+    """The signature sets as a kernel of the grouped prefix join."""
+
+    def sets(self, raws: list[bytes]):
+        for s in signatures([r.decode("utf-8", "surrogatepass") for r in raws]):
+            yield np.sort(mix(s.astype(np.uint64) + np.uint64(1)))
+
+
+def near_duplicate_groups(docs: DataFrame, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """Components of documents whose signature sets have Jaccard ``percent`` or more (one row per input row, see
+    ``ngram_join.near_duplicates``). The join partitions the sets by length: two of them meet only if their lengths allow
+    the threshold."""
+    from .ngram_join import near_duplicates
+    return near_duplicates(docs, Spots(), percent, doc_id, text, name="spots")

@@ -4,8 +4,8 @@ Learning uses a bounded sample (``MAX_TRAIN_DOCS`` labelled documents by hash of
 ``MAX_TRAIN_CHARS``; those bounds touch the fit only). Labels are given per document, so words are labelled first: a
 word of a toxic document is toxic if it is significantly more frequent in toxic than in clean sample texts (likelihood
 ratio). The two-state chain is then fitted to these labelled words by gradient ascent on its likelihood, where the
-gradient needs the forward-backward marginals. A logistic curve over a document's summed and largest marginal, fitted
-on the same sample, gives scores from 0 to 1.
+gradient needs the forward-backward marginals. A logistic curve over a document's tagged words (the sum of their
+marginals) and its largest marginal, fitted on the same sample, gives scores from 0 to 1.
 
 Scoring is distributed: each Arrow batch is one long chain whose documents are kept apart by the start potentials.
 It is cut into lanes; the products of the lanes' step matrices join them exactly, so numpy works on all lanes at once
@@ -35,6 +35,7 @@ MAX_TRAIN_CHARS = 20_000
 MAX_VOCABULARY = 1 << 16
 MIN_RATIO_STAT = 16.0        # likelihood-ratio statistic from which a word counts as toxic
 STEPS, RATE, PRIOR = 60, 0.3, 0.02
+TAGGED = 0.5                 # marginal from which a word counts as tagged; lesser ones must not add up over long texts
 LANE = 256                   # steps of a lane
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -130,7 +131,7 @@ class ToxicityModel:
         x[:, 0] = 1
         at = (np.cumsum(n) - n)[n > 0]
         if len(at):
-            x[n > 0, 1] = np.log1p(np.add.reduceat(p, at))
+            x[n > 0, 1] = np.log1p(np.add.reduceat(np.where(p >= TAGGED, p, 0.0), at))
             x[n > 0, 2] = np.maximum.reduceat(p, at)
         return x
 
@@ -140,7 +141,7 @@ class ToxicityModel:
         return 1 / (1 + np.exp(-np.clip(self._features(p, n) @ self.curve, -40, 40))), p, n
 
 
-def spans(text: str, p: np.ndarray, threshold: float = 0.5) -> list[tuple[int, int, float]]:
+def spans(text: str, p: np.ndarray, threshold: float = TAGGED) -> list[tuple[int, int, float]]:
     """(start, stop, largest marginal) of the runs of words whose marginal reaches the threshold."""
     out = []
     hot = p >= threshold
@@ -238,7 +239,7 @@ def toxicity(spark: SparkSession, model: ToxicityModel, text: Column, with_spans
             score[i:j], p, n = shared.value.scores(ts[i:j])
             if with_spans:
                 end = np.cumsum(n)
-                for k in np.flatnonzero(np.add.reduceat(p >= 0.5, (end - n)[n > 0]) > 0) if len(p) else ():
+                for k in np.flatnonzero(np.add.reduceat(p >= TAGGED, (end - n)[n > 0]) > 0) if len(p) else ():
                     k = int(np.flatnonzero(n > 0)[k])
                     found[i + k] = [dict(zip(("start", "stop", "p"), s))
                                     for s in spans(ts[i + k], p[end[k] - n[k]:end[k]])]
