@@ -1,6 +1,6 @@
 """Command line jobs (the reference's runnable programs, re-aimed as Spark jobs):
 
-  python -m stridex train   --training PATH --tree-model PATH --forest-model PATH [--user-cap 10] ...
+  python -m stridex train   --training PATH --tree-model PATH --forest-model PATH [--user-cap N] ...
   python -m stridex predict --live PATH --model PATH --out PATH [--users u1,u2] [--n 100]
   python -m stridex stream  --live PATH --model PATH --out PATH [--checkpoint PATH] [--every "5 seconds"]
 
@@ -13,8 +13,8 @@ import sys
 
 from pyspark.sql import SparkSession
 
-from .config import apply_recommended, scratch_path
-from .schema import DEFAULT_GAP, DEFAULT_LATEST_N, DEFAULT_USER_CAP, DEFAULT_WIDTH
+from .config import apply_recommended
+from .schema import DEFAULT_GAP, DEFAULT_LATEST_N, DEFAULT_WIDTH
 
 
 def _model(path: str, kind: str):
@@ -34,7 +34,9 @@ def _parser() -> argparse.ArgumentParser:
     t.add_argument("--gap", type=int, default=DEFAULT_GAP)
     t.add_argument("--width", type=int, default=DEFAULT_WIDTH)
     t.add_argument("--anchor", choices=["stop", "start"], default="stop")
-    t.add_argument("--user-cap", type=int, default=DEFAULT_USER_CAP, help="0 = all users")
+    t.add_argument("--user-cap", type=int, default=0, help="first users by id only; 0 = all users")
+    t.add_argument("--method", choices=["chunk", "range"], default="chunk", help="sessionization")
+    t.add_argument("--partitions", type=int, default=32, help="part of the forest's definition, like the seed")
     t.add_argument("--split", choices=["hash", "random"], default="hash")
     t.add_argument("--seed", type=int, default=12345)
 
@@ -51,7 +53,7 @@ def _parser() -> argparse.ArgumentParser:
         if name == "predict":
             q.add_argument("--users", default="", help="comma-separated user ids (default: every user)")
         else:
-            q.add_argument("--checkpoint", default="")
+            q.add_argument("--checkpoint", default="", help="default: in the output folder, so a restart goes on")
             q.add_argument("--every", default="5 seconds", help='trigger interval, or "once" for available data')
             q.add_argument("--stateless", action="store_true", help="ST1: re-read the table per batch")
             q.add_argument("--console", type=int, default=0, help="print the first k predictions of each batch")
@@ -66,7 +68,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None):
         from .sources.readers import read_training
         trained = train(read_training(spark, args.training, args.format), gap=args.gap, width=args.width,
                         anchor=args.anchor, user_cap=args.user_cap or None, how=args.split, seed=args.seed,
-                        tree_path=args.tree_model, forest_path=args.forest_model)
+                        method=args.method, partitions=args.partitions, tree_path=args.tree_model, forest_path=args.forest_model)
         report = trained.report()
         report.show(truncate=False)
         return report
@@ -80,7 +82,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None):
     from .streaming import start_prediction_stream
     trigger = {"availableNow": True} if args.every == "once" else {"processingTime": args.every}
     q = start_prediction_stream(stream_live(spark, args.live, args.format), model, args.out,
-                                args.checkpoint or scratch_path(spark, "stream-checkpoint"),
+                                args.checkpoint or f"{args.out.rstrip('/')}/_checkpoint",
                                 table=lambda: read_live(spark, args.live, args.format), n=args.n,
                                 stateful=not args.stateless, vote=args.vote, trigger=trigger,
                                 console=args.console)

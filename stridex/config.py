@@ -8,17 +8,16 @@ from pyspark.sql import SparkSession
 
 # Settings a caller should have on the session. Nothing here is required for correct results; they are what the
 # plans were tuned against: AQE re-plans shuffles at run time (coalesces small partitions, splits skewed join
-# partitions even when that needs one more exchange before a following aggregate), the stateful stream keeps its
-# per-user buffers in RocksDB (off the JVM heap, spilling to local disk, snapshots in the checkpoint), and a UTC
-# session time zone makes the events adapter's timestamp arithmetic zone free.
+# partitions even when that needs one more exchange before a following aggregate), and a UTC session time zone makes
+# the events adapter's timestamp arithmetic zone free.
 RECOMMENDED_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # newest-N windows cut rows before the shuffle for any N (Spark's own limit is 1000)
+    "spark.sql.optimizer.windowGroupLimitThreshold": str(2**31 - 1),
     "spark.sql.session.timeZone": "UTC",
-    "spark.sql.streaming.stateStore.providerClass":
-        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
 

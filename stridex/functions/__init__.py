@@ -40,9 +40,9 @@ def label_index(activity="activity") -> Column:
 
 
 def label_text(label="label") -> Column:
-    """Class number -> activity text; a number outside 0..3 raises, like the reference's enum lookup."""
+    """Class number -> activity text; a number outside 0..3 raises, never a guess."""
     v = col(label)
-    expr = F.raise_error(F.concat(F.lit("No activity predicted: "), v.cast("string"))).cast("string")
+    expr = F.raise_error(F.concat(F.lit("not an activity class: "), v.cast("string"))).cast("string")
     for k in reversed(range(len(LABELS))):
         expr = F.when(v == F.lit(float(k)), F.lit(LABELS[k])).otherwise(expr)
     return expr

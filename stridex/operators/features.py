@@ -64,10 +64,15 @@ def _finish(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.select(*keys, "n", *[computed[c].alias(c) if c in computed else F.col(c) for c in FEATURES])
 
 
-def features(df: DataFrame, keys: list[str], bounded: bool = False, truncate_y: bool = True) -> DataFrame:
+def features(df: DataFrame, keys: list[str], bounded: bool = False, truncate_y: bool = True,
+             written: bool = False) -> DataFrame:
     """``keys + n + FEATURES`` for every group of ``df`` (needs columns timestamp, x, y, z). Rows with a missing or
-    NaN axis are not used."""
+    NaN axis are not used. ``written``: write the rows to the shared folder first; the unbounded form reads them three
+    times, which is worth a write when ``df`` is a join."""
     rows = valid_axes(df.select(*keys, "timestamp", *AXES))
+    if written and not bounded:
+        from ..sources.tables import materialize
+        rows = materialize(rows, "feature-rows")
     if bounded:
         w = Window.partitionBy(*keys)
         rows = rows.select("*", *[F.avg(a).over(w).alias(f"_m{a}") for a in AXES], F.max("y").over(w).alias("_ymax"))
@@ -105,10 +110,11 @@ def zero_features(users: DataFrame, feats: DataFrame, key: str = "user_id") -> D
 
 
 def peak_rows(df: DataFrame, keys: list[str], truncate_y: bool = True) -> DataFrame:
-    """The peak rows of every group with the cut y and the group max (skew safe: max by aggregate)."""
+    """The peak rows of every group with the cut y and the group max. The max comes back to
+    the rows in the shape of ``attach_group_stats``, so a hot group is split over many tasks."""
     rows = valid_axes(df.select(*keys, "timestamp", *AXES)).select(*keys, "timestamp", "y")
     mx = rows.groupBy(*keys).agg(F.max("y").alias("_ymax"))
-    j = rows.join(mx, keys).where(_peak(truncate_y))
+    j = attach_group_stats(rows, mx, keys).where(_peak(truncate_y))
     return j.select(*keys, "timestamp", "y", trunc_to_long("y").alias("y_cut"), F.col("_ymax").alias("y_max"))
 
 
@@ -120,7 +126,7 @@ def peak_deltas(df: DataFrame, keys: list[str], truncate_y: bool = True, chunk:
     from .sessions import label_sessions
 
     p = peak_rows(df, keys, truncate_y).select(*keys, "timestamp").distinct()
-    d = label_sessions(p, gap=0, keys=keys, chunk=chunk or 1 << 40)
+    d = label_sessions(p, gap=0, keys=keys, chunk=chunk)
     return (d.where(F.col("prev_timestamp").isNotNull())
              .select(*keys, F.col("prev_timestamp").alias("prev_peak"), "timestamp", F.col("diff").alias("delta")))
 

@@ -13,7 +13,9 @@ interval ``i`` of session ``s`` exactly when ``stop_s - width < t < stop_s + int
 not a multiple of ``width`` (the excluded bounds), and then ``i = floor((t - stop_s) / width) + 1``. Sessions are
 spread over time buckets of ``bucket`` ticks covering that span, samples get the bucket of their timestamp, and
 the join is an equi-join on (key, bucket) with the span as residual; each (sample, session) pair meets in exactly
-one bucket, so nothing is de-duplicated. Buckets also split a hot key over many join partitions.
+one bucket, so nothing is de-duplicated. Buckets also split a hot key over many join partitions. (With a gap far below
+the width almost every sample stops a session, and each of them opens an interval of its own: the output itself then
+grows with width / gap per sample.)
 """
 from __future__ import annotations
 
@@ -22,7 +24,7 @@ from pyspark.sql import functions as F
 
 from ..functions import explode_range, floor_div
 from ..schema import DEFAULT_GAP, DEFAULT_WIDTH, KEYS
-from .sessions import default_chunk, gap_sessions, label_sessions
+from .sessions import gap_sessions, label_sessions
 
 GROUP = ["session_id", "i"]
 
@@ -82,7 +84,6 @@ def assign_intervals(samples: DataFrame, gap: int = DEFAULT_GAP, width: int = DE
                      method: str = "chunk") -> DataFrame:
     """Samples -> sessions -> the intervals each sample falls into (``session_id, i, lo, hi`` added).
     ``method`` is the sessionization method (``"chunk"`` or ``"range"``, see ``sessions``)."""
-    chunk = chunk or default_chunk(gap, width)
     if anchor == "stop":
         sessions = gap_sessions(samples, gap=gap, width=width, keys=keys, chunk=chunk, method=method)
         return assign_stop_anchored(samples, sessions, width=width, keys=keys, bucket=bucket)

@@ -3,19 +3,14 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..schema import DEFAULT_LATEST_N, DEFAULT_USER_CAP, KEYS, LABELS
 
 
-def project(df: DataFrame, *cols: str) -> DataFrame:
-    """Keep only what a step needs; Catalyst prunes the Parquet read schema to these columns."""
-    return df.select(*cols)
-
-
 def filter_user(df: DataFrame, user: str) -> DataFrame:
-    """Equality on ``user_id`` (pushed into the scan)."""
+    """Equality on ``user_id`` (reaches the scan of a sample table; the events adapter translates it, see readers)."""
     return df.where(F.col("user_id") == F.lit(user))
 
 
@@ -45,44 +40,49 @@ def capped_users(df: DataFrame, n: int | None = DEFAULT_USER_CAP) -> DataFrame:
     return users if n is None else users.orderBy("user_id").limit(n)
 
 
-BROADCAST_MAX_USERS = 100_000
-
-
-def restrict_to_users(df: DataFrame, users: DataFrame | Iterable[str] | None, bound: int | None = None) -> DataFrame:
-    """Keep rows of the given users (left semi join; duplicates in ``users`` do not matter).
+def restrict_to_users(df: DataFrame, users: DataFrame | Iterable[str] | None) -> DataFrame:
+    """Keep rows of the given users (duplicates in ``users`` do not matter).
 
-    The user list is broadcast only under a proven size bound: the length of a literal list, or ``bound`` given by
-    the caller (e.g. the cap of ``capped_users``). Otherwise AQE picks the join from run-time sizes, and the join
-    runs on a derived key (hash of the user id, plus the id) so both inputs are plain shuffles -- the shape AQE's
-    skew join can split when one user holds a large share of the rows.
+    Names become a predicate that reaches the scan. A frame becomes a left semi join on a derived key (hash of the
+    user id, plus the id): both inputs are then plain shuffles, the shape AQE's skew join can split when one user
+    holds a large share of the rows, and AQE broadcasts the list itself if its measured size allows it.
     """
     if users is None:
         return df
     if not isinstance(users, DataFrame):
-        users = list(users)
-        bound = len(users)
-        users = df.sparkSession.createDataFrame([(u,) for u in users], "user_id string")
-    side = users.select("user_id")
-    if bound is not None and bound <= BROADCAST_MAX_USERS:
-        return df.join(F.broadcast(side), "user_id", "left_semi")
+        return df.where(F.col("user_id").isin([str(u) for u in users]))
     uk = F.xxhash64("user_id")
-    kept = df.select("*", uk.alias("_uk")).join(side.select("*", uk.alias("_uk")), ["_uk", "user_id"], "left_semi")
-    return kept.drop("_uk")
+    side = users.select("user_id", uk.alias("_uk"))
+    return df.select("*", uk.alias("_uk")).join(side, ["_uk", "user_id"], "left_semi").drop("_uk")
+
+
+def newest_first(df: DataFrame) -> list[Column]:
+    """A total order of samples, newest first: ties of the timestamp go by the axes the frame has."""
+    return [F.desc("timestamp"), *[F.asc(c) for c in ("x", "y", "z") if c in df.columns]]
 
 
 def latest_n_user(df: DataFrame, user: str, n: int = DEFAULT_LATEST_N) -> DataFrame:
     """The newest ``n`` samples of one user (top-k, no activity filter)."""
-    return filter_user(df, user).orderBy(F.desc("timestamp")).limit(n)
+    return filter_user(df, user).orderBy(*newest_first(df)).limit(n)
+
+
+LATEST_SLICES = 32
 
 
 def latest_n(df: DataFrame, n: int = DEFAULT_LATEST_N, by: str = "user_id") -> DataFrame:
-    """The newest ``n`` samples of every user.
+    """The newest ``n`` samples of every user, in two rounds.
 
-    ``row_number() <= n`` lets Catalyst insert a partial ``WindowGroupLimit`` before the shuffle, so even a user
-    holding a third of all rows ships at most ``n`` rows per map task.
+    The first round takes the newest ``n`` of each (user, slice of the timestamps), the second the newest of those: a
+    user holding a third of all rows is spread over ``LATEST_SLICES`` tasks, and the last round gets at most
+    ``n * LATEST_SLICES`` rows of a user, whatever ``n`` and the number of map tasks. ``row_number() <= n`` also lets
+    Catalyst cut rows before the shuffle (``WindowGroupLimit``; its threshold is raised in the recommended settings).
     """
-    w = Window.partitionBy(by).orderBy(F.desc("timestamp"))
-    return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= n).drop("_rn")
+    order = newest_first(df)
+    piece = Window.partitionBy(by, "_slice").orderBy(*order)
+    some = df.withColumn("_slice", F.pmod(F.xxhash64("timestamp"), F.lit(LATEST_SLICES)))
+    some = some.withColumn("_rn", F.row_number().over(piece)).where(F.col("_rn") <= n).drop("_rn", "_slice")
+    w = Window.partitionBy(by).orderBy(*order)
+    return some.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= n).drop("_rn")
 
 
 def time_bounds(df: DataFrame, keys: list[str] = KEYS) -> DataFrame:

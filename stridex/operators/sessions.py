@@ -4,22 +4,23 @@ A session of a key (user, activity) is a maximal run of samples whose neighbours
 (a difference strictly over the gap starts a new session). Sessions are numbered 0, 1, ... per key in time order.
 
 Plan shape (skew safe). A per-key window would put a user holding a third of all rows into one task, so the
-scan runs in two levels:
+scan runs in levels:
 
 1. rows are cut into time chunks ``floor(t / chunk)``; a window per (key, chunk) gives the local predecessor,
    the local jump flags and their running count;
-2. one summary row per (key, chunk) (min, max, local jumps, last local session start) goes through a window per
-   key ordered by chunk: the previous chunk's max closes the gap at the chunk edge and a running sum gives each
-   chunk's first session number.
+2. one summary row per (key, chunk) (min, max, local jumps, last local session start) is scanned the same way: a
+   window per (key, ``FAN`` chunks) ordered by chunk closes the gaps at the chunk edges and counts sessions, one
+   summary row per (key, ``FAN`` chunks) goes through a window per key, and its carry is added back.
 
-Joining the chunk summaries back on (key, chunk) needs no shuffle of the rows (they are already partitioned that
-way). Per-key work at level 2 is bounded by the time span / chunk, not by the number of rows.
+The chunk width does not depend on the gap. By default it is taken from the data (``default_chunk``): the time span
+over ``MIN_CHUNKS`` plus one chunk per ``CHUNK_ROWS`` rows, so no window holds more than a small share of the rows of any
+key, and the last window of a key holds its chunks / ``FAN``.
 
-The two levels work with any ordered cut of a key's timeline, so ``method="range"`` swaps the time chunks for
+The levels work with any ordered cut of a key's timeline, so ``method="range"`` swaps the time chunks for
 range partitions: exact copies of a sample collapse into one weighted row (partial aggregate), the distinct
 (key, timestamp) rows are range-partitioned on (key, timestamp) with sampled, balanced bounds, and the partition id
 is the chunk. Level 1 is then bounded by a partition's size even for a burst inside one instant's neighbourhood,
-and level 2 by the number of partitions. It costs two more shuffles and one write of the distinct instants to the
+and the later levels by the number of partitions. It costs two more shuffles and one write of the distinct instants to the
 shared folder (done eagerly when the function is called), so it is the choice for data with extreme bursts or
 duplicated samples, not the default.
 """
@@ -31,15 +32,52 @@ from pyspark.sql import functions as F
 from ..functions import floor_div
 from ..schema import DEFAULT_GAP, DEFAULT_WIDTH, KEYS
 
-CHUNK_FACTOR = 4096
-
-
-def default_chunk(gap: int, width: int | None = None) -> int:
-    return CHUNK_FACTOR * max(int(gap), int(width or 0), 1)
+MIN_CHUNKS = 256
+CHUNK_ROWS = 100_000
+FAN = 256
+
+
+def default_chunk(df: DataFrame) -> int:
+    """Chunk width for the data: one pass over the timestamps (a single column, partial aggregates)."""
+    r = df.agg(F.min("timestamp"), F.max("timestamp"), F.count("timestamp")).first()
+    if not r[2]:
+        return 1
+    return (r[1] - r[0]) // (MIN_CHUNKS + r[2] // CHUNK_ROWS) + 1
+
+
+def _edges(cs: DataFrame, part: list[str], order: str, gap: int, top: bool) -> DataFrame:
+    """Summary rows (``_cmin, _cmax, _cj`` jumps inside, ``_clast`` last session start inside) of one ``part`` in
+    ``order``, with what precedes each row inside the part: ``_prev`` (the part's last instant before it), ``_base`` (jumps
+    before its first instant), ``_start0`` (start of the session its first instant belongs to; null: before the part),
+    ``_edge`` and ``_last`` (as ``_clast``, edge included). ``top``: nothing precedes the part."""
+    w = Window.partitionBy(*part).orderBy(order)
+    before = w.rowsBetween(Window.unboundedPreceding, -1)
+    cs = cs.select("*", F.lag("_cmax").over(w).alias("_prev"))
+    jump = F.coalesce((F.col("_cmin") - F.col("_prev")) > F.lit(int(gap)), F.lit(False))
+    opens = jump | F.col("_prev").isNull() if top else jump
+    cs = cs.select("*", jump.cast("int").alias("_edge"), F.when(opens, F.col("_cmin")).alias("_open"))
+    cs = cs.select("*", F.coalesce("_clast", "_open").alias("_last"))
+    return cs.select("*", (F.coalesce(F.sum(F.col("_cj") + F.col("_edge")).over(before), F.lit(0)) + F.col("_edge"))
+                     .alias("_base"), F.coalesce("_open", F.last("_last", ignorenulls=True).over(before)).alias("_start0"))
+
+
+def _carried(cs: DataFrame, gap: int, keys: list[str]) -> DataFrame:
+    """``keys, _chunk, _prev_cmax, _base, _start0`` of every chunk summary: the scan over chunks, in two levels."""
+    cs = cs.select("*", floor_div("_chunk", FAN).alias("_far"))
+    near = _edges(cs, [*keys, "_far"], "_chunk", gap, top=False)
+    far = near.groupBy(*keys, "_far").agg(F.min("_cmin").alias("_cmin"), F.max("_cmax").alias("_cmax"),
+                                          F.sum(F.col("_cj") + F.col("_edge")).alias("_cj"),
+                                          F.max("_last").alias("_clast"))     # session starts grow with time
+    far = _edges(far, keys, "_far", gap, top=True).select(
+        *keys, "_far", F.col("_prev").alias("_fprev"), F.col("_base").alias("_fbase"), F.col("_start0").alias("_fstart"),
+        F.col("_edge").alias("_fedge"))
+    j = near.join(far, [*keys, "_far"])
+    return j.select(*keys, "_chunk", F.coalesce("_prev", "_fprev").alias("_prev_cmax"),
+                    (F.col("_base") + F.col("_fbase")).alias("_base"), F.coalesce("_start0", "_fstart").alias("_start0"))
 
 
 def _scan(r: DataFrame, gap: int, keys: list[str]) -> DataFrame:
-    """The two-level scan over rows that carry an ordered ``_chunk`` (rows of one key and chunk never interleave
+    """The scan over rows that carry an ordered ``_chunk`` (rows of one key and chunk never interleave
     in time with another chunk of that key)."""
     gap_l = F.lit(int(gap))
     t = F.col("timestamp")
@@ -47,7 +85,7 @@ def _scan(r: DataFrame, gap: int, keys: list[str]) -> DataFrame:
     upto = wl.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     # level 1: inside a chunk. The null filters are the ones the join below would infer for this side only;
     # stated here, both uses of ``r`` keep identical plans and share one exchange of the samples.
-    not_null = F.col("_chunk").isNotNull()
+    not_null = F.col("_chunk").isNotNull() & floor_div("_chunk", FAN).isNotNull()
     for k in keys:
         not_null = not_null & F.col(k).isNotNull()
     r = r.where(not_null)
@@ -55,20 +93,11 @@ def _scan(r: DataFrame, gap: int, keys: list[str]) -> DataFrame:
     jl = F.coalesce(((t - F.col("_prev_local")) > gap_l).cast("int"), F.lit(0))
     r = r.select("*", jl.alias("_jl"), F.sum(jl).over(upto).alias("_run"),
                  F.max(F.when(jl == 1, t)).over(upto).alias("_start_local"))
-    # level 2: one row per chunk
+    # level 2: one row per chunk, scanned in turn
     cs = r.groupBy(*keys, "_chunk").agg(
         F.min("timestamp").alias("_cmin"), F.max("timestamp").alias("_cmax"),
         F.sum("_jl").alias("_cj"), F.max(F.when(F.col("_jl") == 1, t)).alias("_clast"))
-    wc = Window.partitionBy(*keys).orderBy("_chunk")
-    before = wc.rowsBetween(Window.unboundedPreceding, -1)
-    cs = cs.select("*", F.lag("_cmax").over(wc).alias("_prev_cmax"))
-    opens = F.col("_prev_cmax").isNull() | ((F.col("_cmin") - F.col("_prev_cmax")) > gap_l)
-    edge = F.coalesce(((F.col("_cmin") - F.col("_prev_cmax")) > gap_l).cast("int"), F.lit(0))
-    own_last = F.coalesce(F.col("_clast"), F.when(opens, F.col("_cmin")))
-    cs = cs.select(
-        *keys, "_chunk", "_prev_cmax",
-        (F.coalesce(F.sum(F.col("_cj") + edge).over(before), F.lit(0)) + edge).alias("_base"),
-        F.when(opens, F.col("_cmin")).otherwise(F.last(own_last, ignorenulls=True).over(before)).alias("_start0"))
+    cs = _carried(cs, gap, keys)
     # back to the rows: (key, chunk) is the rows' partitioning already, only the chunk table moves
     out = r.join(cs, [*keys, "_chunk"])
     prev = F.coalesce(F.col("_prev_local"), F.col("_prev_cmax"))
@@ -107,7 +136,7 @@ def label_sessions(df: DataFrame, gap: int = DEFAULT_GAP, keys: list[str] = KEYS
     instant); session ids and starts are the same as with time chunks.
     """
     if method == "chunk":
-        chunk = int(chunk or default_chunk(gap))
+        chunk = int(chunk or default_chunk(df))
         return _scan(df.select("*", floor_div("timestamp", chunk).alias("_chunk")), gap, keys)
     if method != "range":
         raise ValueError(f"method must be 'chunk' or 'range', not {method!r}")
@@ -148,7 +177,7 @@ def _sessions_from_segments(r: DataFrame, gap: int, width: int, keys: list[str],
     gap_l = F.lit(int(gap))
     t = F.col("timestamp")
     wl = Window.partitionBy(*keys, "_chunk").orderBy("timestamp")
-    not_null = F.col("_chunk").isNotNull()
+    not_null = F.col("_chunk").isNotNull() & floor_div("_chunk", FAN).isNotNull()
     for k in keys:
         not_null = not_null & F.col(k).isNotNull()
     r = r.where(not_null).select("*", F.lag("timestamp").over(wl).alias("_prev_local"))
@@ -159,13 +188,8 @@ def _sessions_from_segments(r: DataFrame, gap: int, width: int, keys: list[str],
         F.min("timestamp").alias("_smin"), F.max("timestamp").alias("_smax"),
         (F.sum(weight) if weight else F.count(F.lit(1))).cast("long").alias("_sn"))
     cs = seg.groupBy(*keys, "_chunk").agg(F.min("_smin").alias("_cmin"), F.max("_smax").alias("_cmax"),
-                                          F.max("_run").alias("_cj"))
-    wc = Window.partitionBy(*keys).orderBy("_chunk")
-    cs = cs.select("*", F.lag("_cmax").over(wc).alias("_prev_cmax"))
-    edge = F.coalesce(((F.col("_cmin") - F.col("_prev_cmax")) > gap_l).cast("int"), F.lit(0))
-    before = wc.rowsBetween(Window.unboundedPreceding, -1)
-    cs = cs.select(*keys, "_chunk",
-                   (F.coalesce(F.sum(F.col("_cj") + edge).over(before), F.lit(0)) + edge).alias("_base"))
+                                          F.max("_run").alias("_cj"), F.lit(None).cast("long").alias("_clast"))
+    cs = _carried(cs, gap, keys).select(*keys, "_chunk", "_base")
     out = seg.join(cs, [*keys, "_chunk"]).groupBy(*keys, (F.col("_base") + F.col("_run")).alias("session_id")).agg(
         F.min("_smin").alias("session_start"), F.max("_smax").alias("session_stop"),
         F.sum("_sn").cast("long").alias("n_samples"))
@@ -181,6 +205,6 @@ def gap_sessions(df: DataFrame, gap: int = DEFAULT_GAP, width: int = DEFAULT_WID
         return _sessions_from_segments(r, gap, width, keys, weight="_c")
     if method != "chunk":
         raise ValueError(f"method must be 'chunk' or 'range', not {method!r}")
-    chunk = int(chunk or default_chunk(gap, width))
+    chunk = int(chunk or default_chunk(df))
     r = df.select(*keys, "timestamp", floor_div("timestamp", chunk).alias("_chunk"))
     return _sessions_from_segments(r, gap, width, keys, weight=None)

@@ -17,7 +17,7 @@ from ..operators.features import features
 from ..operators.intervals import GROUP, assign_intervals
 from ..operators.labels import assemble, encode_labels, hash_split, random_split
 from ..operators.selection import activity_domain, capped_users, restrict_to_users
-from ..schema import (DEFAULT_GAP, DEFAULT_USER_CAP, DEFAULT_WIDTH, FEATURES, FIT_SETTINGS, FOREST_PARAMS, KEYS,
+from ..schema import (DEFAULT_GAP, DEFAULT_WIDTH, FEATURES, FIT_SETTINGS, FOREST_PARAMS, KEYS,
                       LABELS, TRAIN_FRACTION, TREE_PARAMS)
 from ..sources.models import save_model
 from ..sources.tables import materialize
@@ -25,20 +25,26 @@ from .voting import majority_vote
 
 POINT_KEYS = [*KEYS, *GROUP]
 
+# Part of the forest's definition, like its seed: bootstrap draws are per partition. Raise it with the training data
+# (a partition of points should stay under some 100 MB).
+FIT_PARTITIONS = 32
+
 
 def labeled_points(samples: DataFrame, gap: int = DEFAULT_GAP, width: int = DEFAULT_WIDTH, anchor: str = "stop",
-                   user_cap: int | None = DEFAULT_USER_CAP, chunk: int | None = None,
-                   bucket: int | None = None) -> DataFrame:
+                   user_cap: int | None = None, chunk: int | None = None, bucket: int | None = None,
+                   method: str = "chunk") -> DataFrame:
     """M3: one row per non-empty interval: keys, ``n``, the fifteen features and ``label`` (0..3).
 
-    ``user_cap`` keeps the first users by id over the whole table, as the reference did; None keeps all.
+    All users, unless ``user_cap`` asks for the first users by id over the whole table (P7). ``method`` is the
+    sessionization method. The assigned rows are written once: the range join runs a single time.
     """
     s = samples
     if user_cap is not None:
-        s = restrict_to_users(s, capped_users(samples, user_cap), bound=user_cap)
+        s = restrict_to_users(s, capped_users(samples, user_cap))
     s = activity_domain(s)
-    assigned = assign_intervals(s, gap=gap, width=width, anchor=anchor, chunk=chunk, bucket=bucket)
-    feats = features(assigned, POINT_KEYS, bounded=False)
+    assigned = assign_intervals(s, gap=gap, width=width, anchor=anchor, chunk=chunk, bucket=bucket,
+                                method=method)
+    feats = features(assigned, POINT_KEYS, written=True)
     return encode_labels(feats)
 
 
@@ -99,19 +105,18 @@ def fit_forest(train: DataFrame) -> RandomForestClassificationModel:
                                   **FIT_SETTINGS).fit(train)
 
 
-def fixed_layout(df: DataFrame, partitions: int | None = None) -> DataFrame:
-    """Rows in a layout that does not depend on shuffle fetch order: hash partitions by the point key, sorted
+def fixed_layout(df: DataFrame, partitions: int = FIT_PARTITIONS) -> DataFrame:
+    """Rows in a layout that depends on the data and ``partitions`` only: hash partitions by the point key, sorted
     inside. Forest bootstrap draws are per partition and per row position, so with this layout the same seed
-    gives the same forest, and a partition recomputed after an executor loss gets the same draws."""
-    n = partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(n, *POINT_KEYS).sortWithinPartitions(*POINT_KEYS)
+    gives the same forest on any cluster, and a partition recomputed after an executor loss gets the same draws."""
+    return df.repartition(partitions, *POINT_KEYS).sortWithinPartitions(*POINT_KEYS)
 
 
 def train_models(points: DataFrame, how: str = "hash", fraction: float = TRAIN_FRACTION, seed: int = 12345,
                  tree_path: str | None = None, forest_path: str | None = None,
-                 partitions: int | None = None, write_points: bool = True) -> Trained:
-    """C1 after the points: write them once (shared folder), split, cache the training side (M5), fit both
-    models, optionally save them (IO5, IO6). The split, the fits and the report all read the written points."""
+                 partitions: int = FIT_PARTITIONS, write_points: bool = True, models=("tree", "forest")) -> Trained:
+    """C1 after the points: write them once (shared folder), split, cache the training side (M5), fit the ``models``
+    asked for, optionally save them (IO5, IO6). The split, the fits and the report all read the written points."""
     if write_points:
         points = materialize(points, "labeled-points")
     pts = _with_label_metadata(assemble(points))
@@ -121,21 +126,22 @@ def train_models(points: DataFrame, how: str = "hash", fraction: float = TRAIN_F
         # the two fits are independent jobs over the same cached rows: submit them together so the cluster runs
         # their stages side by side (each seeded; concurrency does not change either model)
         with ThreadPoolExecutor(max_workers=2) as pool:
-            tree_f, forest_f = pool.submit(fit_tree, train), pool.submit(fit_forest, train)
-            tree, forest = tree_f.result(), forest_f.result()
+            tree_f = pool.submit(fit_tree, train) if "tree" in models else None
+            forest_f = pool.submit(fit_forest, train) if "forest" in models else None
+            tree, forest = (f and f.result() for f in (tree_f, forest_f))
     finally:
         train.unpersist()
-    if tree_path:
+    if tree_path and tree:
         save_model(tree, tree_path)
-    if forest_path:
+    if forest_path and forest:
         save_model(forest, forest_path)
     return Trained(tree, forest, pts, train, test)
 
 
 def train(samples: DataFrame, gap: int = DEFAULT_GAP, width: int = DEFAULT_WIDTH, anchor: str = "stop",
-          user_cap: int | None = DEFAULT_USER_CAP, how: str = "hash", **kw) -> Trained:
-    """The whole training job."""
-    return train_models(labeled_points(samples, gap=gap, width=width, anchor=anchor, user_cap=user_cap),
+          user_cap: int | None = None, how: str = "hash", method: str = "chunk", **kw) -> Trained:
+    """The whole training job, on all users unless ``user_cap`` is given."""
+    return train_models(labeled_points(samples, gap=gap, width=width, anchor=anchor, user_cap=user_cap, method=method),
                         how=how, **kw)
 
 

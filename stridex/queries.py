@@ -28,7 +28,7 @@ from .operators import selection as sel
 from .operators import sessions as ses
 from .plans import prediction as pred
 from .plans import training as tr
-from .schema import FEATURES, KEYS
+from .schema import FEATURES, KEYS, LABELS
 from .sources import readers as rd
 
 DAY = 86_400 * 10**9
@@ -84,15 +84,15 @@ def q_scan_live(spark, d):
 
 
 def q_filter_user(spark, d):
-    return sel.filter_user(_training(spark, d), USER)
+    return sel.filter_user(rd.training_from_events(spark, d, users=[USER]), USER)
 
 
 def q_filter_user_activity(spark, d):
-    return sel.filter_user_activity(_training(spark, d), USER, ACTIVITY)
+    return sel.filter_user_activity(rd.training_from_events(spark, d, users=[USER]), USER, ACTIVITY)
 
 
 def q_filter_open_range(spark, d):
-    return sel.filter_open_range(_training(spark, d), RANGE_LO, RANGE_HI)
+    return sel.filter_open_range(rd.training_from_events(spark, d, after=RANGE_LO, before=RANGE_HI), RANGE_LO, RANGE_HI)
 
 
 def q_activity_domain(spark, d):
@@ -118,11 +118,11 @@ def q_capped_users(spark, d):
 
 def q_restrict_users(spark, d):
     t = _training(spark, d)
-    return sel.restrict_to_users(t, sel.capped_users(t, 10), bound=10)
+    return sel.restrict_to_users(t, sel.capped_users(t, 10))
 
 
 def q_latest_n_user(spark, d):
-    return sel.latest_n_user(_live(spark, d), USER, LATEST_REF)
+    return sel.latest_n_user(rd.live_from_events(spark, d, users=[USER]), USER, LATEST_REF)
 
 
 def q_latest_n_all_users(spark, d):
@@ -252,21 +252,21 @@ def q_features_requested_users(spark, d):
 
 def q_features_interval(spark, d):
     a = iv.assign_intervals(_domain(spark, d), **SET_A)
-    return rounded(feat.features(a, tr.POINT_KEYS))
+    return rounded(feat.features(a, tr.POINT_KEYS, written=True))
 
 
 def q_features_interval_b(spark, d):
     a = iv.assign_intervals(_domain(spark, d), **SET_B)
-    return rounded(feat.features(a, tr.POINT_KEYS))
+    return rounded(feat.features(a, tr.POINT_KEYS, written=True))
 
 
 def q_features_tiled(spark, d):
     a = iv.assign_intervals(_domain(spark, d), anchor="start", **SET_A)
-    return rounded(feat.features(a, tr.POINT_KEYS))
+    return rounded(feat.features(a, tr.POINT_KEYS, written=True))
 
 
 def _points(spark, d, params=SET_A):
-    return tr.labeled_points(_training(spark, d), user_cap=None, **params)
+    return tr.labeled_points(_training(spark, d), **params)
 
 
 def q_labeled_points(spark, d):
@@ -278,58 +278,131 @@ def q_hash_split(spark, d):
     return p.select(*tr.POINT_KEYS, "label", "is_train")
 
 
-def _trained(spark, d) -> tr.Trained:
-    return tr.train_models(_points(spark, d))
+# Models are checked on samples made separable: every axis is shifted by a large multiple of the class, so the class of a
+# group is the prediction a right model must give. Training samples have the class of their activity; live samples, which
+# have none, the class user id mod 4. The class reaches the axes only; predictions come from the models.
+SHIFT = 10_000.0
+
+
+def _shifted(df, klass):
+    return df.withColumns({c: F.col(c) + k * SHIFT * klass for c, k in (("x", 2), ("y", 1), ("z", 1))})
+
+
+def _user_class():
+    return F.pmod(F.col("user_id").cast("long"), F.lit(4)).cast("double")
+
+
+def _live_shifted(live):
+    return _shifted(live, _user_class())
+
+
+def _trained(spark, d, *models, **kw) -> tr.Trained:
+    from .functions import label_index
+    s = _domain(spark, d)
+    points = tr.labeled_points(_shifted(s, label_index("activity")), **SET_A)
+    return tr.train_models(points, models=models or ("tree", "forest"), **kw)
 
 
 def q_train_tree(spark, d):
-    t = _trained(spark, d)
+    t = _trained(spark, d, "tree")
     return t.tree.transform(t.test).select(*tr.POINT_KEYS, "label", "prediction")
 
 
 def q_train_forest(spark, d):
-    t = _trained(spark, d)
+    t = _trained(spark, d, "forest")
     from .plans.voting import majority_vote
     return majority_vote(t.forest, t.test).select(*tr.POINT_KEYS, "label", "prediction")
 
 
 def q_training_report(spark, d):
-    return _trained(spark, d).report()
+    """C1 with its default arguments but for the scaled times: all users, both models, the report."""
+    from .functions import label_index
+    return tr.train(_shifted(_domain(spark, d), label_index("activity")), **SET_A).report()
+
+
+def q_save_load_tree(spark, d):
+    """IO5/IO8: save, load, predict with the loaded model."""
+    from .sources.models import load_tree
+    path = scratch_path(spark, "tree-model")
+    t = _trained(spark, d, "tree", tree_path=path)
+    return load_tree(path).transform(t.test).select(*tr.POINT_KEYS, "label", "prediction")
+
+
+def q_save_load_forest(spark, d):
+    """IO6/IO7."""
+    from .plans.voting import majority_vote
+    from .sources.models import load_forest
+    path = scratch_path(spark, "forest-model")
+    t = _trained(spark, d, "forest", forest_path=path)
+    return majority_vote(load_forest(path), t.test).select(*tr.POINT_KEYS, "label", "prediction")
+
+
+def q_random_split(spark, d):
+    """M4, random form: how often each point is on either side (once, in all), and whether the share is near 60 %."""
+    a, b = tr.split(_points(spark, d), how="random")
+    both = a.select(*tr.POINT_KEYS, F.lit(1).alias("t")).unionByName(b.select(*tr.POINT_KEYS, F.lit(0).alias("t")))
+    share = both.agg(F.avg("t").alias("s")).select(F.col("s").between(0.5, 0.7).alias("share_ok"))
+    return both.groupBy(*tr.POINT_KEYS).agg(F.count(F.lit(1)).alias("times")).join(F.broadcast(share))
 
 
 def q_predict_tree(spark, d):
-    t = _trained(spark, d)
-    return pred.predict(_live(spark, d), t.tree, LATEST_REF, as_of=AS_OF)
+    t = _trained(spark, d, "tree")
+    return pred.predict(_live_shifted(_live(spark, d)), t.tree, LATEST_REF, as_of=AS_OF)
 
 
 def q_predict_forest(spark, d):
-    t = _trained(spark, d)
-    return pred.predict(_live(spark, d), t.forest, LATEST_REF, vote="average", as_of=AS_OF)
+    t = _trained(spark, d, "forest")
+    return pred.predict(_live_shifted(_live(spark, d)), t.forest, LATEST_REF, vote="average", as_of=AS_OF)
 
 
 def q_predict_majority(spark, d):
-    t = _trained(spark, d)
-    return pred.predict(_live(spark, d), t.forest, LATEST_REF, vote="majority", as_of=AS_OF)
+    t = _trained(spark, d, "forest")
+    return pred.predict(_live_shifted(_live(spark, d)), t.forest, LATEST_REF, vote="majority", as_of=AS_OF)
+
+
+def q_predict_user(spark, d):
+    """One known and one unknown user (whose features are zeros)."""
+    t = _trained(spark, d, "tree")
+    users = [USER, "nobody"]
+    return pred.predict(_live_shifted(rd.live_from_events(spark, d, users=users)), t.tree, LATEST_REF, users=users,
+                        as_of=AS_OF)
 
 
 def q_predict_store(spark, d):
-    t = _trained(spark, d)
+    t = _trained(spark, d, "forest")
     out = scratch_path(spark, "predictions")
-    pred.predict_and_store(_live(spark, d), t.forest, out, n=LATEST_REF, as_of=AS_OF)
+    pred.predict_and_store(_live_shifted(_live(spark, d)), t.forest, out, n=LATEST_REF, as_of=AS_OF)
     from .sources.sinks import read_predictions
     return read_predictions(spark, out)
 
 
-def q_stream_predict(spark, d):
+def _streamed(spark, d, model, n, stateful, prepare=lambda df: df):
     from .streaming import stream_predict_events
-    t = _trained(spark, d)
-    return stream_predict_events(spark, d, t.forest, n=LATEST_REF, stateful=False, as_of=AS_OF)
+    return stream_predict_events(spark, d, model, n=n, stateful=stateful, as_of=AS_OF, prepare=prepare)
+
+
+def q_stream_predict(spark, d):
+    return _streamed(spark, d, _trained(spark, d, "forest").forest, LATEST_REF, False, _live_shifted)
 
 
 def q_stream_predict_state(spark, d):
-    from .streaming import stream_predict_events
-    t = _trained(spark, d)
-    return stream_predict_events(spark, d, t.forest, n=LATEST_REF, stateful=True, as_of=AS_OF)
+    return _streamed(spark, d, _trained(spark, d, "forest").forest, LATEST_REF, True, _live_shifted)
+
+
+def q_stream_features(spark, d):
+    """IO3, ST1, ST3: what a stream computes for each user's newest 20 samples."""
+    return rounded(_streamed(spark, d, None, LATEST_SMALL, False))
+
+
+def q_stream_features_state(spark, d):
+    return rounded(_streamed(spark, d, None, LATEST_SMALL, True))
+
+
+def q_rejected_samples(spark, d):
+    """Q21: rows that features leave out. Every 50th event loses its y here, as the given table has no bad axes."""
+    t = _training(spark, d)
+    bad = t.withColumn("y", F.when(F.pmod(F.expr("timestamp div 1000"), F.lit(50)) != 0, F.col("y")))
+    return rd.rejected_samples(bad).select("user_id", "activity", "timestamp")
 
 
 QUERIES: dict[str, Query] = {
@@ -387,6 +460,13 @@ QUERIES: dict[str, Query] = {
     "predict_store": q_predict_store,
     "stream_predict": q_stream_predict,
     "stream_predict_state": q_stream_predict_state,
+    "stream_features": q_stream_features,
+    "stream_features_state": q_stream_features_state,
+    "save_load_tree": q_save_load_tree,
+    "save_load_forest": q_save_load_forest,
+    "random_split": q_random_split,
+    "predict_user": q_predict_user,
+    "rejected_samples": q_rejected_samples,
 }
 
 
@@ -408,7 +488,7 @@ training AS (
 clean AS (
   SELECT * FROM training WHERE user_id IS NOT NULL AND activity IS NOT NULL AND "timestamp" IS NOT NULL
 ),
-live AS (SELECT user_id, "timestamp", x, y, z FROM clean),
+live AS (SELECT user_id, "timestamp", x, y, z FROM training WHERE user_id IS NOT NULL AND "timestamp" IS NOT NULL),
 dom AS (SELECT * FROM clean WHERE activity IN ('Walking', 'Jogging', 'Standing', 'Sitting'))
 """
 
@@ -515,7 +595,8 @@ def _key_feature_sql(cols: list[str], with_n: bool = False) -> str:
 def _latest_cte(n: int, src: str = "live") -> str:
     return f"""latest AS (
   SELECT user_id, "timestamp", x, y, z FROM (
-    SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY "timestamp" DESC) AS rn FROM {src}
+    SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY "timestamp" DESC, x NULLS FIRST, y NULLS FIRST,
+           z NULLS FIRST) AS rn FROM {src}
     WHERE {_AXES_OK}) q
   WHERE rn <= {n})"""
 
@@ -630,6 +711,25 @@ def _oracle() -> dict[str, str]:
     o["hash_split"] = (_with(*ctes) + f"SELECT user_id, activity, session_id, i, {_label_case()} AS label, "
                        f"((CAST(('0x' || substr(md5({key_text}), 1, 8)) AS BIGINT)) % 100) < 60 AS is_train "
                        f"FROM f_all WHERE {_label_case()} IS NOT NULL")
+    is_train = (f"((CAST(('0x' || substr(md5({key_text}), 1, 8)) AS BIGINT)) % 100) < 60")
+    held_out = (_with(*ctes) + f"SELECT user_id, activity, session_id, i, {_label_case()} AS label, "
+                f"{_label_case()} AS prediction FROM f_all WHERE {_label_case()} IS NOT NULL AND NOT {is_train}")
+    for name in ("train_tree", "train_forest", "save_load_tree", "save_load_forest"):
+        o[name] = held_out
+    o["training_report"] = (_with(*ctes) + "SELECT count(*) AS n_points, 1.0::DOUBLE AS dt_accuracy, "
+                            f"1.0::DOUBLE AS rf_accuracy FROM f_all WHERE {_label_case()} IS NOT NULL")
+    o["random_split"] = (_with(*ctes) + "SELECT user_id, activity, session_id, i, 1::BIGINT AS times, true AS share_ok "
+                         f"FROM f_all WHERE {_label_case()} IS NOT NULL")
+    text = "CASE CAST(user_id AS BIGINT) % 4 " + " ".join(f"WHEN {k} THEN '{x}'" for k, x in enumerate(LABELS)) + " END"
+    predicted = _with() + (f"SELECT DISTINCT user_id, {AS_OF}::BIGINT AS \"timestamp\", {text} AS prediction FROM live "
+                           f"WHERE {_AXES_OK}")
+    for name in ("predict_tree", "predict_forest", "predict_majority", "predict_store", "stream_predict",
+                 "stream_predict_state"):
+        o[name] = predicted
+    o["predict_user"] = predicted + (f" AND user_id = '{USER}' UNION ALL SELECT 'nobody', {AS_OF}::BIGINT, '{LABELS[0]}'")
+    o["stream_features"] = o["stream_features_state"] = o["features_latest_small"]
+    o["rejected_samples"] = _with() + ('SELECT user_id, activity, "timestamp" FROM clean WHERE "timestamp" // 1000 % 50 = 0 '
+                                       f"OR NOT ({_AXES_OK})")
     return o
 
 

@@ -29,8 +29,9 @@ PEAK_RATIO = 0.9
 TREE_PARAMS = dict(impurity="gini", maxDepth=20, maxBins=32)
 FOREST_PARAMS = dict(numTrees=10, featureSubsetStrategy="auto", impurity="gini", maxDepth=20, maxBins=32, seed=12345)
 TRAIN_FRACTION = 0.6
-# Execution settings of the tree learners (they change speed, not the learned trees): node ids cached on the
-# executors instead of shipping trees, bigger node batches per pass, node-id cache checkpointed every 10 passes.
+# Execution settings of the tree learners: node ids cached on the executors instead of shipping trees, bigger node
+# batches per pass, node-id cache checkpointed every 10 passes. The batch size can change the order in which a forest
+# draws its feature subsets, so it belongs to the forest's definition as the seed does.
 FIT_SETTINGS = dict(cacheNodeIds=True, maxMemoryInMB=1024, checkpointInterval=10)
 
 KEYS = ["user_id", "activity"]

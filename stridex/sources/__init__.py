@@ -1,8 +1,8 @@
 from .readers import (read_training, read_live, read_events, events_as_training, events_as_live, stream_live,
                       stream_events_as_live, valid_axes, validate_samples)
-from .sinks import append_predictions, write_batch_predictions, read_predictions, console_sink
+from .sinks import append_predictions, write_batch, read_predictions
 from .models import save_model, load_tree, load_forest
 
 __all__ = ["read_training", "read_live", "read_events", "events_as_training", "events_as_live", "stream_live",
-           "stream_events_as_live", "valid_axes", "validate_samples", "append_predictions", "write_batch_predictions",
-           "read_predictions", "console_sink", "save_model", "load_tree", "load_forest"]
+           "stream_events_as_live", "valid_axes", "validate_samples", "append_predictions", "write_batch",
+           "read_predictions", "save_model", "load_tree", "load_forest"]

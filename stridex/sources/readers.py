@@ -76,6 +76,27 @@ def _activity(event_type: Column) -> Column:
     return expr
 
 
+def raw_predicate(users=None, after: int | None = None, before: int | None = None) -> Column:
+    """User names and an open time range (nanoseconds) as a predicate on the raw events columns, which reaches the scan.
+
+    ``users`` that are no integer match no event. ``after`` and ``before`` are excluded; event times are whole
+    microseconds, so the range is first taken to microseconds without loss."""
+    cond = F.lit(True)
+    if users is not None:
+        ids = [int(u) for u in users if str(u).lstrip("-").isdigit() and str(int(u)) == str(u)]
+        cond = cond & F.col("user_id").isin(ids)
+    for ns, low in ((after, True), (before, False)):
+        if ns is not None:
+            at = F.expr(f"TIMESTAMP_NTZ'{_instant(ns // 1000 if low else -(-ns // 1000))}'")
+            cond = cond & ((F.col("ts") > at) if low else (F.col("ts") < at))
+    return cond
+
+
+def _instant(micros: int) -> str:
+    from datetime import datetime, timedelta
+    return (datetime(1970, 1, 1) + timedelta(microseconds=micros)).isoformat(sep=" ", timespec="microseconds")
+
+
 def _adapt(events: DataFrame, with_activity: bool) -> DataFrame:
     """The events adapter: timestamp in nanoseconds since epoch (zone free), axes derived from value, props, id.
 
@@ -83,8 +104,9 @@ def _adapt(events: DataFrame, with_activity: bool) -> DataFrame:
     parsed once per row by a ``json_tuple`` generator, which Catalyst drops -- and with it the props column --
     when no step uses ``y``.
     """
-    raw = events.where(F.col("user_id").isNotNull() & F.col("ts").isNotNull()
-                       & F.col("event_type").isin(list(EVENT_ACTIVITY)))
+    raw = events.where(F.col("user_id").isNotNull() & F.col("ts").isNotNull())
+    if with_activity:                    # a live sample needs no activity, so any type of event is one
+        raw = raw.where(F.col("event_type").isin(list(EVENT_ACTIVITY)))
     parsed = raw.select("*", F.json_tuple("props", "k").alias("_k"))
     cols = [F.col("user_id").cast("string").alias("user_id")]
     if with_activity:
@@ -106,12 +128,14 @@ def events_as_live(events: DataFrame) -> DataFrame:
     return _adapt(events, with_activity=False)
 
 
-def training_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return events_as_training(read_events(spark, sf_dir))
+def training_from_events(spark: SparkSession, sf_dir: str, **wanted) -> DataFrame:
+    """Training samples of the events table; ``wanted`` as in ``raw_predicate``."""
+    return events_as_training(read_events(spark, sf_dir).where(raw_predicate(**wanted)))
 
 
-def live_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return events_as_live(read_events(spark, sf_dir))
+def live_from_events(spark: SparkSession, sf_dir: str, **wanted) -> DataFrame:
+    """Live samples of the events table; ``wanted`` as in ``raw_predicate``."""
+    return events_as_live(read_events(spark, sf_dir).where(raw_predicate(**wanted)))
 
 
 def stream_live(spark: SparkSession, path: str, fmt: str = "parquet", max_files_per_trigger: int | None = None,

@@ -1,6 +1,13 @@
-"""Sinks (IO4, IO9): prediction rows ``PREDICTION``; per-batch folders make stream replays idempotent."""
+"""Sinks (IO4, IO9): prediction rows ``PREDICTION``; per-batch folders make stream replays idempotent.
+
+A stream writes each micro-batch to ``run=<id>/batch_id=<n>``, overwritten if the batch is replayed. The run id comes from
+the checkpoint folder, which is what numbers the batches: a restart from the same checkpoint goes on in the same run, a
+fresh checkpoint starts a run of its own and leaves earlier results alone.
+"""
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 
 from ..schema import PREDICTION
@@ -13,15 +20,20 @@ def append_predictions(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     df.select(*_COLS).write.mode("append").format(fmt).save(path)
 
 
-def write_batch_predictions(df: DataFrame, path: str, batch_id: int, fmt: str = "parquet") -> None:
-    """IO4 inside ``foreachBatch``: one folder per batch id, overwritten, so a replayed batch never duplicates."""
-    df.select(*_COLS).write.mode("overwrite").format(fmt).save(f"{path.rstrip('/')}/batch_id={int(batch_id)}")
+def run_id(checkpoint: str) -> str:
+    return hashlib.sha256(checkpoint.rstrip("/").encode()).hexdigest()[:12]
+
+
+def batch_folder(path: str, run: str, batch_id: int) -> str:
+    return f"{path.rstrip('/')}/run={run}/batch_id={int(batch_id)}"
 
 
-def read_predictions(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    return spark.read.format(fmt).load(path)
+def write_batch(df: DataFrame, path: str, run: str, batch_id: int, fmt: str = "parquet") -> None:
+    """IO4 inside ``foreachBatch``: one folder per run and batch, overwritten, so a replayed batch never duplicates."""
+    df.write.mode("overwrite").format(fmt).save(batch_folder(path, run, batch_id))
 
 
-def console_sink(df: DataFrame, n: int = 20):
-    """IO9: print the first rows of every micro-batch (debugging only)."""
-    return df.writeStream.format("console").option("numRows", n).option("truncate", "false")
+def read_predictions(spark: SparkSession, path: str, fmt: str = "parquet", with_batch: bool = False) -> DataFrame:
+    """``PREDICTION`` rows of a sink; ``with_batch`` adds the stream's ``run`` and ``batch_id``."""
+    df = spark.read.format(fmt).load(path)
+    return df.select(*_COLS, *(c for c in ("run", "batch_id") if with_batch and c in df.columns))

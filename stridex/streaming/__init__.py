@@ -1,5 +1,3 @@
-from .live_prediction import (buffer_update, partial_top_n, start_prediction_stream,
-                              stream_predict_events)
+from .live_prediction import NewestTable, bucketed, start_prediction_stream, stream_predict_events
 
-__all__ = ["buffer_update", "partial_top_n", "start_prediction_stream",
-           "stream_predict_events"]
+__all__ = ["NewestTable", "bucketed", "start_prediction_stream", "stream_predict_events"]

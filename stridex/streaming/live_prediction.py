@@ -2,26 +2,23 @@
 
 ST1 (``stateful=False``): every micro-batch names the users that got new samples; their newest N samples are read
 from the live table (a late sample counts only if it is among the newest N, as in the reference), featurised,
-classified and written to ``sink/batch_id=<id>`` (overwritten, so a replayed batch never duplicates rows).
+classified and written to the batch's folder of the sink. A table with a ``user_bucket`` column (``bucketed``), stored
+partitioned by it, is read in the touched buckets only.
 
-ST2 (``stateful=True``): the newest N samples of every user are kept in Spark state (``applyInPandasWithState``,
-N rows per user, so state grows with users, not samples). Before the shuffle into the state operator each
-partition keeps only its newest N rows per user, so a user holding a third of all samples sends at most N rows per
-task. Each batch emits the buffers of the users it touched; ``foreachBatch`` featurises and classifies them.
+ST2 (``stateful=True``): the newest N samples of every user are kept as a table in the checkpoint folder, in buckets by
+user hash. Each batch reads the buckets it touches, adds its own newest N per user, keeps the newest N again and
+writes these buckets as a new version: all of it in the JVM, linear in the batch and the touched buckets, and the
+table grows with users, not samples. A replayed batch starts from the same earlier version and overwrites its own.
 
-Recovery (ST4) is Structured Streaming's: offsets, commits and state live under the checkpoint folder in the
+Recovery (ST4) is Structured Streaming's: offsets, commits and the table live under the checkpoint folder in the
 cluster's shared folder; a restart resumes from there.
 """
 from __future__ import annotations
 
-import sys
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
-import pandas as pd
-from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupStateTimeout
 
 from ..config import scratch_path
 from ..operators.features import features
@@ -29,103 +26,136 @@ from ..operators.selection import latest_n, restrict_to_users
 from ..plans.prediction import classify, now_millis
 from ..schema import ACCEL_LIVE, DEFAULT_LATEST_N
 from ..sources.readers import live_from_events, stream_events_as_live, valid_axes
-from ..sources.sinks import read_predictions, write_batch_predictions
+from ..sources.sinks import batch_folder, read_predictions, run_id, write_batch
 
-# The pandas helpers below run in Python workers. Pickle this module's functions by value, so executors need
-# nothing but pandas: the package does not have to be installed or shipped there.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
-
-BUFFER_STATE = "ts array<bigint>, x array<double>, y array<double>, z array<double>"
+BUCKETS = 32
 _COLS = ACCEL_LIVE.fieldNames()
 
 
+def bucketed(live: DataFrame, buckets: int = BUCKETS) -> DataFrame:
+    """Live samples with ``user_bucket``, by which a live table should be stored (``partitionBy("user_bucket")``)."""
+    return live.withColumn("user_bucket", F.pmod(F.xxhash64("user_id"), F.lit(buckets)).cast("int"))
+
+
 def _stamp(as_of) -> Column:
     if as_of is None:
         return now_millis()
     return as_of if isinstance(as_of, Column) else F.lit(int(as_of))
 
 
-def _emit(feats: DataFrame, model, vote: str, as_of, sink: str, batch_id: int, console: int = 0) -> None:
-    res = classify(feats, model, vote)
-    out = res.select("user_id", _stamp(as_of).cast("long").alias("timestamp"), F.col("activity").alias("prediction"))
-    write_batch_predictions(out, sink, batch_id)
+def _emit(feats: DataFrame, model, vote: str, as_of, sink: str, run: str, batch_id: int, console: int = 0) -> None:
+    out = feats
+    if model is not None:
+        res = classify(feats, model, vote)
+        out = res.select("user_id", _stamp(as_of).cast("long").alias("timestamp"), F.col("activity").alias("prediction"))
+    write_batch(out, sink, run, batch_id)
     if console:                      # IO9: the first rows of every batch, read back from what was just written
         print(f"-- batch {batch_id}")
-        read_predictions(out.sparkSession, f"{sink.rstrip('/')}/batch_id={int(batch_id)}").show(console, False)
-
-
-def _newest(pdf: pd.DataFrame, n: int) -> pd.DataFrame:
-    return pdf.sort_values("timestamp", ascending=False, kind="stable").groupby("user_id", sort=False).head(n)
-
-
-def partial_top_n(n: int) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
-    """Per partition: keep only the newest ``n`` rows of every user (the map-side half of a top-N)."""
-    def run(batches):
-        keep = None
-        for pdf in batches:
-            keep = _newest(pdf if keep is None else pd.concat([keep, pdf], ignore_index=True), n)
-        if keep is not None and len(keep):
-            yield keep[_COLS]
-    return run
-
-
-def buffer_update(n: int):
-    """ST2 state function: merge the batch's rows into the user's buffer, keep the newest ``n``, emit the buffer."""
-    def update(key, batches, state):
-        (user,) = key
-        if state.exists:
-            ts, xs, ys, zs = state.get
-            keep = pd.DataFrame({"user_id": user, "timestamp": list(ts), "x": list(xs), "y": list(ys), "z": list(zs)})
-        else:
-            keep = None
-        for pdf in batches:
-            keep = _newest(pdf if keep is None else pd.concat([keep, pdf], ignore_index=True), n)
-        keep = keep[_COLS].reset_index(drop=True)
-        state.update((keep["timestamp"].astype("int64").tolist(), keep["x"].tolist(), keep["y"].tolist(),
-                      keep["z"].tolist()))
-        yield keep
-    return update
+        out.sparkSession.read.parquet(batch_folder(sink, run, batch_id)).show(console, False)
+
+
+class NewestTable:
+    """ST2's table: ``path/version=<batch>/user_bucket=<b>``; the newest version of a bucket holds all its users."""
+
+    def __init__(self, spark: SparkSession, path: str, n: int, buckets: int = BUCKETS):
+        self.spark, self.path, self.n, self.buckets = spark, path.rstrip("/"), n, buckets
+
+    def _folders(self) -> list[tuple[int, int]]:
+        """(bucket, version) of every folder; at most a few per bucket, as ``trim`` removes what no replay can need."""
+        jvm = self.spark._jvm
+        fs_path = jvm.org.apache.hadoop.fs.Path(f"{self.path}/version=*/user_bucket=*")
+        found = fs_path.getFileSystem(self.spark._jsc.hadoopConfiguration()).globStatus(fs_path)
+        names = [str(f.getPath().toString()).split("/")[-2:] for f in found or []]
+        return [(int(b.split("=")[1]), int(v.split("=")[1])) for v, b in names]
+
+    def _folder(self, version: int, bucket: int) -> str:
+        return f"{self.path}/version={version}/user_bucket={bucket}"
+
+    def update(self, batch: DataFrame, batch_id: int) -> DataFrame:
+        """Merge a batch; the newest N samples of the users it touches."""
+        new = bucketed(latest_n(valid_axes(batch.select(*_COLS)), self.n), self.buckets)
+        touched = [r[0] for r in new.select("user_bucket").distinct().collect()]       # at most ``buckets``
+        held: dict[int, int] = {}
+        for b, v in self._folders():
+            if v < batch_id and b in touched:
+                held[b] = max(v, held.get(b, -1))
+        rows = new.select(*_COLS)
+        if held:
+            old = self.spark.read.schema(ACCEL_LIVE).parquet(*[self._folder(v, b) for b, v in sorted(held.items())])
+            rows = rows.unionByName(old.select(*_COLS))
+        merged = bucketed(latest_n(rows, self.n), self.buckets)
+        (merged.repartition("user_bucket").write.mode("overwrite").partitionBy("user_bucket")
+         .parquet(f"{self.path}/version={batch_id}"))
+        if not touched:
+            return batch.select(*_COLS).limit(0)
+        now = self.spark.read.schema(ACCEL_LIVE).parquet(*[self._folder(batch_id, b) for b in sorted(touched)])
+        return restrict_to_users(now, batch.select("user_id").distinct())
+
+    def trim(self, batch_id: int) -> None:
+        """Remove versions that a bucket's newest version before ``batch_id`` supersedes."""
+        last: dict[int, int] = {}
+        folders = self._folders()
+        for b, v in folders:
+            if v < batch_id:
+                last[b] = max(v, last.get(b, -1))
+        for b, v in folders:
+            if v < last.get(b, -1):
+                p = self.spark._jvm.org.apache.hadoop.fs.Path(self._folder(v, b))
+                p.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def _touched(table: DataFrame, users: DataFrame) -> DataFrame:
+    """The rows of the given users; of a bucketed table only the users' buckets are read."""
+    if "user_bucket" in table.columns:
+        n = table.agg(F.max("user_bucket")).first()[0]
+        names = [r[0] for r in bucketed(users, (n or 0) + 1).select("user_bucket").distinct().collect()]
+        table = table.where(F.col("user_bucket").isin(names))
+    return restrict_to_users(table, users)
 
 
 def start_prediction_stream(stream: DataFrame, model, sink: str, checkpoint: str,
                             table: Callable[[], DataFrame] | None = None, n: int = DEFAULT_LATEST_N,
                             stateful: bool = True, vote: str = "majority", as_of=None,
-                            trigger: dict | None = None, console: int = 0):
+                            trigger: dict | None = None, console: int = 0, buckets: int = BUCKETS):
     """Start C3 on a streaming frame of live samples. ``stateful=True`` (ST2, the default) keeps each user's newest
-    N samples in state; ``stateful=False`` (ST1) re-reads ``table()`` for the touched users every batch, as the
-    reference did -- fine when the table is partitioned or clustered by user, a full scan per batch otherwise.
+    N samples as a table; ``stateful=False`` (ST1) reads ``table()`` for the touched users every batch, as the
+    reference did -- fine when the table is bucketed by user, a full scan per batch otherwise.
     ``trigger`` defaults to ``{"availableNow": True}`` (R4);
     ``{"processingTime": "5 seconds"}`` is the reference's cadence (R5). ``console=k`` prints the first ``k``
-    predictions of every batch (IO9)."""
+    predictions of every batch (IO9). Without a ``model`` the sink gets the features."""
     trigger = trigger or {"availableNow": True}
+    run = run_id(checkpoint)
     if stateful:
-        reduced = valid_axes(stream.select(*_COLS)).mapInPandas(partial_top_n(n), schema=ACCEL_LIVE)
-        buffers = reduced.groupBy("user_id").applyInPandasWithState(
-            buffer_update(n), outputStructType=ACCEL_LIVE, stateStructType=BUFFER_STATE,
-            outputMode="append", timeoutConf=GroupStateTimeout.NoTimeout)
+        newest = NewestTable(stream.sparkSession, f"{checkpoint.rstrip('/')}/newest", n, buckets)
 
         def per_batch(batch: DataFrame, batch_id: int):
-            _emit(features(batch, ["user_id"], bounded=True), model, vote, as_of, sink, batch_id, console)
-        src = buffers
+            rows = newest.update(batch, batch_id)
+            _emit(features(rows, ["user_id"], bounded=True), model, vote, as_of, sink, run, batch_id, console)
+            newest.trim(batch_id)
     else:
+        if table is None:
+            raise ValueError("stateful=False needs the live table: a micro-batch alone is no history")
+
         def per_batch(batch: DataFrame, batch_id: int):
-            users = batch.select("user_id").distinct()
-            live = valid_axes(restrict_to_users(table(), users) if table is not None else batch)
-            _emit(features(latest_n(live, n), ["user_id"], bounded=True), model, vote, as_of, sink, batch_id,
-                  console)
-        src = stream
-    w = src.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint).trigger(**trigger)
+            live = valid_axes(_touched(table(), batch.select("user_id").distinct()))
+            _emit(features(latest_n(live.select(*_COLS), n), ["user_id"], bounded=True), model, vote, as_of, sink, run,
+                  batch_id, console)
+    w = stream.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint).trigger(**trigger)
     return w.start()
 
 
 def stream_predict_events(spark: SparkSession, sf_dir: str, model, n: int = DEFAULT_LATEST_N,
                           stateful: bool = False, vote: str = "majority", as_of=None,
-                          sink: str | None = None, checkpoint: str | None = None) -> DataFrame:
-    """One-shot (availableNow) run of C3 over the driver's events table as a file stream; returns the sink table."""
+                          sink: str | None = None, checkpoint: str | None = None,
+                          prepare: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
+    """One-shot (availableNow) run of C3 over the driver's events table as a file stream; returns the sink's rows
+    (predictions, or features without a ``model``). ``prepare`` is applied to the stream and the table."""
     sink = sink or scratch_path(spark, "stream-predictions")
     checkpoint = checkpoint or scratch_path(spark, "stream-checkpoint")
-    q = start_prediction_stream(stream_events_as_live(spark, sf_dir), model, sink, checkpoint,
-                                table=lambda: live_from_events(spark, sf_dir), n=n, stateful=stateful, vote=vote,
+    q = start_prediction_stream(prepare(stream_events_as_live(spark, sf_dir)), model, sink, checkpoint,
+                                table=lambda: prepare(live_from_events(spark, sf_dir)), n=n, stateful=stateful, vote=vote,
                                 as_of=as_of)
     q.awaitTermination()
+    if model is None:
+        return spark.read.parquet(sink).drop("run", "batch_id")
     return read_predictions(spark, sink)

@@ -113,3 +113,26 @@ def test_four_classes_even_when_one_is_missing(samples):
     pts = tr.labeled_points(samples.where(F.col("activity") != "Sitting"), user_cap=3)
     t = tr.train_models(pts)
     assert t.tree.numClasses == 4 and t.forest.numClasses == 4
+
+
+def test_all_users_by_default(spark):
+    samples = m1(spark, users=14, extra_user=False)
+    assert tr.labeled_points(samples).select("user_id").distinct().count() == 14
+    assert tr.labeled_points(samples, method="range").select("user_id").distinct().count() == 14
+
+
+def test_forest_does_not_depend_on_the_cores(spark, tmp_shared):
+    """The same points and seed under local[2] and local[4] (separate sessions) give the same forest."""
+    import os
+    import subprocess
+    import sys
+    path = tmp_shared("points")
+    tr.labeled_points(m1(spark, users=5, extra_user=False)).write.parquet(path)
+    code = ("import sys; sys.path[:0] = [%r]\n"
+            "from stridex.config import local_session\nfrom stridex.plans import training as tr\n"
+            "s = local_session(cores=int(sys.argv[1]))\n"
+            "print('FOREST', hash(0), tr.train_models(s.read.parquet(%r), models=('forest',)).forest.toDebugString"
+            ".split('\\n', 1)[1].replace('\\n', ';'))\n") % (os.path.dirname(os.path.dirname(os.path.abspath(__file__))), path)
+    out = [[x for x in subprocess.run([sys.executable, "-c", code, n], capture_output=True, text=True, timeout=300)
+            .stdout.split("\n") if x.startswith("FOREST")] for n in ("2", "4")]
+    assert out[0] and out[0] == out[1]

@@ -61,3 +61,33 @@ def test_moment_features_need_no_join(spark):
 def test_partial_aggregation_before_shuffle(spark):
     plan = plan_of(E.queries()["time_bounds"](spark, SF_SMALL))
     assert re.search(r"partial_min\(timestamp", plan) and re.search(r"partial_count", plan)
+
+
+def test_driver_filters_reach_the_scan(spark):
+    """User and time predicates are translated to the raw event columns."""
+    from stridex.plans import prediction as pred
+    from stridex.sources.readers import live_from_events
+    old = spark.conf.get("spark.sql.maxMetadataStringLength")
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    try:
+        plans = {n: plan_of(E.queries()[n](spark, SF_SMALL)) for n in ("filter_user", "filter_open_range", "latest_n_user")}
+        plans["R1"] = plan_of(pred.latest_features(live_from_events(spark, SF_SMALL, users=["7", "x"]), 5, ["7", "x"]))
+    finally:
+        spark.conf.set("spark.sql.maxMetadataStringLength", old)
+    pushed = {n: re.findall(r"PushedFilters: \[([^\]]*)\]", p)[0] for n, p in plans.items()}
+    for n in ("filter_user", "latest_n_user", "R1"):
+        assert "EqualTo(user_id,7)" in pushed[n], (n, pushed[n])
+    assert "GreaterThan(ts,2024-01-01T00:00:07.179575)" in pushed["filter_open_range"]
+    assert "LessThan(ts,2024-01-11T00:00:07.179575)" in pushed["filter_open_range"]
+
+
+def test_named_users_of_a_sample_table_are_pushed(spark, tmp_shared):
+    path = tmp_shared("native")
+    E.queries()["scan_live"](spark, SF_SMALL).write.parquet(path)
+    plan = plan_of(sel.restrict_to_users(spark.read.parquet(path), ["7", "8"]))
+    assert "In(user_id, [7,8])" in plan and "Join" not in plan
+
+
+def test_range_join_runs_once(spark):
+    plan = plan_of(E.queries()["labeled_points"](spark, SF_SMALL), run=True)
+    assert "_b" not in plan.split("== Initial Plan ==")[0].replace("_base", "")

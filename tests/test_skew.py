@@ -71,14 +71,86 @@ def test_hot_user_latest_n_is_partially_limited(spark):
     assert "WindowGroupLimit" in plan and "Partial" in plan
 
 
-def test_hot_user_sessions_chunked(spark):
-    df = skewed(spark, hot_rows=20_000, cold_groups=10).select(
-        F.col("g").alias("user_id"), F.lit("Walking").alias("activity"), "timestamp")
-    s = ses.gap_sessions(df, gap=5, width=10, chunk=1000)
-    plan = s._jdf.queryExecution().executedPlan().toString()
-    assert "_chunk" in plan
-    hot = s.where(F.col("user_id") == "hot").collect()
-    assert len(hot) == 1 and hot[0].n_samples == 20_000 and hot[0].intervals == 19_999 // 10
+DAY = 86_400 * 10**9
+
+
+@pytest.mark.parametrize("gap", [0, DAY, 2 * DAY])
+def test_hot_user_sessions_with_default_arguments(spark, gap):
+    """One user holds a third of the rows. With default arguments no window, of rows or of chunk summaries, holds more
+    than a small share, whatever the gap, and the sessions are those of a plain scan."""
+    n, step = 30_000, 30 * DAY // 30_000
+    r = spark.range(0, n, numPartitions=8)
+    df = r.select(F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("u"), (F.col("id") % 997).cast("string")))
+                  .alias("user_id"), F.lit("Walking").alias("activity"),
+                  (F.col("id") * step + F.col("id") % 7).alias("timestamp"))
+    chunk = ses.default_chunk(df)
+    sizes = df.groupBy("user_id", F.floor(F.col("timestamp") / chunk).alias("c")).count()
+    assert sizes.agg(F.max("count")).first()[0] < 0.01 * n
+    far = sizes.groupBy("user_id", F.floor(F.col("c") / ses.FAN).alias("f")).count()
+    assert far.agg(F.max("count")).first()[0] <= ses.FAN
+    s = ses.gap_sessions(df, gap=gap, width=10)
+    assert "_chunk" in s._jdf.queryExecution().executedPlan().toString()
+    by = {}
+    for u, t in df.select("user_id", "timestamp").collect():
+        by.setdefault(u, []).append(t)
+    want = []
+    for u, ts in by.items():
+        ts.sort()
+        cut = [0] + [i for i in range(1, len(ts)) if ts[i] - ts[i - 1] > gap] + [len(ts)]
+        want += [(u, k, ts[a], ts[b - 1], b - a) for k, (a, b) in enumerate(zip(cut, cut[1:]))]
+    got = [(x.user_id, x.session_id, x.session_start, x.session_stop, x.n_samples) for x in s.collect()]
+    assert sorted(got) == sorted(want)
+
+
+@pytest.mark.parametrize("chunk", [1, 7, 50, 5000, 10**9])
+def test_sessions_at_any_chunk(spark, chunk):
+    """Chunks of one row, chunks over several far groups, one chunk: labels as in a plain scan."""
+    import random
+    rng = random.Random(chunk)
+    rows = [("ab"[rng.random() < 0.2], "Walking", rng.choice([rng.randrange(0, 3000), rng.randrange(0, 200_000)]))
+            for _ in range(700)]
+    rows = list({(u, t): (u, a, t) for u, a, t in rows}.values())
+    df = spark.createDataFrame(rows, "user_id string, activity string, timestamp long")
+    got = {(r.user_id, r.timestamp): (r.session_id, r.session_start, r.prev_timestamp)
+           for r in ses.label_sessions(df, gap=40, chunk=chunk).collect()}
+    want = {}
+    for u in "ab":
+        sid, start, prev = 0, None, None
+        for t in sorted(t for v, _, t in rows if v == u):
+            if prev is None:
+                start = t
+            elif t - prev > 40:
+                sid, start = sid + 1, t
+            want[u, t] = (sid, start, prev)
+            prev = t
+    assert got == want
+
+
+def test_hot_group_peaks_are_split(spark):
+    with conf(spark, SKEW_CONF):
+        for q in (feat.peak_rows, feat.peak_deltas):
+            df = q(skewed(spark), ["g"])
+            n = df.count()
+            out = q(skewed(spark), ["g"])
+            out.collect()
+            assert n > 10_000 and "skew=true" in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_latest_n_is_cut_before_the_shuffle_for_any_n(spark):
+    df = skewed(spark).withColumnRenamed("g", "user_id")
+    plan = sel.latest_n(df, 1001)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Partial") >= 2 and "_slice" in plan
+
+
+def test_latest_n_ties_do_not_depend_on_the_layout(spark):
+    rows = [("u", t, float(x), float(t % 3), 0.0) for t in (5, 5, 5, 6, 6, 4) for x in range(4)]
+    cols = "user_id string, timestamp long, x double, y double, z double"
+    got = set()
+    for parts in (1, 3, 7):
+        df = spark.createDataFrame(rows[::1 if parts < 7 else -1], cols).repartition(parts, "x" if parts > 1 else "y")
+        got.add(tuple(sorted(map(tuple, sel.latest_n(df, 10).collect()))))
+        got.add(tuple(sorted(map(tuple, sel.latest_n_user(df, "u", 10).collect()))))
+    assert len(got) == 1
 
 
 def test_hot_user_semi_join_is_split(spark):
@@ -103,5 +175,5 @@ def test_burst_with_copies_range_method(spark):
     hot = got.where(F.col("user_id") == "hot").collect()
     assert len(hot) == 1
     assert (hot[0].session_start, hot[0].session_stop, hot[0].n_samples) == (0, 99_999, 101_000)
-    ref = ses.gap_sessions(df, gap=5, width=10)              # one time chunk holds the whole burst
+    ref = ses.gap_sessions(df, gap=5, width=10, chunk=10**9)  # one time chunk holds the whole burst
     assert sorted(tuple(r) for r in got.collect()) == sorted(tuple(r) for r in ref.collect())

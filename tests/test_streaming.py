@@ -4,8 +4,10 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from fixtures import m1
+from stridex.operators.selection import latest_n
 from stridex.plans import prediction as pred
 from stridex.plans import training as tr
+from stridex.schema import ACCEL_LIVE, PREDICTION
 from stridex.sources.readers import read_live
 from stridex.sources.sinks import read_predictions
 from stridex.streaming import start_prediction_stream
@@ -40,7 +42,7 @@ def setup(spark, tmp_shared):
 
 
 def _final(spark, sink):
-    p = read_predictions(spark, sink)
+    p = read_predictions(spark, sink, with_batch=True)
     w = Window.partitionBy("user_id").orderBy(F.desc("batch_id"))
     return {r.user_id: r.prediction for r in
             p.withColumn("rn", F.row_number().over(w)).where("rn = 1").collect()}
@@ -79,25 +81,82 @@ def test_periodic_trigger_and_console(spark, tmp_shared, setup, capsys):
     assert "-- batch 0" in capsys.readouterr().out
 
 
-def test_worker_helpers_need_no_package(tmp_path):
-    """The pandas helpers travel by value: a fresh interpreter without the package can run them."""
-    import subprocess
-    import sys
-
-    from pyspark import cloudpickle
-
-    from stridex.streaming import buffer_update, partial_top_n
-    blob = tmp_path / "fn.pkl"
-    blob.write_bytes(cloudpickle.dumps((partial_top_n(2), buffer_update(2))))
-    code = (
-        "import pickle, sys, pandas as pd\n"
-        "assert not any('repo' in p for p in sys.path)\n"
-        f"top, upd = pickle.load(open({str(blob)!r}, 'rb'))\n"
-        "pdf = pd.DataFrame({'user_id': ['a'] * 3, 'timestamp': [1, 3, 2], 'x': [0.0] * 3, 'y': [0.0] * 3, "
-        "'z': [0.0] * 3})\n"
-        "out = list(top(iter([pdf])))[0]\n"
-        "assert sorted(out.timestamp) == [2, 3], out\n"
-    )
-    r = subprocess.run([sys.executable, "-c", code], cwd=str(tmp_path), capture_output=True, text=True,
-                       env={"PATH": "/usr/bin:/bin"})
-    assert r.returncode == 0, r.stderr
+def test_sink_has_the_declared_columns(spark, tmp_shared, setup):
+    model, parts, _ = setup
+    src, sink = tmp_shared("src"), tmp_shared("sink")
+    parts[0].coalesce(1).write.parquet(src)
+    start_prediction_stream(stream_live(spark, src), model, sink, tmp_shared("c"), n=N, as_of=1).awaitTermination()
+    assert read_predictions(spark, sink).schema.fieldNames() == PREDICTION.fieldNames()
+
+
+def test_fresh_checkpoint_keeps_earlier_results(spark, tmp_shared, setup):
+    """A new checkpoint numbers its batches from 0 again; the rows of the first run must stay."""
+    model, parts, _ = setup
+    sink = tmp_shared("sink")
+    users = ["u00", "u01"]
+    for u in users:
+        src = tmp_shared("src")
+        parts[0].where(F.col("user_id") == u).coalesce(1).write.parquet(src)
+        start_prediction_stream(stream_live(spark, src), model, sink, tmp_shared("ckpt"), n=N,
+                                as_of=1).awaitTermination()
+    assert sorted(r.user_id for r in read_predictions(spark, sink).collect()) == users
+
+
+def test_cli_stream_restarts_where_it_stopped(spark, tmp_shared, setup):
+    """Twice without --checkpoint, new files between: every prediction once."""
+    from stridex.__main__ import main
+    from stridex.sources.models import save_model
+    model, parts, _ = setup
+    src, sink, path = tmp_shared("src"), tmp_shared("sink"), save_model(model, tmp_shared("model"))
+    argv = ["stream", "--live", src, "--model", path, "--out", sink, "--every", "once"]
+    for k, u in enumerate(["u00", "u01"]):
+        parts[0].where(F.col("user_id") == u).coalesce(1).write.mode("append").parquet(src)
+        main(argv, spark)
+        assert sorted(r.user_id for r in read_predictions(spark, sink).collect()) == ["u00", "u01"][:k + 1]
+
+
+def test_stateless_needs_the_table(spark, tmp_shared, setup):
+    model, parts, _ = setup
+    src = tmp_shared("src")
+    parts[0].coalesce(1).write.parquet(src)
+    with pytest.raises(ValueError, match="table"):
+        start_prediction_stream(stream_live(spark, src), model, tmp_shared("s"), tmp_shared("c"), stateful=False)
+
+
+def test_newest_table_versions_and_replay(spark, tmp_shared, setup):
+    """Replaying a batch gives the same rows; old versions go; a user untouched by later batches keeps its samples."""
+    from stridex.streaming import NewestTable
+    _, parts, everything = setup
+    t = NewestTable(spark, tmp_shared("newest"), 10, buckets=4)
+    for k, p in enumerate(parts):
+        first = sorted(map(tuple, t.update(p, k).collect()))
+        assert sorted(map(tuple, t.update(p, k).collect())) == first
+        t.trim(k)
+    assert max(len([v for b, v in t._folders() if b == k]) for k in range(4)) <= 2
+    want = sorted(map(tuple, latest_n(everything, 10).select("user_id", "timestamp", "x", "y", "z").collect()))
+    held = {}
+    for b, v in t._folders():
+        held[b] = max(v, held.get(b, -1))
+    got = spark.read.schema(ACCEL_LIVE).parquet(*[t._folder(v, b) for b, v in held.items()])
+    assert sorted(map(tuple, got.collect())) == want
+
+
+def test_bucketed_table_is_pruned(spark, tmp_shared, setup):
+    from stridex.streaming import bucketed
+    from stridex.streaming.live_prediction import _touched
+    _, _, everything = setup
+    path = tmp_shared("live")
+    bucketed(everything, 8).write.partitionBy("user_bucket").parquet(path)
+    live = spark.read.parquet(path)
+    got = _touched(live, spark.createDataFrame([("u00",)], "user_id string"))
+    assert got.select("user_id").distinct().collect()[0][0] == "u00"
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [user_bucket" in plan or "user_bucket#" in plan.split("PartitionFilters")[1][:80]
+
+
+def test_default_stream_has_no_python_step(spark, tmp_shared, setup):
+    from stridex.streaming import NewestTable
+    _, parts, _ = setup
+    t = NewestTable(spark, tmp_shared("newest"), 10)
+    plan = t.update(parts[0], 0)._jdf.queryExecution().executedPlan().toString()
+    assert not any(x in plan for x in ("Python", "Pandas", "Arrow"))
