@@ -129,23 +129,22 @@ def _prefixes(kernel, percent: int, shared, slots: int):
     return run
 
 
-def _set_rows(kernel):
-    def run(batches):
-        for b in batches:
-            raws = [unpack(z) for z in b.column("z").to_pylist()]
-            out = [s.tobytes() for s in kernel.sets(raws)]
-            for i in range(0, len(out), 2000):
-                yield pa.RecordBatch.from_arrays([b.column("k")[i:i + 2000], pa.array(out[i:i + 2000], pa.binary())],
-                                                 names=["k", "s"])
-    return run
-
-
-def _verified(percent: int):
+def _verified(kernel, percent: int):
+    """Whether the sets of two packed texts reach the threshold. Pairs arrive sorted by the second text's class, so each
+    set is built once for a run of pairs."""
     @F.pandas_udf("boolean")
     def linked(a: pd.Series, b: pd.Series) -> pd.Series:
+        known: dict[bytes, np.ndarray] = {}
+
+        def set_of(z: bytes) -> np.ndarray:
+            if z not in known:
+                if len(known) > 200:
+                    known.clear()
+                known[z] = next(iter(kernel.sets([unpack(z)])))
+            return known[z]
         out = np.zeros(len(a), bool)
         for i, (x, y) in enumerate(zip(a.tolist(), b.tolist())):
-            x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+            x, y = set_of(x), set_of(y)
             if 100 * min(len(x), len(y)) >= percent * max(len(x), len(y)):
                 both = np.sort(np.concatenate([x, y]))
                 same = int((both[1:] == both[:-1]).sum())
@@ -183,32 +182,33 @@ def near_duplicates(docs: DataFrame, kernel=None, percent: int = PERCENT, doc_id
     rows = materialize(d.select("doc_id", "ok", "th", "text").mapInArrow(
         _prefixes(kernel, percent, shared, slots), "doc_id long, ok long, th long, n int, k binary, g binary, "
                                                    "prefix array<long>"), f"{name}-prefixes")
-    classes = materialize(rows.where("n > 0").groupBy("k", "g", "n").agg(
-        F.min(F.struct("ok", "th")).alias("rep"), F.first("prefix").alias("prefix")), f"{name}-classes")
-    groups = classes.groupBy("g", "n").agg(F.count(F.lit(1)).alias("members"), F.min("k").alias("lead"),
-                                           F.first("prefix").alias("prefix"))
+    classes = materialize(rows.where("n > 0").groupBy("k", "g", "n").agg(F.min(F.struct("ok", "th")).alias("rep")),
+                          f"{name}-classes")
+    groups = classes.groupBy("g", "n").agg(F.count(F.lit(1)).alias("members"), F.min("k").alias("lead"))
+    groups = groups.join(rows.where("n > 0").groupBy("g").agg(F.first("prefix").alias("prefix")), "g")
     groups = materialize(groups.select(F.monotonically_increasing_id().alias("gid"), "*"), f"{name}-groups")
     tokens = groups.select("gid", "n", F.posexplode("prefix").alias("pos", "token"))
-    shared_tokens = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("token")
+    # what is joined on a key that can be hot is written first: Spark can split a join between two plain shuffles
+    shared_tokens = materialize(tokens.groupBy("token").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("token"),
+                                f"{name}-tokens")
     index = materialize(tokens.join(shared_tokens, "token"), f"{name}-index")
-    # whole sets of the classes that any pair may need
+    # packed texts of the classes that any pair may need: a third of the size of their sets
     met = index.select("gid").distinct()
     member = classes.join(groups.select("g", "gid", "members", "lead"), "g").select("k", "n", "rep", "gid", "members", "lead")
     needed = materialize(member.join(met.withColumn("met", F.lit(True)), "gid", "left")
                          .where("met or members > 1"), f"{name}-members")
     z = d.where("text is not null").select("ok", "th", pack(F.col("text")).alias("z")).dropDuplicates(["ok", "th"])
-    sets = materialize(needed.select("k", "rep.ok", "rep.th").join(z, ["ok", "th"]).select("k", "z")
-                       .mapInArrow(_set_rows(kernel), "k binary, s binary"), f"{name}-sets")
-    linked = _verified(percent)
+    packed = materialize(needed.select("k", "rep.ok", "rep.th").join(z, ["ok", "th"]).select("k", "z"), f"{name}-texts")
+    linked = _verified(kernel, percent)
 
     def verify(pairs: DataFrame) -> DataFrame:
-        p = pairs.join(sets.select(F.col("k").alias("a"), F.col("s").alias("sa")), "a")
-        p = p.join(sets.select(F.col("k").alias("b"), F.col("s").alias("sb")), "b")
-        return p.where(linked("sa", "sb")).select("a", "b")
+        p = pairs.join(packed.select(F.col("k").alias("a"), F.col("z").alias("za")), "a")
+        p = p.join(packed.select(F.col("k").alias("b"), F.col("z").alias("zb")), "b")
+        return p.where(linked("za", "zb")).select("a", "b")
 
     # 1. every group with the most central group of its buckets, every class with its group's first class
     sized = index.select("*", F.floor(F.log("n") / math.log(100 / percent)).alias("level"))
-    central = sized.groupBy("token", "level").agg(F.min(F.struct("pos", "gid")).alias("top"))
+    central = materialize(sized.groupBy("token", "level").agg(F.min(F.struct("pos", "gid")).alias("top")), f"{name}-central")
     star = sized.join(central, ["token", "level"]).select("gid", F.col("top.gid").alias("to")).where("gid <> to").distinct()
     lead = groups.select("gid", "lead")
     star = star.join(lead.select("gid", F.col("lead").alias("a")), "gid").join(
@@ -220,7 +220,8 @@ def near_duplicates(docs: DataFrame, kernel=None, percent: int = PERCENT, doc_id
                          f"{name}-joined")
     span = member.groupBy("gid").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
     held = index.join(span, "gid")
-    mixed = held.groupBy("token").agg(F.min("lo").alias("tlo"), F.max("hi").alias("thi")).where("tlo <> thi").select("token")
+    mixed = materialize(held.groupBy("token").agg(F.min("lo").alias("tlo"), F.max("hi").alias("thi"))
+                        .where("tlo <> thi").select("token"), f"{name}-mixed")
     held = materialize(held.join(mixed, "token"), f"{name}-open")
     x, y = (held.select("token", *[F.col(c).alias(c + s) for c in ("gid", "n", "pos", "lo", "hi")]) for s in "xy")
     y = y.where(F.expr(f"posy < ny - ceil({2 * percent} * ny / {100 + percent}) + 1"))
@@ -244,7 +245,7 @@ def near_duplicates(docs: DataFrame, kernel=None, percent: int = PERCENT, doc_id
     # 3. the first row of every component, back to the rows
     named = classes.select("k", "rep").join(final, "k", "left").select("k", "rep", F.coalesce("comp", "k").alias("comp"))
     named = materialize(named, f"{name}-named")
-    heads = named.groupBy("comp").agg(F.min("rep").alias("head"))
+    heads = materialize(named.groupBy("comp").agg(F.min("rep").alias("head")), f"{name}-heads")
     named = named.join(heads, "comp").select("k", F.col("head.ok").alias("head"), F.col("head.th").alias("head_th"))
     return rows.select("doc_id", "ok", "th", "n", "k").join(named, "k", "left").select(
         "doc_id", "ok", "th", "n", F.coalesce("head", "ok").alias("head"), F.coalesce("head_th", "th").alias("head_th"))
