@@ -7,9 +7,10 @@ import pytest
 
 import __spark_entry__ as E
 from conftest import SF_SMALL
+from stridex.queries import ORACLE
 
 TABLES = ["events", "customer"]
-NAMES = sorted(E.oracle_sql())
+NAMES = sorted(ORACLE)
 
 
 def _digest(rows, cols):
