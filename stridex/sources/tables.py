@@ -25,4 +25,16 @@ def materialize(df: DataFrame, name: str, fmt: str = "parquet") -> DataFrame:
         df.write.format(fmt).save(path)
     finally:
         spark.conf.set(_CLEANUP, before)
-    return spark.read.schema(df.schema).format(fmt).load(path)
+    out = spark.read.schema(df.schema).format(fmt).load(path)
+    out.__dict__["_stridex_path"] = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete the folders of materialized tables whose last reader has ended (that is, has itself been written)."""
+    for t in tables:
+        path = t.__dict__.pop("_stridex_path", None)
+        if path:
+            spark = t.sparkSession
+            p = spark._jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
