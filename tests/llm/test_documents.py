@@ -194,9 +194,7 @@ def test_pipeline_stages(spark, tmp_path):
             assert docs.where("doc_id = 9").count() == 0 and docs.where("doc_id = 8").count() == 1
             assert {0, 1, 2, 14} <= set(ids)
         if name == "benchmark_decontamination":
-            long = next(t for i, t, *_ in rows if i == 14)
-            assert " ".join(long.split()[100:140]) not in ids[14].text and len(ids[14].text) > 0.9 * len(long)
-            assert 5 not in ids and 19 not in ids and {0, 1, 2, 16} <= set(ids)
+            assert not {4, 5, 11, 14, 19, 20} & set(ids) and {0, 1, 2, 16} <= set(ids)
         if name == "secret_scan":
             assert docs.count() == before.count() and "[secret]" in ids[16].text and "[secret]" in ids[17].text
         if name == "mixing":
