@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from stridex.llm import decontaminate, mixing, ngram_join, secrets, toxicity
 from stridex.llm._common import read, remainder
-from stridex.sources.tables import materialize
+from stridex.sources.tables import discard, materialize
 
 REJECT_TOXIC = 0.5           # score from which a document goes
 SHINGLE_WORDS = 5            # near duplicates: words of a shingle, and Jaccard in percent
@@ -72,5 +72,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``."""
     docs = read(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = materialize(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        before, docs = docs, materialize(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        discard(before)
     return docs
