@@ -14,7 +14,8 @@ all documents, then by hash. Two sets of Jaccard ``percent`` or more share a tok
 * Expand and verify: pairs of groups are expanded to their classes and verified on the whole sets.
 
 Intermediate results are tables in the shared folder; labels spread by minimum with pointer jumping. The broadcast table
-of counts has a size chosen from the corpus and never more than ``MAX_SLOTS`` entries.
+of counts has a size chosen from the corpus and never more than ``MAX_SLOTS`` entries; it only orders the tokens, any size
+is correct.
 
 Defined results: a text with fewer than ``n`` words, but at least one, is one token; null and wordless texts are empty
 sets, linked with nothing; repeated rows have equal sets and one component; a component is named by its smallest id, null
@@ -31,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..sources.tables import materialize
+from ..sources.tables import discard, materialize
 from ._common import read, ship_by_value, sub_batches
 from ._hashing import mix, words_of
 from ._repeats import LAST, keyed, pack, unpack
@@ -41,6 +42,7 @@ ship_by_value(__name__)
 SIZE, PERCENT = 3, 90
 MIN_SLOTS, MAX_SLOTS = 1 << 16, 1 << 26
 TOKENS_PER_SLOT = 512
+BLOCK = 256                  # counters to a row
 _BLANKS = np.array([b == 32 or 9 <= b <= 13 for b in range(256)])
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
@@ -76,26 +78,40 @@ def prefix_length(n: int, percent: int) -> int:
 
 
 def slot_counts(texts: DataFrame, kernel, slots: int) -> np.ndarray:
-    """Tokens per slot over all texts; a task keeps ``slots`` counters, the aggregate has ``slots`` rows."""
+    """Tokens per slot over all texts. A task keeps ``slots`` counters and emits them in rows of ``BLOCK``; the rows of a
+    block meet in one task, which adds them up as they come."""
     shift = np.uint64(64 - slots.bit_length() + 1)
 
+    def rows(total: dict[int, np.ndarray]):
+        at = sorted(total)
+        for i in range(0, len(at), 4096):
+            part = at[i:i + 4096]
+            yield pa.RecordBatch.from_arrays([pa.array(part, pa.int64()), pa.array([total[k].tobytes() for k in part],
+                                                                                   pa.binary())], names=["block", "n"])
+
     def count(batches):
         total = np.zeros(slots, np.int64)
         for b in batches:
             raws = [t.encode("utf-8", "surrogatepass") for t in b.column("text").to_pylist()]
-            part = []
-            for s in kernel.sets(raws):
-                part.append(s >> shift)
+            part = [s >> shift for s in kernel.sets(raws)]
             if part:
                 total += np.bincount(np.concatenate(part).astype(np.int64), minlength=slots)
-        at = np.flatnonzero(total)
-        for i in range(0, len(at), 100_000):
-            yield pa.RecordBatch.from_arrays([pa.array(at[i:i + 100_000]), pa.array(total[at[i:i + 100_000]])],
-                                             names=["slot", "n"])
-    got = texts.mapInArrow(count, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toPandas()
-    out = np.zeros(slots, np.int64)
-    out[got["slot"].to_numpy(dtype=np.int64)] = got["n"].to_numpy(dtype=np.int64)
-    return np.minimum(out, (1 << 32) - 1).astype(np.uint32)
+        yield from rows({k: x for k, x in enumerate(total.reshape(-1, BLOCK)) if x.any()})
+
+    def add(batches):
+        total: dict[int, np.ndarray] = {}
+        for b in batches:
+            for k, x in zip(b.column("block").to_pylist(), b.column("n").to_pylist()):
+                x = np.frombuffer(x, np.int64)
+                total[k] = total[k] + x if k in total else x
+        yield from rows(total)
+    kinds = "block long, n binary"
+    parts = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    got = texts.mapInArrow(count, kinds).repartition(parts, "block").mapInArrow(add, kinds).collect()
+    out = np.zeros((slots // BLOCK, BLOCK), np.int64)
+    for r in got:
+        out[r["block"]] = np.frombuffer(bytes(r["n"]), np.int64)
+    return np.minimum(out.reshape(-1), (1 << 32) - 1).astype(np.uint32)
 
 
 def _prefixes(kernel, percent: int, shared, slots: int):
@@ -164,9 +180,11 @@ def labels(edges: DataFrame, name: str) -> DataFrame:
         up = at.select(F.col("k").alias("up"), F.col("comp").alias("top"))
         new = new.join(up, F.col("to") == F.col("up")).select("k", F.least("to", "top").alias("comp"), "old")
         new = materialize(new, f"{name}-labels")
+        discard(at)
         if new.where("comp <> old").isEmpty():
+            discard(both)
             return new.select("k", "comp")
-        at = new.select("k", "comp")
+        at = new
 
 
 def near_duplicates(docs: DataFrame, kernel=None, percent: int = PERCENT, doc_id: str = "doc_id", text: str = "text",
@@ -192,6 +210,7 @@ def near_duplicates(docs: DataFrame, kernel=None, percent: int = PERCENT, doc_id
     shared_tokens = materialize(tokens.groupBy("token").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("token"),
                                 f"{name}-tokens")
     index = materialize(tokens.join(shared_tokens, "token"), f"{name}-index")
+    discard(shared_tokens)
     # packed texts of the classes that any pair may need: a third of the size of their sets
     met = index.select("gid").distinct()
     member = classes.join(groups.select("g", "gid", "members", "lead"), "g").select("k", "n", "rep", "gid", "members", "lead")
@@ -218,11 +237,13 @@ def near_duplicates(docs: DataFrame, kernel=None, percent: int = PERCENT, doc_id
     # 2. all other pairs that could join two components
     member = materialize(needed.join(comp, "k", "left").select("k", "n", "gid", F.coalesce("comp", "k").alias("comp")),
                          f"{name}-joined")
+    discard(groups, central, needed)
     span = member.groupBy("gid").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
     held = index.join(span, "gid")
     mixed = materialize(held.groupBy("token").agg(F.min("lo").alias("tlo"), F.max("hi").alias("thi"))
                         .where("tlo <> thi").select("token"), f"{name}-mixed")
     held = materialize(held.join(mixed, "token"), f"{name}-open")
+    discard(index, mixed)
     x, y = (held.select("token", *[F.col(c).alias(c + s) for c in ("gid", "n", "pos", "lo", "hi")]) for s in "xy")
     y = y.where(F.expr(f"posy < ny - ceil({2 * percent} * ny / {100 + percent}) + 1"))
     able = F.expr(f"(nx > ny or nx = ny and gidx > gidy) and 100 * ny >= {percent} * nx and not (lox = hix and loy = hiy and "
@@ -240,6 +261,7 @@ def near_duplicates(docs: DataFrame, kernel=None, percent: int = PERCENT, doc_id
     late = late.join(by.select(F.col("k").alias("a"), F.col("comp").alias("x")), "a").join(
         by.select(F.col("k").alias("b"), F.col("comp").alias("y")), "b").select(F.col("x").alias("a"), F.col("y").alias("b"))
     joined = labels(late, f"{name}-late")
+    discard(packed, held)
     final = by.join(joined.select(F.col("k").alias("comp"), F.col("comp").alias("top")), "comp", "left").select(
         "k", F.coalesce("top", "comp").alias("comp"))
     # 3. the first row of every component, back to the rows
