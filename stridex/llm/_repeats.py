@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..sources.tables import materialize
+from ..sources.tables import discard, materialize
 from ._common import ship_by_value, sub_batches
 from ._hashing import Hashes, mix, sliding_argmin, words_of
 
@@ -215,14 +215,18 @@ def _narrow(spec: Spec):
 
 def _judge(blocks: DataFrame, spec: Spec, core: list[str], name: str) -> DataFrame:
     """Blocks that are settled (``done``) or go on (``keep``); the rest, which hold no repeat, is gone."""
-    counts = blocks.groupBy(*core).agg(F.count(F.lit(1)).alias("c")).where("c > 1")
+    # counts are written before they are joined: a join between two plain shuffles can be split at a hot name
+    counts = materialize(blocks.groupBy(*core).agg(F.count(F.lit(1)).alias("c")).where("c > 1"), name + "-cores")
     alive = materialize(blocks.join(counts, core), name + "-alive")
-    whole = alive.groupBy("seed", "whole").agg(F.count(F.lit(1)).alias("w"), F.min(F.struct("ok", "a")).alias("first"))
+    whole = materialize(alive.groupBy("seed", "whole").agg(F.count(F.lit(1)).alias("w"),
+                                                           F.min(F.struct("ok", "a")).alias("first")), name + "-wholes")
     j = alive.join(whole, ["seed", "whole"])
     own = F.struct("ok", "a")
     done = own > F.col("first") if spec.earlier else F.col("w") > 1
     j = j.select("*", done.alias("done"), ((own == F.col("first")) & (F.col("c") > F.col("w"))).alias("keep"))
-    return materialize(j.where("done or keep").drop("first", "w", "c", "whole"), name)
+    j = materialize(j.where("done or keep").drop("first", "w", "c", "whole"), name)
+    discard(counts, alive, whole)
+    return j
 
 
 def keyed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -242,14 +246,20 @@ def repeated(docs: DataFrame, spec: Spec, name: str) -> DataFrame:
     texts = docs.where("text is not null").select("ok", "th", pack(F.col("text")).alias("z")).dropDuplicates(["ok", "th"])
     kept = "ok long, th long, a int, rlo int, rhi int, seed long, ctx binary"
     rest = picks.join(texts, ["ok", "th"]).mapInArrow(_cut_contexts(spec), kept)
+    before = None
     for size in spec.blocks:
         rest = materialize(rest.select(F.monotonically_increasing_id().alias("id"), "*"), f"{name}-rest")
+        if before is not None:
+            discard(before)
+        before = rest
         blocks = rest.mapInArrow(_blocks(spec, size), "id long, ok long, th long, a int, seed long, rlo int, rhi int, "
                                                       "core long, whole long")
         judged = _judge(blocks, spec, ["seed", "core"], f"{name}-{size}")
         settled.append(judged.where("done"))
         again = judged.where("keep").select("id", "ok", "th", "a", "rlo", "rhi", "seed")
         rest = again.join(rest.select("id", F.col("rhi").alias("old"), "ctx"), "id").mapInArrow(_narrow(spec), kept)
+    if before is not None:
+        discard(before)
     spans = [s.select("ok", "th", (F.shiftleft((F.col("a") - F.col("rhi")).cast("long"), 32)
                                    + (F.col("a") - F.col("rlo") + spec.length)).alias("span")) for s in settled]
     every = spans[0]
