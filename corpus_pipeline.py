@@ -1,7 +1,7 @@
 """A corpus pipeline of five stages over ``documents``.
 
 toxicity (rejected documents go) -> n-gram near duplicates (one document of each group stays) -> benchmark
-decontamination (documents with a window of an item go) -> secret scan (live credentials are masked) -> mixing
+decontamination (hit passages are cut, mostly hit documents go) -> secret scan (live credentials are masked) -> mixing
 sources to target weights (each document with its number of copies).
 
 Every stage takes (spark, docs, sf_dir), reads all of what its predecessor kept and returns a DataFrame; ``run`` writes
@@ -19,6 +19,7 @@ from stridex.sources.tables import discard, materialize
 REJECT_TOXIC = 0.5           # score from which a document goes
 SHINGLE_WORDS = 5            # near duplicates: words of a shingle, and Jaccard in percent
 NEAR_PERCENT = 80
+MAX_HIT_SHARE = 0.5          # documents with a larger share of benchmark words go; of others the hit text is cut
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,10 +36,16 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without any window of a benchmark item."""
-    c = decontaminate.contamination(F.col("text"), read(spark, sf_dir, "benchmark").select("item_id", "text"))
+    """Texts without the passages of benchmark windows; documents that are mostly benchmark go."""
+    c = decontaminate.contamination(F.col("text"), read(spark, sf_dir, "benchmark").select("item_id", "text"),
+                                    with_offsets=True)
     d = docs.select(F.struct("*").alias("__doc"), c.alias("__c"))
-    return d.where(F.col("__c.n_hit") == 0).select("__doc.*")
+    d = d.where(F.col("__c.n_hit") <= MAX_HIT_SHARE * F.col("__c.n_words"))
+    cut = F.expr("""aggregate(__c.spans, named_struct('at', 0, 'out', ''), (x, s) -> named_struct('at', s.stop,
+        'out', concat(x.out, substring(__doc.text, x.at + 1, s.start - x.at))),
+        x -> concat(x.out, substring(__doc.text, x.at + 1)))""")
+    text = F.when(F.size("__c.spans") > 0, cut).otherwise(F.col("__doc.text"))
+    return d.select(*[text.alias(c) if c == "text" else F.col("__doc").getField(c).alias(c) for c in docs.columns])
 
 
 def masked_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -194,13 +194,30 @@ def test_pipeline_stages(spark, tmp_path):
             assert docs.where("doc_id = 9").count() == 0 and docs.where("doc_id = 8").count() == 1
             assert {0, 1, 2, 14} <= set(ids)
         if name == "benchmark_decontamination":
-            assert not {4, 5, 11, 14, 19, 20} & set(ids) and {0, 1, 2, 16} <= set(ids)
+            long = next(t for i, t, *_ in rows if i == 14)
+            assert " ".join(long.split()[100:140]) not in ids[14].text and len(ids[14].text) > 0.9 * len(long)
+            assert 5 not in ids and 19 not in ids and {0, 1, 2, 16} <= set(ids)
         if name == "secret_scan":
             assert docs.count() == before.count() and "[secret]" in ids[16].text and "[secret]" in ids[17].text
         if name == "mixing":
             assert docs.count() == before.count() and all(r.taken == r.copies * r.size for r in docs.collect())
 
 
+def test_decontamination_keeps_the_clean_text(spark, tmp_path):
+    """Only hit words leave a document that is not mostly benchmark, for short items too."""
+    item = "p q r s t u v w x y"
+    rows = [(1, f"Left, é\U0001f600 side. {item}! And the right one is a lot longer"), (2, f"{item} z"), (3, None), (4, "\n"),
+            (5, "no hit at all"), (6, "much text uses MAGIC words, magic ones"), (7, f"a{item}"),
+            (8, f"a b c d e f {item} g h i j k l"), (9, item + " 1" * 10)]
+    path = write(spark, str(tmp_path), rows, bench=[(1, item), (2, "magic")])
+    docs = spark.read.parquet(f"{path}/documents.parquet")
+    out = P.decontaminated(spark, docs, path)
+    assert out.columns == docs.columns
+    assert {r.doc_id: r.text for r in out.collect()} == {
+        1: "Left, é\U0001f600 side. ! And the right one is a lot longer", 3: None, 4: "\n", 5: "no hit at all",
+        6: "much text uses  words,  ones", 7: f"a{item}", 8: "a b c d e f  g h i j k l", 9: " 1" * 10}
+
+
 def test_pipeline_run_and_empty(spark, tmp_path):
     got = P.run(spark, "/root/testdata/sf0.001")
     assert 0 < got.count() < 200
