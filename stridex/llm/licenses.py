@@ -1,7 +1,8 @@
 """License scan by patience alignment of documents with license notices.
 
-A document is compared with a template only where it has enough of the template's rarer words: positions of those words
-are clustered into windows, so a long text costs one pass and a few short alignments. In a window, patience alignment
+A document is compared with a template only where it has enough of the template's rarer words: each place of such a word
+with enough others behind it is aligned in a few windows of about the template's length, so a long text costs one pass and a
+few short alignments, and copies of a notice in a row are found one by one. In a window, patience alignment
 anchors on the words that occur once in both the window and the template, keeps the longest increasing subsequence of
 these anchors, and aligns the gaps between neighbouring anchors the same way; a gap without anchors is closed by equal
 words at either end. Coverage is the share of the template's words that are aligned.
@@ -15,7 +16,7 @@ from __future__ import annotations
 
 import re
 from bisect import bisect_left
-from collections import Counter
+from collections import Counter, defaultdict
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -110,40 +111,63 @@ class Scanner:
         found = []
         for (name, words), keys in zip(self.templates, self.keys) if hits else ():
             own = [i for i in hits if toks[i][0] in keys]
-            reach = 2 * len(words)
             need = max(1, int(self.coverage * len(keys)))
-            k = 0
-            while k < len(own):
-                e = k                                           # a cluster: neighbours within the template's reach
-                while e + 1 < len(own) and own[e + 1] - own[e] <= reach:
-                    e += 1
-                found += self._align(toks, own[k:e + 1], name, words, need, reach)
-                k = e + 1
-        found.sort(key=lambda x: (-x[4], x[0], x[2]))
-        kept: list = []
-        for f in found:                                         # the longer notice wins where two overlap
-            if all(f[3] <= g[2] or g[3] <= f[2] for g in kept):
-                kept.append(f)
-        return sorted((x[:4] for x in kept), key=lambda x: (x[2], x[0]))
-
-    def _align(self, toks, own, name, words, need, reach):
-        out, at = [], 0
-        while at < len(own):
-            last = at                                           # a window no longer than the reach
-            while last + 1 < len(own) and own[last + 1] - own[at] < reach:
+            found += [(name, n / len(words), toks[b][1], toks[e][2], n) for b, e, n in self._align(toks, own, words, need)]
+        # the longer notice wins where two overlap
+        return [x[:4] for x in _disjoint(found, lambda x: (-x[4], x[0], x[2]), 2, 3)]
+
+    def _align(self, toks, own, words, need):
+        """(first token, last token, aligned words) of the notices of one template; ``own`` are the places of its rarer words.
+
+        Each place is tried as the notice's first one, in windows that start where the template would and are one template
+        long, then longer ones: a second copy behind the first would leave patience no word that occurs once. Of matches
+        that overlap, the one with the most aligned words after deduction of the foreign words between them stays.
+        """
+        size, reach = len(words), 2 * len(words)
+        where = defaultdict(list)
+        for j, w in enumerate(words):
+            where[w].append(j)
+        found, tried, bag, last, done = [], {}, Counter(), 0, -1
+        for p in own:
+            word = toks[p][0]
+            while last < len(own) and own[last] - p < reach:    # the places from p within the reach
+                bag[toks[own[last]][0]] += 1
                 last += 1
-            if len({toks[i][0] for i in own[at:last + 1]}) >= need:
-                lo, hi = max(0, own[at] - len(words)), min(len(toks), own[last] + len(words) + 1)
-                hit = patience(words, [w for w, _, _ in toks[lo:hi]])
-                if len(hit) >= self.coverage * len(words):
-                    b, e = lo + hit[0][1], lo + hit[-1][1]
-                    if len(hit) >= self.coverage * (e - b + 1) or len(hit) == len(words) and e - b < reach:
-                        out.append((name, len(hit) / len(words), toks[b][1], toks[e][2], len(hit)))
-                        while at < len(own) and own[at] <= e:
-                            at += 1
-                        continue
-            at += 1
-        return out
+            if p > done and len(bag) >= need:
+                starts = [max(0, p - j) for j in where[word]]
+                windows = [(b, b + size) for b in starts] + [(b, b + int(size / self.coverage)) for b in starts]
+                for lo, hi in [*windows, (max(0, p - size), p + reach)]:
+                    if (lo, hi) not in tried:
+                        tried[lo, hi] = self._match(toks, lo, hi, words, reach)
+                        found += [tried[lo, hi]] if tried[lo, hi] else []
+                    b, e, n = tried[lo, hi] or (0, 0, 0)
+                    if b <= p <= e and n == size == e - b + 1:  # word for word: nothing in it can be better
+                        done = e
+                        break
+            bag[word] -= 1
+            if not bag[word]:
+                del bag[word]
+        return _disjoint(found, lambda x: (x[1] - x[0] + 1 - 2 * x[2], x[0]), 0, 1, inclusive=1)
+
+    def _match(self, toks, lo, hi, words, reach):
+        hit = patience(words, [w for w, _, _ in toks[lo:hi]])
+        if len(hit) < self.coverage * len(words) or not hit:
+            return None
+        b, e = lo + hit[0][1], lo + hit[-1][1]
+        if len(hit) >= self.coverage * (e - b + 1) or len(hit) == len(words) and e - b < reach:
+            return b, e, len(hit)
+        return None
+
+
+def _disjoint(found: list[tuple], order, start: int, stop: int, inclusive: int = 0) -> list[tuple]:
+    """Those that overlap none that comes before them in the order, by their start."""
+    kept, starts = [], []
+    for f in sorted(found, key=order):
+        k = bisect_left(starts, f[start])
+        if (k == 0 or kept[k - 1][stop] + inclusive <= f[start]) and (k == len(kept) or f[stop] + inclusive <= starts[k]):
+            kept.insert(k, f)
+            starts.insert(k, f[start])
+    return kept
 
 
 def licenses(text: Column, templates=TEMPLATES, coverage: float = COVERAGE) -> Column:

@@ -225,6 +225,22 @@ def test_licenses_edited_repeated_and_long():
     assert s.scan(None) == [] and C.Scanner([("x", "...")]).scan("anything") == []
 
 
+@pytest.mark.parametrize("name, t", C.TEMPLATES)
+def test_licenses_in_a_row(name, t):
+    """Every copy is found, with its own span, however close the copies stand."""
+    s = C.Scanner()
+    edited = " ".join(["edited" if k == 9 else w for k, w in enumerate(t.split())])
+    inserted = " ".join([w + " inserted" if k == 9 else w for k, w in enumerate(t.split())])
+    for n in {t, edited, inserted}:
+        one = s.scan(n)
+        assert len(one) == 1 and one[0][0] == name
+        for before, between, after, copies in (("", " ", "", 2), ("foo ", " ", " bar", 2), ("foo ", " foo ", " bar", 2),
+                                               ("", " foo ", "", 3), ("License ", "\n", "", 3), ("", "\n", "\n", 1000)):
+            got = s.scan(before + between.join([n] * copies) + after)
+            at = [len(before) + k * len(n + between) for k in range(copies)]
+            assert got == [(name, one[0][1], b + one[0][2], b + one[0][3]) for b in at], (n, before, between, copies)
+
+
 def test_licenses_on_the_documents(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()
     lines = {"Licensed under CC BY-NC 4.0.": "CC-BY-NC-4.0", "Released under the MIT License.": "MIT",
