@@ -1,10 +1,10 @@
 """License scan by patience alignment of documents with license notices.
 
 A document is compared with a template only where it has enough of the template's rarer words: each place of such a word
-with enough others behind it is aligned in a few windows of about the template's length, so a long text costs one pass and a
-few short alignments, and copies of a notice in a row are found one by one. In a window, patience alignment
-anchors on the words that occur once in both the window and the template, keeps the longest increasing subsequence of
-these anchors, and aligns the gaps between neighbouring anchors the same way; a gap without anchors is closed by equal
+with as many others behind it as the coverage demands is aligned in a few windows of about the template's length, so a long
+text costs one pass and a few short alignments, and copies of a notice in a row are found one by one. In a window, patience
+alignment anchors on the words that occur once in both the window and the template, keeps the longest increasing subsequence
+of these anchors, and aligns the gaps between neighbouring anchors the same way; a gap without anchors is closed by equal
 words at either end. Coverage is the share of the template's words that are aligned.
 
 Templates are a parameter: a bounded list of (id, text), shipped with the task. Defined results: null or empty text and
@@ -17,6 +17,7 @@ from __future__ import annotations
 import re
 from bisect import bisect_left
 from collections import Counter, defaultdict
+from math import ceil
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -101,7 +102,10 @@ class Scanner:
         self.coverage = coverage
         self.templates = [(n, [w for w, _, _ in tokens(t)]) for n, t in templates]
         self.templates = [(n, w) for n, w in self.templates if w]
-        self.keys = [frozenset(w) - COMMON or frozenset(w) for _, w in self.templates]
+        # Words that may be missing, and the words to look for: a notice always has some of them.
+        self.spare = [len(w) - max(1, ceil(coverage * len(w))) for _, w in self.templates]
+        self.keys = [k if sum(x in k for x in w) > n else frozenset(w) for (_, w), n, k in
+                     zip(self.templates, self.spare, (frozenset(w) - COMMON for _, w in self.templates))]
         self.all_keys = frozenset().union(*self.keys) if self.keys else frozenset()
 
     def scan(self, text: str | None) -> list[tuple[str, float, int, int]]:
@@ -109,10 +113,11 @@ class Scanner:
         toks = tokens(text or "")
         hits = [i for i, (w, _, _) in enumerate(toks) if w in self.all_keys]
         found = []
-        for (name, words), keys in zip(self.templates, self.keys) if hits else ():
+        for (name, words), keys, spare in zip(self.templates, self.keys, self.spare) if hits else ():
             own = [i for i in hits if toks[i][0] in keys]
-            need = max(1, int(self.coverage * len(keys)))
-            found += [(name, n / len(words), toks[b][1], toks[e][2], n) for b, e, n in self._align(toks, own, words, need)]
+            need = sum(w in keys for w in words) - spare        # fewer can't reach the coverage
+            if len(own) >= need:
+                found += [(name, n / len(words), toks[b][1], toks[e][2], n) for b, e, n in self._align(toks, own, words, need)]
         # the longer notice wins where two overlap
         return [x[:4] for x in _disjoint(found, lambda x: (-x[4], x[0], x[2]), 2, 3)]
 
@@ -127,13 +132,15 @@ class Scanner:
         where = defaultdict(list)
         for j, w in enumerate(words):
             where[w].append(j)
-        found, tried, bag, last, done = [], {}, Counter(), 0, -1
+        found, tried, bag, shared, last, done = [], {}, Counter(), 0, 0, -1
         for p in own:
             word = toks[p][0]
             while last < len(own) and own[last] - p < reach:    # the places from p within the reach
-                bag[toks[own[last]][0]] += 1
+                w = toks[own[last]][0]
+                bag[w] += 1
+                shared += bag[w] <= len(where[w])
                 last += 1
-            if p > done and len(bag) >= need:
+            if p > done and shared >= need:
                 starts = [max(0, p - j) for j in where[word]]
                 windows = [(b, b + size) for b in starts] + [(b, b + int(size / self.coverage)) for b in starts]
                 for lo, hi in [*windows, (max(0, p - size), p + reach)]:
@@ -144,9 +151,8 @@ class Scanner:
                     if b <= p <= e and n == size == e - b + 1:  # word for word: nothing in it can be better
                         done = e
                         break
+            shared -= bag[word] <= len(where[word])
             bag[word] -= 1
-            if not bag[word]:
-                del bag[word]
         return _disjoint(found, lambda x: (x[1] - x[0] + 1 - 2 * x[2], x[0]), 0, 1, inclusive=1)
 
     def _match(self, toks, lo, hi, words, reach):

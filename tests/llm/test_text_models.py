@@ -241,6 +241,20 @@ def test_licenses_in_a_row(name, t):
             assert got == [(name, one[0][1], b + one[0][2], b + one[0][3]) for b in at], (n, before, between, copies)
 
 
+@pytest.mark.parametrize("name, t", C.TEMPLATES)
+def test_licenses_reworded(name, t):
+    """As many words as the coverage allows are replaced, the rarer ones first, at either end, or anywhere."""
+    words = [w for w, _, _ in C.tokens(t)]
+    spare = int(len(words) * 2 + 1e-9) // 10
+    keys = [k for k, w in enumerate(words) if w not in C.COMMON]
+    rng = random.Random(5)
+    picks = [keys[:spare], keys[len(keys) - spare:], keys[1:-1][:spare]] + [rng.sample(keys, spare) for _ in range(20)]
+    for gone in picks:
+        text = " ".join(f"reworded{k}" if k in gone else w for k, w in enumerate(words))
+        got = C.Scanner([(name, t)]).scan(f"some text before {text} and after")
+        assert [x[0] for x in got] == [name] and got[0][1] >= C.COVERAGE, (gone, got)
+
+
 def test_licenses_on_the_documents(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()
     lines = {"Licensed under CC BY-NC 4.0.": "CC-BY-NC-4.0", "Released under the MIT License.": "MIT",
