@@ -7,9 +7,11 @@ alignment anchors on the words that occur once in both the window and the templa
 of these anchors, and aligns the gaps between neighbouring anchors the same way; a gap without anchors is closed by equal
 words at either end. Coverage is the share of the template's words that are aligned.
 
-Templates are a parameter: a bounded list of (id, text), shipped with the task. Defined results: null or empty text and
+Templates are a parameter: a bounded list of (id, text), shipped with the task; if none are given, the short notices below
+and the whole licenses of ``license_texts``. Defined results: null or empty text and
 templates without a word match nothing; several windows may report the same license; the spans of one template do not
-overlap; of templates covering the same words, the one with more aligned words is reported, then the first id. Rows are
+overlap; of templates covering the same words, the one with more aligned words, less its missing and the foreign ones, is
+reported, then the first id. Rows are
 independent of each other; other columns pass through.
 """
 from __future__ import annotations
@@ -18,6 +20,7 @@ import re
 from bisect import bisect_left
 from collections import Counter, defaultdict
 from math import ceil
+from pathlib import Path
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -28,32 +31,54 @@ from ._common import read, ship_by_value
 ship_by_value(__name__)
 
 COVERAGE = 0.8
-# The usual notices and opening clauses of common licenses, as published with them.
+# The usual notices and opening clauses of common licenses, as published with them. ``whole_texts`` has the
+# licenses themselves.
 TEMPLATES = (
+    ("AGPL-3.0-header", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU "
+     "Affero General Public License as published by the Free Software Foundation, either version 3 of the "
+     "License, or (at your option) any later version."),
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
     ("Apache-2.0-header", "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file "
      "except in compliance with the License. You may obtain a copy of the License at"),
-    ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted "
+    ("BSD-opening", "Redistribution and use in source and binary forms, with or without modification, are permitted "
      "provided that the following conditions are met:"),
     ("CC-BY-4.0", "Licensed under CC BY 4.0."),
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
+    ("CC-BY-NC-ND-4.0", "Licensed under CC BY-NC-ND 4.0."),
+    ("CC-BY-NC-SA-4.0", "Licensed under CC BY-NC-SA 4.0."),
+    ("CC-BY-ND-4.0", "Licensed under CC BY-ND 4.0."),
     ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
+    ("GPL-2.0-header", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU "
+     "General Public License as published by the Free Software Foundation; either version 2 of the License, or "
+     "(at your option) any later version."),
     ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
     ("GPL-3.0-header", "This program is free software: you can redistribute it and/or modify it under the terms of the "
      "GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at "
      "your option) any later version."),
+    ("LGPL-2.1-header", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU "
+     "Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the "
+     "License, or (at your option) any later version."),
+    ("LGPL-3.0-header", "This library is free software: you can redistribute it and/or modify it under the terms of the GNU "
+     "Lesser General Public License as published by the Free Software Foundation, either version 3 of the "
+     "License, or (at your option) any later version."),
     ("MIT", "Released under the MIT License."),
     ("MIT-grant", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and "
      "associated documentation files (the \"Software\"), to deal in the Software without restriction"),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
     ("Proprietary", "All rights reserved."),
 )
+LONG = 100                   # words from which a template is long
 # Words too common in running text to start a window.
 COMMON = frozenset("a an and any are as at be by can for from if in is it may not of on or that the this to under use with "
                    "you your".split())
 _WORD = re.compile(r"[a-z0-9]+(?:[.-][a-z0-9]+)*")
 
 
+def whole_texts() -> tuple[tuple[str, str], ...]:
+    """(license, text) of the whole licenses that lie beside this module, read by the driver."""
+    return tuple((p.stem, p.read_text("utf-8")) for p in sorted((Path(__file__).parent / "license_texts").glob("*.txt")))
+
+
 def tokens(text: str) -> list[tuple[str, int, int]]:
     """(word, start, stop): lower-case words with inner dots and hyphens."""
     low = "".join(c.lower() if c < "\x80" else c for c in text) if not text.isascii() else text.lower()
@@ -98,7 +123,8 @@ def patience(a: list[str], b: list[str]) -> list[tuple[int, int]]:
 
 
 class Scanner:
-    def __init__(self, templates=TEMPLATES, coverage: float = COVERAGE):
+    def __init__(self, templates=None, coverage: float = COVERAGE):
+        templates = TEMPLATES + whole_texts() if templates is None else templates
         self.coverage = coverage
         self.templates = [(n, [w for w, _, _ in tokens(t)]) for n, t in templates]
         self.templates = [(n, w) for n, w in self.templates if w]
@@ -106,6 +132,7 @@ class Scanner:
         self.spare = [len(w) - max(1, ceil(coverage * len(w))) for _, w in self.templates]
         self.keys = [k if sum(x in k for x in w) > n else frozenset(w) for (_, w), n, k in
                      zip(self.templates, self.spare, (frozenset(w) - COMMON for _, w in self.templates))]
+        self.need = [sum(x in k for x in w) - n for (_, w), n, k in zip(self.templates, self.spare, self.keys)]
         self.all_keys = frozenset().union(*self.keys) if self.keys else frozenset()
 
     def scan(self, text: str | None) -> list[tuple[str, float, int, int]]:
@@ -113,12 +140,14 @@ class Scanner:
         toks = tokens(text or "")
         hits = [i for i, (w, _, _) in enumerate(toks) if w in self.all_keys]
         found = []
-        for (name, words), keys, spare in zip(self.templates, self.keys, self.spare) if hits else ():
+        for (name, words), keys, need in zip(self.templates, self.keys, self.need):
+            if len(hits) < need:                                # fewer can't reach the coverage
+                continue
             own = [i for i in hits if toks[i][0] in keys]
-            need = sum(w in keys for w in words) - spare        # fewer can't reach the coverage
             if len(own) >= need:
-                found += [(name, n / len(words), toks[b][1], toks[e][2], n) for b, e, n in self._align(toks, own, words, need)]
-        # the longer notice wins where two overlap
+                found += [(name, n / len(words), toks[b][1], toks[e][2], 3 * n - len(words) - (e - b + 1))
+                          for b, e, n in self._align(toks, own, words, need)]
+        # where two overlap, the one with more aligned words after deduction of missing and foreign ones wins
         return [x[:4] for x in _disjoint(found, lambda x: (-x[4], x[0], x[2]), 2, 3)]
 
     def _align(self, toks, own, words, need):
@@ -126,9 +155,11 @@ class Scanner:
 
         Each place is tried as the notice's first one, in windows that start where the template would and are one template
         long, then longer ones: a second copy behind the first would leave patience no word that occurs once. Of matches
-        that overlap, the one with the most aligned words after deduction of the foreign words between them stays.
+        that overlap, the one with the most aligned words after deduction of the foreign words between them stays. Windows
+        of a long template start at multiples of a sixteenth of its length, so that their number has a bound.
         """
         size, reach = len(words), 2 * len(words)
+        step = 1 if size < LONG else size // 16
         where = defaultdict(list)
         for j, w in enumerate(words):
             where[w].append(j)
@@ -141,9 +172,10 @@ class Scanner:
                 shared += bag[w] <= len(where[w])
                 last += 1
             if p > done and shared >= need:
-                starts = [max(0, p - j) for j in where[word]]
-                windows = [(b, b + size) for b in starts] + [(b, b + int(size / self.coverage)) for b in starts]
-                for lo, hi in [*windows, (max(0, p - size), p + reach)]:
+                starts = sorted({max(0, p - j) // step * step for j in where[word]}, reverse=True)
+                windows = [(b, b + n + step - 1) for n in (size, int(size / self.coverage)) for b in starts]
+                wide = p // step * step
+                for lo, hi in [*windows, (max(0, wide - size), wide + reach)]:
                     if (lo, hi) not in tried:
                         tried[lo, hi] = self._match(toks, lo, hi, words, reach)
                         found += [tried[lo, hi]] if tried[lo, hi] else []
@@ -176,7 +208,7 @@ def _disjoint(found: list[tuple], order, start: int, stop: int, inclusive: int =
     return kept
 
 
-def licenses(text: Column, templates=TEMPLATES, coverage: float = COVERAGE) -> Column:
+def licenses(text: Column, templates=None, coverage: float = COVERAGE) -> Column:
     """Array of (license, coverage, start, stop) of a text column."""
     scanner = Scanner(templates, coverage)
 

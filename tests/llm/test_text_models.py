@@ -255,6 +255,29 @@ def test_licenses_reworded(name, t):
         assert [x[0] for x in got] == [name] and got[0][1] >= C.COVERAGE, (gone, got)
 
 
+def test_whole_licenses():
+    """Each license as itself, whole, edited, twice in a row and shouted; no opening clause stands for another license."""
+    s, rng = C.Scanner(), random.Random(6)
+    texts = dict(C.whole_texts())
+    assert {"Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "GPL-2.0", "GPL-3.0", "ISC", "LGPL-2.1", "LGPL-3.0", "MIT", "MPL-2.0",
+            "Unlicense"} <= set(texts)
+    for name, t in texts.items():
+        t = t.strip()
+        words = t.split()
+        edited = " ".join(f"edited{k}" if rng.random() < 0.02 else w for k, w in enumerate(words))
+        for text, n in ((f"some {t} text", 1), (edited, 1), (t + "\n" + t.upper(), 2)):
+            got = s.scan(text)
+            assert [x[0] for x in got] == [name] * n and all(x[1] > 0.9 for x in got), (name, [x[:2] for x in got])
+    half = texts["MIT"][:len(texts["MIT"]) // 2]
+    assert [x[0] for x in s.scan(half)] == ["MIT-grant"]
+    notice = dict(C.TEMPLATES)
+    for t, name in ((notice["GPL-3.0-header"].replace("GNU", "GNU Affero"), "AGPL-3.0-header"),
+                    (notice["GPL-3.0-header"].replace("version 3", "version 2"), "GPL-2.0-header"),
+                    (notice["GPL-3.0-header"].replace("GNU", "GNU Lesser").replace("program", "library"), "LGPL-3.0-header"),
+                    ("Licensed under CC BY-ND 4.0.", "CC-BY-ND-4.0")):
+        assert [x[:2] for x in s.scan(t)] == [(name, 1.0)]
+
+
 def test_licenses_on_the_documents(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()
     lines = {"Licensed under CC BY-NC 4.0.": "CC-BY-NC-4.0", "Released under the MIT License.": "MIT",
