@@ -3,7 +3,7 @@
 ST1 (``stateful=False``): every micro-batch names the users that got new samples; their newest N samples are read
 from the live table (a late sample counts only if it is among the newest N, as in the reference), featurised,
 classified and written to the batch's folder of the sink. A table with a ``user_bucket`` column (``bucketed``), stored
-partitioned by it, is read in the touched buckets only.
+partitioned by it, is read in the touched buckets only, if its number of buckets is known (stored with it, or given).
 
 ST2 (``stateful=True``): the newest N samples of every user are kept as a table in the checkpoint folder, in buckets by
 user hash. Each batch reads the buckets it touches, adds its own newest N per user, keeps the newest N again and
@@ -30,10 +30,13 @@ from ..sources.sinks import batch_folder, read_predictions, run_id, write_batch
 
 BUCKETS = 32
 _COLS = ACCEL_LIVE.fieldNames()
+_STORED = "user_buckets"
 
 
 def bucketed(live: DataFrame, buckets: int = BUCKETS) -> DataFrame:
-    """Live samples with ``user_bucket``, by which a live table should be stored (``partitionBy("user_bucket")``)."""
+    """Live samples with ``user_bucket``, by which a live table should be stored (``partitionBy("user_bucket")``). The
+    number of buckets goes with the table, in the metadata of ``user_id``."""
+    live = live.withMetadata("user_id", {**live.schema["user_id"].metadata, _STORED: buckets})
     return live.withColumn("user_bucket", F.pmod(F.xxhash64("user_id"), F.lit(buckets)).cast("int"))
 
 
@@ -104,29 +107,32 @@ class NewestTable:
                 p.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
-def _touched(table: DataFrame, users: DataFrame) -> DataFrame:
-    """The rows of the given users; of a bucketed table only the users' buckets are read."""
+def _touched(table: DataFrame, users: DataFrame, buckets: int | None = None) -> DataFrame:
+    """The rows of the given users; of a bucketed table only the users' buckets are read. The number of buckets is the one
+    stored with the table, else ``buckets``; if neither is known, all buckets are read."""
     if "user_bucket" in table.columns:
-        n = table.agg(F.max("user_bucket")).first()[0]
-        names = [r[0] for r in bucketed(users, (n or 0) + 1).select("user_bucket").distinct().collect()]
-        table = table.where(F.col("user_bucket").isin(names))
+        n = table.schema["user_id"].metadata.get(_STORED, buckets)
+        if n:
+            names = [r[0] for r in bucketed(users, n).select("user_bucket").distinct().collect()]
+            table = table.where(F.col("user_bucket").isin(names))
     return restrict_to_users(table, users)
 
 
 def start_prediction_stream(stream: DataFrame, model, sink: str, checkpoint: str,
                             table: Callable[[], DataFrame] | None = None, n: int = DEFAULT_LATEST_N,
                             stateful: bool = True, vote: str = "majority", as_of=None,
-                            trigger: dict | None = None, console: int = 0, buckets: int = BUCKETS):
+                            trigger: dict | None = None, console: int = 0, buckets: int | None = None):
     """Start C3 on a streaming frame of live samples. ``stateful=True`` (ST2, the default) keeps each user's newest
     N samples as a table; ``stateful=False`` (ST1) reads ``table()`` for the touched users every batch, as the
-    reference did -- fine when the table is bucketed by user, a full scan per batch otherwise.
+    reference did -- fine when the table is bucketed by user, a full scan per batch otherwise. ``buckets`` is the number
+    of buckets of ST2's table (``BUCKETS`` by default) or of an ST1 table that doesn't carry its number itself.
     ``trigger`` defaults to ``{"availableNow": True}`` (R4);
     ``{"processingTime": "5 seconds"}`` is the reference's cadence (R5). ``console=k`` prints the first ``k``
     predictions of every batch (IO9). Without a ``model`` the sink gets the features."""
     trigger = trigger or {"availableNow": True}
     run = run_id(checkpoint)
     if stateful:
-        newest = NewestTable(stream.sparkSession, f"{checkpoint.rstrip('/')}/newest", n, buckets)
+        newest = NewestTable(stream.sparkSession, f"{checkpoint.rstrip('/')}/newest", n, buckets or BUCKETS)
 
         def per_batch(batch: DataFrame, batch_id: int):
             rows = newest.update(batch, batch_id)
@@ -137,7 +143,7 @@ def start_prediction_stream(stream: DataFrame, model, sink: str, checkpoint: str
             raise ValueError("stateful=False needs the live table: a micro-batch alone is no history")
 
         def per_batch(batch: DataFrame, batch_id: int):
-            live = valid_axes(_touched(table(), batch.select("user_id").distinct()))
+            live = valid_axes(_touched(table(), batch.select("user_id").distinct(), buckets))
             _emit(features(latest_n(live.select(*_COLS), n), ["user_id"], bounded=True), model, vote, as_of, sink, run,
                   batch_id, console)
     w = stream.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint).trigger(**trigger)

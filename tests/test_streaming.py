@@ -154,6 +154,33 @@ def test_bucketed_table_is_pruned(spark, tmp_shared, setup):
     assert "PartitionFilters: [user_bucket" in plan or "user_bucket#" in plan.split("PartitionFilters")[1][:80]
 
 
+def test_bucketed_table_with_empty_top_buckets(spark, tmp_shared, setup):
+    """The highest buckets hold no user; every user's samples are found, whether the table's number of buckets is stored with
+    it, given, or unknown."""
+    from stridex.streaming import bucketed
+    from stridex.streaming.live_prediction import _touched
+    model, parts, everything = setup
+    n = next(n for n in range(32, 60) if bucketed(everything, n).agg(F.max("user_bucket")).first()[0] < n - 2)
+    path, bare, src = tmp_shared("live"), tmp_shared("bare"), tmp_shared("src")
+    bucketed(everything, n).write.partitionBy("user_bucket").parquet(path)
+    stored = spark.read.parquet(path)
+    spark.read.schema(f"{ACCEL_LIVE.simpleString()[7:-1].replace(':', ' ')}, user_bucket int").parquet(path).write.partitionBy(
+        "user_bucket").parquet(bare)
+    unmarked = spark.read.parquet(bare)
+    assert not unmarked.schema["user_id"].metadata and stored.schema["user_id"].metadata
+    for u, rows in {r.user_id: r["count"] for r in everything.groupBy("user_id").count().collect()}.items():
+        users = spark.createDataFrame([(u,)], "user_id string")
+        assert [_touched(t, users, k).count() for t, k in ((stored, None), (stored, 3), (unmarked, n), (unmarked, None))] == [rows] * 4
+    everything.coalesce(1).write.parquet(src)
+    final = []
+    for table, k in ((lambda: read_live(spark, src), None), (lambda: stored, None), (lambda: unmarked, n), (lambda: unmarked, None)):
+        sink = tmp_shared("sink")
+        start_prediction_stream(stream_live(spark, src), model, sink, tmp_shared("ckpt"), table=table, n=N, stateful=False,
+                                as_of=1, buckets=k).awaitTermination()
+        final.append(_final(spark, sink))
+    assert final[0].keys() == {f"u0{k}" for k in range(6)} and all(f == final[0] for f in final)
+
+
 def test_default_stream_has_no_python_step(spark, tmp_shared, setup):
     from stridex.streaming import NewestTable
     _, parts, _ = setup
