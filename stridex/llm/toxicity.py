@@ -1,7 +1,7 @@
 """Toxicity: a linear-chain conditional random field tags toxic words; its marginals make document scores.
 
 Learning uses a bounded sample (``MAX_TRAIN_DOCS`` labelled documents by hash of their id, none longer than
-``MAX_TRAIN_CHARS``; those bounds touch the fit only). Labels are given per document, so words are labelled first: a
+``MAX_TRAIN_CHARS``, at most ``MAX_TRAIN_TEXTS`` of one id; those bounds touch the fit only). Labels are given per document, so words are labelled first: a
 word of a toxic document is toxic if it is significantly more frequent in toxic than in clean sample texts (likelihood
 ratio). The two-state chain is then fitted to these labelled words by gradient ascent on its likelihood, where the
 gradient needs the forward-backward marginals. A logistic curve over a document's tagged words (the sum of their
@@ -23,7 +23,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ._common import read, remainder, ship_by_value, sub_batches
@@ -32,6 +32,7 @@ ship_by_value(__name__)
 
 MAX_TRAIN_DOCS = 4000
 MAX_TRAIN_CHARS = 20_000
+MAX_TRAIN_TEXTS = 4          # different texts of one id
 MAX_VOCABULARY = 1 << 16
 MIN_RATIO_STAT = 16.0        # likelihood-ratio statistic from which a word counts as toxic
 STEPS, RATE, PRIOR = 60, 0.3, 0.02
@@ -217,13 +218,17 @@ def fit(texts: list[str], toxic: list[bool]) -> ToxicityModel:
     return model
 
 
-def train(docs: DataFrame, labels: DataFrame, limit: int = MAX_TRAIN_DOCS, chars: int = MAX_TRAIN_CHARS) -> ToxicityModel:
-    """Fit on at most ``limit`` labelled documents of at most ``chars`` characters, by hash of the id."""
+def train(docs: DataFrame, labels: DataFrame, limit: int = MAX_TRAIN_DOCS, chars: int = MAX_TRAIN_CHARS,
+          texts: int = MAX_TRAIN_TEXTS) -> ToxicityModel:
+    """Fit on at most ``limit`` labelled documents of at most ``chars`` characters, by hash of the id. Repeated rows count
+    once; of an id with several texts at most ``texts`` are used, the further ones after all ids' first."""
     y = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     d = docs.where(F.col("text").isNotNull() & (F.length("text") <= chars))
-    ids = d.select("doc_id").join(y, "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
-    rows = d.join(F.broadcast(ids), "doc_id").select("doc_id", "text", "toxic").distinct().toPandas()
-    rows = rows.sort_values(["doc_id", "text"])
+    ids = d.select("doc_id").join(y, "doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
+    rows = d.join(F.broadcast(ids), "doc_id").select("doc_id", "text", "toxic").distinct()
+    nth = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64("text"), "text"))
+    rows = rows.withColumn("nth", nth).where(F.col("nth") <= texts)
+    rows = rows.orderBy("nth", F.xxhash64("doc_id"), "doc_id").limit(limit).toPandas().sort_values(["doc_id", "text"])
     return fit(rows["text"].tolist(), (rows["toxic"] > 0).tolist())
 
 

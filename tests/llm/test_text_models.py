@@ -182,6 +182,22 @@ def test_contamination_empty(spark, tmp_path):
     assert D.op3_decontamination(spark, path).count() == 0
 
 
+def test_toxicity_sample_takes_ids(spark, monkeypatch):
+    """Repeated rows of an id don't crowd out other ids, and an id of many texts gives a bounded number."""
+    used = []
+    monkeypatch.setattr(X, "fit", lambda texts, toxic: used.append((texts, toxic)))
+    docs = spark.createDataFrame([(i, f"text {i}") for i in range(9) for _ in range(5)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(9)], "doc_id long, toxic int")
+    X.train(docs, labels, limit=9)
+    assert used.pop() == ([f"text {i}" for i in range(9)], [i % 2 > 0 for i in range(9)])
+    more = docs.union(spark.createDataFrame([(3, f"other {k}") for k in range(50)], docs.schema))
+    X.train(more, labels, limit=100)
+    texts, _ = used.pop()
+    assert len(texts) == 8 + X.MAX_TRAIN_TEXTS and {f"text {i}" for i in range(9) if i != 3} <= set(texts)
+    X.train(more, labels, limit=9)
+    assert len(used[0][0]) == 9 and len({t for t in used.pop()[0] if not t.startswith("other") and t != "text 3"}) == 8
+
+
 # --- op6
 
 def lcs(a, b):
