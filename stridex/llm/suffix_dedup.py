@@ -1,9 +1,9 @@
-"""Suffix-array deduplication of exact byte strings by distributed prefix doubling over content-chosen positions.
+"""Deduplication of exact byte strings by content-anchored window hashing, shared with op4; nothing is ranked by pairs of ranks.
 
 A pure prefix doubling ranks every byte position in every round; at 100 TB each round would sort and write many times
-the corpus. Here the positions that are ranked are the anchors of ``_repeats``: about one in 85 bytes, chosen by
-content so that equal 200-byte strings have corresponding anchors. Round 1 ranks the anchors by the 32 bytes at them;
-a position whose rank is unique leaves. The following rounds rank the survivors by (seed rank, name) pairs of growing
+the corpus. Here the positions that are hashed are the anchors of ``_repeats``: about one in 85 bytes, chosen by
+content so that equal 200-byte strings have corresponding anchors. Round 1 counts the anchors by the 32 bytes at them;
+a position whose bytes are unique leaves. The following rounds count the survivors by (seed rank, name) pairs of growing
 known length - 169 to 197 bytes in common, up to the full 200 - and let a position go as soon as it is unique, or as soon as
 its string is past the threshold, as suffix sorting by doubling does.
 
