@@ -38,7 +38,7 @@ ship_by_value(__name__)
 SIZE, LIMIT, SEED = 3, 3, 42
 PIVOTS = 16
 CELL = 8                      # width of a pivot cell in the join key
-PER_BUCKET = 64               # unrelated fingerprints that a bucket may hold on average
+PER_BUCKET = 0.25             # unrelated fingerprints that a bucket may hold on average: they should rarely meet
 BLOCK = 255 * 256             # shingles hashed at a time
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
