@@ -4,29 +4,30 @@ Text is normalised to lower-case words between single blanks, and each window of
 window) is a pattern with a blank at either end, so that a match always covers whole words. Each document is scanned
 once; match ends map back to word numbers and, for the documents that match, to offsets of the original text.
 
-The automaton is broadcast. Its size is estimated first from the benchmark's own length; a benchmark beyond
-``MAX_PATTERN_CHARS`` is dealt into blocks by window hash, each with an automaton of its own and a scan of its own,
-and a document's hits are the union over the blocks. Nothing is left out either way.
+The automaton is broadcast and built once per worker. Its size is bounded by ``MAX_PATTERN_BYTES`` of patterns (an automaton
+takes about 50 times its patterns): a benchmark beyond that is dealt into blocks by window hash, scanned one after the
+other, each writing the hits it finds; a document's hits are the union over the blocks. Nothing is left out either way.
 
 Defined results: null or wordless texts have no words and no hits; items without a word match nothing; windows that
-several items share count for each of them; repeated rows get equal results; other columns pass through.
+several items share count for each of them; repeated rows get equal results; all columns of the input pass through, inside
+a struct, so that no name clashes; an empty table gives no rows, an empty benchmark no hits; long texts are scanned whole.
 """
 from __future__ import annotations
 
-import hashlib
 import re
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.tables import discard, materialize
 from ._common import lower_ascii, read, ship_by_value
 
 ship_by_value(__name__)
 
 WINDOW = 10
-MAX_PATTERN_CHARS = 64_000_000
+MAX_PATTERN_BYTES = 2_000_000        # of one automaton, which takes about 50 times as much
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"     # after lower-casing A-Z
 # Byte map of the normalisation: A-Z to lower case, every other ASCII byte that is no letter or digit to a blank.
 _MAP = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
@@ -62,13 +63,18 @@ def scan(text: str | None, machine, owners: list[list[str]]):
     for e, (_, (i, n)) in zip(at.tolist(), found):
         hits.append((e - n, e))
         items.update(owners[i])
-    merged = []
-    for b, e in sorted(hits):
-        if merged and b <= merged[-1][1]:
-            merged[-1][1] = max(e, merged[-1][1])
+    return len(words), merged(hits), sorted(items)
+
+
+def merged(intervals) -> list[list[int]]:
+    """The union of intervals [b, e) as maximal runs, in order."""
+    runs: list[list[int]] = []
+    for b, e in sorted(intervals):
+        if runs and b <= runs[-1][1]:
+            runs[-1][1] = max(e, runs[-1][1])
         else:
-            merged.append([b, e])
-    return len(words), merged, sorted(items)
+            runs.append([b, e])
+    return runs
 
 
 def offsets(text: str, intervals) -> list[tuple[int, int]]:
@@ -86,55 +92,91 @@ def windows(benchmark: DataFrame, item_id: str = "item_id", text: str = "text",
     return b.groupBy("window").agg(F.sort_array(F.collect_set("i")).alias("items"))
 
 
-def contamination(docs_text: Column, benchmark: DataFrame, item_id: str = "item_id", text: str = "text",
-                  size: int = WINDOW, limit: int = MAX_PATTERN_CHARS, with_offsets: bool = False) -> Column:
-    """Struct (n_words, n_hit, items array, spans array of code point offsets) of a text column."""
-    spark = benchmark.sparkSession
-    chars = benchmark.agg(F.sum(F.length(text))).first()[0] or 0
-    blocks = max(1, -(-int(chars) * (size + 1) // limit))
-    table = windows(benchmark, item_id, text, size)
-    scanned = []
-    for k in range(blocks):
+FOUND = "n_words long, n_hit long, items array<string>, spans array<struct<start:int,stop:int>>, kept string"
+_NAMES = ["n_words", "n_hit", "items", "spans", "kept"]
+
+
+def _found(text: str | None, words: int, runs, items, with_offsets: bool):
+    at = offsets(text, runs) if with_offsets and runs else []
+    kept = "".join(text[b:e] for b, e in zip([0, *[e for _, e in at]], [*[b for b, _ in at], len(text)])) if at else text
+    return words, sum(e - b for b, e in runs), items, [{"start": b, "stop": e} for b, e in at], kept if with_offsets else None
+
+
+def _machine(shared):
+    block = shared.value
+    if "machine" not in block:                             # built once per worker
+        block["machine"] = automaton(block["patterns"])
+    return block["machine"], block["owners"]
+
+
+def _scan_all(shared, with_offsets: bool):
+    """A text's result from one automaton. Nondeterministic for the optimizer, which else runs it again in a filter."""
+    @F.pandas_udf(FOUND)
+    def run(texts: pd.Series) -> pd.DataFrame:
+        machine, owners = _machine(shared)
+        return pd.DataFrame([_found(t, *scan(t, machine, owners), with_offsets) for t in texts.tolist()],
+                            columns=_NAMES)
+    return run.asNondeterministic()
+
+
+def _scan_block(shared):
+    @F.pandas_udf("hits array<array<int>>, items array<string>")
+    def run(texts: pd.Series) -> pd.DataFrame:
+        machine, owners = _machine(shared)
+        return pd.DataFrame([scan(t, machine, owners)[1:] for t in texts.tolist()], columns=["hits", "items"])
+    return run.asNondeterministic()
+
+
+def _union(with_offsets: bool):
+    @F.pandas_udf(FOUND)
+    def run(texts: pd.Series, hits: pd.Series, items: pd.Series) -> pd.DataFrame:
+        rows = []
+        for t, h, i in zip(texts.tolist(), hits.tolist(), items.tolist()):
+            n = sum(1 for w in _words(t) if w) if t else 0
+            rows.append(_found(t, n, merged(tuple(x) for x in h) if h is not None else [],
+                               sorted(set(i)) if i is not None else [], with_offsets))
+        return pd.DataFrame(rows, columns=_NAMES)
+    return run.asNondeterministic()
+
+
+def contamination(docs: DataFrame, benchmark: DataFrame, item_id: str = "item_id", text: str = "text", size: int = WINDOW,
+                  limit: int = MAX_PATTERN_BYTES, with_offsets: bool = False, doc_text: str = "text") -> DataFrame:
+    """(doc, c) of every row: the row as a struct and a struct (n_words, n_hit, items) of its text ``doc_text``, with
+    ``with_offsets`` also its spans, as code point offsets, and the text without them (``kept``)."""
+    spark = docs.sparkSession
+    table = materialize(windows(benchmark, item_id, text, size), "decontaminate-windows")
+    total = table.agg(F.sum(F.octet_length("window"))).first()[0] or 0
+    blocks = max(1, -(-int(total) // limit))
+
+    def block(k: int):
         part = table if blocks == 1 else table.where(F.pmod(F.xxhash64("window"), F.lit(blocks)) == k)
-        rows = part.orderBy("window").collect()          # at most ``limit`` characters of patterns
-        shared = spark.sparkContext.broadcast({"patterns": [r[0] for r in rows], "owners": [list(r[1]) for r in rows]})
-        scanned.append(_scanner(shared)(docs_text))
-
-    @F.pandas_udf("n_words long, n_hit long, items array<string>, spans array<struct<start:int,stop:int>>")
-    def merge(texts: pd.Series, *parts: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        for i, t in enumerate(texts.tolist()):
-            ws = sorted(tuple(x) for p in parts for x in (p["hits"].iloc[i] if p["hits"].iloc[i] is not None else ()))
-            hit, runs = 0, []
-            for b, e in ws:
-                if runs and b <= runs[-1][1]:
-                    runs[-1][1] = max(e, runs[-1][1])
-                else:
-                    runs.append([b, e])
-            hit = sum(e - b for b, e in runs)
-            items = sorted({x for p in parts for x in p["items"].iloc[i]})
-            spans = [{"start": b, "stop": e} for b, e in offsets(t, runs)] if with_offsets and runs else []
-            out.append((parts[0]["n_words"].iloc[i], hit, items, spans))
-        return pd.DataFrame(out, columns=["n_words", "n_hit", "items", "spans"])
-    return merge(docs_text, *scanned)
-
-
-def _scanner(shared):
-    @F.pandas_udf("n_words long, hits array<array<int>>, items array<string>")
-    def one(texts: pd.Series) -> pd.DataFrame:
-        block = shared.value
-        if "machine" not in block:                         # built once per worker
-            block["machine"] = automaton(block["patterns"])
-        return pd.DataFrame([scan(t, block["machine"], block["owners"]) for t in texts.tolist()], columns=["n_words", "hits", "items"])
-    return one
+        rows = part.orderBy("window").collect()            # about ``limit`` bytes of patterns
+        return spark.sparkContext.broadcast({"patterns": [r[0] for r in rows], "owners": [list(r[1]) for r in rows]})
+    if blocks == 1:
+        out = docs.select(F.struct("*").alias("doc"), _scan_all(block(0), with_offsets)(F.col(doc_text)).alias("c"))
+        discard(table)
+        return out
+    rows = materialize(docs.select(F.monotonically_increasing_id().alias("row"), F.struct("*").alias("doc")),
+                       "decontaminate-rows")
+    said, found = f"doc.`{doc_text}`", None
+    for k in range(blocks):
+        shared = block(k)
+        one = rows.where(f"{said} is not null").select("row", _scan_block(shared)(F.col(said)).alias("s"))
+        one = materialize(one.where("size(s.hits) > 0").select("row", "s.hits", "s.items"), "decontaminate-hits")
+        shared.unpersist()
+        found = one if found is None else found.unionByName(one)
+    discard(table)
+    per = found.groupBy("row").agg(F.flatten(F.collect_list("hits")).alias("hits"),
+                                   F.flatten(F.collect_list("items")).alias("items"))      # a list per block
+    d = rows.join(per, "row", "left")
+    return d.select("doc", _union(with_offsets)(F.col(said), "hits", "items").alias("c"))
 
 
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document that lie in a benchmark window, and the items they come from."""
-    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
-    c = contamination(F.col("text"), read(spark, sf_dir, "benchmark").select("item_id", "text"))
-    d = docs.select("doc_id", c.alias("c"))
-    return d.select("doc_id", "c.n_words", "c.n_hit", F.size("c.items").cast("long").alias("n_items"),
+    d = contamination(read(spark, sf_dir, "documents").select("doc_id", "text"),
+                      read(spark, sf_dir, "benchmark").select("item_id", "text"))
+    return d.select("doc.doc_id", "c.n_words", "c.n_hit", F.size("c.items").cast("long").alias("n_items"),
                     F.sha2(F.concat_ws(",", "c.items"), 256).alias("items_sha256"),
                     (F.col("c.n_hit") > 0).alias("contaminated"))
 

@@ -4,7 +4,7 @@ Every document has base weight 1 and a size in words; the weights of a source mu
 source's target. The solution nearest to the base weights in relative entropy, with at most ``CAP`` copies of a
 document, is the exponential tilt ``min(CAP, exp(lambda * size / mean size))``. Its lambda is the root of the dual's
 gradient: each Newton iteration is one join and one aggregate of the (source, size) counts for all sources together,
-kept inside a shrinking bracket (the gradient is monotone), with the state checkpointed between iterations.
+kept inside a shrinking bracket (the gradient is monotone), with the state written between iterations.
 
 Rates become copies by carrying the rounding error from the largest size to the smallest: the copies given to all
 documents of one (source, size) are their summed rates rounded up or down, whichever brings the words taken so far
@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..sources.tables import materialize
+from ..sources.tables import discard, materialize
 from ._common import read
 
 WEIGHTS = (5, 2, 1)
@@ -29,6 +29,8 @@ CAP = 3
 SALTS = 256
 MAX_ITERATIONS = 80
 TOLERANCE = 1e-9
+CHUNK = 256                  # entries that are gathered before they are appended
+_ENTRIES = "array<struct<size:bigint,n:bigint,rate:double,m:bigint>>"
 
 
 def _numbered(sources: DataFrame) -> DataFrame:
@@ -77,7 +79,7 @@ def solve(counts: DataFrame, goal: DataFrame) -> DataFrame:
     state = goal.select("k", "target", "mean", F.least(F.lit(top), F.log(F.col("target") / F.col("source_size"))).alias("lam"),
                         (-700.0 * F.col("mean")).alias("lo"), (F.lit(top) * F.col("mean")).alias("hi"),
                         F.lit(False).alias("done"))
-    state = state.checkpoint()
+    state = materialize(state, "mix-state")
     for _ in range(MAX_ITERATIONS):
         z = F.col("size") / F.col("mean")
         rate = _rate(F.col("lam"), z)
@@ -94,9 +96,10 @@ def solve(counts: DataFrame, goal: DataFrame) -> DataFrame:
         inside = F.col("step").isNotNull() & (new > F.col("lo1")) & (new < F.col("hi1"))
         moved = F.when(inside, new).otherwise((F.col("lo1") + F.col("hi1")) / 2)
         still = F.col("done") | F.col("near") | (F.col("hi1") - F.col("lo1") <= 1e-12 * (1 + F.abs(F.col("lam"))))
-        state = s.select("k", "target", "mean", F.when(still, F.col("lam")).otherwise(moved).alias("lam"),
-                         F.coalesce("lo1", "lo").alias("lo"), F.coalesce("hi1", "hi").alias("hi"),
-                         still.alias("done")).checkpoint()
+        before, state = state, materialize(s.select(
+            "k", "target", "mean", F.when(still, F.col("lam")).otherwise(moved).alias("lam"), F.coalesce("lo1", "lo").alias("lo"),
+            F.coalesce("hi1", "hi").alias("hi"), still.alias("done")), "mix-state")
+        discard(before)
         if state.where("not done").isEmpty():
             break
     return state.select("k", "lam", "mean")
@@ -118,14 +121,17 @@ def copies(docs: DataFrame, size: str = "size", source: str = "source", key: str
     tilt = solve(worded, goal.where("source_size > 0").select(
         "k", "target", "source_size", (F.col("source_size") / F.col("n_docs")).alias("mean")))
     rates = worded.join(tilt, "k").select("k", "size", "n", _rate(F.col("lam"), F.col("size") / F.col("mean")).alias("rate"))
-    # (size, n, rate) of a source, largest first; as many entries as the source has different sizes
+    # (size, n, rate) of a source, largest first: as many entries as it has different sizes, so no more than its longest text
+    # has words, whatever the number of rows. Results gather in chunks, which are appended whole: linear in the entries.
     per = rates.groupBy("k").agg(F.sort_array(F.collect_list(F.struct("size", "n", "rate")), asc=False).alias("hist"))
     per = per.select("k", F.expr(f"""aggregate(hist, named_struct('want', 0D, 'got', 0L, 'out',
-            cast(array() AS array<struct<size:bigint,n:bigint,rate:double,m:bigint>>)), (a, x) ->
+            cast(array() AS {_ENTRIES}), 'done', cast(array() AS array<{_ENTRIES}>)), (a, x) ->
           transform(array(least(cast(ceil(x.n * x.rate) AS bigint), greatest(cast(floor(x.n * x.rate) AS bigint),
               cast(round((a.want + x.n * x.size * x.rate - a.got) / x.size) AS bigint)))), m -> named_struct('want', a.want + x.n * x.size * x.rate, 'got', a.got + m * x.size,
-              'out', concat(a.out, array(named_struct('size', x.size, 'n', x.n, 'rate', x.rate, 'm', m)))))[0],
-          a -> a.out)""").alias("out")).select("k", F.explode("out").alias("o")).select(
+              'out', concat(IF(size(a.out) < {CHUNK}, a.out, cast(array() AS {_ENTRIES})),
+                            array(named_struct('size', x.size, 'n', x.n, 'rate', x.rate, 'm', m))),
+              'done', IF(size(a.out) < {CHUNK}, a.done, concat(a.done, array(a.out)))))[0],
+          a -> concat(flatten(a.done), a.out))""").alias("out")).select("k", F.explode("out").alias("o")).select(
         "k", "o.size", "o.rate", F.expr("o.m div o.n").alias("base"), F.expr("o.m % o.n").alias("extra"))
     # rank of a document among those of its source and size, slice by slice
     slices = d.groupBy("k", "size", "salt").agg(F.count(F.lit(1)).alias("c"))

@@ -14,12 +14,12 @@ all documents, then by hash. Two sets of Jaccard ``percent`` or more share a tok
 * Expand and verify: pairs of groups are expanded to their classes and verified on the whole sets.
 
 Intermediate results are tables in the shared folder; labels spread by minimum with pointer jumping. The broadcast table
-of counts has a size chosen from the corpus and never more than ``MAX_SLOTS`` entries; it only orders the tokens, any size
+of counts has a size chosen from the corpus and never more than ``MAX_SLOTS`` bytes; it only orders the tokens, any size
 is correct.
 
 Defined results: a text with fewer than ``n`` words, but at least one, is one token; null and wordless texts are empty
 sets, linked with nothing; repeated rows have equal sets and one component; a component is named by its smallest id, null
-ids count as largest.
+ids count as largest; long texts are read whole; an empty table gives no rows; further columns are ignored.
 """
 from __future__ import annotations
 
@@ -40,9 +40,10 @@ from ._repeats import LAST, keyed, pack, unpack
 ship_by_value(__name__)
 
 SIZE, PERCENT = 3, 90
-MIN_SLOTS, MAX_SLOTS = 1 << 16, 1 << 26
+MIN_SLOTS, MAX_SLOTS = 1 << 16, 1 << 24
 TOKENS_PER_SLOT = 512
 BLOCK = 256                  # counters to a row
+_FULL = np.uint32((1 << 32) - 1)
 _BLANKS = np.array([b == 32 or 9 <= b <= 13 for b in range(256)])
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
@@ -78,8 +79,8 @@ def prefix_length(n: int, percent: int) -> int:
 
 
 def slot_counts(texts: DataFrame, kernel, slots: int) -> np.ndarray:
-    """Tokens per slot over all texts. A task keeps ``slots`` counters and emits them in rows of ``BLOCK``; the rows of a
-    block meet in one task, which adds them up as they come."""
+    """Logarithm of the tokens per slot over all texts, in a byte. A task keeps ``slots`` counters of 4 bytes and emits them
+    in rows of ``BLOCK``; the rows of a block meet in one task, which adds them up as they come."""
     shift = np.uint64(64 - slots.bit_length() + 1)
 
     def rows(total: dict[int, np.ndarray]):
@@ -90,28 +91,28 @@ def slot_counts(texts: DataFrame, kernel, slots: int) -> np.ndarray:
                                                                                    pa.binary())], names=["block", "n"])
 
     def count(batches):
-        total = np.zeros(slots, np.int64)
+        total = np.zeros(slots, np.uint32)
         for b in batches:
             raws = [t.encode("utf-8", "surrogatepass") for t in b.column("text").to_pylist()]
-            part = [s >> shift for s in kernel.sets(raws)]
-            if part:
-                total += np.bincount(np.concatenate(part).astype(np.int64), minlength=slots)
+            for s in kernel.sets(raws):
+                slot, n = np.unique((s >> shift).astype(np.int64), return_counts=True)
+                total[slot] += np.minimum(n, _FULL - total[slot]).astype(np.uint32)
         yield from rows({k: x for k, x in enumerate(total.reshape(-1, BLOCK)) if x.any()})
 
     def add(batches):
         total: dict[int, np.ndarray] = {}
         for b in batches:
             for k, x in zip(b.column("block").to_pylist(), b.column("n").to_pylist()):
-                x = np.frombuffer(x, np.int64)
-                total[k] = total[k] + x if k in total else x
+                x = np.frombuffer(x, np.uint32)
+                total[k] = np.maximum(total[k] + x, x) if k in total else x           # an overflow leaves the larger part
         yield from rows(total)
     kinds = "block long, n binary"
     parts = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     got = texts.mapInArrow(count, kinds).repartition(parts, "block").mapInArrow(add, kinds).collect()
-    out = np.zeros((slots // BLOCK, BLOCK), np.int64)
+    out = np.zeros((slots // BLOCK, BLOCK), np.uint8)
     for r in got:
-        out[r["block"]] = np.frombuffer(bytes(r["n"]), np.int64)
-    return np.minimum(out.reshape(-1), (1 << 32) - 1).astype(np.uint32)
+        out[r["block"]] = np.rint(7 * np.log2(np.frombuffer(bytes(r["n"]), np.uint32) + 1.0))
+    return out.reshape(-1)
 
 
 def _prefixes(kernel, percent: int, shared, slots: int):
@@ -200,6 +201,7 @@ def near_duplicates(docs: DataFrame, kernel=None, percent: int = PERCENT, doc_id
     rows = materialize(d.select("doc_id", "ok", "th", "text").mapInArrow(
         _prefixes(kernel, percent, shared, slots), "doc_id long, ok long, th long, n int, k binary, g binary, "
                                                    "prefix array<long>"), f"{name}-prefixes")
+    shared.unpersist()
     classes = materialize(rows.where("n > 0").groupBy("k", "g", "n").agg(F.min(F.struct("ok", "th")).alias("rep")),
                           f"{name}-classes")
     groups = classes.groupBy("g", "n").agg(F.count(F.lit(1)).alias("members"), F.min("k").alias("lead"))

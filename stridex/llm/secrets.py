@@ -10,11 +10,12 @@
 
 An owner is the part of the repository name before the first ``/``. Defined results: null text is empty text (no
 spans); null repositories count as one repository with an empty name; each row is scanned on its own, so repeated rows
-get equal results (and do not raise the number of owners); further columns are ignored.
+get equal results (and do not raise the number of owners); matches that start together go by kind; a text of any length
+takes time in proportion to its length and matches; an empty table gives no rows; further columns are ignored.
 """
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..sources.tables import materialize
@@ -26,25 +27,38 @@ ASSIGN = (r"""([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee
 ACCESS = r"(AKIA[A-Z0-9]{14,})"          # the same spans as AKIA[A-Z0-9]+ of 18 or more: a run never matches later
 HEX = r"([0-9a-f]{16,})"
 BARE = r"((?<![A-Za-z0-9+/_.=-])(?=[A-Za-z+/_.=-]*[0-9])[A-Za-z0-9+/_.=-]{12,})"
+PATTERNS = {1: (ASSIGN, 2, 12), 2: (ACCESS, 0, 18), 3: (HEX, 0, 16), 4: (BARE, 0, 12)}      # pattern, value's group, least
 KINDS = ("assign", "access", "hex", "reuse")
 PLACEHOLDER = "(?i)example|sample|placeholder|changeme|dummy|your_|xxxx"
 MAX_OWNERS = 2                           # a live value belongs to at most so many owners
 
+CHUNK = 256                              # matches, or characters of a piece, handled at a time
 _SPAN = "array<struct<start:int,kind:int,stop:int,value:string>>"
 
 
-def _spans(kind: int, pattern: str, group: int, least: int) -> str:
-    """SQL for the spans of a pattern in column ``t`` whose value (``group``) has ``least`` characters or more."""
+def _matches(pattern: str, group: int) -> str:
+    """SQL for a pattern's matches in column ``t``: their lengths ``n``, values ``v`` (of ``group``) and the lengths ``gap`` of
+    the text before each; null without a match. Positions follow from the lengths."""
     p = "r'" + pattern.replace("'", r"\x27") + "'"
-    pairs = (f"zip_with(regexp_extract_all(t, {p}, 0), regexp_extract_all(t, {p}, {group}), "
-             f"(m, v) -> struct(char_length(m) AS n, v AS v))")
-    found = (f"zip_with({pairs}, slice(transform(split(t, {p}, -1), x -> char_length(x)), 1, "
-             f"size(regexp_extract_all(t, {p}, 0))), (m, gap) -> struct(gap AS gap, m.n AS n, m.v AS v))")
-    walk = (f"aggregate({found}, struct(0 AS at, cast(array() AS {_SPAN}) AS out), (a, m) -> struct("
-            f"a.at + m.gap + m.n AS at, IF(char_length(m.v) >= {least}, concat(a.out, array(named_struct("
-            f"'start', a.at + m.gap, 'kind', {kind}, 'stop', a.at + m.gap + m.n, 'value', m.v))), a.out) AS out), "
-            f"a -> a.out)")
-    return f"IF(t RLIKE {p}, {walk}, cast(array() AS {_SPAN}))"
+    whole = f"regexp_extract_all(t, {p}, 0)"
+    value = whole if group == 0 else f"regexp_extract_all(t, {p}, {group})"
+    return (f"IF(t RLIKE {p}, named_struct('n', transform({whole}, m -> char_length(m)), 'v', {value}, "
+            f"'gap', transform(split(t, {p}, -1), x -> char_length(x))), null)")
+
+
+def _spans(kind: int, found: str, least: int) -> str:
+    """SQL for the spans of ``_matches`` in column ``found`` whose value has ``least`` characters or more. Running sums are
+    taken in chunks of ``CHUNK`` matches and then over the chunks, so the work is linear in the matches."""
+    n = f"size({found}.n)"
+    each = (f"zip_with(arrays_zip({found}.n, {found}.v), slice({found}.gap, 1, {n}), "
+            f"(m, gap) -> struct(gap AS gap, m.n AS n, m.v AS v))")
+    chunks = f"transform(sequence(0, ({n} - 1) div {CHUNK}), c -> slice({each}, c * {CHUNK} + 1, {CHUNK}))"
+    each_at = (f"aggregate(c, struct(x.at AS at, cast(array() AS {_SPAN}) AS out), (a, m) -> struct(a.at + m.gap + m.n AS at, "
+               f"IF(char_length(m.v) >= {least}, concat(a.out, array(named_struct('start', a.at + m.gap, 'kind', {kind}, "
+               f"'stop', a.at + m.gap + m.n, 'value', m.v))), a.out) AS out))")
+    walk = (f"flatten(aggregate({chunks}, struct(0 AS at, cast(array() AS array<{_SPAN}>) AS out), (x, c) -> "
+            f"transform(array({each_at}), y -> struct(y.at AS at, concat(x.out, array(y.out)) AS out))[0], x -> x.out))")
+    return f"IF({found} IS NULL, cast(array() AS {_SPAN}), {walk})"
 
 
 def candidates(docs: DataFrame, text: str = "text", repo: str = "source", whole: bool = False) -> DataFrame:
@@ -52,9 +66,12 @@ def candidates(docs: DataFrame, text: str = "text", repo: str = "source", whole:
     With ``whole`` the input row comes along as struct ``doc`` instead of its doc_id."""
     d = docs.select(F.struct("*").alias("doc") if whole else F.col("doc_id"),
                     F.coalesce(F.col(repo), F.lit("")).alias("repo"), F.coalesce(F.col(text), F.lit("")).alias("t"))
-    base = F.expr(f"array_sort(concat({_spans(1, ASSIGN, 2, 12)}, {_spans(2, ACCESS, 1, 18)}, {_spans(3, HEX, 1, 16)}))")
-    return d.select(F.monotonically_increasing_id().alias("row"), "doc" if whole else "doc_id", "repo", base.alias("base"),
-                    F.expr(_spans(4, BARE, 1, 12)).alias("bare"))
+    mine = "doc" if whole else "doc_id"
+    d = d.select(mine, "repo", *[F.expr(_matches(p, g)).alias(f"f{k}") for k, (p, g, _) in PATTERNS.items()])
+    spans = {k: _spans(k, f"f{k}", least) for k, (*_, least) in PATTERNS.items()}
+    return d.select(F.monotonically_increasing_id().alias("row"), mine, "repo",
+                    F.expr(f"array_sort(concat({spans[1]}, {spans[2]}, {spans[3]}))").alias("base"),
+                    F.expr(spans[4]).alias("bare"))
 
 
 def ownership(found: DataFrame) -> DataFrame:
@@ -97,16 +114,23 @@ def secret_spans(docs: DataFrame, text: str = "text", repo: str = "source") -> D
 def redact(docs: DataFrame, text: str = "text", repo: str = "source", mark: str = "[secret]") -> DataFrame:
     """All rows and columns, the values of live credentials in ``text`` replaced by ``mark`` (copied examples stay)."""
     found = materialize(candidates(docs, text, repo, whole=True), "secret-rows")
-    live = _judged(found.select("row", "repo", "base", "bare")).where("live").groupBy("row").agg(
-        F.array_sort(F.collect_list(F.struct(F.expr("s.stop - char_length(s.value)").alias("a"), F.col("s.stop").alias("b"))))
-        .alias("cuts"))
-    t = f"doc.`{text}`"
-    cut = F.expr(f"""aggregate(cuts, named_struct('at', 0, 'out', ''), (x, c) -> IF(c.b <= x.at, x, named_struct(
-        'at', c.b, 'out', concat(x.out, substring({t}, x.at + 1, greatest(c.a - x.at, 0)), '{mark}'))),
-        x -> concat(x.out, substring({t}, x.at + 1)))""")
-    out = found.select("row", "doc").join(live, "row", "left")
-    return out.select(*[F.coalesce(cut, F.expr(t)).alias(c) if c == text else F.col("doc").getField(c).alias(c)
-                        for c in docs.columns])
+    live = _judged(found.select("row", "repo", "base", "bare")).where("live").select(
+        "row", F.expr("s.stop - char_length(s.value)").alias("a"), F.col("s.stop").alias("b"))
+    # what is kept before each value: from the end of the values so far; a value inside earlier ones is masked already
+    before = Window.partitionBy("row").orderBy("a", "b").rowsBetween(Window.unboundedPreceding, -1)
+    live = live.select("row", "a", "b", F.coalesce(F.max("b").over(before), F.lit(0)).alias("at")).where("b > at")
+    live = live.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("at", F.greatest("a", "at").alias("a"), "b"))).alias("cuts"))
+    t, size = f"doc.`{text}`", 16 * CHUNK
+    # pieces come from slices of the text, as a substring's cost is its distance from the start
+    part = lambda lo, hi: (f"concat_ws('', transform(sequence({lo} div {size}, ({hi} - 1) div {size}), k -> substring(slices[k], "
+                           f"greatest({lo} - k * {size}, 0) + 1, least({hi} - k * {size}, {size}) - greatest({lo} - k * {size}, 0))))")
+    kept = f"transform(cuts, c -> concat(IF(c.a > c.at, {part('c.at', 'c.a')}, ''), '{mark}'))"
+    rest = f"IF(last < long, {part('last', 'long')}, '')"
+    out = found.select("row", "doc").join(live, "row", "left").select(
+        "doc", "cuts", F.expr(f"IF(cuts IS NULL, null, regexp_extract_all({t}, '(?s).{{1,{size}}}', 0))").alias("slices"),
+        F.expr(f"char_length({t})").alias("long"), F.expr("element_at(cuts, -1).b").alias("last"))
+    masked = F.expr(f"IF(cuts IS NULL, {t}, concat(array_join({kept}, ''), {rest}))")
+    return out.select(*[masked.alias(c) if c == text else F.col("doc").getField(c).alias(c) for c in docs.columns])
 
 
 def digest(spans):

@@ -240,7 +240,7 @@ def toxicity(spark: SparkSession, model: ToxicityModel, text: Column, with_spans
     def run(texts: pd.Series) -> pd.DataFrame:
         ts = ["" if t is None else t for t in texts.tolist()]
         score, found = np.zeros(len(ts)), [[] for _ in ts]
-        for i, j in sub_batches(ts, 4_000_000):
+        for i, j in sub_batches(ts):
             score[i:j], p, n = shared.value.scores(ts[i:j])
             if with_spans:
                 end = np.cumsum(n)

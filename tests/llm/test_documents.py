@@ -18,7 +18,7 @@ SF = "/root/testdata/sf0.01"
 
 def test_registry():
     q = E.queries()
-    assert {int(k[2:].split("_")[0]) for k in q if re.match(r"op\d+_", k)} == set(range(1, 11))
+    assert {int(k[2:].split("_")[0]) for k in q if re.match(r"op\d+_", k)} == set(range(1, 14))
     assert "pipeline" in q and set(LLM_QUERIES) <= set(q) and set(LLM_ORACLE) <= set(E.oracle_sql()) <= set(q)
 
 
@@ -120,6 +120,30 @@ def test_redaction(spark, tmp_path):
     assert S.redact(spark.read.parquet(f"{empty}/documents.parquet")).count() == 0
 
 
+def test_secrets_dense_long_text(spark):
+    """Thousands of matches in one text: spans and masking as by brute force, and time in proportion to the length."""
+    import time
+    rng = random.Random(4)
+    lines = [rng.choice(["token=abc%020dxyz " % i, "%032x," % (i * 7919 + (1 << 120)), "é\U0001f600 plain text;"]) for i in range(3000)]
+    t = "".join(lines)
+    got = S.secret_spans(spark.createDataFrame([(1, t, "me/a")], "doc_id long, text string, source string")).first()
+    assert [(s.start, s.kind - 1, s.stop, s.value) for s in got.base] == base_spans(t)
+    masked = S.redact(spark.createDataFrame([(1, t, "me/a")], "doc_id long, text string, source string")).first().text
+    cuts, want, at = sorted((b[2] - len(b[3]), b[2]) for b in base_spans(t) if re.search("[0-9]", b[3]) and re.search("[A-Za-z]", b[3])), "", 0
+    for a, b in cuts:
+        if b > at:
+            want, at = want + t[at:max(a, at)] + "[secret]", b
+    assert masked == want + t[at:]
+    spent = []
+    for n in (4_000, 40_000):                                   # 132 KB and 1.3 MB
+        long = "".join("%032x " % (i * 7919 + (1 << 120)) for i in range(n))
+        df = spark.createDataFrame([(1, long, "me/a")], "doc_id long, text string, source string")
+        start = time.perf_counter()
+        assert S.candidates(df).selectExpr("size(base)").first()[0] == n
+        spent.append(time.perf_counter() - start)
+    assert spent[1] < 10 * spent[0] + 5
+
+
 # --- op9
 
 def brute_targets(sizes):
@@ -164,6 +188,21 @@ def test_mixing(spark, tmp_path, which):
     assert collected(M.op9_mixing(spark, path)) == sorted((tuple(r) for r in got), key=repr)
 
 
+def test_mixing_many_sizes(spark):
+    """Every size once: rounding in chunks carries its error over all of them, in proportion to their number."""
+    import time
+    spent = []
+    for n in (3_000, 30_000):
+        df = spark.range(1, n + 1).selectExpr("id AS doc_id", "id AS size", "IF(id % 2 = 0, 'a', 'b') AS source")
+        start = time.perf_counter()
+        got = M.copies(df).groupBy("source_size", "target").count().collect()
+        spent.append(time.perf_counter() - start)
+        words = {r.target: r.w for r in M.copies(df).selectExpr("target", "copies * size AS w").groupBy("target").agg(
+            {"w": "sum"}).withColumnRenamed("sum(w)", "w").collect()}
+        assert len(got) == 2 and all(abs(w - t) < 1e-4 * t for t, w in words.items())
+    assert spent[1] < 6 * spent[0] + 5
+
+
 def test_mixing_empty(spark, tmp_path):
     assert M.op9_mixing(spark, write(spark, str(tmp_path / "a"), [])).count() == 0
     got = M.op9_mixing(spark, write(spark, str(tmp_path / "b"), [(1, None, None, "a"), (2, " ", None, None)])).collect()
@@ -201,6 +240,7 @@ def test_pipeline_stages(spark, tmp_path):
             assert docs.count() == before.count() and "[secret]" in ids[16].text and "[secret]" in ids[17].text
         if name == "mixing":
             assert docs.count() == before.count() and all(r.taken == r.copies * r.size for r in docs.collect())
+            assert {r.doc_copies for r in docs.collect()} == {"x"} and set(columns) - set(docs.columns) == set()
 
 
 def test_decontamination_keeps_the_clean_text(spark, tmp_path):

@@ -163,9 +163,18 @@ def test_contamination_in_blocks(spark, tmp_path):
     rows = odd_rows()
     path = write(spark, str(tmp_path), rows, bench=bench_rows(rows))
     docs, bench = (spark.read.parquet(f"{path}/{t}.parquet") for t in ("documents", "benchmark"))
-    cols = [docs.select("doc_id", D.contamination(docs["text"], bench.select("item_id", "text"), limit=n, with_offsets=True)
-                        .alias("c")) for n in (10 ** 9, 30_000)]
-    assert collected(cols[0]) == collected(cols[1])
+    cols = [D.contamination(docs, bench.select("item_id", "text"), limit=n, with_offsets=True).select("doc.doc_id", "c")
+            for n in (10 ** 9, 30_000, 2_000)]
+    assert collected(cols[0]) == collected(cols[1]) == collected(cols[2])
+
+
+def test_contamination_runs_once(spark, tmp_path):
+    """A filter on the result doesn't run the scan a second time: one Python step in the plan."""
+    path = write(spark, str(tmp_path), odd_rows(), bench=bench_rows(odd_rows()))
+    docs, bench = (spark.read.parquet(f"{path}/{t}.parquet") for t in ("documents", "benchmark"))
+    d = D.contamination(docs, bench.select("item_id", "text"), with_offsets=True).where("c.n_hit <= c.n_words / 2")
+    plan = d.select("doc.doc_id", "c.kept")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
 
 
 def test_contamination_offsets():
