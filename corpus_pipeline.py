@@ -6,12 +6,19 @@ sources to target weights (each document with its number of copies).
 
 Every stage takes (spark, docs, sf_dir), reads all of what its predecessor kept and returns a DataFrame; ``run`` writes
 each result as Parquet and reads it again for the next one. All but the last return the columns of their input.
+
+Defined results: a null or empty text is not toxic, has no near duplicate, no benchmark word and no secret, and stays to the
+end with size 0 and as many copies as its source's rate of 1 gives (taken 0); a null doc_id is a document like any other,
+the last of its group of near duplicates; of rows with equal id and text one stays, unless they have no words; a null
+source is a source of its own; ties go by the smallest id; very long texts are read whole in every stage; an empty table
+gives an empty result; further columns of any name pass through.
 """
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stridex.config import apply_recommended
 from stridex.llm import decontaminate, mixing, ngram_join, secrets, toxicity
 from stridex.llm._common import read, remainder
 from stridex.sources.tables import discard, materialize
@@ -24,6 +31,7 @@ MAX_HIT_SHARE = 0.5          # documents with a larger share of benchmark words
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents scored below ``REJECT_TOXIC`` by the model of the labelled rows."""
+    apply_recommended(spark)
     labels = read(spark, sf_dir, "labels").where(remainder(F.col("doc_id"), 5) > 0).select("doc_id", "toxic")
     model = toxicity.train(docs.select("doc_id", "text"), labels)
     scored = docs.select(F.struct("*").alias("__doc"), toxicity.toxicity(spark, model, F.col("text"), False).alias("__t"))
@@ -37,15 +45,9 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the passages of benchmark windows; documents that are mostly benchmark go."""
-    c = decontaminate.contamination(F.col("text"), read(spark, sf_dir, "benchmark").select("item_id", "text"),
-                                    with_offsets=True)
-    d = docs.select(F.struct("*").alias("__doc"), c.alias("__c"))
-    d = d.where(F.col("__c.n_hit") <= MAX_HIT_SHARE * F.col("__c.n_words"))
-    cut = F.expr("""aggregate(__c.spans, named_struct('at', 0, 'out', ''), (x, s) -> named_struct('at', s.stop,
-        'out', concat(x.out, substring(__doc.text, x.at + 1, s.start - x.at))),
-        x -> concat(x.out, substring(__doc.text, x.at + 1)))""")
-    text = F.when(F.size("__c.spans") > 0, cut).otherwise(F.col("__doc.text"))
-    return d.select(*[text.alias(c) if c == "text" else F.col("__doc").getField(c).alias(c) for c in docs.columns])
+    d = decontaminate.contamination(docs, read(spark, sf_dir, "benchmark").select("item_id", "text"), with_offsets=True)
+    d = d.where(F.col("c.n_hit") <= MAX_HIT_SHARE * F.col("c.n_words"))
+    return d.select(*[F.col("c.kept").alias(c) if c == "text" else F.col("doc").getField(c).alias(c) for c in docs.columns])
 
 
 def masked_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,13 +56,16 @@ def masked_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents with their size in words, copies and words taken by the mix (0 copies: the mix leaves it out)."""
-    spare = [c for c in docs.columns if c not in ("size", "copies", "taken", "__id")]
-    d = materialize(docs.select(F.monotonically_increasing_id().alias("__id"), *spare,
-                                mixing.words(F.col("text")).alias("size")), "pipeline-mix")
-    c = mixing.copies(d, key="__id", order=F.xxhash64("doc_id", "text"))
-    return d.drop("size").join(c.select("__id", "size", "copies"), "__id").select(
-        *spare, "size", "copies", (F.col("copies") * F.col("size")).alias("taken"))
+    """All documents with their size in words, copies and words taken by the mix (0 copies: the mix leaves it out).
+    Columns of the input that are called like one of these come back as ``doc_<name>``."""
+    d = materialize(docs.select(F.monotonically_increasing_id().alias("__id"), F.struct("*").alias("__doc"), "source",
+                                mixing.words(F.col("text")).alias("size"), F.xxhash64("doc_id", "text").alias("__h")),
+                    "pipeline-mix")
+    c = mixing.copies(d.select("__id", "source", "size", "__h"), key="__id", order=F.col("__h"))
+    mine = ("size", "copies", "taken")
+    return d.select("__id", "__doc").join(c.select("__id", "size", "copies"), "__id").select(
+        *[F.col("__doc").getField(x).alias(f"doc_{x}" if x in mine else x) for x in docs.columns],
+        "size", "copies", (F.col("copies") * F.col("size")).alias("taken"))
 
 
 STAGES = [
