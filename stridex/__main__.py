@@ -52,6 +52,7 @@ def _parser() -> argparse.ArgumentParser:
         q.add_argument("--n", type=int, default=DEFAULT_LATEST_N)
         if name == "predict":
             q.add_argument("--users", default="", help="comma-separated user ids (default: every user)")
+            q.add_argument("--run", default="", help="publish once under this id, however often the job is run")
         else:
             q.add_argument("--checkpoint", default="", help="default: in the output folder, so a restart goes on")
             q.add_argument("--every", default="5 seconds", help='trigger interval, or "once" for available data')
@@ -73,13 +74,16 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None):
         report.show(truncate=False)
         return report
     from .sources.readers import read_live, stream_live
-    model = _model(args.model, args.kind)
     if args.job == "predict":
+        model = _model(args.model, args.kind)
         from .plans.prediction import predict_and_store
         users = [u for u in args.users.split(",") if u] or None
         return predict_and_store(read_live(spark, args.live, args.format), model, args.out, n=args.n,
-                                 users=users, vote=args.vote)
+                                 users=users, vote=args.vote, run=args.run or None)
     from .streaming import start_prediction_stream
+    from .sources.models import PublishedModel, latest, load_forest, load_tree
+    model = (PublishedModel(args.model, load_forest if args.kind == "forest" else load_tree) if latest(args.model)
+             else _model(args.model, args.kind))              # a published model is looked up before each batch
     trigger = {"availableNow": True} if args.every == "once" else {"processingTime": args.every}
     q = start_prediction_stream(stream_live(spark, args.live, args.format), model, args.out,
                                 args.checkpoint or f"{args.out.rstrip('/')}/_checkpoint",

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..operators.features import features, zero_features
 from ..operators.labels import assemble, decode_labels
 from ..operators.selection import latest_n, restrict_to_users
-from ..schema import DEFAULT_LATEST_N
+from ..schema import DEFAULT_LATEST_N, PREDICTION
 from ..sources.readers import valid_axes
 from ..sources.sinks import append_predictions
 from .voting import majority_vote
@@ -54,8 +54,8 @@ def predict(live: DataFrame, model, n: int = DEFAULT_LATEST_N, users=None, vote:
     return res.select("user_id", ts.cast("long").alias("timestamp"), F.col("activity").alias("prediction"))
 
 
-def predict_and_store(live: DataFrame, model, path: str, **kw) -> DataFrame:
-    """Predict once and append the rows to the result table."""
-    out = predict(live, model, **kw)
-    append_predictions(out, path)
-    return out
+def predict_and_store(live: DataFrame, model, path: str, run: str | None = None, **kw) -> DataFrame:
+    """Predict once and publish the rows in the result table; the rows as stored. A second call with the same ``run``
+    publishes nothing and returns what the first one stored."""
+    done = append_predictions(predict(live, model, **kw), path, run=run)
+    return live.sparkSession.read.schema(PREDICTION).parquet(done.folder)

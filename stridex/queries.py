@@ -36,6 +36,7 @@ SET_A = dict(gap=2 * DAY, width=DAY)
 SET_B = dict(gap=DAY, width=5 * DAY)
 LATEST_SMALL = 20
 LATEST_REF = 100
+STREAM_SLICES = 4            # files, and micro-batches, of the streams over a growing table
 USER = "7"
 ACTIVITY = "Walking"
 # 2024-01-01 00:00:07.179575 (a sample instant at sf0.01, so strictness is exercised) .. ten days later
@@ -389,6 +390,58 @@ def q_stream_predict_state(spark, d):
     return _streamed(spark, d, _trained(spark, d, "forest").forest, LATEST_REF, True, _live_shifted)
 
 
+def _sliced(spark, d, slices: int = STREAM_SLICES) -> str:
+    """The events dealt by id into ``slices`` files that arrive one after the other."""
+    path = scratch_path(spark, "event-slices")
+    for k in range(slices):
+        rd.read_events(spark, d).where(F.col("event_id") % slices == k).coalesce(1).write.mode("append").parquet(path)
+    return path
+
+
+def _slice_stream(spark, path, per_batch: int = 1):
+    return rd.events_as_live(spark.readStream.schema(rd.EVENTS).option("maxFilesPerTrigger", per_batch).parquet(path))
+
+
+def q_stream_batches(spark, d):
+    """R5, ST2, ST3: a run of several micro-batches; after each, the features of its users' newest 20 samples so far."""
+    from .sources.sinks import read_published
+    from .streaming import start_prediction_stream
+    sink = scratch_path(spark, "stream-batches")
+    start_prediction_stream(_slice_stream(spark, _sliced(spark, d)), None, sink, scratch_path(spark, "stream-checkpoint"),
+                            n=LATEST_SMALL).awaitTermination()
+    return rounded(read_published(spark, sink).drop("run"))
+
+
+def q_stream_recovery(spark, d):
+    """ST4, IO4: the stream dies after publishing a batch and before noting it in the checkpoint; the restart replays that
+    batch, then goes on. Every prediction is there once, with its batch."""
+    from .sources.commits import CommitLog
+    from .sources.sinks import read_predictions
+    from .streaming import start_prediction_stream
+    model = _trained(spark, d, "forest").forest
+    src, sink, ckpt = _sliced(spark, d), scratch_path(spark, "stream-recovery"), scratch_path(spark, "stream-checkpoint")
+
+    def run():
+        stream = _live_shifted(_slice_stream(spark, src, per_batch=2))
+        start_prediction_stream(stream, model, sink, ckpt, n=LATEST_SMALL, as_of=AS_OF).awaitTermination()
+    run()
+    log = CommitLog(spark, ckpt)
+    log._delete(f"{ckpt}/commits/1")
+    log._delete(f"{ckpt}/commits/.1.crc")
+    run()
+    return read_predictions(spark, sink, with_batch=True).select("batch_id", "user_id", "timestamp", "prediction")
+
+
+def q_predict_store_rerun(spark, d):
+    """IO4: a batch job run three times, twice under one id: each id's rows once."""
+    from .sources.sinks import read_predictions
+    t = _trained(spark, d, "tree")
+    out, live = scratch_path(spark, "predictions"), _live_shifted(_live(spark, d))
+    for run in ("monday", "monday", "tuesday"):
+        pred.predict_and_store(live, t.tree, out, run=run, n=LATEST_SMALL, as_of=AS_OF)
+    return read_predictions(spark, out, with_batch=True).select("run", "user_id", "timestamp", "prediction")
+
+
 def q_stream_features(spark, d):
     """IO3, ST1, ST3: what a stream computes for each user's newest 20 samples."""
     return rounded(_streamed(spark, d, None, LATEST_SMALL, False))
@@ -461,6 +514,9 @@ QUERIES: dict[str, Query] = {
     "stream_predict": q_stream_predict,
     "stream_predict_state": q_stream_predict_state,
     "stream_features": q_stream_features,
+    "stream_batches": q_stream_batches,
+    "stream_recovery": q_stream_recovery,
+    "predict_store_rerun": q_predict_store_rerun,
     "stream_features_state": q_stream_features_state,
     "save_load_tree": q_save_load_tree,
     "save_load_forest": q_save_load_forest,
@@ -493,6 +549,11 @@ dom AS (SELECT * FROM clean WHERE activity IN ('Walking', 'Jogging', 'Standing',
 """
 
 
+_ADAPT_SLICED = """sliced AS (
+  SELECT CAST(event_id % SLICES AS INTEGER) AS b, CAST(user_id AS VARCHAR) AS user_id, epoch_us(ts) * 1000 AS "timestamp",
+         value / 10.0 AS x, CAST(json_extract(props, '$.k') AS DOUBLE) / 5.0 AS y, (event_id % 97) / 10.0 - 4.8 AS z
+  FROM events WHERE user_id IS NOT NULL AND ts IS NOT NULL)"""
+
 _AXES_OK = ("x IS NOT NULL AND y IS NOT NULL AND z IS NOT NULL AND NOT isnan(x) AND NOT isnan(y) "
             "AND NOT isnan(z)")
 
@@ -727,6 +788,18 @@ def _oracle() -> dict[str, str]:
                  "stream_predict_state"):
         o[name] = predicted
     o["predict_user"] = predicted + (f" AND user_id = '{USER}' UNION ALL SELECT 'nobody', {AS_OF}::BIGINT, '{LABELS[0]}'")
+    sliced = _ADAPT_SLICED.replace("SLICES", str(STREAM_SLICES))
+    so_far = f"""latest AS (SELECT batch_id, user_id, "timestamp", x, y, z FROM (
+  SELECT t.b AS batch_id, s.*, row_number() OVER (PARTITION BY t.b, s.user_id ORDER BY s."timestamp" DESC, x NULLS FIRST,
+         y NULLS FIRST, z NULLS FIRST) AS rn
+  FROM (SELECT DISTINCT b, user_id FROM sliced WHERE {_AXES_OK}) t JOIN sliced s ON s.user_id = t.user_id AND s.b <= t.b
+  WHERE {_AXES_OK}) q WHERE rn <= {LATEST_SMALL})"""
+    o["stream_batches"] = ("WITH " + ", ".join([sliced, so_far, *_features_sql("latest", ["batch_id", "user_id"])]) + " "
+                           + _features_select(["batch_id", "user_id"]))
+    o["stream_recovery"] = (f"WITH {sliced} SELECT DISTINCT CAST(b // 2 AS INTEGER) AS batch_id, user_id, {AS_OF}::BIGINT AS "
+                            f'"timestamp", {text} AS prediction FROM sliced WHERE {_AXES_OK}')
+    o["predict_store_rerun"] = predicted.replace("SELECT DISTINCT user_id", "SELECT DISTINCT run, user_id").replace(
+        "FROM live WHERE", "FROM live, (VALUES ('monday'), ('tuesday')) v(run) WHERE")
     o["stream_features"] = o["stream_features_state"] = o["features_latest_small"]
     o["rejected_samples"] = _with() + ('SELECT user_id, activity, "timestamp" FROM clean WHERE "timestamp" // 1000 % 50 = 0 '
                                        f"OR NOT ({_AXES_OK})")

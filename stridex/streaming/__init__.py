@@ -1,3 +1,4 @@
 from .live_prediction import NewestTable, bucketed, start_prediction_stream, stream_predict_events
+from .progress import BatchProgress
 
-__all__ = ["NewestTable", "bucketed", "start_prediction_stream", "stream_predict_events"]
+__all__ = ["BatchProgress", "NewestTable", "bucketed", "start_prediction_stream", "stream_predict_events"]

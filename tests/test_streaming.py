@@ -81,6 +81,38 @@ def test_periodic_trigger_and_console(spark, tmp_shared, setup, capsys):
     assert "-- batch 0" in capsys.readouterr().out
 
 
+def test_progress_listener(spark, tmp_shared, setup):
+    """Five files, one a batch: the listener has rows and durations of each; the sink each batch."""
+    from stridex.streaming import BatchProgress
+    model, parts, _ = setup
+    src, sink = tmp_shared("src"), tmp_shared("sink")
+    for p in parts:
+        p.coalesce(1).write.mode("append").parquet(src)
+    with BatchProgress(spark) as progress:
+        q = start_prediction_stream(stream_live(spark, src, max_files_per_trigger=1), model, sink, tmp_shared("ckpt"), n=N, as_of=1)
+        assert progress.ended(q)
+        rows = progress.batches(q)
+    assert [r[1] for r in rows] == [0, 1, 2, 3, 4] and [r[2] for r in rows] == [p.count() for p in parts]
+    assert all(0 < r[4] <= r[3] for r in rows) and progress.slower_than(0, q) == rows
+    assert progress.frame(q).count() == 5 == read_predictions(spark, sink, with_batch=True).select("batch_id").distinct().count()
+
+
+def test_stream_takes_the_newest_model(spark, tmp_shared, setup):
+    """A version published between two batches is used from the next batch on."""
+    from stridex.sources.models import PublishedModel, publish_model
+    model, parts, everything = setup
+    src, sink, ckpt, path = (tmp_shared(x) for x in ("src", "sink", "ckpt", "model"))
+    wrong = tr.train_models(tr.labeled_points(everything.withColumn("activity", F.lit("Sitting")), user_cap=None),
+                            models=("forest",)).forest
+    source = PublishedModel(path)
+    for k, m in enumerate([wrong, model]):
+        assert publish_model(m, path) == k + 1
+        parts[0].coalesce(1).write.mode("append").parquet(src)
+        start_prediction_stream(stream_live(spark, src), source, sink, ckpt, n=N, as_of=k).awaitTermination()
+    said = {k: {r.prediction for r in read_predictions(spark, sink, with_batch=True).where(f"batch_id = {k}").collect()} for k in (0, 1)}
+    assert said[0] == {"Sitting"} and len(said[1]) > 1
+
+
 def test_sink_has_the_declared_columns(spark, tmp_shared, setup):
     model, parts, _ = setup
     src, sink = tmp_shared("src"), tmp_shared("sink")
@@ -123,22 +155,76 @@ def test_stateless_needs_the_table(spark, tmp_shared, setup):
         start_prediction_stream(stream_live(spark, src), model, tmp_shared("s"), tmp_shared("c"), stateful=False)
 
 
-def test_newest_table_versions_and_replay(spark, tmp_shared, setup):
-    """Replaying a batch gives the same rows; old versions go; a user untouched by later batches keeps its samples."""
+def _stored(t):
+    """Rows written so far by every segment, and the rows of those that count."""
+    live, covered = t.segments()
+    return [t._read(t.log.entry(k)).count() for k in live], [t._read(t.log.entry(k)).count() for k in covered]
+
+
+def test_newest_table_segments_and_replay(spark, tmp_shared, setup):
+    """Replaying a batch gives the same rows, merged already or not; merges keep what counts; a user untouched by later
+    batches keeps its samples."""
     from stridex.streaming import NewestTable
     _, parts, everything = setup
     t = NewestTable(spark, tmp_shared("newest"), 10, buckets=4)
     for k, p in enumerate(parts):
         first = sorted(map(tuple, t.update(p, k).collect()))
         assert sorted(map(tuple, t.update(p, k).collect())) == first
-        t.trim(k)
-    assert max(len([v for b, v in t._folders() if b == k]) for k in range(4)) <= 2
+        t.compact()
+        assert sorted(map(tuple, t.update(p, k).collect())) == first
+    live, covered = t.segments()
+    assert [t._range(k) for k in live] == [(0, 3), (4, 4)] and not covered
     want = sorted(map(tuple, latest_n(everything, 10).select("user_id", "timestamp", "x", "y", "z").collect()))
-    held = {}
-    for b, v in t._folders():
-        held[b] = max(v, held.get(b, -1))
-    got = spark.read.schema(ACCEL_LIVE).parquet(*[t._folder(v, b) for b, v in held.items()])
-    assert sorted(map(tuple, got.collect())) == want
+    rows = t._read(t.log.entry(live[0])).unionByName(t._read(t.log.entry(live[1])))
+    assert sorted(map(tuple, latest_n(rows, 10).select("user_id", "timestamp", "x", "y", "z").collect())) == want
+    again = NewestTable(spark, t.log.path, 10, buckets=4)                    # another process finds the same table
+    assert again.segments() == (live, covered)
+
+
+def test_newest_table_writes_rows_in_proportion_to_batches(spark, tmp_shared):
+    """Many users are held, ten batches touch one sample of each of a few users all over the buckets: what is written follows
+    the batches, not the table; the number of segments stays logarithmic; buckets grow with the rows."""
+    from stridex.streaming import NewestTable, live_prediction
+    t = NewestTable(spark, tmp_shared("newest"), 5, buckets=4)
+    sample = ["x + 0D AS x", "x + 1D AS y", "x + 2D AS z"]
+    base = spark.range(3000).selectExpr("concat('u', id % 1000) AS user_id", "id AS timestamp", "id AS x").selectExpr(
+        "user_id", "timestamp", *sample)
+    assert t.update(base, 0).count() == 3000
+    written, keys = [], set(t.log.keys())
+    for k in range(1, 21):
+        few = spark.range(40).selectExpr(f"concat('u', id * 25 + {k % 5}) AS user_id", f"{10_000 + k} AS timestamp", "id AS x"
+                                         ).selectExpr("user_id", "timestamp", *sample)
+        assert t.update(few, k).groupBy("user_id").count().where("count < 4").count() == 0
+        t.compact()
+        new = [x for x in t.log.keys() if x not in keys]
+        keys |= set(new)
+        written.append(sum(t._read(t.log.entry(x)).count() for x in new))
+    assert len(t.segments()[0]) <= 3 * live_prediction.FAN
+    # one merge takes the base in once; all else is the batches' own rows, once per level
+    assert sum(written) <= 20 * 40 * 3 + 2 * 3000 and sorted(written)[:14] == [40] * 14
+    held = None
+    for key in t.segments()[0]:
+        x = t._read(t.log.entry(key))
+        held = x if held is None else held.unionByName(x)
+    newest = latest_n(held, 5)
+    assert newest.where("timestamp < 3000").groupBy("user_id").count().count() == 1000
+    assert newest.where("timestamp > 9999").count() == 200 * 4
+
+
+def test_newest_table_buckets_follow_the_rows(spark, tmp_shared, setup, monkeypatch):
+    from stridex.streaming import NewestTable, live_prediction
+    monkeypatch.setattr(live_prediction, "BUCKET_ROWS", 10)
+    monkeypatch.setattr(live_prediction, "FAN", 2)
+    _, parts, everything = setup
+    t = NewestTable(spark, tmp_shared("newest"), N, buckets=2)
+    extra = [spark.createDataFrame([(f"zz{k}", 5, 1.0, 2.0, 3.0)], ACCEL_LIVE) for k in range(4)]
+    for k, p in enumerate([*parts, *extra]):
+        assert t.update(p, k).count() > 0
+        t.compact()
+    assert max(t.log.entry(k).facts["buckets"] for k in t.segments()[0]) > 2
+    users = spark.createDataFrame([(f"u0{k}", 9 * 10**18, 1.0, 2.0, 3.0) for k in range(6)], ACCEL_LIVE)
+    want = latest_n(everything.select("user_id", "timestamp", "x", "y", "z").unionByName(users), N)
+    assert sorted(map(tuple, t.update(users, 99).collect())) == sorted(map(tuple, want.collect()))
 
 
 def test_bucketed_table_is_pruned(spark, tmp_shared, setup):
