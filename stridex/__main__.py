@@ -35,7 +35,7 @@ def _parser() -> argparse.ArgumentParser:
     t.add_argument("--width", type=int, default=DEFAULT_WIDTH)
     t.add_argument("--anchor", choices=["stop", "start"], default="stop")
     t.add_argument("--user-cap", type=int, default=0, help="first users by id only; 0 = all users")
-    t.add_argument("--method", choices=["chunk", "range"], default="chunk", help="sessionization")
+    t.add_argument("--method", choices=["auto", "chunk", "range"], default="auto", help="sessionization")
     t.add_argument("--partitions", type=int, default=32, help="part of the forest's definition, like the seed")
     t.add_argument("--split", choices=["hash", "random"], default="hash")
     t.add_argument("--seed", type=int, default=12345)

@@ -81,7 +81,7 @@ def assign_tiled(labelled: DataFrame, width: int = DEFAULT_WIDTH) -> DataFrame:
 
 def assign_intervals(samples: DataFrame, gap: int = DEFAULT_GAP, width: int = DEFAULT_WIDTH, anchor: str = "stop",
                      keys: list[str] = KEYS, chunk: int | None = None, bucket: int | None = None,
-                     method: str = "chunk") -> DataFrame:
+                     method: str = "auto") -> DataFrame:
     """Samples -> sessions -> the intervals each sample falls into (``session_id, i, lo, hi`` added).
     ``method`` is the sessionization method (``"chunk"`` or ``"range"``, see ``sessions``)."""
     if anchor == "stop":

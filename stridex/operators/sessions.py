@@ -3,26 +3,25 @@
 A session of a key (user, activity) is a maximal run of samples whose neighbours differ by at most ``gap``
 (a difference strictly over the gap starts a new session). Sessions are numbered 0, 1, ... per key in time order.
 
-Plan shape (skew safe). A per-key window would put a user holding a third of all rows into one task, so the
-scan runs in levels:
-
-1. rows are cut into time chunks ``floor(t / chunk)``; a window per (key, chunk) gives the local predecessor,
-   the local jump flags and their running count;
-2. one summary row per (key, chunk) (min, max, local jumps, last local session start) is scanned the same way: a
-   window per (key, ``FAN`` chunks) ordered by chunk closes the gaps at the chunk edges and counts sessions, one
-   summary row per (key, ``FAN`` chunks) goes through a window per key, and its carry is added back.
-
-The chunk width does not depend on the gap. By default it is taken from the data (``default_chunk``): the time span
-over ``MIN_CHUNKS`` plus one chunk per ``CHUNK_ROWS`` rows, so no window holds more than a small share of the rows of any
-key, and the last window of a key holds its chunks / ``FAN``.
-
-The levels work with any ordered cut of a key's timeline, so ``method="range"`` swaps the time chunks for
-range partitions: exact copies of a sample collapse into one weighted row (partial aggregate), the distinct
-(key, timestamp) rows are range-partitioned on (key, timestamp) with sampled, balanced bounds, and the partition id
-is the chunk. Level 1 is then bounded by a partition's size even for a burst inside one instant's neighbourhood,
-and the later levels by the number of partitions. It costs two more shuffles and one write of the distinct instants to the
-shared folder (done eagerly when the function is called), so it is the choice for data with extreme bursts or
-duplicated samples, not the default.
+Plan shape. Without hot keys it is one window per key over one exchange of the samples. A hot key, one that holds more
+samples than a task should scan, must be cut in time, so ``method="auto"``, the default,
+
+1. finds the hot keys with a heavy-hitter sketch, one pass over the key columns without a shuffle (``hot_keys``);
+2. if there are any, takes quantiles of their times (``quantile_cuts``) as the edges of their chunks: chunks hold about as
+   many samples each, also where a burst holds most of a key's samples. Every other key is one chunk.
+
+Chunks are scanned in levels: a window per (key, chunk) gives the local predecessor, the local jump flags and their running
+count; one summary row per (key, chunk) (min, max, local jumps, last local session start) is scanned the same way, a window
+per (key, ``FAN`` chunks) closing the gaps at the chunk edges and a window per key over those; the carry is added back.
+
+The levels work with any ordered cut of a key's timeline. ``method="chunk"`` (or a ``chunk`` width) cuts every key at
+multiples of a width, by default taken from the time span and row count. ``method="range"`` collapses exact copies of a
+sample into one weighted row, range-partitions the distinct (key, timestamp) rows with sampled bounds and writes them once
+to the shared folder; the partition id is the chunk. It needs no sketch and cuts every key, at two more shuffles.
+
+Sessions of a table with hot keys are formed from distinct instants and their multiplicities, so a third of all rows at one
+instant is no hot window either. Labels of single samples (differences, jumps, tiles) need the rows themselves: there the
+copies of one instant of one key stay together.
 """
 from __future__ import annotations
 
@@ -35,6 +34,9 @@ from ..schema import DEFAULT_GAP, DEFAULT_WIDTH, KEYS
 MIN_CHUNKS = 256
 CHUNK_ROWS = 100_000
 FAN = 256
+HOT_SHARE, HOT_LEAST, HOT_ROWS = 256, 256, 1_000_000       # hot: over 1/256 of all rows (but 256 at least) or 1 M rows
+HOT_KEYS, TRACKED = 8_192, 65_536                           # keys that are cut at most; items of the sketch
+CUT_STEPS = 12                                              # a key has less than 2**12 cuts
 
 
 def default_chunk(df: DataFrame) -> int:
@@ -45,6 +47,60 @@ def default_chunk(df: DataFrame) -> int:
     return (r[1] - r[0]) // (MIN_CHUNKS + r[2] // CHUNK_ROWS) + 1
 
 
+def hot_limit(n: int) -> int:
+    """Samples of one key from which a table of ``n`` cuts the key."""
+    return max(HOT_LEAST, min(HOT_ROWS, n // HOT_SHARE))
+
+
+def hot_keys(df: DataFrame, keys: list[str]) -> tuple[int, dict[int, int]]:
+    """Samples that count as hot, and the hot keys: hash -> about its samples. One aggregate over a sketch of ``TRACKED``
+    items: a key over the limit by more than the sketch's error (rows / ``TRACKED``, about) is found. Of more than
+    ``HOT_KEYS`` such keys the largest are cut, so what stays whole has at most a ``HOT_KEYS``-th of the rows."""
+    r = df.select(F.xxhash64(*keys).alias("h")).agg(
+        F.count(F.lit(1)).alias("n"), F.expr(f"approx_top_k(h, {HOT_KEYS}, {TRACKED})").alias("top")).first()
+    limit = hot_limit(r["n"])
+    return limit, {x["item"]: x["count"] for x in r["top"] or () if x["item"] is not None and x["count"] > limit}
+
+
+def quantile_cuts(df: DataFrame, keys: list[str], limit: int, hot: dict[int, int]) -> DataFrame:
+    """(_h, _cuts): ascending times that cut each hot key into chunks of about ``limit`` samples; in all at most the table's
+    rows / ``limit`` plus one a key."""
+    h = F.xxhash64(*keys)
+    wanted = {k: min((1 << CUT_STEPS) - 1, -(-c // limit)) for k, c in hot.items()}
+    rows = []
+    for low, p in ((1, 8), (8, 64), (64, 512), (512, (1 << CUT_STEPS) - 1)):        # keys of like size together
+        tier = [k for k, w in wanted.items() if low < w + (low == 1) and w <= p]
+        if not tier:
+            continue
+        q = F.percentile_approx("timestamp", [i / (p + 1) for i in range(1, p + 1)], 10 * (p + 1))
+        for r in df.where(h.isin(tier)).groupBy(h.alias("h")).agg(q.alias("q")).collect():
+            rows.append((r["h"], sorted(set(r["q"][::max(1, p // wanted[r["h"]])]))))
+    return df.sparkSession.createDataFrame(rows, "_h long, _cuts array<long>")
+
+
+def _chunked(df: DataFrame, keys: list[str], cuts: DataFrame) -> DataFrame:
+    """``df`` with ``_chunk``: the number of its key's cuts below its time, found by halving; 0 without cuts."""
+    steps = ", ".join(str(1 << k) for k in reversed(range(CUT_STEPS)))
+    below = (f"aggregate(array({steps}), 0, (p, s) -> IF(p + s <= size(_cuts) AND element_at(_cuts, least(p + s, size(_cuts))) "
+             f"< timestamp, p + s, p))")
+    d = df.select("*", F.xxhash64(*keys).alias("_h")).join(F.broadcast(cuts), "_h", "left")
+    return d.select(*df.columns, F.expr(f"cast(IF(_cuts IS NULL, 0, {below}) AS long)").alias("_chunk"))
+
+
+def _whole(df: DataFrame, gap: int, keys: list[str]) -> DataFrame:
+    """The scan with one window per key."""
+    t, w = F.col("timestamp"), Window.partitionBy(*keys).orderBy("timestamp")
+    upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    for k in keys:
+        df = df.where(F.col(k).isNotNull())
+    d = df.select("*", F.lag("timestamp").over(w).alias("prev_timestamp"))
+    d = d.select("*", (t - F.col("prev_timestamp")).alias("diff"))
+    d = d.select("*", F.coalesce(F.col("diff") > F.lit(int(gap)), F.lit(False)).alias("jump"))
+    opens = F.col("jump") | F.col("prev_timestamp").isNull()
+    return d.select("*", F.sum(F.col("jump").cast("int")).over(upto).cast("long").alias("session_id"),
+                    F.max(F.when(opens, t)).over(upto).alias("session_start"))
+
+
 def _edges(cs: DataFrame, part: list[str], order: str, gap: int, top: bool) -> DataFrame:
     """Summary rows (``_cmin, _cmax, _cj`` jumps inside, ``_clast`` last session start inside) of one ``part`` in
     ``order``, with what precedes each row inside the part: ``_prev`` (the part's last instant before it), ``_base`` (jumps
@@ -129,17 +185,20 @@ def _distinct_instants(df: DataFrame, keys: list[str], partitions: int | None) -
 
 
 def label_sessions(df: DataFrame, gap: int = DEFAULT_GAP, keys: list[str] = KEYS, chunk: int | None = None,
-                   method: str = "chunk", partitions: int | None = None) -> DataFrame:
+                   method: str = "auto", partitions: int | None = None) -> DataFrame:
     """Every sample with ``prev_timestamp``, ``diff`` (W1), ``jump`` (W2), ``session_id`` and ``session_start``.
 
     ``method="range"``: copies of one instant share its labels (their ``diff`` is to the previous distinct
     instant); session ids and starts are the same as with time chunks.
     """
-    if method == "chunk":
+    if method == "auto" and chunk is None:
+        limit, hot = hot_keys(df, keys)
+        return _scan(_chunked(df, keys, quantile_cuts(df, keys, limit, hot)), gap, keys) if hot else _whole(df, gap, keys)
+    if method in ("auto", "chunk"):
         chunk = int(chunk or default_chunk(df))
         return _scan(df.select("*", floor_div("timestamp", chunk).alias("_chunk")), gap, keys)
     if method != "range":
-        raise ValueError(f"method must be 'chunk' or 'range', not {method!r}")
+        raise ValueError(f"method must be 'auto', 'chunk' or 'range', not {method!r}")
     lab = _scan(_distinct_instants(df.select(*keys, "timestamp"), keys, partitions), gap, keys).drop("_c")
     # back to every sample, on a derived key so that a hot instant (many copies) can be split by AQE
     dk = F.xxhash64(*keys, "timestamp")
@@ -198,13 +257,20 @@ def _sessions_from_segments(r: DataFrame, gap: int, width: int, keys: list[str],
 
 
 def gap_sessions(df: DataFrame, gap: int = DEFAULT_GAP, width: int = DEFAULT_WIDTH, keys: list[str] = KEYS,
-                 chunk: int | None = None, method: str = "chunk", partitions: int | None = None) -> DataFrame:
+                 chunk: int | None = None, method: str = "auto", partitions: int | None = None) -> DataFrame:
     """Sessions of every key in one job, schema ``SESSION``."""
+    if method == "auto" and chunk is None:
+        limit, hot = hot_keys(df, keys)
+        if not hot:
+            return sessions_from_labelled(_whole(df.select(*keys, "timestamp"), gap, keys), width, keys)
+        instants = df.groupBy(*keys, "timestamp").agg(F.count(F.lit(1)).alias("_c"))
+        r = _chunked(instants, keys, quantile_cuts(df, keys, limit, hot))
+        return _sessions_from_segments(r, gap, width, keys, weight="_c")
     if method == "range":   # sessions need only the distinct instants and their multiplicities
         r = _distinct_instants(df.select(*keys, "timestamp"), keys, partitions)
         return _sessions_from_segments(r, gap, width, keys, weight="_c")
-    if method != "chunk":
-        raise ValueError(f"method must be 'chunk' or 'range', not {method!r}")
+    if method not in ("auto", "chunk"):
+        raise ValueError(f"method must be 'auto', 'chunk' or 'range', not {method!r}")
     chunk = int(chunk or default_chunk(df))
     r = df.select(*keys, "timestamp", floor_div("timestamp", chunk).alias("_chunk"))
     return _sessions_from_segments(r, gap, width, keys, weight=None)

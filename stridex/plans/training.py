@@ -32,7 +32,7 @@ FIT_PARTITIONS = 32
 
 def labeled_points(samples: DataFrame, gap: int = DEFAULT_GAP, width: int = DEFAULT_WIDTH, anchor: str = "stop",
                    user_cap: int | None = None, chunk: int | None = None, bucket: int | None = None,
-                   method: str = "chunk") -> DataFrame:
+                   method: str = "auto") -> DataFrame:
     """M3: one row per non-empty interval: keys, ``n``, the fifteen features and ``label`` (0..3).
 
     All users, unless ``user_cap`` asks for the first users by id over the whole table (P7). ``method`` is the
@@ -139,7 +139,7 @@ def train_models(points: DataFrame, how: str = "hash", fraction: float = TRAIN_F
 
 
 def train(samples: DataFrame, gap: int = DEFAULT_GAP, width: int = DEFAULT_WIDTH, anchor: str = "stop",
-          user_cap: int | None = None, how: str = "hash", method: str = "chunk", **kw) -> Trained:
+          user_cap: int | None = None, how: str = "hash", method: str = "auto", **kw) -> Trained:
     """The whole training job, on all users unless ``user_cap`` is given."""
     return train_models(labeled_points(samples, gap=gap, width=width, anchor=anchor, user_cap=user_cap, method=method),
                         how=how, **kw)

@@ -38,11 +38,19 @@ def test_user_filter_and_range_reach_the_scan(spark, tmp_shared):
     assert "LessThan(timestamp," in pushed
 
 
+def test_sessionization_without_hot_keys_is_one_exchange(spark):
+    """No chunks, no join: the samples are read once (after the sketch) and shuffled once."""
+    plan = plan_of(E.queries()["gap_sessions"](spark, SF_SMALL))
+    assert "_chunk" not in plan and "Join" not in plan and plan.count("FileScan parquet") == plan.count("hashpartitioning(") == 1
+
+
 def test_sessionization_shares_the_samples_exchange(spark):
+    from stridex import queries as Q
+    from stridex.operators.sessions import gap_sessions
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        plan = plan_of(E.queries()["gap_sessions"](spark, SF_SMALL), run=True)
+        plan = plan_of(gap_sessions(Q._domain(spark, SF_SMALL), method="chunk", **Q.SET_A), run=True)
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
     final = re.sub(r"#\d+L?", "", plan.split("== Initial Plan ==")[0])

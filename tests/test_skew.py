@@ -2,6 +2,7 @@
 from contextlib import contextmanager
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from stridex.operators import features as feat
@@ -74,6 +75,68 @@ def test_hot_user_latest_n_is_partially_limited(spark):
 DAY = 86_400 * 10**9
 
 
+def _cut_evenly(df, n, instants=False):
+    """With default arguments the hot key is found and no window of rows or of chunk summaries holds a large share."""
+    limit, hot = ses.hot_keys(df, ses.KEYS)
+    assert len(hot) == 1 and n / 3.1 < list(hot.values())[0] <= n / 2.9
+    rows = df.select(*ses.KEYS, "timestamp")
+    cut = ses._chunked(rows.distinct() if instants else rows, ses.KEYS, ses.quantile_cuts(df, ses.KEYS, limit, hot))
+    sizes = cut.groupBy("user_id", "_chunk").count()
+    assert sizes.agg(F.max("count")).first()[0] < 0.01 * n
+    far = sizes.groupBy("user_id", F.floor(F.col("_chunk") / ses.FAN).alias("f")).count()
+    assert far.agg(F.max("count")).first()[0] <= ses.FAN
+
+
+def _plain_sessions(df, gap):
+    by = {}
+    for u, t in df.select("user_id", "timestamp").collect():
+        by.setdefault(u, []).append(t)
+    want = []
+    for u, ts in by.items():
+        ts.sort()
+        cut = [0] + [i for i in range(1, len(ts)) if ts[i] - ts[i - 1] > gap] + [len(ts)]
+        want += [(u, k, ts[a], ts[b - 1], b - a) for k, (a, b) in enumerate(zip(cut, cut[1:]))]
+    return sorted(want)
+
+
+@pytest.mark.parametrize("gap", [0, 40, 10**6])
+def test_burst_with_default_arguments(spark, gap):
+    """Nearly all samples of the hot user lie in a ten-thousandth of its time, and thousands are copies of one instant."""
+    n = 30_000
+    t = (F.when(F.col("id") % 15 == 0, F.lit(777)).when(F.col("id") % 3 == 0, 1000 + F.col("id") * 3 + F.col("id") % 2)
+         .otherwise(F.col("id") * 1_000_000))
+    df = spark.range(0, n, numPartitions=8).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("u"), (F.col("id") % 997).cast("string"))).alias("user_id"),
+        F.lit("Walking").alias("activity"), t.cast("long").alias("timestamp"))
+    df = df.unionByName(spark.createDataFrame([("hot", "Walking", 10**9)], "user_id string, activity string, timestamp long"))
+    _cut_evenly(df, n, instants=True)
+    got = ses.gap_sessions(df, gap=gap, width=10)
+    assert sorted((x.user_id, x.session_id, x.session_start, x.session_stop, x.n_samples) for x in got.collect()) == _plain_sessions(df, gap)
+    lab = ses.label_sessions(df, gap=gap)
+    assert "_chunk" in lab._jdf.queryExecution().executedPlan().toString()
+    from_rows = ses.sessions_from_labelled(lab, 10)
+    assert sorted(map(tuple, from_rows.collect())) == sorted(map(tuple, got.collect()))
+    w = Window.partitionBy("user_id").orderBy("timestamp")
+    diffs = df.select("user_id", "timestamp", (F.col("timestamp") - F.lag("timestamp").over(w)).alias("diff"))
+    key = lambda r: (r[0], r[1], -1 if r[2] is None else r[2])
+    assert sorted(map(tuple, ses.time_diffs(df).select("user_id", "timestamp", "diff").collect()), key=key) == sorted(
+        map(tuple, diffs.collect()), key=key)
+
+
+def test_cuts_of_several_hot_keys(spark):
+    """Keys of very different size: each is cut into about as many chunks as its rows over the limit, cold ones not at all."""
+    df = spark.range(0, 60_000, numPartitions=4).select(
+        F.expr("CASE WHEN id % 2 = 0 THEN 'a' WHEN id % 10 = 1 THEN 'b' WHEN id % 50 = 3 THEN 'c' ELSE concat('u', id % 4999) END")
+        .alias("user_id"), F.lit("Walking").alias("activity"), (F.col("id") * F.col("id")).alias("timestamp"))
+    limit, hot = ses.hot_keys(df, ses.KEYS)
+    cut = ses._chunked(df, ses.KEYS, ses.quantile_cuts(df, ses.KEYS, limit, hot))
+    got = {r.user_id: (r.chunks, r.most) for r in cut.groupBy("user_id", "_chunk").count().groupBy("user_id").agg(
+        F.count("count").alias("chunks"), F.max("count").alias("most")).collect()}
+    assert set(u for u, (c, _) in got.items() if c > 1) == {"a", "b", "c"}
+    assert all(m <= 2.5 * limit for _, m in got.values()) and got["a"][0] >= 30_000 // (2 * limit)
+    assert ses.hot_limit(10) == 256 and ses.hot_limit(10**6) == 3906 and ses.hot_limit(10**12) == 10**6
+
+
 @pytest.mark.parametrize("gap", [0, DAY, 2 * DAY])
 def test_hot_user_sessions_with_default_arguments(spark, gap):
     """One user holds a third of the rows. With default arguments no window, of rows or of chunk summaries, holds more
@@ -83,23 +146,11 @@ def test_hot_user_sessions_with_default_arguments(spark, gap):
     df = r.select(F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("u"), (F.col("id") % 997).cast("string")))
                   .alias("user_id"), F.lit("Walking").alias("activity"),
                   (F.col("id") * step + F.col("id") % 7).alias("timestamp"))
-    chunk = ses.default_chunk(df)
-    sizes = df.groupBy("user_id", F.floor(F.col("timestamp") / chunk).alias("c")).count()
-    assert sizes.agg(F.max("count")).first()[0] < 0.01 * n
-    far = sizes.groupBy("user_id", F.floor(F.col("c") / ses.FAN).alias("f")).count()
-    assert far.agg(F.max("count")).first()[0] <= ses.FAN
+    _cut_evenly(df, n)
     s = ses.gap_sessions(df, gap=gap, width=10)
     assert "_chunk" in s._jdf.queryExecution().executedPlan().toString()
-    by = {}
-    for u, t in df.select("user_id", "timestamp").collect():
-        by.setdefault(u, []).append(t)
-    want = []
-    for u, ts in by.items():
-        ts.sort()
-        cut = [0] + [i for i in range(1, len(ts)) if ts[i] - ts[i - 1] > gap] + [len(ts)]
-        want += [(u, k, ts[a], ts[b - 1], b - a) for k, (a, b) in enumerate(zip(cut, cut[1:]))]
     got = [(x.user_id, x.session_id, x.session_start, x.session_stop, x.n_samples) for x in s.collect()]
-    assert sorted(got) == sorted(want)
+    assert sorted(got) == _plain_sessions(df, gap)
 
 
 @pytest.mark.parametrize("chunk", [1, 7, 50, 5000, 10**9])
