@@ -36,7 +36,7 @@ def _parser() -> argparse.ArgumentParser:
     t.add_argument("--anchor", choices=["stop", "start"], default="stop")
     t.add_argument("--user-cap", type=int, default=0, help="first users by id only; 0 = all users")
     t.add_argument("--method", choices=["auto", "chunk", "range"], default="auto", help="sessionization")
-    t.add_argument("--partitions", type=int, default=32, help="part of the forest's definition, like the seed")
+    t.add_argument("--partitions", type=int, default=0, help="of the fit, part of the forest's definition; 0: by the points")
     t.add_argument("--split", choices=["hash", "random"], default="hash")
     t.add_argument("--seed", type=int, default=12345)
 
@@ -69,7 +69,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None):
         from .sources.readers import read_training
         trained = train(read_training(spark, args.training, args.format), gap=args.gap, width=args.width,
                         anchor=args.anchor, user_cap=args.user_cap or None, how=args.split, seed=args.seed,
-                        method=args.method, partitions=args.partitions, tree_path=args.tree_model, forest_path=args.forest_model)
+                        method=args.method, partitions=args.partitions or None, tree_path=args.tree_model, forest_path=args.forest_model)
         report = trained.report()
         report.show(truncate=False)
         return report

@@ -51,8 +51,10 @@ def label_text(label="label") -> Column:
 EXPLODE_BLOCK = 4096
 
 
-def explode_range(df: DataFrame, lo: str, hi: str, name: str, block: int = EXPLODE_BLOCK) -> DataFrame:
-    """One row per integer ``lo .. hi`` (inclusive; SQL snippets over ``df``), as column ``name`` (long).
+def explode_range(df: DataFrame, lo: str, hi: str, name: str, block: int = EXPLODE_BLOCK,
+                  spread: list[str] | None = None) -> DataFrame:
+    """One row per integer ``lo .. hi`` (inclusive; SQL snippets over ``df``), as column ``name`` (long). ``spread`` names
+    columns that identify a row: then blocks are dealt to tasks by them, so one long range is expanded by many tasks.
 
     Two levels -- blocks of ``block`` values, then the values of each block -- so no array grows with the range:
     a month-long session has millions of intervals, and one ``sequence`` over them would be one huge array.
@@ -61,6 +63,9 @@ def explode_range(df: DataFrame, lo: str, hi: str, name: str, block: int = EXPLO
     nblk = (f"CASE WHEN ({hi}) >= ({lo}) THEN sequence(0L, (({hi}) - ({lo})) div {b}) "
             f"ELSE cast(array() AS array<bigint>) END")
     blocks = df.select("*", F.explode(F.expr(nblk)).alias("_blk"))
+    if spread:                      # a stated number of partitions: few rows of long ranges must not be put together
+        n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        blocks = blocks.repartition(n, *spread, "_blk")
     first = F.expr(f"({lo}) + _blk * {b}")
     last = F.expr(f"least(({lo}) + _blk * {b} + {b - 1}, {hi})")
     return blocks.select("*", F.explode(F.sequence(first, last)).alias(name)).drop("_blk")

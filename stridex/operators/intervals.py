@@ -33,7 +33,7 @@ def interval_bounds(sessions: DataFrame, width: int = DEFAULT_WIDTH, anchor: str
                     keys: list[str] = KEYS) -> DataFrame:
     """Every interval of every session (``INTERVAL`` schema), empty ones included."""
     w = int(width)
-    s = explode_range(sessions, "0L", "intervals", "i")
+    s = explode_range(sessions, "0L", "intervals", "i", spread=[*keys, "session_id"])
     if anchor == "stop":
         lo = F.col("session_stop") + (F.col("i") - 1) * F.lit(w)
         hi = F.col("session_stop") + F.col("i") * F.lit(w)
@@ -59,7 +59,7 @@ def assign_stop_anchored(samples: DataFrame, sessions: DataFrame, width: int = D
                         span_hi.alias("_shi"))
     b_lo = f"((session_stop - {w} + 1) - pmod(session_stop - {w} + 1, {b})) div {b}"
     b_hi = f"((session_stop + intervals * {w} - 1) - pmod(session_stop + intervals * {w} - 1, {b})) div {b}"
-    s = explode_range(s, b_lo, b_hi, "_b").drop("intervals")
+    s = explode_range(s, b_lo, b_hi, "_b", spread=[*keys, "session_id"]).drop("intervals")
     r = samples.select("*", floor_div("timestamp", b).alias("_b"))
     d = F.col("timestamp") - F.col("session_stop")
     j = r.join(s, [*keys, "_b"]).where((F.col("timestamp") > F.col("_slo")) & (F.col("timestamp") < F.col("_shi"))
@@ -83,7 +83,7 @@ def assign_intervals(samples: DataFrame, gap: int = DEFAULT_GAP, width: int = DE
                      keys: list[str] = KEYS, chunk: int | None = None, bucket: int | None = None,
                      method: str = "auto") -> DataFrame:
     """Samples -> sessions -> the intervals each sample falls into (``session_id, i, lo, hi`` added).
-    ``method`` is the sessionization method (``"chunk"`` or ``"range"``, see ``sessions``)."""
+    ``method`` is the sessionization method (``"auto"``, ``"chunk"`` or ``"range"``, see ``sessions``)."""
     if anchor == "stop":
         sessions = gap_sessions(samples, gap=gap, width=width, keys=keys, chunk=chunk, method=method)
         return assign_stop_anchored(samples, sessions, width=width, keys=keys, bucket=bucket)

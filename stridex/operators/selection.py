@@ -7,16 +7,18 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..schema import DEFAULT_LATEST_N, DEFAULT_USER_CAP, KEYS, LABELS
+from ..sources.layout import of_user
 
 
 def filter_user(df: DataFrame, user: str) -> DataFrame:
-    """Equality on ``user_id`` (reaches the scan of a sample table; the events adapter translates it, see readers)."""
-    return df.where(F.col("user_id") == F.lit(user))
+    """Equality on ``user_id`` (reaches the scan of a sample table, with the user's bucket on a clustered one; the events
+    adapter translates it, see readers)."""
+    return df.where(of_user(user, df))
 
 
 def filter_user_activity(df: DataFrame, user: str, activity: str) -> DataFrame:
     """User and activity, activity compared by label text, case-sensitive."""
-    return df.where((F.col("user_id") == F.lit(user)) & (F.col("activity") == F.lit(activity)))
+    return df.where(of_user(user, df) & (F.col("activity") == F.lit(activity)))
 
 
 def filter_open_range(df: DataFrame, lo: int, hi: int, column: str = "timestamp") -> DataFrame:
@@ -72,14 +74,15 @@ LATEST_SLICES = 32
 def latest_n(df: DataFrame, n: int = DEFAULT_LATEST_N, by: str = "user_id") -> DataFrame:
     """The newest ``n`` samples of every user, in two rounds.
 
-    The first round takes the newest ``n`` of each (user, slice of the timestamps), the second the newest of those: a
+    The first round takes the newest ``n`` of each (user, slice by hash of time and axes), the second the newest of those: a
     user holding a third of all rows is spread over ``LATEST_SLICES`` tasks, and the last round gets at most
     ``n * LATEST_SLICES`` rows of a user, whatever ``n`` and the number of map tasks. ``row_number() <= n`` also lets
     Catalyst cut rows before the shuffle (``WindowGroupLimit``; its threshold is raised in the recommended settings).
     """
     order = newest_first(df)
     piece = Window.partitionBy(by, "_slice").orderBy(*order)
-    some = df.withColumn("_slice", F.pmod(F.xxhash64("timestamp"), F.lit(LATEST_SLICES)))
+    spread = F.xxhash64("timestamp", *[c for c in ("x", "y", "z") if c in df.columns])       # a burst at one instant too
+    some = df.withColumn("_slice", F.pmod(spread, F.lit(LATEST_SLICES)))
     some = some.withColumn("_rn", F.row_number().over(piece)).where(F.col("_rn") <= n).drop("_rn", "_slice")
     w = Window.partitionBy(by).orderBy(*order)
     return some.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= n).drop("_rn")

@@ -25,9 +25,13 @@ from .voting import majority_vote
 
 POINT_KEYS = [*KEYS, *GROUP]
 
-# Part of the forest's definition, like its seed: bootstrap draws are per partition. Raise it with the training data
-# (a partition of points should stay under some 100 MB).
-FIT_PARTITIONS = 32
+# Part of the forest's definition, like its seed, as bootstrap draws are per partition: a function of the points alone.
+FIT_LEAST, POINTS_PER_PARTITION = 8, 200_000          # some 50 MB of cached points
+
+
+def fit_partitions(points: int) -> int:
+    """Partitions of a fit on ``points`` rows."""
+    return max(FIT_LEAST, -(-points // POINTS_PER_PARTITION))
 
 
 def labeled_points(samples: DataFrame, gap: int = DEFAULT_GAP, width: int = DEFAULT_WIDTH, anchor: str = "stop",
@@ -105,7 +109,7 @@ def fit_forest(train: DataFrame) -> RandomForestClassificationModel:
                                   **FIT_SETTINGS).fit(train)
 
 
-def fixed_layout(df: DataFrame, partitions: int = FIT_PARTITIONS) -> DataFrame:
+def fixed_layout(df: DataFrame, partitions: int) -> DataFrame:
     """Rows in a layout that depends on the data and ``partitions`` only: hash partitions by the point key, sorted
     inside. Forest bootstrap draws are per partition and per row position, so with this layout the same seed
     gives the same forest on any cluster, and a partition recomputed after an executor loss gets the same draws."""
@@ -114,14 +118,15 @@ def fixed_layout(df: DataFrame, partitions: int = FIT_PARTITIONS) -> DataFrame:
 
 def train_models(points: DataFrame, how: str = "hash", fraction: float = TRAIN_FRACTION, seed: int = 12345,
                  tree_path: str | None = None, forest_path: str | None = None,
-                 partitions: int = FIT_PARTITIONS, write_points: bool = True, models=("tree", "forest")) -> Trained:
+                 partitions: int | None = None, write_points: bool = True, models=("tree", "forest")) -> Trained:
     """C1 after the points: write them once (shared folder), split, cache the training side (M5), fit the ``models``
-    asked for, optionally save them (IO5, IO6). The split, the fits and the report all read the written points."""
+    asked for, optionally save them (IO5, IO6). The split, the fits and the report all read the written points, whose number
+    sets the ``partitions`` of the fits unless they are given."""
     if write_points:
         points = materialize(points, "labeled-points")
     pts = _with_label_metadata(assemble(points))
     train, test = split(pts, how=how, fraction=fraction, seed=seed)
-    train = fixed_layout(train, partitions).select("label", "features").persist()
+    train = fixed_layout(train, partitions or fit_partitions(points.count())).select("label", "features").persist()
     try:
         # the two fits are independent jobs over the same cached rows: submit them together so the cluster runs
         # their stages side by side (each seeded; concurrency does not change either model)

@@ -432,6 +432,16 @@ def q_stream_recovery(spark, d):
     return read_predictions(spark, sink, with_batch=True).select("batch_id", "user_id", "timestamp", "prediction")
 
 
+def q_clustered_filters(spark, d):
+    """P2-P4 on a clustered table of two published parts: one user's samples of an activity in an open time range."""
+    from .sources.layout import read_clustered, write_clustered
+    path, c = scratch_path(spark, "clustered"), rd.training_from_events(spark, d)
+    for part, rows in (("old", sel.filter_open_range(c, -1, RANGE_HI)), ("new", c.where(F.col("timestamp") >= RANGE_HI))):
+        write_clustered(rows, path, part)
+    mine = sel.filter_user_activity(read_clustered(spark, path), USER, ACTIVITY)
+    return sel.filter_open_range(mine, RANGE_LO, 2 * RANGE_HI).drop("user_bucket")
+
+
 def q_predict_store_rerun(spark, d):
     """IO4: a batch job run three times, twice under one id: each id's rows once."""
     from .sources.sinks import read_predictions
@@ -517,6 +527,7 @@ QUERIES: dict[str, Query] = {
     "stream_batches": q_stream_batches,
     "stream_recovery": q_stream_recovery,
     "predict_store_rerun": q_predict_store_rerun,
+    "clustered_filters": q_clustered_filters,
     "stream_features_state": q_stream_features_state,
     "save_load_tree": q_save_load_tree,
     "save_load_forest": q_save_load_forest,
@@ -798,6 +809,8 @@ def _oracle() -> dict[str, str]:
                            + _features_select(["batch_id", "user_id"]))
     o["stream_recovery"] = (f"WITH {sliced} SELECT DISTINCT CAST(b // 2 AS INTEGER) AS batch_id, user_id, {AS_OF}::BIGINT AS "
                             f'"timestamp", {text} AS prediction FROM sliced WHERE {_AXES_OK}')
+    o["clustered_filters"] = _with() + (f"SELECT * FROM clean WHERE user_id = '{USER}' AND activity = '{ACTIVITY}' AND "
+                                        f'"timestamp" > {RANGE_LO} AND "timestamp" < {2 * RANGE_HI}')
     o["predict_store_rerun"] = predicted.replace("SELECT DISTINCT user_id", "SELECT DISTINCT run, user_id").replace(
         "FROM live WHERE", "FROM live, (VALUES ('monday'), ('tuesday')) v(run) WHERE")
     o["stream_features"] = o["stream_features_state"] = o["features_latest_small"]

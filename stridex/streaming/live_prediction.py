@@ -2,8 +2,8 @@
 
 ST1 (``stateful=False``): every micro-batch names the users that got new samples; their newest N samples are read
 from the live table (a late sample counts only if it is among the newest N, as in the reference), featurised,
-classified and written to the batch's folder of the sink. A table with a ``user_bucket`` column (``bucketed``), stored
-partitioned by it, is read in the touched buckets only, if its number of buckets is known (stored with it, or given).
+classified and published in the sink. A clustered table (``sources.layout``) is read in the users' buckets, row groups and
+pages only.
 
 ST2 (``stateful=True``): the newest N samples of every user are kept as a log-structured table in the checkpoint folder. A
 batch adds one segment with its own newest N per user, in buckets by user hash, and reads the earlier samples of its users
@@ -31,21 +31,13 @@ from ..plans.prediction import classify, now_millis
 from ..schema import ACCEL_LIVE, DEFAULT_LATEST_N
 from ..sources.readers import live_from_events, stream_events_as_live, valid_axes
 from ..sources.commits import CommitLog, Entry
+from ..sources.layout import BUCKETS, bucketed, of_users, read_clustered, write_clustered
 from ..sources.models import PublishedModel
 from ..sources.sinks import read_predictions, read_published, run_id, write_batch
 
-BUCKETS = 32
 FAN = 4                       # segments of a level that are merged into one of the next
 BUCKET_ROWS = 100_000         # rows of a merged segment's bucket, about
 _COLS = ACCEL_LIVE.fieldNames()
-_STORED = "user_buckets"
-
-
-def bucketed(live: DataFrame, buckets: int = BUCKETS) -> DataFrame:
-    """Live samples with ``user_bucket``, by which a live table should be stored (``partitionBy("user_bucket")``). The
-    number of buckets goes with the table, in the metadata of ``user_id``."""
-    live = live.withMetadata("user_id", {**live.schema["user_id"].metadata, _STORED: buckets})
-    return live.withColumn("user_bucket", F.pmod(F.xxhash64("user_id"), F.lit(buckets)).cast("int"))
 
 
 def _stamp(as_of) -> Column:
@@ -175,14 +167,8 @@ class NewestTable:
 
 
 def _touched(table: DataFrame, users: DataFrame, buckets: int | None = None) -> DataFrame:
-    """The rows of the given users; of a bucketed table only the users' buckets are read. The number of buckets is the one
-    stored with the table, else ``buckets``; if neither is known, all buckets are read."""
-    if "user_bucket" in table.columns:
-        n = table.schema["user_id"].metadata.get(_STORED, buckets)
-        if n:
-            names = [r[0] for r in bucketed(users, n).select("user_bucket").distinct().collect()]
-            table = table.where(F.col("user_bucket").isin(names))
-    return restrict_to_users(table, users)
+    """The rows of the given users; of a clustered table only what can hold them is read (``sources.layout``)."""
+    return restrict_to_users(of_users(table, users, buckets), users)
 
 
 def start_prediction_stream(stream: DataFrame, model, sink: str, checkpoint: str,
@@ -220,14 +206,19 @@ def start_prediction_stream(stream: DataFrame, model, sink: str, checkpoint: str
 def stream_predict_events(spark: SparkSession, sf_dir: str, model, n: int = DEFAULT_LATEST_N,
                           stateful: bool = False, vote: str = "majority", as_of=None,
                           sink: str | None = None, checkpoint: str | None = None,
-                          prepare: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
+                          prepare: Callable[[DataFrame], DataFrame] = lambda df: df, clustered: bool = True) -> DataFrame:
     """One-shot (availableNow) run of C3 over the driver's events table as a file stream; returns the sink's rows
-    (predictions, or features without a ``model``). ``prepare`` is applied to the stream and the table."""
+    (predictions, or features without a ``model``). ``prepare`` is applied to the stream and the table. ST1's live table is
+    stored clustered first, as a user's would be, or read as it is (``clustered=False``)."""
     sink = sink or scratch_path(spark, "stream-predictions")
     checkpoint = checkpoint or scratch_path(spark, "stream-checkpoint")
-    q = start_prediction_stream(prepare(stream_events_as_live(spark, sf_dir)), model, sink, checkpoint,
-                                table=lambda: prepare(live_from_events(spark, sf_dir)), n=n, stateful=stateful, vote=vote,
-                                as_of=as_of)
+    table = lambda: prepare(live_from_events(spark, sf_dir))
+    if clustered and not stateful:
+        store = scratch_path(spark, "live-table")
+        write_clustered(prepare(live_from_events(spark, sf_dir)), store, "all")
+        table = lambda: read_clustered(spark, store)
+    q = start_prediction_stream(prepare(stream_events_as_live(spark, sf_dir)), model, sink, checkpoint, table=table, n=n,
+                                stateful=stateful, vote=vote, as_of=as_of)
     q.awaitTermination()
     if model is None:
         return read_published(spark, sink).drop("run", "batch_id")

@@ -136,3 +136,14 @@ def test_forest_does_not_depend_on_the_cores(spark, tmp_shared):
     out = [[x for x in subprocess.run([sys.executable, "-c", code, n], capture_output=True, text=True, timeout=300)
             .stdout.split("\n") if x.startswith("FOREST")] for n in ("2", "4")]
     assert out[0] and out[0] == out[1]
+
+
+def test_fit_layout_follows_the_points(spark):
+    """Partitions depend on the number of points alone, and stay under some 100 MB on a large table."""
+    assert [tr.fit_partitions(n) for n in (0, 10, 1_600_000, 1_600_001, 10**9)] == [8, 8, 8, 9, 5000]
+    n = 1_000_000
+    points = spark.range(0, n, numPartitions=4).select(
+        F.concat(F.lit("u"), F.col("id") % 1000).alias("user_id"), F.lit("Walking").alias("activity"),
+        (F.col("id") % 7).alias("session_id"), F.col("id").alias("i"))
+    sizes = tr.fixed_layout(points, tr.fit_partitions(n)).groupBy(F.spark_partition_id()).count()
+    assert sizes.agg(F.max("count")).first()[0] * 400 < 100_000_000        # 400 bytes hold a point generously

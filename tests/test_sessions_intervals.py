@@ -2,6 +2,7 @@
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from stridex.operators import intervals as iv
 from stridex.operators import sessions as ses
@@ -188,3 +189,13 @@ def test_sessions_are_separated_by_more_than_gap(spark, method):
         assert [r.session_id for r in ss] == list(range(len(ss)))
         for a, b in zip(ss, ss[1:]):
             assert b.session_start - a.session_stop > 40
+
+
+def test_a_long_session_is_expanded_by_many_tasks(spark):
+    """One session of ten million intervals among short ones: no task expands more than a share of it."""
+    df = spark.createDataFrame([("u", "Walking", 0, 0, 10**9, 10_000_000), *[("v", "Walking", k, k, k + 5, 1) for k in range(50)]],
+                               "user_id string, activity string, session_id long, session_start long, session_stop long, "
+                               "intervals long")
+    got = iv.interval_bounds(df, width=100).groupBy(F.spark_partition_id().alias("p")).count().collect()
+    assert sum(r["count"] for r in got) == 10_000_001 + 100 and len(got) >= 4
+    assert max(r["count"] for r in got) < 4_000_000
