@@ -1,13 +1,16 @@
 """Document fingerprints from spot signatures.
 
-A spot is a common word (an anchor); its signature is the anchor with the chain of the next ``CHAIN`` content words.
+A spot is an anchor: a common word, or a word that one word in ``SAMPLED`` is by its hash, so that texts of any language and
+kind have spots at a like density. Its signature is the anchor with the chain of the next ``CHAIN`` content words.
 The set of a document's signatures is its fingerprint. Fingerprints are compared by Jaccard, pruned by their lengths
 first (two sets whose sizes differ by more than the threshold allows cannot be near).
 
 Defined results: words are runs of letters and digits (any byte beyond ASCII counts as a letter), A-Z in lower case; a
 text with words but no anchor followed by a content word takes each of its words as an anchor, so it still has a
 fingerprint; a text without words has its hash as only signature (of nothing, for null or empty text). Equal texts have
-equal fingerprints. Two equal sets have likeness 1.
+equal fingerprints. Two equal sets have likeness 1. A null id sorts before all others; rows of one id follow each other by
+text, null first, and the successor of an id's last row is the next id's first; a single row is its own successor; an empty
+table gives no rows; long texts are read whole; further columns are ignored.
 """
 from __future__ import annotations
 
@@ -24,6 +27,7 @@ from ._hashing import mix, words_of
 ship_by_value(__name__)
 
 CHAIN = 3
+SAMPLED = 4                   # one in so many words is an anchor whatever its language
 # Anchors: common function words of four languages.
 ANCHORS = ("the of and to in is that for it as with be by on not he are or this from was at have an which you "
            "de la le et les des en un du que au qui dans par sur pour avec est une ce "
@@ -38,6 +42,11 @@ def _anchor_hashes(anchors) -> np.ndarray:
     return np.unique(words_of(line, _BLANK)[0]) if len(line) else np.zeros(0, np.uint64)
 
 
+def is_anchor(word: str) -> bool:
+    """Whether a lower-case word is an anchor."""
+    return word in ANCHORS or int(_anchor_hashes([word])[0]) % SAMPLED == 0
+
+
 def signatures(texts: list[str], anchors=ANCHORS, chain: int = CHAIN) -> list[np.ndarray]:
     """The sorted distinct 32-bit signatures of every text."""
     common = _anchor_hashes(anchors)
@@ -47,7 +56,9 @@ def signatures(texts: list[str], anchors=ANCHORS, chain: int = CHAIN) -> list[np
         h, start, _ = words_of(np.frombuffer(b" ".join(raw).translate(_LETTER), np.uint8), _BLANK)
         edge = np.concatenate([[0], np.cumsum([len(r) + 1 for r in raw])])
         cut = np.searchsorted(start, edge)
-        spot = common[np.minimum(np.searchsorted(common, h), len(common) - 1)] == h if len(common) else h != h
+        spot = h % np.uint64(SAMPLED) == 0
+        if len(common):
+            spot |= common[np.minimum(np.searchsorted(common, h), len(common) - 1)] == h
         for k, r in enumerate(raw):
             out.append(_signatures(h[cut[k]:cut[k + 1]], spot[cut[k]:cut[k + 1]], chain, r))
     return out

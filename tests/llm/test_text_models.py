@@ -1,7 +1,9 @@
 """op1 and op10: learned models; op3 and op6: matchers."""
+import math
 import random
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -46,6 +48,65 @@ def test_language_ignores_held_out_labels(spark, tmp_path):
     assert a == b
 
 
+def brute_language(train, texts):
+    """Multinomial naive Bayes over the same hashed 2- and 3-grams, in plain Python."""
+    def grams(t):
+        norm = " " + re.sub(r" +", " ", "".join((c.lower() if len(c.lower()) == 1 else c) if c.isalpha() else " " for c in t)).strip() + " "
+        return [norm[i:i + n] for n in (2, 3) for i in range(len(norm) - n + 1) if norm[i:i + n].strip()] if norm.strip() else []
+
+    def bucket(g):
+        h = 0
+        for c in g:
+            h = (h * 0x1F123BB5 + ord(c)) % (1 << 64)
+        return (h * 0x9E3779B97F4A7C15 % (1 << 64) >> 40) % L.BUCKETS
+    count, docs = {}, Counter()
+    for t, lang in train:
+        if t is not None and lang:
+            docs[lang] += 1
+            count.setdefault(lang, Counter()).update(map(bucket, grams(t)))
+    total = {x: sum(c.values()) + L.ALPHA * L.BUCKETS for x, c in count.items()}
+    out = []
+    for t in texts:
+        b = Counter(map(bucket, grams(t or "")))
+        if not b or not docs:
+            out.append(("und", 0.0))
+            continue
+        s = {x: math.log(docs[x] / sum(docs.values())) + sum(k * math.log((count[x][g] + L.ALPHA) / total[x]) for g, k in b.items())
+             for x in sorted(docs)}
+        top = max(s.values())
+        out.append((max(sorted(s), key=s.get), 1 / sum(math.exp(v - top) for v in s.values())))
+    return out
+
+
+def test_language_against_plain_python(spark, tmp_path):
+    """Every prediction and score of the whole table, in one matrix and in blocks of one and two languages."""
+    rng = random.Random(5)
+    rows = odd_rows() + [(100 + i, sentence(rng.randint(1, 30), rng), f"l{i % 7}", "s") for i in range(80)]
+    rows = [r for r in rows if len(r[1] or "") < 20_000]
+    train = [(t, lang) for i, t, lang, _ in rows if i is not None and zlib.crc32(str(i).encode()) % 3 != 1]
+    want = sorted(((r[0], *x) for r, x in zip(rows, brute_language(train, [r[1] for r in rows]))), key=repr)
+    docs = spark.read.parquet(write(spark, str(tmp_path), rows) + "/documents.parquet")
+    labelled = spark.createDataFrame(train, "text string, lang string")
+    for limit in (256, 0.3, 0.14):
+        got = sorted((tuple(r) for r in L.identify(docs, labelled, limit_mb=limit).select("doc.doc_id", "p.lang_pred", "p.score")
+                      .collect()), key=repr)
+        assert [g[:2] for g in got] == [w[:2] for w in want]
+        bad = [(g, w) for g, w in zip(got, want) if abs(g[2] - w[2]) >= 1e-3]
+        assert not bad
+
+
+def test_language_more_languages_than_a_task_holds(spark, monkeypatch):
+    """A dirty label column: counts leave the task in parts, predictions stay."""
+    rng = random.Random(6)
+    rows = [(sentence(12, rng), f"x{i}") for i in range(40)] + [(sentence(12, rng), "x1") for _ in range(10)]
+    df = spark.createDataFrame(rows, "text string, lang string")
+    want = collected(L.identify(df, df, buckets=512).select("doc.lang", "p"))
+    monkeypatch.setattr(L, "TASK_LANGUAGES", 3)
+    assert collected(L.identify(df, df, buckets=512).select("doc.lang", "p")) == want
+    blocks = L.identify(df, df, buckets=512, limit_mb=0.01).select("doc.lang", "p.lang_pred").collect()
+    assert sorted(map(tuple, blocks)) == sorted((a, p[0]) for a, p in want)
+
+
 def test_language_counts_and_empty(spark, tmp_path):
     """The matrix against counts by hand; an empty table."""
     texts = ["Ab a", "b"]
