@@ -60,8 +60,8 @@ def main() -> None:
           "uses), operators only. Generated by `scripts/plan_shapes.py`.\n")
     print("What to look for: `FileScan` read schemas pruned to the columns a query needs (user and session steps "
           "read three event columns); a `partial` aggregate under every aggregate exchange; `WindowGroupLimit Partial` "
-          "before the newest-N shuffle; the samples shuffled once by (key, chunk) for sessions, the second use a "
-          "`ReusedExchange`; the stop-anchored range join on (key, bucket `_b`); the feature statistics joined on the "
+          "before the newest-N shuffle; the samples shuffled once by key for sessions (no key is "
+          "hot here); the stop-anchored range join on (key, bucket `_b`); the feature statistics joined on the "
           "derived key `_gk` (both inputs plain shuffles, so AQE can split a hot group); `feat_mean` without any "
           "join.\n")
     for name in SHOW:
