@@ -19,7 +19,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ._common import read, ship_by_value
-from ._repeats import Spec, keyed, merged, unpack, with_spans
+from . import _doubling
+from ._repeats import Spec, keyed, merged, pack, unpack, with_spans
 
 ship_by_value(__name__)
 
@@ -29,9 +30,10 @@ BLOCKS = (32, 4, 1)
 
 
 def cut_repeats(docs: DataFrame, length: int = LENGTH, seed: int | None = None, blocks=BLOCKS,
-                doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+                doc_id: str = "doc_id", text: str = "text", method: str = "anchors") -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, spans, kept) for every row: the bytes covered by a string of ``length`` bytes
-    that starts anywhere else too are removed; ``spans`` are the maximal removed runs."""
+    that starts anywhere else too are removed; ``spans`` are the maximal removed runs. ``method``: ``"anchors"`` or
+    ``"doubling"`` (``_doubling``: the same result from ranks of byte positions)."""
     spec = Spec(length, seed or max(1, min(SEED, length // 4)), False, blocks, False)
 
     @F.pandas_udf("n_bytes long, n_removed long, spans array<struct<start:long,stop:long>>, kept binary")
@@ -48,13 +50,18 @@ def cut_repeats(docs: DataFrame, length: int = LENGTH, seed: int | None = None,
             out.append((len(raw), sum(e - b for b, e in runs), [{"start": b, "stop": e} for b, e in runs], b"".join(keep)))
         return pd.DataFrame(out, columns=["n_bytes", "n_removed", "spans", "kept"])
 
-    d = with_spans(keyed(docs, doc_id, text), spec, "suffix").select("doc_id", cut("z", "spans").alias("c"))
-    return d.select("doc_id", "c.*")
+    d = keyed(docs, doc_id, text)
+    if method == "anchors":
+        d = with_spans(d, spec, "suffix")
+    else:
+        spans = _doubling.repeated(d, length, spec.seed, "suffix")
+        d = d.select("doc_id", "ok", "th", pack(F.col("text")).alias("z")).join(spans, ["ok", "th"], "left")
+    return d.select("doc_id", cut("z", "spans").alias("c")).select("doc_id", "c.*")
 
 
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes of every document that belong to a 200-byte string found twice or more."""
-    c = cut_repeats(read(spark, sf_dir, "documents"))
+    c = cut_repeats(read(spark, sf_dir, "documents"), method="doubling")
     return c.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"),
                     F.sha2("kept", 256).alias("kept_sha256"))
 

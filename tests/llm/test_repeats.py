@@ -17,6 +17,15 @@ def test_suffix_odd_table(spark, tmp_path):
     assert got == sorted(brute_suffix(rows), key=repr)
 
 
+def test_doubling_odd_table(spark, tmp_path):
+    """Ranks of byte positions give the rows of the anchors, for two lengths; an empty table gives none."""
+    docs = spark.read.parquet(write(spark, str(tmp_path), odd_rows()) + "/documents.parquet")
+    for length in (200, 48):
+        a, b = (collected(cut_repeats(docs, length, method=m)) for m in ("anchors", "doubling"))
+        assert a == b
+    assert cut_repeats(docs.where("false"), method="doubling").count() == 0
+
+
 def test_substring_odd_table(spark, tmp_path):
     rows = odd_rows()
     got = collected(op4_substring_dedup(spark, write(spark, str(tmp_path), rows)))
@@ -39,6 +48,8 @@ def test_random_sequences(spark, seed, letters, length):
     got = {r.doc_id: bytes(r.kept) for r in cut_repeats(df, length, blocks=(4, 1)).collect()}
     want = repeats([(i, t.encode()) for i, t in enumerate(texts)], length)
     assert got == {i: bytes(c for c, y in zip(t.encode(), m) if not y) for i, (t, (m, _)) in enumerate(zip(texts, want))}
+    ranked = {r.doc_id: bytes(r.kept) for r in cut_repeats(df, length, method="doubling").collect()}
+    assert ranked == got
     spaced = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
     got = {r.doc_id: bytes(r.kept) for r in cut_passages(spaced, length, blocks=(3, 1)).collect()}
     assert got == {i: " ".join(c for c, y in zip(t, m) if not y).encode() for i, (t, (_, m)) in enumerate(zip(texts, want))}
