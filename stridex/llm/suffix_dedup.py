@@ -1,11 +1,12 @@
-"""Deduplication of exact byte strings by content-anchored window hashing, shared with op4; nothing is ranked by pairs of ranks.
+"""Deduplication of exact byte strings, in two ways with one result.
 
-A pure prefix doubling ranks every byte position in every round; at 100 TB each round would sort and write many times
-the corpus. Here the positions that are hashed are the anchors of ``_repeats``: about one in 85 bytes, chosen by
-content so that equal 200-byte strings have corresponding anchors. Round 1 counts the anchors by the 32 bytes at them;
-a position whose bytes are unique leaves. The following rounds count the survivors by (seed rank, name) pairs of growing
-known length - 169 to 197 bytes in common, up to the full 200 - and let a position go as soon as it is unique, or as soon as
-its string is past the threshold, as suffix sorting by doubling does.
+``method="doubling"`` (``_doubling``) is distributed prefix doubling: ranks of byte positions from pairs of ranks at growing
+offsets, dropping unique positions. Measured, it does not keep the check tool's limits (README), so the query takes
+``method="anchors"``: content-anchored window hashing, shared with op4. There the positions that are hashed are the anchors of
+``_repeats``, about one in 85 bytes, chosen by content so that equal 200-byte strings have corresponding anchors. Round 1
+counts the anchors by the 32 bytes at them; a position whose bytes are unique leaves. The following rounds count the
+survivors by (seed, name) pairs of growing known length - 169 to 197 bytes in common, up to the full 200 - and let a
+position go as soon as it is unique, or as soon as its string is past the threshold.
 
 Defined results: null text is empty text; texts shorter than the threshold keep everything; repeated rows are documents
 of their own, so both are removed as far as they reach the threshold; further columns are ignored by the query and pass
@@ -61,7 +62,7 @@ def cut_repeats(docs: DataFrame, length: int = LENGTH, seed: int | None = None,
 
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes of every document that belong to a 200-byte string found twice or more."""
-    c = cut_repeats(read(spark, sf_dir, "documents"), method="doubling")
+    c = cut_repeats(read(spark, sf_dir, "documents"))
     return c.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"),
                     F.sha2("kept", 256).alias("kept_sha256"))
 
