@@ -156,7 +156,8 @@ class Scanner:
         Each place is tried as the notice's first one, in windows that start where the template would and are one template
         long, then longer ones: a second copy behind the first would leave patience no word that occurs once. Of matches
         that overlap, the one with the most aligned words after deduction of the foreign words between them stays. Windows
-        of a long template start at multiples of a sixteenth of its length, so that their number has a bound.
+        of a long template start at multiples of a sixteenth of its length, so that their number has a bound; they are longer
+        by as much, so each contains the window that starts exactly there (tests compare with all windows at all starts).
         """
         size, reach = len(words), 2 * len(words)
         step = 1 if size < LONG else size // 16

@@ -364,6 +364,37 @@ def test_whole_licenses():
         assert [x[:2] for x in s.scan(t)] == [(name, 1.0)]
 
 
+def brute_notices(scanner, name, toks, words):
+    """Whether any window at any start, of one template length or the longer ones, reaches the coverage."""
+    seq, size = [w for w, _, _ in toks], len(words)
+    for n in (size, int(size / scanner.coverage), 2 * size):
+        for b in range(max(1, len(seq) - n // 2)):
+            hit = C.patience(words, seq[b:b + n])
+            if hit and len(hit) >= scanner.coverage * size and len(hit) >= scanner.coverage * (hit[-1][1] - hit[0][1] + 1):
+                return True
+    return False
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_licenses_against_all_windows(seed):
+    """Long and short notices with words replaced, dropped and inserted all over, around the coverage, in running text: what all
+    windows at all starts find is found, and nothing else."""
+    rng = random.Random(seed)
+    names = ["MIT", "BSD-3-Clause", "ISC"]
+    whole = [(n, " ".join(t.split()[:160])) for n, t in C.whole_texts() if n in names]
+    assert len(whole) >= 2
+    for name, text in [*whole, *[t for t in C.TEMPLATES if t[0] in ("Apache-2.0-header", "MIT-grant", "CC-BY-4.0")]]:
+        one = C.Scanner([(name, text)])
+        for share in (0.0, 0.08, 0.14, 0.2, 0.3):
+            w = []
+            for x in text.split():
+                r = rng.random()
+                w += [] if r < share / 3 else [x, "inserted"] if r < share * 2 / 3 else ["replaced"] if r < share else [x]
+            body = " ".join([sentence(25, rng), *w, sentence(25, rng)])
+            found = one.scan(body)
+            assert bool(found) == brute_notices(one, name, C.tokens(body), one.templates[0][1]), (name, share)
+
+
 def test_licenses_on_the_documents(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()
     lines = {"Licensed under CC BY-NC 4.0.": "CC-BY-NC-4.0", "Released under the MIT License.": "MIT",
