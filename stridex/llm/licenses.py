@@ -12,7 +12,8 @@ and the whole licenses of ``license_texts``. Defined results: null or empty text
 templates without a word match nothing; several windows may report the same license; the spans of one template do not
 overlap; of templates covering the same words, the one with more aligned words, less its missing and the foreign ones, is
 reported, then the first id. Rows are
-independent of each other; other columns pass through.
+independent of each other, repeated rows get equal results; long texts are read whole; an empty table gives no rows; other
+columns pass through.
 """
 from __future__ import annotations
 

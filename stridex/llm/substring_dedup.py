@@ -7,7 +7,8 @@ stretch matches only in part, it is cut into blocks and then windows, which give
 repeats of at least ``WORDS`` words remain, as merged runs.
 
 Defined results: null text has no words; documents are ordered by id, null ids last; rows of one id count as the same
-document; further columns are ignored.
+document, and of equal rows each keeps its words or loses them alike; texts longer than a slice are cut into overlapping
+slices, so their length doesn't matter; an empty table gives no rows; further columns are ignored.
 """
 from __future__ import annotations
 
