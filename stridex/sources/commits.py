@@ -79,6 +79,10 @@ class CommitLog:
         p, fs = self._at(f"{self.path}/_commits")
         return fs.exists(p)
 
+    def holds_files(self) -> bool:
+        """Whether the path holds anything but this log's folders, such as a table written without it."""
+        return any(f.getPath().getName() not in ("data", "_commits") for f in self._list(self.path))
+
     def keys(self) -> list[str]:
         """Keys of all publications, in order: one listing."""
         names = [f.getPath().getName() for f in self._list(f"{self.path}/_commits")]

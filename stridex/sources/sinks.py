@@ -46,6 +46,9 @@ def read_published(spark: SparkSession, path: str, fmt: str = "parquet") -> Data
 def read_predictions(spark: SparkSession, path: str, fmt: str = "parquet", with_batch: bool = False) -> DataFrame:
     """``PREDICTION`` rows of a sink; ``with_batch`` adds the ``run`` and ``batch_id`` of each."""
     df = read_published(spark, path, fmt)
+    log = CommitLog(spark, path)
+    if df is None and not log.exists() and log.holds_files():       # rows appended by other means, without publications
+        df = spark.read.format(fmt).load(path)
     if df is None:
         df = spark.createDataFrame([], f"{PREDICTION.simpleString()[7:-1].replace(chr(58), chr(32))}, run string, batch_id int"
                                    if with_batch else PREDICTION)

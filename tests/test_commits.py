@@ -62,6 +62,14 @@ def test_half_written_folder_is_invisible(spark, tmp_shared):
     assert sinks.read_predictions(spark, path).count() == 5
 
 
+def test_a_plain_table_is_read(spark, tmp_shared):
+    path, dead = tmp_shared("plain"), tmp_shared("dead")
+    _rows(spark, 4).write.parquet(path)
+    assert sinks.read_predictions(spark, path).count() == 4
+    _rows(spark, 4).write.parquet(f"{dead}/data/run=x/batch_id=0/attempt=1")      # a first attempt that was never published
+    assert sinks.read_predictions(spark, dead).count() == 0
+
+
 def test_batches_and_runs(spark, tmp_shared):
     path = tmp_shared("sink")
     assert sinks.read_predictions(spark, path, with_batch=True).columns == ["user_id", "timestamp", "prediction", "run", "batch_id"]
