@@ -1,16 +1,27 @@
-"""Document fingerprints from spot signatures.
+"""Document fingerprints from spot signatures, and near duplicates among them.
 
 A spot is an anchor: a common word, or a word that one word in ``SAMPLED`` is by its hash, so that texts of any language and
 kind have spots at a like density. Its signature is the anchor with the chain of the next ``CHAIN`` content words.
-The set of a document's signatures is its fingerprint. Fingerprints are compared by Jaccard, pruned by their lengths
-first (two sets whose sizes differ by more than the threshold allows cannot be near).
+The set of a document's signatures is its fingerprint; fingerprints are compared by Jaccard.
+
+Near duplicates (``near_duplicate_groups``), by sets in partitions of their length:
+
+* Documents with one set are one class, so copies in any number cost one row.
+* ``partitions`` cuts the lengths so that a set can be near only to sets of its own and the next partition. A class stands in
+  the index of its own partition and as a guest in that of the next one; two guests never meet.
+* A set's index entries are its rarest signatures only: two sets that share none of these differ in more signatures than
+  the threshold allows. A pair is discarded by its lengths, and by how many signatures are left behind the shared one.
+* No index list emits all its pairs. First every class meets the list's head and components are formed; then, only in
+  lists that still hold several components, the classes outside the head's component meet the rest. A pair inside one
+  component is never compared, and no pair that could join two components is left out.
 
 Defined results: words are runs of letters and digits (any byte beyond ASCII counts as a letter), A-Z in lower case; a
 text with words but no anchor followed by a content word takes each of its words as an anchor, so it still has a
 fingerprint; a text without words has its hash as only signature (of nothing, for null or empty text). Equal texts have
 equal fingerprints. Two equal sets have likeness 1. A null id sorts before all others; rows of one id follow each other by
 text, null first, and the successor of an id's last row is the next id's first; a single row is its own successor; an empty
-table gives no rows; long texts are read whole; further columns are ignored.
+table gives no rows; long texts are read whole; further columns are ignored. A component is named by its smallest id, null
+ids count as largest; null and empty texts are linked with nothing.
 """
 from __future__ import annotations
 
@@ -21,13 +32,18 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.tables import discard, materialize
 from ._common import read, ship_by_value, sub_batches
 from ._hashing import mix, words_of
+from ._repeats import LAST, keyed, pack, unpack
+from .ngram_join import labels, prefix_length
 
 ship_by_value(__name__)
 
 CHAIN = 3
 SAMPLED = 4                   # one in so many words is an anchor whatever its language
+PERCENT = 80                  # likeness of near duplicates
+SLOTS = 1 << 16               # counters that order signatures by rarity (any number gives the same links)
 # Anchors: common function words of four languages.
 ANCHORS = ("the of and to in is that for it as with be by on not he are or this from was at have an which you "
            "de la le et les des en un du que au qui dans par sur pour avec est une ce "
@@ -105,9 +121,9 @@ def signature_sets(text: Column) -> Column:
     return sets(text)
 
 
-_NEXT = pa.schema([("doc_id", pa.int64()), ("n_chars", pa.int64()), ("edited_sha256", pa.string()),
-                   ("fingerprint", pa.string()), ("edited_fingerprint", pa.string()), ("near_edited", pa.float64()),
-                   ("near_next", pa.float64())])
+_NEXT = ("doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, "
+         "near_next double, {0} long")
+_TYPES = (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64(), pa.int64())
 
 
 def _compare(batches):
@@ -116,7 +132,7 @@ def _compare(batches):
     for batch in batches:
         cols = batch.to_pydict()
         texts = ["" if t is None else t for t in cols["text"]]
-        rows = list(zip(cols["bucket"], cols["doc_id"], texts, signatures(texts), cols["ghost"]))
+        rows = list(zip(cols["bucket"], cols["doc_id"], texts, signatures(texts), cols["ghost"], cols["grp"]))
         pairs = []
         for r in rows:
             if held is not None and held[0] == r[0]:
@@ -127,19 +143,21 @@ def _compare(batches):
             cut = [(len(a[2]) // 3) for a, _ in part]
             edited = [a[2][:len(a[2]) - m] + b[2][:m] for (a, b), m in zip(part, cut)]
             sig = signatures(edited)
-            yield pa.RecordBatch.from_arrays([
-                pa.array([a[1] for a, _ in part], pa.int64()), pa.array([len(a[2]) for a, _ in part], pa.int64()),
-                pa.array([hashlib.sha256(e.encode("utf-8", "surrogatepass")).hexdigest() for e in edited]),
-                pa.array([fingerprint(a[3]) for a, _ in part]), pa.array([fingerprint(s) for s in sig]),
-                pa.array([likeness(a[3], s) for (a, _), s in zip(part, sig)], pa.float64()),
-                pa.array([likeness(a[3], b[3]) for a, b in part], pa.float64())], schema=_NEXT)
+            out = ([a[1] for a, _ in part], [len(a[2]) for a, _ in part],
+                   [hashlib.sha256(e.encode("utf-8", "surrogatepass")).hexdigest() for e in edited],
+                   [fingerprint(a[3]) for a, _ in part], [fingerprint(s) for s in sig],
+                   [likeness(a[3], s) for (a, _), s in zip(part, sig)], [likeness(a[3], b[3]) for a, b in part],
+                   [a[5] for a, _ in part])
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, _TYPES)],
+                                             names=[f.split()[0] for f in _NEXT.format("grp").split(", ")])
 
 
-def with_successor(docs: DataFrame, buckets: int | None = None) -> DataFrame:
+def with_successor(docs: DataFrame, buckets: int | None = None, groups: DataFrame | None = None) -> DataFrame:
     """Every document in id order, descending, with its successor (of the last one: the first), compared.
 
     The ids are cut at quantiles that are ids themselves; a bucket gets its own documents and, as a ghost, the first
-    document of the next bucket, so the texts move once and no task holds more than one bucket."""
+    document of the next bucket, so the texts move once, compressed, and no task holds more than one bucket. ``groups``
+    (from ``near_duplicate_groups``) adds the column ``component_id``."""
     spark = docs.sparkSession
     n = int(buckets or spark.conf.get("spark.sql.shuffle.partitions"))
     key = F.coalesce("doc_id", F.lit(-(1 << 63)))
@@ -148,46 +166,158 @@ def with_successor(docs: DataFrame, buckets: int | None = None) -> DataFrame:
     cuts = np.unique(np.array([row[0], *(row[1] or [])], np.int64)) if row[0] is not None else np.zeros(0, np.int64)
     last = len(cuts) - 1
 
-    @F.pandas_udf("int")
-    def bucket_of(k):
+    @F.pandas_udf("struct<b:int,g:int>")
+    def place(k):
         import pandas as pd
-        return pd.Series(last - np.searchsorted(cuts, k.to_numpy(), side="left"), dtype="int32")
-
-    @F.pandas_udf("int")
-    def ghost_of(k):
-        import pandas as pd
-        at = np.minimum(np.searchsorted(cuts, k.to_numpy(), side="left"), max(last, 0))
-        is_cut = cuts[at] == k.to_numpy() if last >= 0 else np.zeros(len(k), bool)
-        return pd.Series(np.where(is_cut, np.where(at == last, last, last - at - 1), -1), dtype="int32")
-
-    d = docs.select("doc_id", "text", key.alias("k"))
-    d = d.select("*", bucket_of("k").alias("b"), ghost_of("k").alias("g"))
-    d = d.select("doc_id", "text", "k", F.explode(F.expr(
-        "IF(g < 0, array(struct(b AS bucket, false AS ghost)), "
-        "array(struct(b AS bucket, false AS ghost), struct(g AS bucket, true AS ghost)))")).alias("x"))
-    d = d.select("x.bucket", "x.ghost", "doc_id", "text", "k")
-    d = d.repartitionById(max(last + 1, 1), "bucket").sortWithinPartitions("bucket", "ghost", F.desc("k"), "text")
-    return d.select("bucket", "ghost", "doc_id", "text").mapInArrow(
-        _compare, "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
-                  "near_edited double, near_next double")
+        k = k.to_numpy()
+        at = np.searchsorted(cuts, k, side="left")
+        low = np.minimum(at, max(last, 0))
+        is_cut = cuts[low] == k if last >= 0 else np.zeros(len(k), bool)
+        ghost = np.where(is_cut, np.where(low == last, last, last - low - 1), -1)
+        return pd.DataFrame({"b": (last - at).astype(np.int32), "g": ghost.astype(np.int32)})
+
+    @F.pandas_udf("string")
+    def unpacked(z):
+        return z.map(lambda b: None if b is None else unpack(b).decode("utf-8", "surrogatepass"))
+
+    d = keyed(docs).select("doc_id", "ok", "th", pack(F.col("text")).alias("z"), key.alias("k"))
+    if groups is None:
+        d = d.withColumn("grp", F.lit(None).cast("long"))
+    else:
+        of = groups.select("ok", "th", F.when(F.col("head") < LAST, F.col("head")).alias("grp")).dropDuplicates(["ok", "th"])
+        d = d.join(of, ["ok", "th"], "left")
+    d = d.select("doc_id", "z", "k", "grp", place("k").alias("at"))
+    d = d.select("doc_id", "z", "k", "grp", F.explode(F.expr(
+        "IF(at.g < 0, array(struct(at.b AS bucket, false AS ghost)), "
+        "array(struct(at.b AS bucket, false AS ghost), struct(at.g AS bucket, true AS ghost)))")).alias("x"))
+    d = d.select("x.bucket", "x.ghost", "doc_id", "z", "k", "grp").repartitionById(max(last + 1, 1), "bucket")
+    d = d.withColumn("text", unpacked("z")).sortWithinPartitions("bucket", "ghost", F.desc("k"), "text")
+    out = d.select("bucket", "ghost", "doc_id", "text", "grp").mapInArrow(_compare, _NEXT.format("grp"))
+    return out.drop("grp") if groups is None else out.withColumnRenamed("grp", "component_id")
 
 
 def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Fingerprints of every document and of its edited text, with their likeness and that to the next document."""
-    return with_successor(read(spark, sf_dir, "documents").select("doc_id", "text"))
-
-
-class Spots:
-    """The signature sets as a kernel of the grouped prefix join."""
-
-    def sets(self, raws: list[bytes]):
-        for s in signatures([r.decode("utf-8", "surrogatepass") for r in raws]):
-            yield np.sort(mix(s.astype(np.uint64) + np.uint64(1)))
-
-
-def near_duplicate_groups(docs: DataFrame, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Components of documents whose signature sets have Jaccard ``percent`` or more (one row per input row, see
-    ``ngram_join.near_duplicates``). The join partitions the sets by length: two of them meet only if their lengths allow
-    the threshold."""
-    from .ngram_join import near_duplicates
-    return near_duplicates(docs, Spots(), percent, doc_id, text, name="spots")
+    """Fingerprints of every document and of its edited text, with their likeness and that to the next document, and the
+    near-duplicate component (likeness 0.8 or more) of the fingerprint among those of all documents."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return with_successor(docs, groups=near_duplicate_groups(docs))
+
+
+def partitions(percent: int = PERCENT, longest: int = (1 << 31) - 1) -> np.ndarray:
+    """The least length of every partition: the shortest set of one is too short for any set two partitions on."""
+    least = [1]
+    while least[-1] <= longest:
+        least.append(100 * least[-1] // percent + 1)
+    return np.array(least[:-1], np.int64)
+
+
+def _sets(batches):
+    """(ok, th, text) -> (ok, th, n, key, sigs): the key is a hash of the set."""
+    for b in batches:
+        sig = signatures(["" if t is None else t for t in b.column("text").to_pylist()])
+        size = np.array([len(s) for s in sig], np.int32)
+        edge = np.concatenate([[0], np.cumsum(size)]).astype(np.int32)
+        flat = np.concatenate([*sig, np.zeros(0, np.uint32)]).astype(np.uint32).view(np.int32)
+        key = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sig]
+        yield pa.RecordBatch.from_arrays([
+            b.column("doc_id"), b.column("ok"), b.column("th"), pa.array(size), pa.array(key, pa.binary()),
+            pa.ListArray.from_arrays(pa.array(edge), pa.array(flat))], names=["doc_id", "ok", "th", "n", "key", "sigs"])
+
+
+def _entries(loads, percent: int):
+    """(gid, sigs) -> (gid, n, part, rare): the partition of a set and its rarest signatures, rarest first."""
+    least = partitions(percent)
+
+    def run(batches):
+        counts = loads.value
+        for b in batches:
+            n, part, rare = [], [], []
+            for s in b.column("sigs"):
+                s = s.values.to_numpy(zero_copy_only=False)
+                order = np.lexsort((s, counts[s & (SLOTS - 1)]))
+                n.append(len(s))
+                part.append(int(np.searchsorted(least, len(s), side="right")) - 1)
+                rare.append(s[order[:prefix_length(len(s), percent)]])
+            yield pa.RecordBatch.from_arrays([b.column("gid"), pa.array(n, pa.int32()), pa.array(part, pa.int32()),
+                                              pa.array(rare, pa.list_(pa.int32()))], names=["gid", "n", "part", "rare"])
+    return run
+
+
+def _loads(classes: DataFrame) -> np.ndarray:
+    """How many sets hold a signature of each slot; ``SLOTS`` rows at most, whatever the input."""
+    slot = F.col("sig").bitwiseAND(F.lit(SLOTS - 1)).alias("slot")
+    got = classes.select(F.explode("sigs").alias("sig")).groupBy(slot).agg(F.count(F.lit(1)).alias("c")).toPandas()
+    counts = np.zeros(SLOTS, np.int64)
+    counts[got["slot"].to_numpy(np.int64)] = got["c"].to_numpy(np.int64)
+    return counts
+
+
+def near_duplicate_groups(docs: DataFrame, percent: int = PERCENT, doc_id: str = "doc_id", text: str = "text",
+                          star: bool = True, name: str = "spots") -> DataFrame:
+    """(doc_id, ok, th, n, head) of every row: the size of its signature set and ``head``, the smallest ``ok`` (the id; of a
+    null id the largest long) of its component of documents whose sets have Jaccard ``percent`` / 100 or more. ``th`` is
+    the text's hash, which tells rows of one id apart. ``star=False`` leaves all pairs to the second phase."""
+    spark = docs.sparkSession
+    d = keyed(docs, doc_id, text).select(F.col("doc_id").cast("long").alias("doc_id"), "ok", "th", "text")
+    sets = materialize(d.mapInArrow(_sets, "doc_id long, ok long, th long, n int, key binary, sigs array<int>"), f"{name}-sets")
+    classes = sets.where("n > 0").groupBy("key").agg(F.min("ok").alias("first"), F.any_value("sigs").alias("sigs"))
+    classes = materialize(classes.select(F.monotonically_increasing_id().alias("gid"), "*"), f"{name}-classes")
+    rows = materialize(sets.select("doc_id", "ok", "th", "n", "key"), f"{name}-rows")
+    discard(sets)
+    loads = spark.sparkContext.broadcast(_loads(classes))
+    entries = materialize(classes.select("gid", "sigs").mapInArrow(
+        _entries(loads, percent), "gid long, n int, part int, rare array<int>"), f"{name}-entries")
+    loads.unpersist()
+    index = entries.select("gid", "n", "part", F.posexplode("rare").alias("pos", "sig"))
+    index = index.select("gid", "n", "pos", "sig", F.explode(F.expr(
+        "array(struct(part, true AS home), struct(part + 1 AS part, false AS home))")).alias("at"))
+    index = index.select("gid", "n", "pos", "sig", "at.part", "at.home")
+    # what is joined on a key that can be hot is written first: Spark can split a join between two plain shuffles
+    heads = index.groupBy("part", "sig").agg(F.count(F.lit(1)).alias("c"), F.min(F.when(F.col("home"), F.struct(
+        "pos", "gid", "n"))).alias("top")).where("c > 1 and top is not null")
+    heads = materialize(heads.select("part", "sig", F.col("top.gid").alias("head"), F.col("top.n").alias("nh"),
+                                     F.col("top.pos").alias("ph")), f"{name}-heads")
+    index = materialize(index.join(heads, ["part", "sig"]), f"{name}-index")
+    discard(entries, heads)
+
+    def able(nx: str, px: str, ny: str, py: str) -> Column:
+        return F.expr(f"100 * least({nx}, {ny}) >= {percent} * greatest({nx}, {ny}) and "
+                      f"{100 + percent} * least({nx} - {px}, {ny} - {py}) >= {percent} * ({nx} + {ny})")
+
+    def near(pairs: DataFrame) -> DataFrame:
+        p = pairs.join(classes.select(F.col("gid").alias("a"), F.col("sigs").alias("sa")), "a")
+        p = p.join(classes.select(F.col("gid").alias("b"), F.col("sigs").alias("sb")), "b")
+        p = p.select("a", "b", F.size(F.array_intersect("sa", "sb")).alias("both"),
+                     (F.size("sa") + F.size("sb")).cast("long").alias("all"))
+        return p.where(f"100L * both >= {percent} * (all - both)").select("a", "b")
+
+    # 1. every class with the head of each of its lists
+    links = index.where((F.col("gid") != F.col("head")) & able("n", "pos", "nh", "ph") & F.lit(star))
+    links = links.select(F.greatest("gid", "head").alias("a"), F.least("gid", "head").alias("b")).distinct()
+    comp = labels(near(links), f"{name}-star")
+    # 2. what lies outside the component of a list's head with all that the list holds of other components
+    member = materialize(classes.select("gid", "first").join(comp.withColumnRenamed("k", "gid"), "gid", "left").select(
+        "gid", "first", F.coalesce("comp", "gid").alias("comp")), f"{name}-members")
+    held = materialize(index.join(member.select("gid", "comp"), "gid"), f"{name}-held")
+    discard(index, comp)
+    open_ = materialize(held.groupBy("part", "sig").agg(
+        F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.max(F.when(F.col("gid") == F.col("head"), F.col("comp")))
+        .alias("main")).where("lo <> hi").select("part", "sig", "main"), f"{name}-open")
+    held = held.join(open_, ["part", "sig"])
+    x, y = (held.select("part", "sig", *[F.col(c).alias(c + s) for c in ("gid", "n", "pos", "home", "comp", "main")])
+            for s in "xy")
+    pairs = x.where("compx <> mainx").join(y, ["part", "sig"]).where(
+        "compx <> compy and (homex or homey) and (compy = mainy or gidx < gidy)").where(able("nx", "posx", "ny", "posy"))
+    pairs = pairs.select(F.greatest("gidx", "gidy").alias("a"), F.least("gidx", "gidy").alias("b")).distinct()
+    by = member.select("gid", "comp")
+    late = near(pairs).join(by.select(F.col("gid").alias("a"), F.col("comp").alias("ca")), "a").join(
+        by.select(F.col("gid").alias("b"), F.col("comp").alias("cb")), "b")
+    top = labels(late.select(F.col("ca").alias("a"), F.col("cb").alias("b")).distinct(), f"{name}-late")
+    # 3. the smallest id of every component, back to the rows
+    final = materialize(member.join(top.select(F.col("k").alias("comp"), F.col("comp").alias("top")), "comp", "left").select(
+        "gid", "first", F.coalesce("top", "comp").alias("comp")), f"{name}-components")
+    least = materialize(final.groupBy("comp").agg(F.min("first").alias("head")), f"{name}-least")
+    named = final.join(least, "comp").select("gid", "head").join(classes.select("gid", "key"), "gid").select("key", "head")
+    named = materialize(named, f"{name}-named")
+    discard(classes, held, open_, member, final, least)
+    return rows.join(named, "key", "left").select("doc_id", "ok", "th", "n", F.coalesce("head", "ok").alias("head"))

@@ -3,6 +3,7 @@ import functools
 import random
 import re
 
+import numpy as np
 import pytest
 from helpers import base_spans, collected, key, odd_rows, sentence, sha, span_text, write
 from test_text_models import bench_rows, toxic_rows
@@ -81,6 +82,76 @@ def test_fingerprints_equal_and_empty(spark, tmp_path):
     assert G.op5_fingerprints(spark, write(spark, str(tmp_path / "c"), [])).count() == 0
 
 
+def brute_groups(rows, percent=80):
+    """(id, set size, smallest id of the component) of every row, by all pairs of sets."""
+    sets = [brute_signatures(t or "") for _, t, *_ in rows]
+    ids = [G.LAST if r[0] is None else r[0] for r in rows]
+    least = list(ids)
+    link = [(i, j) for i, a in enumerate(sets) for j, b in enumerate(sets[:i])
+            if a and b and 100 * len(a & b) >= percent * len(a | b)]
+    while True:
+        old = list(least)
+        for i, j in link:
+            least[i] = least[j] = min(least[i], least[j])
+        if old == least:
+            return sorted(zip(ids, map(len, sets), least))
+
+
+def spot_groups(df, **more):
+    return sorted((r.ok, r.n, r.head) for r in G.near_duplicate_groups(df, **more).collect())
+
+
+@pytest.mark.parametrize("percent", [50, 60, 80, 90])
+def test_partitions_let_near_lengths_meet(percent):
+    """Two lengths within the threshold are in one partition or in neighbours, at every length."""
+    least = G.partitions(percent, 100_000)
+    assert least[0] == 1 and (np.diff(least) > 0).all()
+    n = np.arange(1, 50_000)
+    most = 100 * n // percent                         # the longest set that a set of n can be near to
+    gap = np.searchsorted(least, most, side="right") - np.searchsorted(least, n, side="right")
+    assert gap.min() >= 0 and gap.max() == 1
+
+
+@pytest.mark.parametrize("star", [True, False])
+def test_spot_components_odd_table(spark, tmp_path, star):
+    rows = spotted(odd_rows())
+    df = spark.read.parquet(write(spark, str(tmp_path), rows) + "/documents.parquet")
+    assert spot_groups(df, star=star) == brute_groups(rows)
+
+
+@pytest.mark.parametrize("percent,star", [(80, True), (80, False), (60, True)])
+def test_spot_components_chains(spark, percent, star):
+    """Chains of edits that are linked step by step only, a passage that all share, copies, growing texts that stand in
+    neighbouring partitions."""
+    rng = random.Random(3)
+    line, rows, edits = sentence(20, rng), [], 0
+    for _ in range(5):
+        w = sentence(70, rng).split()
+        for step in range(8):
+            rows.append((len(rows), " ".join(w) + " " + line))
+            for _ in range(rng.randint(1, 3)):
+                edits += 1
+                w[rng.randrange(len(w))] = f"edit{edits}"
+            w += sentence(rng.choice([0, 0, 4, 12]), rng).split()
+        rows += [(len(rows) + k, rows[-1][1]) for k in range(3)]
+    rng.shuffle(rows)
+    want = brute_groups(rows, percent)
+    assert len({h for _, _, h in want}) < len(rows) - 15        # there is something to find
+    assert spot_groups(spark.createDataFrame(rows, "doc_id long, text string"), percent=percent, star=star) == want
+
+
+def test_query_names_components(spark, tmp_path):
+    """The query's column over copies, an edited copy, equal rows, repeated and null ids."""
+    rng = random.Random(4)
+    base = sentence(120, rng)
+    rows = [(5, base), (5, base), (9, base + " and more"), (7, sentence(80, rng)), (None, base.upper()), (None, "zz yy xx ww"),
+            (2, None), (3, "")]
+    got = G.op5_fingerprints(spark, write(spark, str(tmp_path), rows)).collect()
+    assert len(got) == len(rows)
+    assert sorted(((r.doc_id, r.component_id) for r in got), key=repr) == sorted(
+        [(5, 5), (5, 5), (9, 5), (7, 7), (None, 5), (None, None), (2, 2), (3, 3)], key=repr)
+
+
 def test_an_edited_third_leaves_a_likeness(spark):
     """Whatever its language, a text of 50 different words and its edit, of which two thirds are the same, share signatures;
     of texts of 50 words that repeat fewer ones (junk of one word hundreds of times) few share none."""
