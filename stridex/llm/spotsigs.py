@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from ..sources.tables import discard, materialize
 from ._common import read, ship_by_value, sub_batches
 from ._hashing import mix, words_of
-from ._repeats import LAST, keyed, pack, unpack
+from ._repeats import keyed
 from .ngram_join import labels, prefix_length
 
 ship_by_value(__name__)
@@ -126,13 +126,24 @@ _NEXT = ("doc_id long, n_chars long, edited_sha256 string, fingerprint string, e
 _TYPES = (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64(), pa.int64())
 
 
+FOR_ID, FOR_TEXT, DOCUMENT = 0, 1, 2     # rows of an exchange: the component of an id's only text, of one text, a document
+
+
 def _compare(batches):
     """Rows of whole buckets in order -> one row per document, compared with its edit and its successor."""
     held = None                                        # (bucket, id, text, signatures): waits for its successor
+    named = None                                       # (id, text or any, component) of the documents that follow
     for batch in batches:
         cols = batch.to_pydict()
-        texts = ["" if t is None else t for t in cols["text"]]
-        rows = list(zip(cols["bucket"], cols["doc_id"], texts, signatures(texts), cols["ghost"], cols["grp"]))
+        docs = []
+        for bucket, i, text, ghost, grp, kind in zip(*(cols[c] for c in ("bucket", "doc_id", "text", "ghost", "grp", "kind"))):
+            if kind != DOCUMENT:
+                named = (i, kind, text, grp)
+                continue
+            mine = named is not None and named[0] == i and (named[1] == FOR_ID or named[2] == text)
+            docs.append((bucket, i, "" if text is None else text, ghost, named[3] if mine else i))
+        sets = signatures([d[2] for d in docs])
+        rows = [(*d[:3], s, *d[3:]) for d, s in zip(docs, sets)]
         pairs = []
         for r in rows:
             if held is not None and held[0] == r[0]:
@@ -156,12 +167,13 @@ def with_successor(docs: DataFrame, buckets: int | None = None, groups: DataFram
     """Every document in id order, descending, with its successor (of the last one: the first), compared.
 
     The ids are cut at quantiles that are ids themselves; a bucket gets its own documents and, as a ghost, the first
-    document of the next bucket, so the texts move once, compressed, and no task holds more than one bucket. ``groups``
-    (from ``near_duplicate_groups``) adds the column ``component_id``."""
+    document of the next bucket, so the texts move once and no task holds more than one bucket. ``groups`` (from
+    ``near_duplicate_groups``) adds the column ``component_id``: its rows travel in the same exchange, just before their
+    documents (``_named``), so no join moves the texts again."""
     spark = docs.sparkSession
     n = int(buckets or spark.conf.get("spark.sql.shuffle.partitions"))
-    key = F.coalesce("doc_id", F.lit(-(1 << 63)))
-    row = docs.select(key.alias("k")).agg(
+    key = F.coalesce("doc_id", F.lit(-(1 << 63))).alias("k")
+    row = docs.select(key).agg(
         F.max("k"), F.percentile_approx("k", [(i + 1) / n for i in range(n - 1)] or [0.5], 100 * n)).first()
     cuts = np.unique(np.array([row[0], *(row[1] or [])], np.int64)) if row[0] is not None else np.zeros(0, np.int64)
     last = len(cuts) - 1
@@ -176,26 +188,33 @@ def with_successor(docs: DataFrame, buckets: int | None = None, groups: DataFram
         ghost = np.where(is_cut, np.where(low == last, last, last - low - 1), -1)
         return pd.DataFrame({"b": (last - at).astype(np.int32), "g": ghost.astype(np.int32)})
 
-    @F.pandas_udf("string")
-    def unpacked(z):
-        return z.map(lambda b: None if b is None else unpack(b).decode("utf-8", "surrogatepass"))
-
-    d = keyed(docs).select("doc_id", "ok", "th", pack(F.col("text")).alias("z"), key.alias("k"))
-    if groups is None:
-        d = d.withColumn("grp", F.lit(None).cast("long"))
-    else:
-        of = groups.select("ok", "th", F.when(F.col("head") < LAST, F.col("head")).alias("grp")).dropDuplicates(["ok", "th"])
-        d = d.join(of, ["ok", "th"], "left")
-    d = d.select("doc_id", "z", "k", "grp", place("k").alias("at"))
-    d = d.select("doc_id", "z", "k", "grp", F.explode(F.expr(
-        "IF(at.g < 0, array(struct(at.b AS bucket, false AS ghost)), "
+    d = docs.select("doc_id", "text", key, F.lit(None).cast("long").alias("grp"), F.lit(DOCUMENT).alias("kind"))
+    if groups is not None:
+        d = d.unionByName(_named(docs, groups).select("doc_id", "text", key, "grp", "kind"))
+    d = d.select("*", place("k").alias("at"))
+    d = d.select("doc_id", "text", "k", "grp", "kind", F.explode(F.expr(
+        f"IF(at.g < 0 or kind < {DOCUMENT}, array(struct(at.b AS bucket, false AS ghost)), "
         "array(struct(at.b AS bucket, false AS ghost), struct(at.g AS bucket, true AS ghost)))")).alias("x"))
-    d = d.select("x.bucket", "x.ghost", "doc_id", "z", "k", "grp").repartitionById(max(last + 1, 1), "bucket")
-    d = d.withColumn("text", unpacked("z")).sortWithinPartitions("bucket", "ghost", F.desc("k"), "text")
-    out = d.select("bucket", "ghost", "doc_id", "text", "grp").mapInArrow(_compare, _NEXT.format("grp"))
+    d = d.select("x.bucket", "x.ghost", "doc_id", "text", "k", "grp", "kind").repartitionById(max(last + 1, 1), "bucket")
+    d = d.sortWithinPartitions("bucket", "ghost", F.desc("k"), "text", "kind")
+    out = d.select("bucket", "ghost", "doc_id", "text", "grp", "kind").mapInArrow(_compare, _NEXT.format("grp"))
     return out.drop("grp") if groups is None else out.withColumnRenamed("grp", "component_id")
 
 
+def _named(docs: DataFrame, groups: DataFrame, name: str = "spots") -> DataFrame:
+    """(doc_id, text, grp, kind): the components of documents that don't name their own. An id with one text needs the id
+    only; of an id with several, each row has the text it is for, which puts it before that text's documents."""
+    several = groups.select("ok", "th").distinct().groupBy("ok").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
+    several = materialize(several.select("ok"), f"{name}-several")
+    moved = groups.where("head <> ok").select("doc_id", "ok", "th", F.col("head").alias("grp")).distinct()
+    one = moved.join(several, "ok", "left_anti").select("doc_id", F.lit(None).cast("string").alias("text"), "grp",
+                                                        F.lit(FOR_ID).alias("kind"))
+    each = materialize(moved.join(several, "ok", "left_semi"), f"{name}-each")
+    texts = keyed(docs).select("ok", "th", "text")
+    each = each.join(texts, ["ok", "th"]).select("doc_id", "text", "grp", F.lit(FOR_TEXT).alias("kind"))
+    return one.unionByName(each)
+
+
 def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of every document and of its edited text, with their likeness and that to the next document, and the
     near-duplicate component (likeness 0.8 or more) of the fingerprint among those of all documents."""
@@ -243,10 +262,10 @@ def _entries(loads, percent: int):
     return run
 
 
-def _loads(classes: DataFrame) -> np.ndarray:
+def _loads(sets: DataFrame) -> np.ndarray:
     """How many sets hold a signature of each slot; ``SLOTS`` rows at most, whatever the input."""
     slot = F.col("sig").bitwiseAND(F.lit(SLOTS - 1)).alias("slot")
-    got = classes.select(F.explode("sigs").alias("sig")).groupBy(slot).agg(F.count(F.lit(1)).alias("c")).toPandas()
+    got = sets.select(F.explode("sigs").alias("sig")).groupBy(slot).agg(F.count(F.lit(1)).alias("c")).toPandas()
     counts = np.zeros(SLOTS, np.int64)
     counts[got["slot"].to_numpy(np.int64)] = got["c"].to_numpy(np.int64)
     return counts
@@ -259,17 +278,21 @@ def near_duplicate_groups(docs: DataFrame, percent: int = PERCENT, doc_id: str =
     the text's hash, which tells rows of one id apart. ``star=False`` leaves all pairs to the second phase."""
     spark = docs.sparkSession
     d = keyed(docs, doc_id, text).select(F.col("doc_id").cast("long").alias("doc_id"), "ok", "th", "text")
-    sets = materialize(d.mapInArrow(_sets, "doc_id long, ok long, th long, n int, key binary, sigs array<int>"), f"{name}-sets")
-    classes = sets.where("n > 0").groupBy("key").agg(F.min("ok").alias("first"), F.any_value("sigs").alias("sigs"))
-    classes = materialize(classes.select(F.monotonically_increasing_id().alias("gid"), "*"), f"{name}-classes")
-    rows = materialize(sets.select("doc_id", "ok", "th", "n", "key"), f"{name}-rows")
-    discard(sets)
-    loads = spark.sparkContext.broadcast(_loads(classes))
-    entries = materialize(classes.select("gid", "sigs").mapInArrow(
-        _entries(loads, percent), "gid long, n int, part int, rare array<int>"), f"{name}-entries")
+    sets = d.mapInArrow(_sets, "doc_id long, ok long, th long, n int, key binary, sigs array<int>")
+    sets = materialize(sets.select(F.monotonically_increasing_id().alias("gid"), "*"), f"{name}-sets")
+    # a class goes by its first row; the sets themselves stay where they are
+    classes = materialize(sets.where("n > 0").groupBy("key").agg(F.min("gid").alias("gid"), F.min("ok").alias("first")),
+                          f"{name}-classes")
+    loads = spark.sparkContext.broadcast(_loads(sets))
+    entries = sets.where("n > 0").select("gid", "sigs").mapInArrow(
+        _entries(loads, percent), "gid long, n int, part int, rare array<int>")
+    entries = materialize(entries.join(classes.select("gid"), "gid"), f"{name}-entries")
     loads.unpersist()
-    index = entries.select("gid", "n", "part", F.posexplode("rare").alias("pos", "sig"))
-    index = index.select("gid", "n", "pos", "sig", F.explode(F.expr(
+    tokens = entries.select("gid", "n", "part", F.posexplode("rare").alias("pos", "sig"))
+    shared = materialize(tokens.groupBy("sig").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("sig"), f"{name}-shared")
+    tokens = materialize(tokens.join(shared, "sig"), f"{name}-tokens")
+    discard(entries, shared)
+    index = tokens.select("gid", "n", "pos", "sig", F.explode(F.expr(
         "array(struct(part, true AS home), struct(part + 1 AS part, false AS home))")).alias("at"))
     index = index.select("gid", "n", "pos", "sig", "at.part", "at.home")
     # what is joined on a key that can be hot is written first: Spark can split a join between two plain shuffles
@@ -278,15 +301,15 @@ def near_duplicate_groups(docs: DataFrame, percent: int = PERCENT, doc_id: str =
     heads = materialize(heads.select("part", "sig", F.col("top.gid").alias("head"), F.col("top.n").alias("nh"),
                                      F.col("top.pos").alias("ph")), f"{name}-heads")
     index = materialize(index.join(heads, ["part", "sig"]), f"{name}-index")
-    discard(entries, heads)
+    discard(tokens, heads)
 
     def able(nx: str, px: str, ny: str, py: str) -> Column:
         return F.expr(f"100 * least({nx}, {ny}) >= {percent} * greatest({nx}, {ny}) and "
                       f"{100 + percent} * least({nx} - {px}, {ny} - {py}) >= {percent} * ({nx} + {ny})")
 
     def near(pairs: DataFrame) -> DataFrame:
-        p = pairs.join(classes.select(F.col("gid").alias("a"), F.col("sigs").alias("sa")), "a")
-        p = p.join(classes.select(F.col("gid").alias("b"), F.col("sigs").alias("sb")), "b")
+        p = pairs.join(sets.select(F.col("gid").alias("a"), F.col("sigs").alias("sa")), "a")
+        p = p.join(sets.select(F.col("gid").alias("b"), F.col("sigs").alias("sb")), "b")
         p = p.select("a", "b", F.size(F.array_intersect("sa", "sb")).alias("both"),
                      (F.size("sa") + F.size("sb")).cast("long").alias("all"))
         return p.where(f"100L * both >= {percent} * (all - both)").select("a", "b")
@@ -318,6 +341,8 @@ def near_duplicate_groups(docs: DataFrame, percent: int = PERCENT, doc_id: str =
         "gid", "first", F.coalesce("top", "comp").alias("comp")), f"{name}-components")
     least = materialize(final.groupBy("comp").agg(F.min("first").alias("head")), f"{name}-least")
     named = final.join(least, "comp").select("gid", "head").join(classes.select("gid", "key"), "gid").select("key", "head")
-    named = materialize(named, f"{name}-named")
-    discard(classes, held, open_, member, final, least)
-    return rows.join(named, "key", "left").select("doc_id", "ok", "th", "n", F.coalesce("head", "ok").alias("head"))
+    of = sets.select("doc_id", "ok", "th", "n", "key").join(named, "key", "left").select(
+        "doc_id", "ok", "th", "n", F.coalesce("head", "ok").alias("head"))
+    of = materialize(of, f"{name}-groups")
+    discard(sets, classes, held, open_, member, final, least)
+    return of

@@ -14,6 +14,7 @@ from stridex.llm import LLM_ORACLE, LLM_QUERIES
 from stridex.llm import mixing as M
 from stridex.llm import secrets as S
 from stridex.llm import spotsigs as G
+from stridex.llm._repeats import LAST
 
 SF = "/root/testdata/sf0.01"
 
@@ -85,7 +86,7 @@ def test_fingerprints_equal_and_empty(spark, tmp_path):
 def brute_groups(rows, percent=80):
     """(id, set size, smallest id of the component) of every row, by all pairs of sets."""
     sets = [brute_signatures(t or "") for _, t, *_ in rows]
-    ids = [G.LAST if r[0] is None else r[0] for r in rows]
+    ids = [LAST if r[0] is None else r[0] for r in rows]
     least = list(ids)
     link = [(i, j) for i, a in enumerate(sets) for j, b in enumerate(sets[:i])
             if a and b and 100 * len(a & b) >= percent * len(a | b)]
@@ -116,7 +117,11 @@ def test_partitions_let_near_lengths_meet(percent):
 def test_spot_components_odd_table(spark, tmp_path, star):
     rows = spotted(odd_rows())
     df = spark.read.parquet(write(spark, str(tmp_path), rows) + "/documents.parquet")
-    assert spot_groups(df, star=star) == brute_groups(rows)
+    want = brute_groups(rows)
+    assert spot_groups(df, star=star) == want
+    got = G.with_successor(df.select("doc_id", "text"), 3, G.near_duplicate_groups(df, star=star)).collect()
+    assert sorted((LAST if r.doc_id is None else r.doc_id, len(r.fingerprint) // 8,
+                   LAST if r.component_id is None else r.component_id) for r in got) == want
 
 
 @pytest.mark.parametrize("percent,star", [(80, True), (80, False), (60, True)])
