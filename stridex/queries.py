@@ -14,9 +14,11 @@ exactly the same way in both engines (peak time, labels) are not rounded. DuckDB
 """
 from __future__ import annotations
 
+import contextlib
+import io
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -36,6 +38,7 @@ SET_A = dict(gap=2 * DAY, width=DAY)
 SET_B = dict(gap=DAY, width=5 * DAY)
 LATEST_SMALL = 20
 LATEST_REF = 100
+CONSOLE_ROWS = 5
 STREAM_SLICES = 4            # files, and micro-batches, of the streams over a growing table
 USER = "7"
 ACTIVITY = "Walking"
@@ -361,6 +364,15 @@ def q_predict_majority(spark, d):
     return pred.predict(_live_shifted(_live(spark, d)), t.forest, LATEST_REF, vote="majority", as_of=AS_OF)
 
 
+def q_predict_newest(spark, d):
+    """R2 where N matters: a user's newest 20 samples have the user's class, all older ones the next class."""
+    live = rd.valid_axes(_live(spark, d))
+    newest = Window.partitionBy("user_id").orderBy(*sel.newest_first(live))
+    live = live.withColumn("_old", (F.row_number().over(newest) > LATEST_SMALL).cast("double"))
+    live = _shifted(live, F.pmod(_user_class() + F.col("_old"), F.lit(4.0))).drop("_old")
+    return pred.predict(live, _trained(spark, d, "forest").forest, LATEST_SMALL, as_of=AS_OF)
+
+
 def q_predict_user(spark, d):
     """One known and one unknown user (whose features are zeros)."""
     t = _trained(spark, d, "tree")
@@ -412,6 +424,28 @@ def q_stream_batches(spark, d):
     return rounded(read_published(spark, sink).drop("run"))
 
 
+def q_stream_console(spark, d):
+    """R5, IO9: a periodic run, stopped when its input is used up; per batch the users stored and the rows it printed."""
+    from .sources.sinks import read_published
+    from .streaming import start_prediction_stream
+    sink, text = scratch_path(spark, "stream-console"), io.StringIO()
+    stream = _slice_stream(spark, _sliced(spark, d))
+    with contextlib.redirect_stdout(text):
+        q = start_prediction_stream(stream, None, sink, scratch_path(spark, "stream-checkpoint"), n=LATEST_SMALL,
+                                    trigger={"processingTime": "1 second"}, console=CONSOLE_ROWS)
+        try:
+            q.processAllAvailable()
+        finally:
+            q.stop()
+    shown = []
+    for part in text.getvalue().split("-- batch ")[1:]:
+        batch_id, *lines = part.splitlines()
+        shown.append((int(batch_id), sum(x.startswith("|") for x in lines) - 1))       # one such line is the heading
+    users = read_published(spark, sink).groupBy(F.col("batch_id").cast("long").alias("batch_id")).agg(
+        F.count(F.lit(1)).alias("users"))
+    return users.join(spark.createDataFrame(shown, "batch_id long, shown long"), "batch_id", "full")
+
+
 def q_stream_recovery(spark, d):
     """ST4, IO4: the stream dies after publishing a batch and before noting it in the checkpoint; the restart replays that
     batch, then goes on. Every prediction is there once, with its batch."""
@@ -520,11 +554,13 @@ QUERIES: dict[str, Query] = {
     "predict_tree": q_predict_tree,
     "predict_forest": q_predict_forest,
     "predict_majority": q_predict_majority,
+    "predict_newest": q_predict_newest,
     "predict_store": q_predict_store,
     "stream_predict": q_stream_predict,
     "stream_predict_state": q_stream_predict_state,
     "stream_features": q_stream_features,
     "stream_batches": q_stream_batches,
+    "stream_console": q_stream_console,
     "stream_recovery": q_stream_recovery,
     "predict_store_rerun": q_predict_store_rerun,
     "clustered_filters": q_clustered_filters,
@@ -795,7 +831,7 @@ def _oracle() -> dict[str, str]:
     text = "CASE CAST(user_id AS BIGINT) % 4 " + " ".join(f"WHEN {k} THEN '{x}'" for k, x in enumerate(LABELS)) + " END"
     predicted = _with() + (f"SELECT DISTINCT user_id, {AS_OF}::BIGINT AS \"timestamp\", {text} AS prediction FROM live "
                            f"WHERE {_AXES_OK}")
-    for name in ("predict_tree", "predict_forest", "predict_majority", "predict_store", "stream_predict",
+    for name in ("predict_tree", "predict_forest", "predict_majority", "predict_newest", "predict_store", "stream_predict",
                  "stream_predict_state"):
         o[name] = predicted
     o["predict_user"] = predicted + (f" AND user_id = '{USER}' UNION ALL SELECT 'nobody', {AS_OF}::BIGINT, '{LABELS[0]}'")
@@ -807,6 +843,8 @@ def _oracle() -> dict[str, str]:
   WHERE {_AXES_OK}) q WHERE rn <= {LATEST_SMALL})"""
     o["stream_batches"] = ("WITH " + ", ".join([sliced, so_far, *_features_sql("latest", ["batch_id", "user_id"])]) + " "
                            + _features_select(["batch_id", "user_id"]))
+    o["stream_console"] = (f"WITH {sliced} SELECT CAST(b AS BIGINT) AS batch_id, count(DISTINCT user_id) AS users, "
+                           f"least({CONSOLE_ROWS}, count(DISTINCT user_id)) AS shown FROM sliced WHERE {_AXES_OK} GROUP BY b")
     o["stream_recovery"] = (f"WITH {sliced} SELECT DISTINCT CAST(b // 2 AS INTEGER) AS batch_id, user_id, {AS_OF}::BIGINT AS "
                             f'"timestamp", {text} AS prediction FROM sliced WHERE {_AXES_OK}')
     o["clustered_filters"] = _with() + (f"SELECT * FROM clean WHERE user_id = '{USER}' AND activity = '{ACTIVITY}' AND "
